@@ -46,3 +46,19 @@ def prepare_survey_strict(raw: DataFrame, subset: list[str], key: str, target: s
     var2, labels2 = second_segments
     df = C.remove_rows(df, C.iqr_outliers(df, target, var2, labels2), key)
     return C.recast_text(df, to_text)
+
+
+def prepare_for_model(df: DataFrame, key: str, target: str, categorical: list[str],
+                      numeric: list[str], test_size: float = 0.2, val_size: float = 0.25,
+                      seed: int = 42) -> DataFrame:
+    """Load-to-split in one lazy plan: select, drop rows without a target, learn the
+    vocabulary, split by key hash; report rows and target sum per split."""
+    from pyspark.sql import functions as F
+
+    from tilth.operators import encode as E
+
+    clean = C.drop_null_rows(C.project(df, [key] + categorical + numeric + [target]), [target])
+    n_features = E.vocabulary(clean, categorical, numeric).count()
+    s = E.split(clean, key, test_size, val_size, seed)
+    return s.groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.sum(target).alias("target_sum")) \
+        .withColumn("n_features", F.lit(n_features).cast("long"))
