@@ -42,13 +42,14 @@ def anova(df: DataFrame, by: list[str], group: str, value: str) -> DataFrame:
     df, keys = _keyed(df, by)
     g = group_moments(df, keys, group, value)
     w = Window.partitionBy(*keys)
-    g = g.withColumn("_gm", F.sum(F.col("n") * F.col("mean")).over(w) / F.sum("n").over(w))
+    g = g.withColumn("_gm", F.try_divide(F.sum(F.col("n") * F.col("mean")).over(w), F.sum("n").over(w)))
     a = g.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("k"), F.sum("n").alias("n"),
         F.sum(F.col("n") * F.pow(F.col("mean") - F.col("_gm"), 2)).alias("ssb"),
         F.sum((F.col("n") - 1) * F.coalesce(F.col("var"), F.lit(0.0))).alias("ssw"))
     a = a.withColumn("df1", F.col("k") - 1).withColumn("df2", F.col("n") - F.col("k"))
-    a = a.withColumn("f", (F.col("ssb") / F.col("df1")) / (F.col("ssw") / F.col("df2")))
+    a = a.withColumn("f", F.try_divide(F.try_divide(F.col("ssb"), F.col("df1")),
+                                       F.try_divide(F.col("ssw"), F.col("df2"))))
     a = a.withColumn("p_value", nan_to_null(f_pvalue("f", "df1", "df2")))
     return _drop_all(a.select(*keys, "k", "n", "f", "df1", "df2", "p_value"), by)
 
@@ -76,8 +77,8 @@ def ttest_pooled(df: DataFrame, by: list[str], group: str, value: str, a, b) ->
         F.max(F.when(F.col(group) == a, F.col("var"))).alias("_v1"),
         F.max(F.when(F.col(group) == b, F.col("var"))).alias("_v2"))
     dfree = F.col("n1") + F.col("n2") - 2
-    sp2 = ((F.col("n1") - 1) * F.col("_v1") + (F.col("n2") - 1) * F.col("_v2")) / dfree
-    t = (F.col("mean1") - F.col("mean2")) / F.sqrt(sp2 * (1.0 / F.col("n1") + 1.0 / F.col("n2")))
+    sp2 = F.try_divide((F.col("n1") - 1) * F.col("_v1") + (F.col("n2") - 1) * F.col("_v2"), dfree)
+    t = F.try_divide(F.col("mean1") - F.col("mean2"), F.sqrt(sp2 * (1.0 / F.col("n1") + 1.0 / F.col("n2"))))
     s = s.withColumn("df", dfree).withColumn("t", t)
     s = s.withColumn("p_value", nan_to_null(t_pvalue("t", "df")))
     return _drop_all(s.select(*keys, "n1", "n2", "mean1", "mean2", "t", "df", "p_value"), by)
@@ -109,9 +110,9 @@ def mann_whitney(df: DataFrame, by: list[str], group: str, value: str, a, b) ->
     u1 = F.col("_r1") - n1 * (n1 + 1) / 2.0
     s = s.withColumn("u", u1)
     mu = n1 * n2 / 2.0
-    sigma = F.sqrt(n1 * n2 / 12.0 * ((n + 1) - F.col("tie_term") / (n * (n - 1))))
+    sigma = F.sqrt(n1 * n2 / 12.0 * ((n + 1) - F.try_divide(F.col("tie_term"), n * (n - 1))))
     big = F.greatest(F.col("u"), n1 * n2 - F.col("u"))
-    s = s.withColumn("z", (big - mu - 0.5) / sigma)
+    s = s.withColumn("z", F.try_divide(big - mu - 0.5, sigma))
     s = s.withColumn("p_value", F.least(F.lit(1.0), nan_to_null(norm_pvalue("z"))))
     return _drop_all(s.select(*keys, "n1", "n2", "u", "z", "p_value"), by)
 
@@ -123,7 +124,8 @@ def kruskal(df: DataFrame, by: list[str], group: str, value: str) -> DataFrame:
     s = sums.groupBy(*keys).agg(F.count(F.lit(1)).alias("k"),
                                 F.sum(F.pow(F.col("rank_sum"), 2) / F.col("n_g")).alias("_q")).join(ties, keys)
     n = F.col("n_total").cast("double")
-    h = (12.0 / (n * (n + 1)) * F.col("_q") - 3 * (n + 1)) / (1 - F.col("tie_term") / (n * n * n - n))
+    h = F.try_divide(12.0 / (n * (n + 1)) * F.col("_q") - 3 * (n + 1),
+                     1 - F.try_divide(F.col("tie_term"), n * n * n - n))
     s = s.withColumn("h", h).withColumn("df", F.col("k") - 1)
     s = s.withColumn("p_value", nan_to_null(chi2_pvalue("h", "df")))
     return _drop_all(s.select(*keys, "k", F.col("n_total").alias("n"), "h", "df", "p_value"), by)
@@ -134,7 +136,7 @@ def pearson(df: DataFrame, by: list[str], x: str, y: str) -> DataFrame:
     df, keys = _keyed(df, by)
     s = df.where(_finite(x) & _finite(y)).groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"), F.corr(x, y).alias("r"))
-    s = s.withColumn("t", F.col("r") * F.sqrt((F.col("n") - 2) / (1 - F.col("r") * F.col("r"))))
+    s = s.withColumn("t", F.col("r") * F.sqrt(F.try_divide(F.col("n") - 2, 1 - F.col("r") * F.col("r"))))
     s = s.withColumn("p_value", nan_to_null(t_pvalue("t", F.col("n") - 2)))
     return _drop_all(s.select(*keys, "n", "r", "t", "p_value"), by)
 

@@ -78,7 +78,7 @@ def missing_pct(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     agg = df.agg(F.count(F.lit(1)).alias("_n"),
                  *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"m{i}") for i, c in enumerate(cols)])
     pairs = [(c, F.struct(F.col(f"m{i}").alias("missing"),
-                          (F.col(f"m{i}") * 100.0 / F.col("_n")).alias("missing_pct")))
+                          F.try_divide(F.col(f"m{i}") * 100.0, F.col("_n")).alias("missing_pct")))
              for i, c in enumerate(cols)]
     return agg.select(_stack(pairs, "column", "s").alias("kv")).select(
         "kv.column", "kv.s.missing", "kv.s.missing_pct")

@@ -1 +1,198 @@
-"""Keys for this section."""
+"""Monitoring and drift keys bound to ``events``.
+
+Reference = events before 2024-01-16, current = the rest.  The scoring model is
+the per-user mean of the reference period (global mean for unseen users), a
+fit that SQL can reproduce.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tilth.operators import monitor as M
+from tilth.plans.bindings import (DRIFT_CATEGORICAL, DRIFT_NUMERIC, V_EVENTS_TAGGED, V_RUNS, table,
+                                  v_events_tagged, v_runs, with_ctes)
+from tilth.plans.catalog import query, rounded
+
+GENERATED_AT = "2024-02-01T00:00:00"
+_R6 = 6
+
+
+def _scored(spark, d):
+    t = v_events_tagged(spark, d)
+    model = M.group_mean_model(t.where(F.col("dataset") == M.REF), "user_id", "value")
+    return M.score_group_mean(t, model, "user_id")
+
+
+_SCORED_SQL = V_EVENTS_TAGGED + """,
+pk AS (SELECT user_id, avg(value) AS p FROM v_tagged WHERE dataset = 'reference' GROUP BY 1),
+ov AS (SELECT avg(value) AS f FROM v_tagged WHERE dataset = 'reference'),
+scored AS (SELECT t.event_id, t.dataset, t.user_id, t.event_type, t.value, coalesce(pk.p, ov.f) AS prediction
+           FROM v_tagged t LEFT JOIN pk USING (user_id), ov)"""
+
+
+@query("scored_sets", "WITH " + _SCORED_SQL + """
+SELECT event_id, dataset, user_id, value, round(prediction, 6) AS prediction FROM scored""")
+def scored_sets(spark, d):
+    s = _scored(spark, d).select("event_id", "dataset", "user_id", "value", "prediction")
+    return rounded(s, {"prediction": _R6})
+
+
+@query("performance_report", "WITH " + _SCORED_SQL + """
+SELECT dataset, count(*) AS n, round(sqrt(sum((prediction - value) ^ 2) / count(*)), 6) AS rmse,
+       round(1 - sum((prediction - value) ^ 2) / (sum(value * value) - sum(value) ^ 2 / count(*)), 6) AS r2,
+       round(avg(abs(prediction - value)), 6) AS mae, round(avg(prediction - value), 6) AS mean_error,
+       round(stddev_samp(prediction - value), 6) AS error_std
+FROM scored GROUP BY dataset""", headline=True)
+def performance_report(spark, d):
+    out = M.performance(_scored(spark, d), "value", "prediction", ["dataset"])
+    return rounded(out, {c: _R6 for c in ["rmse", "r2", "mae", "mean_error", "error_std"]})
+
+
+_LONG_NUM = """long AS (SELECT dataset, 'value' AS "column", CAST(value AS DOUBLE) AS v FROM v_tagged
+          UNION ALL SELECT dataset, 'user_id', CAST(user_id AS DOUBLE) FROM v_tagged),
+c AS (SELECT "column", v, count_if(dataset = 'reference') AS nr, count_if(dataset = 'current') AS nc
+      FROM long GROUP BY 1, 2),
+cum AS (SELECT "column", v, lag(v) OVER w AS pv,
+               sum(nr) OVER w AS cr, sum(nc) OVER w AS cc, nr, nc,
+               sum(nr) OVER (PARTITION BY "column") AS tr, sum(nc) OVER (PARTITION BY "column") AS tc
+        FROM c WINDOW w AS (PARTITION BY "column" ORDER BY v ROWS UNBOUNDED PRECEDING))"""
+
+_KS_P = """(SELECT least(1.0, greatest(0.0, 2 * sum(pow(-1.0, k - 1) * exp(-2 * k * k * lam * lam))))
+   FROM range(1, 21) t(k))"""
+
+
+@query("drift_ks", "WITH " + V_EVENTS_TAGGED + ",\n" + _LONG_NUM + """,
+d AS (SELECT "column", max(abs(cr / tr - cc / tc)) AS statistic, CAST(max(tr) AS BIGINT) AS n_ref,
+             CAST(max(tc) AS BIGINT) AS n_cur FROM cum GROUP BY 1),
+l AS (SELECT *, sqrt(n_ref * n_cur / (n_ref + n_cur)) * statistic AS lam FROM d)
+SELECT "column", round(statistic, 6) AS statistic, n_ref, n_cur, round(""" + _KS_P + """, 6) AS p_value FROM l""")
+def drift_ks(spark, d):
+    return rounded(M.ks_test(v_events_tagged(spark, d), DRIFT_NUMERIC), {"statistic": 6, "p_value": 6})
+
+
+@query("drift_wasserstein", "WITH " + V_EVENTS_TAGGED + ",\n" + _LONG_NUM + """,
+w AS (SELECT "column", sum(CASE WHEN pv IS NOT NULL
+                                THEN abs((cr - nr) / tr - (cc - nc) / tc) * (v - pv) ELSE 0 END) AS w,
+             CAST(max(tr) AS BIGINT) AS n_ref, CAST(max(tc) AS BIGINT) AS n_cur FROM cum GROUP BY 1),
+sd AS (SELECT "column", stddev_pop(v) AS sd FROM long WHERE dataset = 'reference' GROUP BY 1)
+SELECT w."column", n_ref, n_cur, round(w / greatest(coalesce(sd, 0), 0.001), 6) AS statistic
+FROM w LEFT JOIN sd USING ("column")""")
+def drift_wasserstein(spark, d):
+    return rounded(M.wasserstein(v_events_tagged(spark, d), DRIFT_NUMERIC), {"statistic": 6})
+
+
+_SHARES = """s AS (SELECT 'event_type' AS "column", event_type AS v, count_if(dataset = 'reference') AS nr,
+             count_if(dataset = 'current') AS nc FROM v_tagged WHERE event_type IS NOT NULL GROUP BY 1, 2),
+t AS (SELECT "column", sum(nr) AS tr, sum(nc) AS tc FROM s GROUP BY 1),
+st AS (SELECT * FROM s JOIN t USING ("column"))"""
+
+
+@query("drift_chi2", "WITH " + V_EVENTS_TAGGED + ",\n" + _SHARES + """,
+x AS (SELECT "column", sum(CASE WHEN nr * tc / tr > 0 THEN (nc - nr * tc / tr) ^ 2 / (nr * tc / tr) ELSE 0 END)
+               AS statistic, count(*) AS k, CAST(max(tr) AS BIGINT) AS n_ref, CAST(max(tc) AS BIGINT) AS n_cur
+      FROM st GROUP BY 1)
+SELECT "column", round(statistic, 6) AS statistic, k, n_ref, n_cur, k - 1 AS df,
+       round(exp(-statistic / 2) * (1 + statistic / 2), 6) AS p_value FROM x""")
+def drift_chi2(spark, d):
+    return rounded(M.chi2_test(v_events_tagged(spark, d), DRIFT_CATEGORICAL), {"statistic": 6, "p_value": 6})
+
+
+_JS_SQL = """js AS (SELECT "column", CAST(max(tr) AS BIGINT) AS n_ref, CAST(max(tc) AS BIGINT) AS n_cur,
+             sqrt(greatest(sum(0.5 * CASE WHEN nr > 0 THEN (nr / tr) * ln((nr / tr) / ((nr / tr + nc / tc) / 2)) ELSE 0 END
+                     + 0.5 * CASE WHEN nc > 0 THEN (nc / tc) * ln((nc / tc) / ((nr / tr + nc / tc) / 2)) ELSE 0 END),
+                          0)) AS statistic
+      FROM st GROUP BY 1)"""
+
+
+@query("drift_js", "WITH " + V_EVENTS_TAGGED + ",\n" + _SHARES + ",\n" + _JS_SQL + """
+SELECT "column", n_ref, n_cur, round(statistic, 6) AS statistic FROM js""")
+def drift_js(spark, d):
+    return rounded(M.jensen_shannon(v_events_tagged(spark, d), DRIFT_CATEGORICAL), {"statistic": 6})
+
+
+_COLUMN_DRIFT_SQL = "WITH " + V_EVENTS_TAGGED + ",\n" + _LONG_NUM + ",\n" + _SHARES + ",\n" + _JS_SQL + """,
+w AS (SELECT "column", sum(CASE WHEN pv IS NOT NULL
+                                THEN abs((cr - nr) / tr - (cc - nc) / tc) * (v - pv) ELSE 0 END) AS w
+      FROM cum GROUP BY 1),
+sd AS (SELECT "column", stddev_pop(v) AS sd FROM long WHERE dataset = 'reference' GROUP BY 1),
+cols AS (
+  SELECT w."column", 'wasserstein' AS test, w / greatest(coalesce(sd, 0), 0.001) AS statistic,
+         CAST(NULL AS DOUBLE) AS p_value FROM w LEFT JOIN sd USING ("column")
+  UNION ALL SELECT "column", 'jensen_shannon', statistic, CAST(NULL AS DOUBLE) FROM js)"""
+
+
+@query("column_drift", _COLUMN_DRIFT_SQL + """
+SELECT "column", test, round(statistic, 6) AS statistic, p_value, statistic >= 0.1 AS drifted FROM cols""")
+def column_drift(spark, d):
+    out = M.column_drift(v_events_tagged(spark, d), DRIFT_NUMERIC, DRIFT_CATEGORICAL)
+    return rounded(out, {"statistic": 6}).withColumn("drifted", F.col("drifted"))
+
+
+@query("dataset_drift", _COLUMN_DRIFT_SQL + """
+SELECT count(*) AS n_columns, count_if(statistic >= 0.1) AS n_drifted,
+       round(count_if(statistic >= 0.1) / count(*), 6) AS share,
+       count_if(statistic >= 0.1) / count(*) >= 0.5 AS dataset_drift FROM cols""")
+def dataset_drift(spark, d):
+    cols = M.column_drift(v_events_tagged(spark, d), DRIFT_NUMERIC, DRIFT_CATEGORICAL)
+    return rounded(M.dataset_drift(cols), {"share": 6})
+
+
+@query("data_summary", "WITH " + V_EVENTS_TAGGED + """,
+l AS (SELECT dataset, 'value' AS "column", CAST(value AS DOUBLE) AS x, CAST(value AS VARCHAR) AS s FROM v_tagged
+      UNION ALL SELECT dataset, 'user_id', CAST(user_id AS DOUBLE), CAST(user_id AS VARCHAR) FROM v_tagged
+      UNION ALL SELECT dataset, 'event_type', NULL, event_type FROM v_tagged)
+SELECT dataset, "column", count(*) AS n_rows, count_if(s IS NULL) AS n_missing, count(DISTINCT s) AS n_distinct,
+       round(avg(x), 6) AS mean, round(stddev_samp(x), 6) AS std, round(min(x), 6) AS min, round(max(x), 6) AS max
+FROM l GROUP BY 1, 2""")
+def data_summary(spark, d):
+    out = M.data_summary(v_events_tagged(spark, d), DRIFT_NUMERIC, DRIFT_CATEGORICAL)
+    return rounded(out, {c: 6 for c in ["mean", "std", "min", "max"]})
+
+
+@query("report_metadata", "WITH " + V_EVENTS_TAGGED + f"""
+SELECT count_if(dataset = 'reference') AS reference_samples, count_if(dataset = 'current') AS current_samples,
+       3 AS n_features,
+       CASE WHEN count_if(dataset = 'current') > 0 THEN 'reference_vs_current' ELSE 'reference_only' END
+         AS analysis_type,
+       '{GENERATED_AT}' AS generated_at
+FROM v_tagged""")
+def report_metadata(spark, d):
+    return M.report_metadata(v_events_tagged(spark, d), len(DRIFT_NUMERIC + DRIFT_CATEGORICAL),
+                             generated_at=GENERATED_AT)
+
+
+def _requested_and_existing(spark, d):
+    e = table(spark, d, "events").select(F.date_format("ts", "yyyy-MM-dd").alias("day"), "ts", "event_type")
+    requested = e.select("day").distinct()
+    existing = (e.where(F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz"))
+                .select("day", "event_type").distinct())
+    return requested, existing
+
+
+@query("report_idempotent", """
+WITH e AS (SELECT strftime(ts, '%Y-%m-%d') AS day, ts, event_type FROM events),
+req AS (SELECT DISTINCT day FROM e),
+ex AS (SELECT day, count(*) AS n FROM (SELECT DISTINCT day, event_type FROM e WHERE ts < TIMESTAMP '2024-01-16')
+       GROUP BY day)
+SELECT r.day, CASE WHEN coalesce(ex.n, 0) > 0 THEN 'skipped' ELSE 'created' END AS status,
+       CASE WHEN coalesce(ex.n, 0) > 0 THEN 'reports already exist' ELSE 'new' END AS reason,
+       coalesce(ex.n, 0) AS existing_reports
+FROM req r LEFT JOIN ex USING (day)""")
+def report_idempotent(spark, d):
+    requested, existing = _requested_and_existing(spark, d)
+    return M.idempotent_runs(requested, existing, ["day"])
+
+
+@query("metric_trend", "WITH " + V_RUNS + """
+SELECT strftime(day, '%Y-%m-%d') AS day, 'events' AS project, round(rmse, 6) AS rmse, round(r2, 6) AS r2,
+       round(mae, 6) AS mae, n,
+       round(rmse - lag(rmse) OVER (ORDER BY day), 6) AS rmse_change,
+       round(r2 - lag(r2) OVER (ORDER BY day), 6) AS r2_change,
+       round(mae - lag(mae) OVER (ORDER BY day), 6) AS mae_change
+FROM v_runs""")
+def metric_trend(spark, d):
+    runs = v_runs(spark, d).withColumn("project", F.lit("events"))
+    out = M.metric_trend(runs, "day", ["rmse", "r2", "mae"], by=["project"])
+    out = out.withColumn("day", F.date_format("day", "yyyy-MM-dd"))
+    return rounded(out, {c: 6 for c in ["rmse", "r2", "mae", "rmse_change", "r2_change", "mae_change"]})
