@@ -139,11 +139,15 @@ v_runs AS (
 # ---- registry rows -----------------------------------------------------------
 
 def v_versions(spark, sf_dir) -> DataFrame:
+    """Registered runs: model per nation, version = supplier key, alternating raw /
+    optimised runs, metrics derived from the account balance, stage cycling."""
     s = table(spark, sf_dir, "supplier")
     return s.select(
         F.concat(F.lit("model_"), F.col("s_nationkey").cast("string")).alias("model_name"),
         F.col("s_suppkey").alias("version"),
-        F.col("s_acctbal").alias("rmse"),
+        F.when(F.col("s_suppkey") % 2 == 1, "raw").otherwise("optimized").alias("kind"),
+        (F.abs(F.col("s_acctbal")) / 100 + 1).alias("rmse"),
+        (1 - F.abs(F.col("s_acctbal")) / 20000).alias("r2"),
         F.element_at(F.array(F.lit("None"), F.lit("Staging"), F.lit("Production"), F.lit("Archived")),
                      (F.col("s_suppkey") % 4 + 1).cast("int")).alias("stage"),
         F.col("s_name").alias("run_id"))
@@ -152,7 +156,9 @@ def v_versions(spark, sf_dir) -> DataFrame:
 V_VERSIONS = """v_versions AS (
   SELECT 'model_' || CAST(s_nationkey AS VARCHAR) AS model_name,
          s_suppkey AS version,
-         s_acctbal AS rmse,
+         CASE WHEN s_suppkey % 2 = 1 THEN 'raw' ELSE 'optimized' END AS kind,
+         abs(s_acctbal) / 100 + 1 AS rmse,
+         1 - abs(s_acctbal) / 20000 AS r2,
          ['None', 'Staging', 'Production', 'Archived'][CAST(s_suppkey % 4 AS INTEGER) + 1] AS stage,
          s_name AS run_id
   FROM supplier)"""
