@@ -1 +1,250 @@
-"""Keys for this section."""
+"""Modelling keys on the ``v_model`` table split 60/20/20 by key hash.
+
+Closed-form keys (one-feature least squares, its k-fold loss, metrics, the
+leaderboard of baselines, the run summary) are aggregates with SQL oracles;
+Spark ML fits and searches are row-checked and unit-tested for properties.
+"""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import functions as F
+
+from tilth.operators import encode as E
+from tilth.operators import modeling as ML
+from tilth.operators.common import with_scalars
+from tilth.plans.bindings import MODEL_CATEGORICAL, MODEL_NUMERIC, V_MODEL, v_model, with_ctes
+from tilth.plans.catalog import query, rounded
+from tilth.plans.q_encode import V_SPLIT, _vocab_sql
+from tilth.session import scratch_path
+
+_FOLD_SQL = "CAST(floor(CAST(('0x' || substr(md5('7:' || row_key), 1, 8)) AS BIGINT) / 4294967296.0 * {k}) AS INTEGER)"
+_MET = {"rmse": 4, "r2": 6, "mae": 4, "mean_error": 4}
+
+
+def _split(spark, d):
+    return E.split(v_model(spark, d), "row_key")
+
+
+def _train(spark, d):
+    return _split(spark, d).where(F.col("split") == "train")
+
+
+def _label_stats(df):
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop("target").alias("sd")).first()
+    return r["n"], r["sd"]
+
+
+def _fit_report(spark, d, make_estimator, name):
+    s = _split(spark, d)
+    train = s.where(F.col("split") == "train")
+    model = ML.fit(train, MODEL_CATEGORICAL, MODEL_NUMERIC, make_estimator(train))
+    return rounded(ML.evaluate(model, s, ["split"]).withColumn("model", F.lit(name)), _MET)
+
+
+_BASE = with_ctes(V_MODEL, V_SPLIT) + """,
+tr AS (SELECT s.*, m.l_quantity, m.l_discount, m.l_tax, m.l_returnflag
+       FROM v_split s JOIN v_model m USING (row_key) WHERE s.split = 'train'),
+ols AS (SELECT regr_slope(target, l_quantity) AS b, regr_intercept(target, l_quantity) AS a,
+               regr_r2(target, l_quantity) AS r2, count(*) AS n FROM tr),
+scored AS (SELECT s.split, s.target, ols.a + ols.b * m.l_quantity AS prediction
+           FROM v_split s JOIN v_model m USING (row_key), ols)"""
+
+
+@query("ols_fit", _BASE + """
+SELECT round(b, 6) AS slope, round(a, 6) AS intercept, round(r2, 6) AS r2, n FROM ols""")
+def ols_fit(spark, d):
+    return rounded(ML.simple_ols(_train(spark, d), "l_quantity", "target"), {"slope": 6, "intercept": 6, "r2": 6})
+
+
+@query("ols_multi_fit")
+def ols_multi_fit(spark, d):
+    return _fit_report(spark, d, lambda t: ML.ols(), "ols")
+
+
+@query("ridge_fit")
+def ridge_fit(spark, d):
+    def make(train):
+        n, sd = _label_stats(train)
+        return ML.ridge(1.0, n, sd)
+    return _fit_report(spark, d, make, "ridge")
+
+
+@query("lasso_fit")
+def lasso_fit(spark, d):
+    return _fit_report(spark, d, lambda t: ML.lasso(1.0), "lasso")
+
+
+@query("rf_fit")
+def rf_fit(spark, d):
+    return _fit_report(spark, d, lambda t: ML.random_forest(num_trees=20, max_depth=5, seed=42), "random_forest")
+
+
+@query("gbt_fit")
+def gbt_fit(spark, d):
+    return _fit_report(spark, d, lambda t: ML.boosted_trees(max_iter=20, max_depth=3, seed=0), "boosted_trees")
+
+
+_ALPHAS = [0.01, 0.1, 1.0, 10.0, 100.0]
+
+
+def _grid(spark, d):
+    train = _train(spark, d)
+    n, sd = _label_stats(train)
+    est = ML.ridge(1.0, n, sd)
+    cvm = ML.cross_validate(train, MODEL_CATEGORICAL, MODEL_NUMERIC, est, ML.ridge_grid(est, _ALPHAS, n, sd),
+                            "row_key", k=3)
+    return cvm, ML.trials_table(spark, cvm, _ALPHAS)
+
+
+@query("grid_search_ridge")
+def grid_search_ridge(spark, d):
+    _, trials = _grid(spark, d)
+    best = trials.agg(F.min("cv_mse").alias("_best"))
+    return with_scalars(trials, best).withColumn("best", F.col("cv_mse") == F.col("_best")).drop("_best")
+
+
+@query("random_search")
+def random_search(spark, d):
+    train = _train(spark, d)
+    n, sd = _label_stats(train)
+    est = ML.ridge(1.0, n, sd)
+    draws = ML.random_param_maps(est, 20, 1e-3, 1e3, n, sd, seed=42)
+    cvm = ML.cross_validate(train, MODEL_CATEGORICAL, MODEL_NUMERIC, est, [m for _, m in draws], "row_key", k=3)
+    return ML.trials_table(spark, cvm, [a for a, _ in draws])
+
+
+@query("refit_best")
+def refit_best(spark, d):
+    cvm, trials = _grid(spark, d)
+    best_alpha = trials.orderBy("cv_mse").first()["alpha"]
+    s = _split(spark, d)
+    train_val = s.where(F.col("split") == "train").unionByName(s.where(F.col("split") == "val"))
+    n, sd = _label_stats(train_val)
+    model = ML.fit(train_val, MODEL_CATEGORICAL, MODEL_NUMERIC, ML.ridge(best_alpha, n, sd))
+    out = ML.evaluate(model, s.where(F.col("split") == "test"), ["split"])
+    return rounded(out.withColumn("alpha", F.lit(best_alpha)), _MET)
+
+
+def _cv_sql(feature: str, k: int = 5) -> str:
+    return f"""(WITH d AS (SELECT {_FOLD_SQL.format(k=k)} AS fold, {feature} AS x, target AS y FROM tr),
+s AS (SELECT fold, count(*) AS n, sum(x) AS sx, sum(y) AS sy, sum(x * x) AS sxx, sum(x * y) AS sxy
+      FROM d GROUP BY fold),
+t AS (SELECT fold, sum(n) OVER () - n AS n, sum(sx) OVER () - sx AS sx, sum(sy) OVER () - sy AS sy,
+             sum(sxx) OVER () - sxx AS sxx, sum(sxy) OVER () - sxy AS sxy FROM s),
+c AS (SELECT fold, (n * sxy - sx * sy) / (n * sxx - sx * sx) AS b, sx, sy, n FROM t),
+c2 AS (SELECT fold, b, (sy - b * sx) / n AS a FROM c),
+e AS (SELECT d.fold, avg((y - a - b * x) ^ 2) AS mse FROM d JOIN c2 USING (fold) GROUP BY 1)
+SELECT '{feature}' AS trial, avg(mse) AS cv_mse, count(*) AS folds FROM e)"""
+
+
+def _cv_spark(spark, d, feature, k=5):
+    tr = _train(spark, d)
+    return ML.cv_loss(ML.kfold_simple_ols(tr, feature, "target", "row_key", k=k, seed=7)).withColumn(
+        "trial", F.lit(feature))
+
+
+@query("cv_loss", _BASE + "\nSELECT round(cv_mse, 2) AS cv_mse, folds FROM " + _cv_sql("l_quantity"))
+def cv_loss(spark, d):
+    return rounded(_cv_spark(spark, d, "l_quantity").select("cv_mse", "folds"), {"cv_mse": 2})
+
+
+@query("trial_summary", _BASE + ",\ntrials AS (" + " UNION ALL ".join(
+    f"SELECT * FROM {_cv_sql(f)}" for f in MODEL_NUMERIC) + """)
+SELECT count(*) AS n_trials, round(min(cv_mse), 2) AS best_loss, arg_min(trial, cv_mse) AS best_trial,
+       round(avg(cv_mse), 2) AS mean_loss, round(stddev_pop(cv_mse), 2) AS std_loss FROM trials""")
+def trial_summary(spark, d):
+    trials = reduce(lambda a, b: a.unionByName(b), [_cv_spark(spark, d, f) for f in MODEL_NUMERIC])
+    return rounded(ML.trial_summary(trials), {"best_loss": 2, "mean_loss": 2, "std_loss": 2})
+
+
+def _ols_scored(spark, d):
+    s = _split(spark, d)
+    coef = ML.simple_ols(s.where(F.col("split") == "train"), "l_quantity", "target")
+    return with_scalars(s, coef.select("slope", "intercept")).withColumn(
+        "prediction", F.col("intercept") + F.col("slope") * F.col("l_quantity"))
+
+
+@query("regression_metrics", _BASE + """
+SELECT split, count(*) AS n, round(sqrt(sum((prediction - target) ^ 2) / count(*)), 4) AS rmse,
+       round(1 - sum((prediction - target) ^ 2) / (sum(target * target) - sum(target) ^ 2 / count(*)), 6) AS r2,
+       round(avg(abs(prediction - target)), 4) AS mae, round(avg(prediction - target), 4) AS mean_error
+FROM scored GROUP BY split""", headline=True)
+def regression_metrics(spark, d):
+    return rounded(ML.regression_metrics(_ols_scored(spark, d), "target", "prediction", ["split"]), _MET)
+
+
+@query("leaderboard", _BASE + """,
+te AS (SELECT s.target, m.l_quantity, m.l_discount, m.l_returnflag FROM v_split s JOIN v_model m USING (row_key)
+       WHERE s.split = 'test'),
+o2 AS (SELECT regr_slope(target, l_discount) AS b, regr_intercept(target, l_discount) AS a FROM tr),
+gm AS (SELECT l_returnflag, avg(target) AS p FROM tr GROUP BY 1),
+mu AS (SELECT avg(target) AS p FROM tr),
+preds AS (SELECT 'mean' AS model, te.target, mu.p AS prediction FROM te, mu
+          UNION ALL SELECT 'ols_l_quantity', te.target, ols.a + ols.b * te.l_quantity FROM te, ols
+          UNION ALL SELECT 'ols_l_discount', te.target, o2.a + o2.b * te.l_discount FROM te, o2
+          UNION ALL SELECT 'group_mean_l_returnflag', te.target, coalesce(gm.p, mu.p)
+                    FROM te LEFT JOIN gm USING (l_returnflag), mu)
+SELECT model, count(*) AS n, round(sqrt(sum((prediction - target) ^ 2) / count(*)), 4) AS rmse,
+       round(1 - sum((prediction - target) ^ 2) / (sum(target * target) - sum(target) ^ 2 / count(*)), 6) AS r2,
+       round(avg(abs(prediction - target)), 4) AS mae, round(avg(prediction - target), 4) AS mean_error
+FROM preds GROUP BY model""")
+def leaderboard(spark, d):
+    s = _split(spark, d)
+    train = s.where(F.col("split") == "train")
+    test = s.where(F.col("split") == "test").select("row_key", "target", "l_quantity", "l_discount", "l_returnflag")
+    mean = train.agg(F.avg("target").alias("p"))
+    gm = train.groupBy("l_returnflag").agg(F.avg("target").alias("_gp"))
+    parts = [with_scalars(test, mean).select(
+        F.lit("mean").alias("model"), "target", F.col("p").alias("prediction"))]
+    for f in ["l_quantity", "l_discount"]:
+        c = ML.simple_ols(train, f, "target").select("slope", "intercept")
+        parts.append(with_scalars(test, c).select(
+            F.lit(f"ols_{f}").alias("model"), "target",
+            (F.col("intercept") + F.col("slope") * F.col(f)).alias("prediction")))
+    parts.append(with_scalars(test.join(gm, "l_returnflag", "left"), mean).select(
+        F.lit("group_mean_l_returnflag").alias("model"), "target",
+        F.coalesce(F.col("_gp"), F.col("p")).alias("prediction")))
+    long = reduce(lambda a, b: a.unionByName(b), parts)
+    return rounded(ML.leaderboard(long), _MET)
+
+
+@query("batch_score")
+def batch_score(spark, d):
+    s = _split(spark, d)
+    train = s.where(F.col("split") == "train")
+    n, sd = _label_stats(train)
+    model = ML.fit(train, MODEL_CATEGORICAL, MODEL_NUMERIC, ML.ridge(1.0, n, sd))
+    path = scratch_path(spark, "ridge-model")
+    from tilth.sources.files import load_pipeline_model, save_model
+    save_model(model, path)
+    loaded = load_pipeline_model(path)
+    return ML.score_batch(loaded, s.where(F.col("split") == "test"), "ridge", 1, ["row_key"])
+
+
+@query("run_summary", _BASE + f""",
+va AS (SELECT * FROM scored WHERE split = 'val')
+SELECT 'ols_l_quantity' AS model_name,
+       (SELECT count(*) FROM {_vocab_sql('v_model', MODEL_CATEGORICAL, MODEL_NUMERIC)}) AS n_features,
+       (SELECT count(*) FROM v_split WHERE split = 'train') AS n_train,
+       (SELECT count(*) FROM v_split WHERE split = 'val') AS n_val,
+       round(sqrt(sum((prediction - target) ^ 2) / count(*)), 4) AS val_rmse,
+       round(1 - sum((prediction - target) ^ 2) / (sum(target * target) - sum(target) ^ 2 / count(*)), 6) AS val_r2,
+       (SELECT round(b, 6) FROM ols) AS param_slope, (SELECT round(a, 6) FROM ols) AS param_intercept
+FROM va""")
+def run_summary(spark, d):
+    s = _split(spark, d)
+    n_features = E.vocabulary(v_model(spark, d), MODEL_CATEGORICAL, MODEL_NUMERIC).count()
+    scored = _ols_scored(spark, d)
+    val = ML.regression_metrics(scored.where(F.col("split") == "val"), "target", "prediction", [])
+    counts = s.agg(F.count_if(F.col("split") == "train").alias("n_train"),
+                   F.count_if(F.col("split") == "val").alias("n_val"))
+    train = s.where(F.col("split") == "train")
+    coef = ML.simple_ols(train, "l_quantity", "target").select(F.col("slope").alias("param_slope"),
+                                                               F.col("intercept").alias("param_intercept"))
+    row = with_scalars(with_scalars(counts, val.select(F.col("rmse").alias("val_rmse"), F.col("r2").alias("val_r2"))),
+                       coef)
+    out = row.select(F.lit("ols_l_quantity").alias("model_name"), F.lit(n_features).cast("long").alias("n_features"),
+                     "n_train", "n_val", "val_rmse", "val_r2", "param_slope", "param_intercept")
+    return rounded(out, {"val_rmse": 4, "val_r2": 6, "param_slope": 6, "param_intercept": 6})
