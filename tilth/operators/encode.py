@@ -116,18 +116,20 @@ def split_exact(df: DataFrame, key: str, test_size: float = 0.2, val_size: float
                 seed: int = 42) -> DataFrame:
     """Exact counts: test = ceil(n * test_size), val = ceil(rest * val_size), in md5 order.
 
-    Positions come from range-partitioned running counts, not a global window."""
+    Positions come from range-partitioned running counts, not a global window.  Rows
+    sharing a key share the position of the first of them (rank semantics), so the
+    result is deterministic even when keys repeat."""
     order = F.concat(F.md5(F.concat(F.lit(f"{seed}:"), _c(key).cast("string"))), F.lit(":"),
                      _c(key).cast("string"))
-    keyed = df.select(_c(key), order.alias("_ord"), F.lit(1).cast("long").alias("_one"))
-    rs = running_sums(keyed.select("_ord", "_one"), [], "_ord", ["_one"])
+    with_ord = df.withColumn("_ord", order)
+    counts = with_ord.groupBy("_ord").agg(F.count(F.lit(1)).alias("_one"))
+    rs = running_sums(counts, [], "_ord", ["_one"])
     n = F.col("_one_total")
     n_test = F.ceil(n * test_size)
     n_val = F.ceil((n - n_test) * val_size)
     pos = F.col("_one_before")
     lab = F.when(pos < n_test, "test").when(pos < n_test + n_val, "val").otherwise("train")
-    labelled = rs.select("_ord", lab.alias("split"))
-    return df.join(keyed.select(key, "_ord").join(labelled, "_ord").drop("_ord"), key)
+    return with_ord.join(rs.select("_ord", lab.alias("split")), "_ord").drop("_ord")
 
 
 def split_report(df: DataFrame, split_col: str = "split") -> DataFrame:

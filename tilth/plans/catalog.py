@@ -27,8 +27,11 @@ def query(key: str, sql: str | None = None, headline: bool = False):
 
 
 def rnd(c: str | Column, d: int = 6) -> Column:
+    """Round to d places the way the SQL oracle does (scale, round half away from zero,
+    unscale), so near-ties land on the same side; adding 0.0 turns -0.0 into 0.0."""
     col = F.col(c) if isinstance(c, str) else c
-    return F.round(col.cast("double"), d)
+    p = float(10 ** d)
+    return F.round(col.cast("double") * p, 0) / p + F.lit(0.0)
 
 
 def rounded(df: DataFrame, cols: dict[str, int]) -> DataFrame:

@@ -126,7 +126,7 @@ def align_pad(spark, d):
 _SPLIT_SQL = """CASE WHEN u < 0.2 THEN 'test' WHEN u < 0.4 THEN 'val' ELSE 'train' END"""
 _U_SQL = "CAST(('0x' || substr(md5('42:' || row_key), 1, 8)) AS BIGINT) / 4294967296.0"
 V_SPLIT = f"""v_split AS (
-  SELECT row_key, target, {_SPLIT_SQL.replace('u <', _U_SQL + ' <')} AS split FROM v_model)"""
+  SELECT *, {_SPLIT_SQL.replace('u <', _U_SQL + ' <')} AS split FROM v_model)"""
 
 
 def _split_model(spark, d):
@@ -139,7 +139,7 @@ def split_60_20_20(spark, d):
 
 
 @query("split_exact", with_ctes(V_MODEL) + """,
-r AS (SELECT row_key, row_number() OVER (ORDER BY md5('42:' || row_key) || ':' || row_key) - 1 AS pos,
+r AS (SELECT row_key, rank() OVER (ORDER BY md5('42:' || row_key) || ':' || row_key) - 1 AS pos,
              count(*) OVER () AS n FROM v_model),
 c AS (SELECT *, ceil(n * 0.2) AS n_test FROM r),
 c2 AS (SELECT *, ceil((n - n_test) * 0.25) AS n_val FROM c)

@@ -41,7 +41,7 @@ def scored_sets(spark, d):
 @query("performance_report", "WITH " + _SCORED_SQL + """
 SELECT dataset, count(*) AS n, round(sqrt(sum((prediction - value) ^ 2) / count(*)), 6) AS rmse,
        round(1 - sum((prediction - value) ^ 2) / (sum(value * value) - sum(value) ^ 2 / count(*)), 6) AS r2,
-       round(avg(abs(prediction - value)), 6) AS mae, round(avg(prediction - value), 6) AS mean_error,
+       round(avg(abs(prediction - value)), 6) AS mae, round(avg(prediction - value), 6) + 0.0 AS mean_error,
        round(stddev_samp(prediction - value), 6) AS error_std
 FROM scored GROUP BY dataset""", headline=True)
 def performance_report(spark, d):
@@ -112,27 +112,41 @@ def drift_js(spark, d):
 
 
 _COLUMN_DRIFT_SQL = "WITH " + V_EVENTS_TAGGED + ",\n" + _LONG_NUM + ",\n" + _SHARES + ",\n" + _JS_SQL + """,
+nref AS (SELECT count_if(dataset = 'reference') AS nref FROM v_tagged),
 w AS (SELECT "column", sum(CASE WHEN pv IS NOT NULL
-                                THEN abs((cr - nr) / tr - (cc - nc) / tc) * (v - pv) ELSE 0 END) AS w
+                                THEN abs((cr - nr) / tr - (cc - nc) / tc) * (v - pv) ELSE 0 END) AS w,
+             max(abs(cr / tr - cc / tc)) AS ks_d, max(tr) AS n_ref, max(tc) AS n_cur
       FROM cum GROUP BY 1),
 sd AS (SELECT "column", stddev_pop(v) AS sd FROM long WHERE dataset = 'reference' GROUP BY 1),
+num AS (SELECT w.*, w / greatest(coalesce(sd, 0), 0.001) AS wn,
+               sqrt(n_ref * n_cur / (n_ref + n_cur)) * ks_d AS lam FROM w LEFT JOIN sd USING ("column")),
+chi AS (SELECT "column", sum(CASE WHEN nr * tc / tr > 0 THEN (nc - nr * tc / tr) ^ 2 / (nr * tc / tr) ELSE 0 END)
+               AS x2 FROM st GROUP BY 1),
 cols AS (
-  SELECT w."column", 'wasserstein' AS test, w / greatest(coalesce(sd, 0), 0.001) AS statistic,
-         CAST(NULL AS DOUBLE) AS p_value FROM w LEFT JOIN sd USING ("column")
-  UNION ALL SELECT "column", 'jensen_shannon', statistic, CAST(NULL AS DOUBLE) FROM js)"""
+  SELECT "column", CASE WHEN nref > 1000 THEN 'wasserstein' ELSE 'ks' END AS test,
+         CASE WHEN nref > 1000 THEN wn ELSE ks_d END AS statistic,
+         CASE WHEN nref > 1000 THEN NULL ELSE """ + _KS_P + """ END AS p_value
+  FROM num, nref
+  UNION ALL
+  SELECT "column", CASE WHEN nref > 1000 THEN 'jensen_shannon' ELSE 'chi2' END,
+         CASE WHEN nref > 1000 THEN js.statistic ELSE chi.x2 END,
+         CASE WHEN nref > 1000 THEN NULL ELSE exp(-chi.x2 / 2) * (1 + chi.x2 / 2) END
+  FROM js JOIN chi USING ("column"), nref),
+flagged AS (SELECT *, CASE WHEN test IN ('ks', 'chi2') THEN p_value < 0.05 ELSE statistic >= 0.1 END AS drifted
+            FROM cols)"""
 
 
 @query("column_drift", _COLUMN_DRIFT_SQL + """
-SELECT "column", test, round(statistic, 6) AS statistic, p_value, statistic >= 0.1 AS drifted FROM cols""")
+SELECT "column", test, round(statistic, 6) AS statistic, round(p_value, 6) AS p_value, drifted FROM flagged""")
 def column_drift(spark, d):
     out = M.column_drift(v_events_tagged(spark, d), DRIFT_NUMERIC, DRIFT_CATEGORICAL)
-    return rounded(out, {"statistic": 6}).withColumn("drifted", F.col("drifted"))
+    return rounded(out, {"statistic": 6, "p_value": 6})
 
 
 @query("dataset_drift", _COLUMN_DRIFT_SQL + """
-SELECT count(*) AS n_columns, count_if(statistic >= 0.1) AS n_drifted,
-       round(count_if(statistic >= 0.1) / count(*), 6) AS share,
-       count_if(statistic >= 0.1) / count(*) >= 0.5 AS dataset_drift FROM cols""")
+SELECT count(*) AS n_columns, count_if(drifted) AS n_drifted,
+       round(count_if(drifted) / count(*), 6) AS share,
+       count_if(drifted) / count(*) >= 0.5 AS dataset_drift FROM flagged""")
 def dataset_drift(spark, d):
     cols = M.column_drift(v_events_tagged(spark, d), DRIFT_NUMERIC, DRIFT_CATEGORICAL)
     return rounded(M.dataset_drift(cols), {"share": 6})
@@ -143,11 +157,11 @@ l AS (SELECT dataset, 'value' AS "column", CAST(value AS DOUBLE) AS x, CAST(valu
       UNION ALL SELECT dataset, 'user_id', CAST(user_id AS DOUBLE), CAST(user_id AS VARCHAR) FROM v_tagged
       UNION ALL SELECT dataset, 'event_type', NULL, event_type FROM v_tagged)
 SELECT dataset, "column", count(*) AS n_rows, count_if(s IS NULL) AS n_missing, count(DISTINCT s) AS n_distinct,
-       round(avg(x), 6) AS mean, round(stddev_samp(x), 6) AS std, round(min(x), 6) AS min, round(max(x), 6) AS max
+       round(avg(x), 4) AS mean, round(stddev_samp(x), 4) AS std, round(min(x), 6) AS min, round(max(x), 6) AS max
 FROM l GROUP BY 1, 2""")
 def data_summary(spark, d):
     out = M.data_summary(v_events_tagged(spark, d), DRIFT_NUMERIC, DRIFT_CATEGORICAL)
-    return rounded(out, {c: 6 for c in ["mean", "std", "min", "max"]})
+    return rounded(out, {"mean": 4, "std": 4, "min": 6, "max": 6})
 
 
 @query("report_metadata", "WITH " + V_EVENTS_TAGGED + f"""
