@@ -12,6 +12,7 @@ from __future__ import annotations
 import math
 import random
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
@@ -124,9 +125,15 @@ def boosted_trees(max_iter: int = 20, max_depth: int = 3, step: float = 0.1, sub
 
 
 def fit(train: DataFrame, categorical: list[str], numeric: list[str], estimator) -> PipelineModel:
-    """Encoder (learned on the training rows only) + estimator as one pipeline model."""
+    """Encoder (learned on the training rows only) + estimator as one pipeline model.
+
+    The training rows are persisted while the stages make their passes over them."""
     enc = ml_encoder(categorical, numeric)
-    return Pipeline(stages=enc.getStages() + [estimator]).fit(train)
+    cached = train.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return Pipeline(stages=enc.getStages() + [estimator]).fit(cached)
+    finally:
+        cached.unpersist()
 
 
 def evaluate(model: PipelineModel, df: DataFrame, by: list[str], label: str = "target") -> DataFrame:

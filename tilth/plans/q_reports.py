@@ -16,7 +16,7 @@ from tilth.functions.text import parse_number, parse_number_sql, parse_timestamp
 from tilth.operators import reports as R
 from tilth.plans.bindings import table
 from tilth.plans.catalog import query, rounded
-from tilth.session import scratch_path
+from tilth.session import materialize, scratch_path
 from tilth.sources import files as S
 
 BY = ["project"]
@@ -81,7 +81,8 @@ def v_reports(spark, d):
 
 
 def reports_table(spark, d):
-    return R.parse_reports(v_reports(spark, d).drop("report_id"))
+    """Parsed reports, stored once (they are documents at rest, read by every comparison)."""
+    return materialize(R.parse_reports(v_reports(spark, d).drop("report_id")))
 
 
 def _summary(spark, d):
