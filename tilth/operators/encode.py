@@ -47,6 +47,17 @@ def vocabulary_list(vocab: DataFrame) -> list[tuple[int, str, str, str | None]]:
     return [tuple(r) for r in vocab.orderBy("idx").select("idx", "feature", "column", "value").collect()]
 
 
+def learn_vocabulary(df: DataFrame, categorical: list[str], numeric: list[str]) -> list[tuple]:
+    """The vocabulary as model state on the driver (as a fitted encoder keeps it): the
+    distinct (column, value) pairs are found by Spark, then numbered in name order."""
+    parts = [df.select(F.lit(c).alias("column"), _c(c).cast("string").alias("value"))
+             .where(F.col("value").isNotNull()) for c in categorical]
+    pairs = reduce(lambda a, b: a.unionByName(b), parts).distinct().collect() if parts else []
+    feats = [(f"{r['column']}={r['value']}", r["column"], r["value"]) for r in pairs]
+    feats += [(c, c, None) for c in numeric]
+    return [(i, f, c, v) for i, (f, c, v) in enumerate(sorted(feats, key=lambda t: t[0]))]
+
+
 def encode_wide(df: DataFrame, vocab: list[tuple], keep: list[str]) -> DataFrame:
     """Dense one-hot columns named after the features; unseen categories -> all zeros."""
     cols = []

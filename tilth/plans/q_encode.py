@@ -71,7 +71,7 @@ def onehot_vocabulary(spark, d):
        + _wide_sql_cols(_model_vocab_features()) + " FROM v_model")
 def onehot_encode(spark, d):
     m = v_model(spark, d)
-    vocab = E.vocabulary_list(E.vocabulary(m, MODEL_CATEGORICAL, MODEL_NUMERIC))
+    vocab = E.learn_vocabulary(m, MODEL_CATEGORICAL, MODEL_NUMERIC)
     return E.encode_wide(m, vocab, ["row_key"])
 
 
@@ -108,9 +108,8 @@ def _cust_features(nations):
        + " FROM customer")
 def align_intersect(spark, d):
     cust = _customers(spark, d)
-    full = E.encode_wide(cust, E.vocabulary_list(E.vocabulary(cust, _CUST_CAT, _CUST_NUM)), ["c_custkey"])
-    train_cols = [f for _, f, _, _ in E.vocabulary_list(E.vocabulary(_train_customers(spark, d),
-                                                                      _CUST_CAT, _CUST_NUM))]
+    full = E.encode_wide(cust, E.learn_vocabulary(cust, _CUST_CAT, _CUST_NUM), ["c_custkey"])
+    train_cols = [f for _, f, _, _ in E.learn_vocabulary(_train_customers(spark, d), _CUST_CAT, _CUST_NUM)]
     return E.align_intersect(full, ["c_custkey"] + train_cols)
 
 
@@ -118,8 +117,8 @@ def align_intersect(spark, d):
 def align_pad(spark, d):
     tr = _train_customers(spark, d)
     new = _customers(spark, d).join(tr.select("c_custkey"), "c_custkey", "left_anti")
-    a = E.encode_wide(tr, E.vocabulary_list(E.vocabulary(tr, _CUST_CAT, _CUST_NUM)), ["c_custkey"])
-    b = E.encode_wide(new, E.vocabulary_list(E.vocabulary(new, _CUST_CAT, _CUST_NUM)), ["c_custkey"])
+    a = E.encode_wide(tr, E.learn_vocabulary(tr, _CUST_CAT, _CUST_NUM), ["c_custkey"])
+    b = E.encode_wide(new, E.learn_vocabulary(new, _CUST_CAT, _CUST_NUM), ["c_custkey"])
     return E.align_pad(a, b)
 
 

@@ -210,3 +210,32 @@ def metric_trend(spark, d):
     out = M.metric_trend(runs, "day", ["rmse", "r2", "mae"], by=["project"])
     out = out.withColumn("day", F.date_format("day", "yyyy-MM-dd"))
     return rounded(out, {c: 6 for c in ["rmse", "r2", "mae", "rmse_change", "r2_change", "mae_change"]})
+
+
+@query("stream_period_report", """
+WITH pk AS (SELECT user_id, avg(value) AS p FROM events WHERE ts < TIMESTAMP '2024-01-16' GROUP BY 1),
+ov AS (SELECT avg(value) AS f FROM events WHERE ts < TIMESTAMP '2024-01-16'),
+s AS (SELECT strftime(e.ts, '%Y-%m-%d') AS period, e.value AS y, coalesce(pk.p, ov.f) - e.value AS e
+      FROM events e LEFT JOIN pk USING (user_id), ov)
+SELECT period, count(*) AS n, round(sqrt(sum(e * e) / count(*)), 6) AS rmse,
+       round(1 - sum(e * e) / (sum(y * y) - sum(y) ^ 2 / count(*)), 6) AS r2,
+       round(sum(abs(e)) / count(*), 6) AS mae, round(sum(e) / count(*), 6) + 0.0 AS mean_error
+FROM s GROUP BY 1""")
+def stream_period_report(spark, d):
+    """Daily performance reports produced by the streaming monitor over day folders."""
+    from pyspark.sql import types as T
+
+    from tilth.session import scratch_path
+    from tilth.streaming.monthly import period_reports, run_period_monitor
+    e = table(spark, d, "events")
+    files = scratch_path(spark, "events-by-day")
+    (e.select("event_id", "user_id", "value", F.date_format("ts", "yyyy-MM-dd").alias("period"))
+     .write.partitionBy("period").parquet(files))
+    ref = v_events_tagged(spark, d).where(F.col("dataset") == M.REF)
+    model = M.group_mean_model(ref, "user_id", "value")
+    schema = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("user_id", T.LongType()),
+                           T.StructField("value", T.DoubleType()), T.StructField("period", T.StringType())])
+    reports = scratch_path(spark, "period-reports")
+    run_period_monitor(spark, files, schema, model, "user_id", "value", "period", reports,
+                       scratch_path(spark, "period-stream-ckpt"), max_files_per_trigger=100)
+    return rounded(period_reports(spark, reports, "period"), {c: 6 for c in ["rmse", "r2", "mae", "mean_error"]})
