@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tilth.operators.common import with_scalars
 from tilth.operators.ordered import running_sums
 
 
@@ -146,15 +147,14 @@ def split_exact(df: DataFrame, key: str, test_size: float = 0.2, val_size: float
 def split_report(df: DataFrame, split_col: str = "split") -> DataFrame:
     g = df.groupBy(split_col).agg(F.count(F.lit(1)).alias("n"))
     tot = df.agg(F.count(F.lit(1)).alias("_t"))
-    return g.withColumn("_k", F.lit(1)).join(F.broadcast(tot.withColumn("_k", F.lit(1))), "_k").select(
-        split_col, "n", (F.col("n") / F.col("_t")).alias("share"))
+    return with_scalars(g, tot).select(split_col, "n", (F.col("n") / F.col("_t")).alias("share"))
 
 
 def standardize(df: DataFrame, cols: list[str], keep: list[str]) -> DataFrame:
     """(x - mean) / population std; a constant column gets scale 1."""
     stats = df.agg(*[F.avg(c).alias(f"_m_{i}") for i, c in enumerate(cols)],
                    *[F.stddev_pop(c).alias(f"_s_{i}") for i, c in enumerate(cols)])
-    j = df.withColumn("_k", F.lit(1)).join(F.broadcast(stats.withColumn("_k", F.lit(1))), "_k")
+    j = with_scalars(df, stats)
     scale = lambda i: F.when(F.col(f"_s_{i}") == 0, F.lit(1.0)).otherwise(F.col(f"_s_{i}"))
     return j.select(*[_c(k) for k in keep],
                     *[((_c(c) - F.col(f"_m_{i}")) / scale(i)).alias(c) for i, c in enumerate(cols)])

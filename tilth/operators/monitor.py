@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tilth.functions.stats import chi2_pvalue, ks_pvalue, nan_to_null
+from tilth.operators.common import with_scalars
 from tilth.operators.ordered import running_sums
 
 REF, CUR = "reference", "current"
@@ -53,9 +54,8 @@ def group_mean_model(train: DataFrame, key: str, target: str) -> tuple[DataFrame
 def score_group_mean(df: DataFrame, model: tuple[DataFrame, DataFrame], key: str,
                      out: str = "prediction") -> DataFrame:
     per_key, overall = model
-    j = df.join(per_key, key, "left").withColumn("_k", F.lit(1)).join(
-        F.broadcast(overall.withColumn("_k", F.lit(1))), "_k")
-    return j.withColumn(out, F.coalesce(F.col("_pred"), F.col("_fallback"))).drop("_pred", "_fallback", "_k")
+    j = with_scalars(df.join(per_key, key, "left"), overall)
+    return j.withColumn(out, F.coalesce(F.col("_pred"), F.col("_fallback"))).drop("_pred", "_fallback")
 
 
 def performance(scored: DataFrame, target: str, prediction: str, by: list[str] | None = None) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tilth.functions.stats import adjusted_kurtosis, adjusted_skew
+from tilth.operators.common import with_scalars
 from tilth.operators.ordered import exact_quantiles, running_sums, value_counts_by
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
@@ -162,8 +163,8 @@ def central_tendency(df: DataFrame, col: str, by: list[str] | None = None) -> Da
 
 
 def _one_row_join(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Join two single-row global aggregates on a constant key (both sides one row)."""
-    return a.withColumn("_k", F.lit(1)).join(F.broadcast(b.withColumn("_k", F.lit(1))), "_k").drop("_k")
+    """Put two single-row global aggregates side by side."""
+    return with_scalars(a, b)
 
 
 def dispersion(df: DataFrame, col: str, by: list[str] | None = None) -> DataFrame:
@@ -188,8 +189,7 @@ def histogram_by(df: DataFrame, x: str, hue: str, bins: int = 10) -> DataFrame:
     """Equal-width histogram of x stacked by hue: (bin, lo, hi, hue, count)."""
     rng = df.agg(F.min(x).alias("_mn"), F.max(x).alias("_mx"))
     w = (F.col("_mx") - F.col("_mn")) / bins
-    j = df.where(F.col(x).isNotNull()).select(x, hue).withColumn("_k", F.lit(1)).join(
-        F.broadcast(rng.withColumn("_k", F.lit(1))), "_k")
+    j = with_scalars(df.where(F.col(x).isNotNull()).select(x, hue), rng)
     b = F.when(w == 0, F.lit(0)).otherwise(
         F.least(F.floor((F.col(x) - F.col("_mn")) / w), F.lit(bins - 1))).cast("int")
     return (j.select(b.alias("bin"), F.col(hue), "_mn", "_mx")
