@@ -30,7 +30,9 @@ def main() -> None:
     from tilth.plans.catalog import QUERIES, load_all
     load_all()
     keys = [k for k in (sys.argv[1:] or BENCH_KEYS) if k in QUERIES]
-    QUERIES["profile_shape"](spark, sf_dir).write.format("noop").mode("overwrite").save()  # warm-up
+    # warm-up: JVM code paths and the Python workers used by Arrow batches
+    QUERIES["profile_shape"](spark, sf_dir).write.format("noop").mode("overwrite").save()
+    spark.range(1000).mapInPandas(lambda it: it, "id long").write.format("noop").mode("overwrite").save()
     times: dict[str, float] = {}
     for k in keys:
         t0 = time.perf_counter()

@@ -19,10 +19,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     the first shuffle is not single-threaded; large inputs already have many splits
     and are left as they are.  Filters and column pruning still reach the scan."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        df = df.repartition(cores)
-    return df
+    try:
+        cores = spark.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (for example a Spark Connect session): read as is
+        return df
+    return df.repartition(cores) if splits < cores else df
 
 
 # ---- raw survey stand-in: orders with injected missing values ----------------

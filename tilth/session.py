@@ -36,7 +36,10 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of this session; set one only when none is configured."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server owns the checkpoint folder
+        return spark.conf.get("spark.checkpoint.dir", None)
     current = sc.getCheckpointDir()
     if current:
         return current
