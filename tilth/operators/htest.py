@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tilth.functions.stats import chi2_pvalue, f_pvalue, nan_to_null, norm_pvalue, t_pvalue
+from tilth.operators.common import with_scalars
 from tilth.operators.ordered import exact_quantiles, midranks
 
 
@@ -28,6 +29,14 @@ def _drop_all(df: DataFrame, by: list[str]) -> DataFrame:
     return df if by else df.drop("_all")
 
 
+def _join_summaries(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
+    """Join two per-test summary tables; with no test keys both are single rows, so the
+    second becomes a scalar subquery instead of a join on a constant."""
+    if keys == ["_all"]:
+        return with_scalars(a, b.drop("_all"))
+    return a.join(b, keys)
+
+
 def _finite(value: str) -> Column:
     return F.col(value).isNotNull() & ~F.isnan(F.col(value))
 
@@ -105,7 +114,8 @@ def mann_whitney(df: DataFrame, by: list[str], group: str, value: str, a, b) ->
     s = sums.groupBy(*keys).agg(
         F.max(F.when(F.col(group) == a, F.col("n_g"))).alias("n1"),
         F.max(F.when(F.col(group) == b, F.col("n_g"))).alias("n2"),
-        F.max(F.when(F.col(group) == a, F.col("rank_sum"))).alias("_r1")).join(ties, keys)
+        F.max(F.when(F.col(group) == a, F.col("rank_sum"))).alias("_r1"))
+    s = _join_summaries(s, ties, keys)
     n1, n2, n = F.col("n1"), F.col("n2"), F.col("n_total")
     u1 = F.col("_r1") - n1 * (n1 + 1) / 2.0
     s = s.withColumn("u", u1)
@@ -122,7 +132,8 @@ def kruskal(df: DataFrame, by: list[str], group: str, value: str) -> DataFrame:
     df, keys = _keyed(df, by)
     sums, ties = rank_sums(df, keys, group, value)
     s = sums.groupBy(*keys).agg(F.count(F.lit(1)).alias("k"),
-                                F.sum(F.pow(F.col("rank_sum"), 2) / F.col("n_g")).alias("_q")).join(ties, keys)
+                                F.sum(F.pow(F.col("rank_sum"), 2) / F.col("n_g")).alias("_q"))
+    s = _join_summaries(s, ties, keys)
     n = F.col("n_total").cast("double")
     h = F.try_divide(12.0 / (n * (n + 1)) * F.col("_q") - 3 * (n + 1),
                      1 - F.try_divide(F.col("tie_term"), n * n * n - n))
