@@ -99,6 +99,7 @@ V_MODEL = """v_model AS (
 
 # ---- reference vs current period --------------------------------------------
 
+REFERENCE_END = "2024-01-16"
 DRIFT_NUMERIC = ["value", "user_id"]
 DRIFT_CATEGORICAL = ["event_type"]
 
@@ -107,10 +108,17 @@ def v_events_tagged(spark, sf_dir) -> DataFrame:
     e = table(spark, sf_dir, "events")
     return e.select(
         "event_id", "user_id", "event_type", "value",
-        F.when(F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz"), "reference")
+        F.when(F.col("ts") < F.lit(REFERENCE_END).cast("timestamp_ntz"), "reference")
          .otherwise("current").alias("dataset"))
 
 
+def v_events_reference(spark, sf_dir) -> DataFrame:
+    """The reference period itself, filtered on the timestamp so the bound reaches the scan."""
+    e = table(spark, sf_dir, "events")
+    return e.where(F.col("ts") < F.lit(REFERENCE_END).cast("timestamp_ntz")).select(
+        "event_id", "user_id", "event_type", "value")
+
+
 V_EVENTS_TAGGED = """v_tagged AS (
   SELECT event_id, user_id, event_type, value,
          CASE WHEN ts < TIMESTAMP '2024-01-16' THEN 'reference' ELSE 'current' END AS dataset

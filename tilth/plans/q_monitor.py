@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tilth.operators import monitor as M
 from tilth.plans.bindings import (DRIFT_CATEGORICAL, DRIFT_NUMERIC, V_EVENTS_TAGGED, V_RUNS, table,
-                                  v_events_tagged, v_runs, with_ctes)
+                                  v_events_reference, v_events_tagged, v_runs, with_ctes)
 from tilth.plans.catalog import query, rounded
 
 GENERATED_AT = "2024-02-01T00:00:00"
@@ -20,7 +20,7 @@ _R6 = 6
 
 def _scored(spark, d):
     t = v_events_tagged(spark, d)
-    model = M.group_mean_model(t.where(F.col("dataset") == M.REF), "user_id", "value")
+    model = M.group_mean_model(v_events_reference(spark, d), "user_id", "value")
     return M.score_group_mean(t, model, "user_id")
 
 
@@ -231,8 +231,7 @@ def stream_period_report(spark, d):
     files = scratch_path(spark, "events-by-day")
     (e.select("event_id", "user_id", "value", F.date_format("ts", "yyyy-MM-dd").alias("period"))
      .write.partitionBy("period").parquet(files))
-    ref = v_events_tagged(spark, d).where(F.col("dataset") == M.REF)
-    model = M.group_mean_model(ref, "user_id", "value")
+    model = M.group_mean_model(v_events_reference(spark, d), "user_id", "value")
     schema = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("user_id", T.LongType()),
                            T.StructField("value", T.DoubleType()), T.StructField("period", T.StringType())])
     reports = scratch_path(spark, "period-reports")
