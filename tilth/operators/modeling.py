@@ -141,14 +141,22 @@ def evaluate(model: PipelineModel, df: DataFrame, by: list[str], label: str = "t
 
 
 def cross_validate(train: DataFrame, categorical: list[str], numeric: list[str], estimator, grid: list,
-                   key: str, k: int = 3, parallelism: int = 2, seed: int = 7):
-    """Exhaustive search over ``grid`` with k hash folds; score = mean MSE (lower is better)."""
-    enc = ml_encoder(categorical, numeric)
-    data = train.withColumn("fold", fold_column(key, k, seed))
-    cv = CrossValidator(estimator=Pipeline(stages=enc.getStages() + [estimator]), estimatorParamMaps=grid,
-                        evaluator=RegressionEvaluator(labelCol=estimator.getLabelCol(), metricName="mse"),
-                        foldCol="fold", parallelism=parallelism)
-    return cv.fit(data)
+                   key: str, k: int = 3, parallelism: int = 4, seed: int = 7):
+    """Exhaustive search over ``grid`` with k hash folds; score = mean MSE (lower is better).
+
+    The encoder is fitted once on the training rows (it learns only the category
+    vocabulary, no labels) and the encoded rows are persisted; only the regressor is
+    refitted per fold and parameter map."""
+    enc = ml_encoder(categorical, numeric).fit(train)
+    data = enc.transform(train.withColumn("fold", fold_column(key, k, seed))).select(
+        estimator.getFeaturesCol(), estimator.getLabelCol(), "fold").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        cv = CrossValidator(estimator=estimator, estimatorParamMaps=grid,
+                            evaluator=RegressionEvaluator(labelCol=estimator.getLabelCol(), metricName="mse"),
+                            foldCol="fold", parallelism=parallelism)
+        return cv.fit(data)
+    finally:
+        data.unpersist()
 
 
 def ridge_grid(estimator: LinearRegression, alphas: list[float], n_rows: int, label_std: float) -> list:

@@ -41,8 +41,8 @@ def prepare_survey_strict(raw: DataFrame, subset: list[str], key: str, target: s
     df = C.drop_null_rows(df, [required])
     df = C.fill_row_when_null(df, trigger, fill_value)
     var1, labels1 = first_segments
-    out1 = C.union_all(*[C.iqr_outliers(df, target, var1, [lab]) for lab in labels1])
-    df = C.remove_rows(df, out1, key)
+    # fences are per segment, so one pass over all labels equals the union of per-label sets
+    df = C.remove_rows(df, C.iqr_outliers(df, target, var1, labels1), key)
     var2, labels2 = second_segments
     df = C.remove_rows(df, C.iqr_outliers(df, target, var2, labels2), key)
     return C.recast_text(df, to_text)
