@@ -126,3 +126,17 @@ def test_choose_source_switch(spark):
     assert S.choose_source(base, month, retraining=True).count() == 3
     assert S.choose_source(base, month, retraining=False).count() == 5
     assert S.choose_source(base, None, retraining=False).count() == 3
+
+
+def test_wide_vocabulary_is_bounded_before_the_driver(spark):
+    from conftest import SF001
+    orders = spark.read.parquet(f"{SF001}/orders.parquet")
+    small = E.learn_vocabulary(orders, ["o_orderstatus"], ["o_totalprice"], max_features=10)
+    assert [f for _, f, _, _ in small][-1] == "o_totalprice"
+    with pytest.raises(ValueError, match="exceeds"):
+        E.learn_vocabulary(orders, ["o_orderkey"], [], max_features=100)
+    # the joined (never collected) path handles the same column whole
+    vocab = E.vocabulary(orders, ["o_orderkey"], [])
+    assert vocab.count() == orders.count()
+    long = E.encode_long(orders, vocab, "o_orderkey", ["o_orderkey"], [])
+    assert long.count() == orders.count()

@@ -48,12 +48,26 @@ def vocabulary_list(vocab: DataFrame) -> list[tuple[int, str, str, str | None]]:
     return [tuple(r) for r in vocab.orderBy("idx").select("idx", "feature", "column", "value").collect()]
 
 
-def learn_vocabulary(df: DataFrame, categorical: list[str], numeric: list[str]) -> list[tuple]:
+MAX_WIDE_FEATURES = 10_000
+
+
+def learn_vocabulary(df: DataFrame, categorical: list[str], numeric: list[str],
+                     max_features: int = MAX_WIDE_FEATURES) -> list[tuple]:
     """The vocabulary as model state on the driver (as a fitted encoder keeps it): the
-    distinct (column, value) pairs are found by Spark, then numbered in name order."""
+    distinct (column, value) pairs are found by Spark, then numbered in name order.
+
+    Only for dense (wide) encodings of few categories: at most ``max_features + 1``
+    pairs are ever fetched, and a larger vocabulary raises.  High-cardinality columns
+    go through ``vocabulary`` + ``encode_long`` (joined, never collected) or
+    ``ml_encoder`` (sparse vectors)."""
     parts = [df.select(F.lit(c).alias("column"), _c(c).cast("string").alias("value"))
              .where(F.col("value").isNotNull()) for c in categorical]
-    pairs = reduce(lambda a, b: a.unionByName(b), parts).distinct().collect() if parts else []
+    room = max_features - len(numeric)
+    pairs = (reduce(lambda a, b: a.unionByName(b), parts).distinct().limit(room + 1).collect()
+             if parts else [])
+    if len(pairs) > room:
+        raise ValueError(f"vocabulary exceeds {max_features} features; use vocabulary() with "
+                         "encode_long() or ml_encoder() for high-cardinality columns")
     feats = [(f"{r['column']}={r['value']}", r["column"], r["value"]) for r in pairs]
     feats += [(c, c, None) for c in numeric]
     return [(i, f, c, v) for i, (f, c, v) in enumerate(sorted(feats, key=lambda t: t[0]))]
