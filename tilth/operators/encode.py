@@ -178,8 +178,9 @@ def ml_encoder(categorical: list[str], numeric: list[str], output: str = "featur
     """Production encoder: alphabetical string indexing (unseen kept as the last index),
     one-hot with the last slot dropped (so unseen encodes as all zeros), assembled with
     the numeric columns into one sparse vector."""
-    idx = [StringIndexer(inputCol=c, outputCol=f"_{c}_idx", handleInvalid="keep",
-                         stringOrderType="alphabetAsc") for c in categorical]
+    # one multi-column indexer: all vocabularies are learned in a single pass
+    idx = ([StringIndexer(inputCols=list(categorical), outputCols=[f"_{c}_idx" for c in categorical],
+                          handleInvalid="keep", stringOrderType="alphabetAsc")] if categorical else [])
     ohe = OneHotEncoder(inputCols=[f"_{c}_idx" for c in categorical],
                         outputCols=[f"_{c}_ohe" for c in categorical], dropLast=True)
     asm = VectorAssembler(inputCols=[f"_{c}_ohe" for c in categorical] + numeric,

@@ -127,11 +127,17 @@ def boosted_trees(max_iter: int = 20, max_depth: int = 3, step: float = 0.1, sub
 def fit(train: DataFrame, categorical: list[str], numeric: list[str], estimator) -> PipelineModel:
     """Encoder (learned on the training rows only) + estimator as one pipeline model.
 
-    The training rows are persisted while the stages make their passes over them."""
+    The training rows (only the columns the pipeline reads) are persisted while the
+    stages make their passes over them.  ``estimator`` may also be a function of the
+    persisted rows (for settings that depend on label statistics), so that pass reads
+    the cache too."""
     enc = ml_encoder(categorical, numeric)
-    cached = train.persist(StorageLevel.MEMORY_AND_DISK)
+    label = estimator.getLabelCol() if hasattr(estimator, "getLabelCol") else "target"
+    cols = list(dict.fromkeys(list(categorical) + list(numeric) + [label]))
+    cached = train.select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return Pipeline(stages=enc.getStages() + [estimator]).fit(cached)
+        est = estimator if hasattr(estimator, "fit") else estimator(cached)
+        return Pipeline(stages=enc.getStages() + [est]).fit(cached)
     finally:
         cached.unpersist()
 

@@ -39,7 +39,7 @@ def _label_stats(df):
 def _fit_report(spark, d, make_estimator, name):
     s = _split(spark, d)
     train = s.where(F.col("split") == "train")
-    model = ML.fit(train, MODEL_CATEGORICAL, MODEL_NUMERIC, make_estimator(train))
+    model = ML.fit(train, MODEL_CATEGORICAL, MODEL_NUMERIC, make_estimator)
     return rounded(ML.evaluate(model, s, ["split"]).withColumn("model", F.lit(name)), _MET)
 
 
@@ -119,8 +119,8 @@ def refit_best(spark, d):
     best_alpha = trials.orderBy("cv_mse").first()["alpha"]
     s = _split(spark, d)
     train_val = s.where(F.col("split") == "train").unionByName(s.where(F.col("split") == "val"))
-    n, sd = _label_stats(train_val)
-    model = ML.fit(train_val, MODEL_CATEGORICAL, MODEL_NUMERIC, ML.ridge(best_alpha, n, sd))
+    model = ML.fit(train_val, MODEL_CATEGORICAL, MODEL_NUMERIC,
+                   lambda t: ML.ridge(best_alpha, *_label_stats(t)))
     out = ML.evaluate(model, s.where(F.col("split") == "test"), ["split"])
     return rounded(out.withColumn("alpha", F.lit(best_alpha)), _MET)
 
@@ -211,8 +211,7 @@ def leaderboard(spark, d):
 def batch_score(spark, d):
     s = _split(spark, d)
     train = s.where(F.col("split") == "train")
-    n, sd = _label_stats(train)
-    model = ML.fit(train, MODEL_CATEGORICAL, MODEL_NUMERIC, ML.ridge(1.0, n, sd))
+    model = ML.fit(train, MODEL_CATEGORICAL, MODEL_NUMERIC, lambda t: ML.ridge(1.0, *_label_stats(t)))
     path = scratch_path(spark, "ridge-model")
     from tilth.sources.files import load_pipeline_model, save_model
     save_model(model, path)
