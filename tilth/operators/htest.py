@@ -11,7 +11,7 @@ candidate feature of a stacked long table), from per-group aggregates:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tilth.functions.stats import chi2_pvalue, f_pvalue, nan_to_null, norm_pvalue, t_pvalue
@@ -50,8 +50,10 @@ def anova(df: DataFrame, by: list[str], group: str, value: str) -> DataFrame:
     """One-way ANOVA: F = (SSB/(k-1)) / (SSW/(N-k)), p from the F(k-1, N-k) tail."""
     df, keys = _keyed(df, by)
     g = group_moments(df, keys, group, value)
-    w = Window.partitionBy(*keys)
-    g = g.withColumn("_gm", F.try_divide(F.sum(F.col("n") * F.col("mean")).over(w), F.sum("n").over(w)))
+    # grand mean per test: one row per test key (a scalar subquery when there is one
+    # test), joined back, so the per-group rows of one test are never gathered together
+    gm = g.groupBy(*keys).agg(F.try_divide(F.sum(F.col("n") * F.col("mean")), F.sum("n")).alias("_gm"))
+    g = _join_summaries(g, gm, keys)
     a = g.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("k"), F.sum("n").alias("n"),
         F.sum(F.col("n") * F.pow(F.col("mean") - F.col("_gm"), 2)).alias("ssb"),
