@@ -20,6 +20,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tilth.operators.common import with_scalars
 from tilth.operators.encode import hash_unit, ml_encoder
 
 
@@ -47,9 +48,9 @@ def kfold_simple_ols(df: DataFrame, x: str, y: str, key: str, k: int = 5, seed:
     s = d.groupBy("fold").agg(F.count(F.lit(1)).alias("n"), F.sum("_x").alias("sx"), F.sum("_y").alias("sy"),
                               F.sum(F.col("_x") * F.col("_x")).alias("sxx"),
                               F.sum(F.col("_x") * F.col("_y")).alias("sxy"))
-    from pyspark.sql import Window
-    w = Window.partitionBy()  # k rows only
-    t = s.select("fold", *[(F.sum(c).over(w) - F.col(c)).alias(c) for c in ["n", "sx", "sy", "sxx", "sxy"]])
+    stats = ["n", "sx", "sy", "sxx", "sxy"]
+    totals = s.agg(*[F.sum(c).alias("_t_" + c) for c in stats])   # one row: a scalar subquery
+    t = with_scalars(s, totals).select("fold", *[(F.col("_t_" + c) - F.col(c)).alias(c) for c in stats])
     slope = F.try_divide(F.col("n") * F.col("sxy") - F.col("sx") * F.col("sy"),
                          F.col("n") * F.col("sxx") - F.col("sx") * F.col("sx"))
     coef = t.select("fold", slope.alias("b"), "sx", "sy", "n").select(
