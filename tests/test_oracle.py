@@ -17,7 +17,7 @@ load_all()
 SAMPLE = ["describe_numeric", "prepare_survey", "prepare_survey_strict", "split_exact", "onehot_encode_unseen",
           "kruskal_wallis", "levene_median", "drift_ks", "performance_report", "report_metric_choice",
           "alert_rows", "deploy_decision", "promote_version", "regression_metrics", "cv_loss", "scan_csv",
-          "group_values_topn", "stream_period_report"]
+          "group_values_topn", "stream_period_report", "run_info_roundtrip", "matrix_roundtrip"]
 KEYS = sorted(QUERIES) if os.environ.get("TILTH_FULL_ORACLE") else SAMPLE
 
 

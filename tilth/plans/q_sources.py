@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tilth.operators import encode as E
-from tilth.plans.bindings import V_MODEL, V_SURVEY, table, v_model, v_survey, with_ctes
+from tilth.plans.bindings import (MODEL_CATEGORICAL, MODEL_NUMERIC, V_MODEL, V_SURVEY, V_VERSIONS, table,
+                                  v_model, v_survey, v_versions, with_ctes)
 from tilth.plans.catalog import query, rounded
 from tilth.plans.q_encode import V_SPLIT
 from tilth.session import scratch_path
@@ -76,3 +77,66 @@ def split_sink_roundtrip(spark, d):
     back = S.read_splits(spark, path)
     out = back.groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.sum("target").alias("target_sum"))
     return rounded(out, {"target_sum": 2})
+
+
+# ---- encoded matrix with its feature names (item 9) ---------------------------
+
+def _matrix_sql() -> str:
+    from tilth.plans.q_encode import _model_vocab_features, _wide_sql_cols
+    feats = _model_vocab_features()
+    sums = "\nUNION ALL ".join(
+        f"SELECT '{f}' AS feature, round(CAST(sum(\"{f}\") AS DOUBLE), 4) AS total, count(*) AS n_rows FROM m"
+        for f in feats)
+    return with_ctes(V_MODEL) + f""",
+m AS (SELECT row_key, {_wide_sql_cols(feats)} FROM v_model)
+{sums}"""
+
+
+@query("matrix_roundtrip", _matrix_sql())
+def matrix_roundtrip(spark, d):
+    """The dense encoded matrix is stored with its feature names as Parquet columns and
+    read back (in place of an array file plus a names file); every column is summed."""
+    m = v_model(spark, d)
+    vocab = E.learn_vocabulary(m, MODEL_CATEGORICAL, MODEL_NUMERIC)
+    path = scratch_path(spark, "encoded-matrix")
+    E.encode_wide(m, vocab, ["row_key"]).write.mode("overwrite").parquet(path)
+    back = spark.read.parquet(path)
+    names = [f for _, f, _, _ in vocab]
+    from tilth.operators.profile import to_long
+    long = to_long(back, names, name_col="feature", value_col="v")
+    out = long.groupBy("feature").agg(F.sum("v").alias("total"), F.count(F.lit(1)).alias("n_rows"))
+    return rounded(out, {"total": 4})
+
+
+# ---- run records through the JSON sink and the tolerant reader (items 10, 12) --
+
+_FAILED_RMSE = 90.0
+
+
+@query("run_info_roundtrip", with_ctes(V_VERSIONS) + f"""
+SELECT CASE WHEN rmse > {_FAILED_RMSE} THEN NULL ELSE model_name END AS model_name,
+       count(*) AS n, CASE WHEN rmse > {_FAILED_RMSE} THEN false ELSE true END AS valid,
+       round(sum(CASE WHEN rmse > {_FAILED_RMSE} THEN NULL ELSE rmse END), 4) AS sum_rmse,
+       max(CASE WHEN rmse > {_FAILED_RMSE} THEN NULL ELSE version END) AS max_version
+FROM v_versions GROUP BY 1, 3""")
+def run_info_roundtrip(spark, d):
+    """One run record per registered version is written with the JSON sink; runs whose
+    RMSE is over the failure bound leave a truncated record instead.  The tolerant reader
+    turns those into invalid rows rather than failing the read."""
+    v = v_versions(spark, d)
+    record = F.struct(
+        F.col("run_id"), F.col("model_name"), F.col("version").alias("model_version"),
+        F.create_map(F.lit("rmse"), F.col("rmse"), F.lit("r2"), F.col("r2")).alias("metrics"),
+        F.create_map(F.lit("alpha"), F.lit(1.0)).alias("parameters"),
+        F.concat(F.lit("models:/"), F.col("model_name"), F.lit("/"), F.col("version").cast("string"))
+         .alias("model_path"))
+    failed = F.col("rmse") > _FAILED_RMSE
+    path = scratch_path(spark, "run-info")
+    S.write_json(v.where(~failed).select(record.alias("r")).select("r.*"), path)
+    (v.where(failed).select(F.substring(F.to_json(record), 1, 24).alias("value"))
+     .write.mode("append").text(path))
+    back = S.read_run_info(spark, path, multi_line=False)
+    out = back.groupBy("model_name", "valid").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("metrics")["rmse"]).alias("sum_rmse"),
+        F.max("model_version").alias("max_version"))
+    return rounded(out.select("model_name", "n", "valid", "sum_rmse", "max_version"), {"sum_rmse": 4})

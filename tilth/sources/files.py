@@ -89,10 +89,11 @@ RUN_INFO = T.StructType([
     T.StructField("_corrupt_record", T.StringType())])
 
 
-def read_run_info(spark: SparkSession, path: str) -> DataFrame:
-    """Run-info JSON files; a malformed file gives a row with only ``_corrupt_record``
-    set, a missing path raises (callers treat both as 'no run')."""
-    df = (spark.read.schema(RUN_INFO).option("multiLine", True).option("mode", "PERMISSIVE")
+def read_run_info(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Run-info JSON, one document per file (``multi_line``) or one record per line (as
+    ``write_json`` writes a runs table); a malformed document gives a row with only
+    ``_corrupt_record`` set, a missing path raises (callers treat both as 'no run')."""
+    df = (spark.read.schema(RUN_INFO).option("multiLine", multi_line).option("mode", "PERMISSIVE")
           .option("columnNameOfCorruptRecord", "_corrupt_record").json(path))
     return df.withColumn("valid", F.col("_corrupt_record").isNull() & F.col("run_id").isNotNull())
 
