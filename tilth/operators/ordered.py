@@ -144,6 +144,13 @@ def exact_quantiles(df: DataFrame, group_cols: list[str], value_col: str,
     per group, without gathering a group into one task.  Also returns ``n``."""
     vc = value_counts_by(df, group_cols, value_col)
     rs = running_sums(vc, group_cols, value_col, ["cnt"])
+    return pick_quantiles(rs, group_cols, value_col, probs)
+
+
+def pick_quantiles(rs: DataFrame, group_cols: list[str], value_col: str,
+                   probs: dict[str, float]) -> DataFrame:
+    """Quantiles from a running-count table (``running_sums`` over value counts with
+    ``cnt``): only the rows holding ranks floor(h) and floor(h)+1 are kept."""
     n = F.col("cnt_total")
     lo_hit, hi_hit, aggs = [], [], []
     for name, p in probs.items():
