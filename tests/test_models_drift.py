@@ -82,3 +82,20 @@ def test_mann_whitney_small(spark):
     # ranks of x: 1, 2, 3.5, 5 -> R1 = 11.5, U1 = 11.5 - 10 = 1.5
     assert mw["u"] == pytest.approx(1.5)
     assert 0 < mw["p_value"] < 0.1
+
+
+def test_metric_trend_matches_lag_per_series(spark):
+    import pandas as pd
+
+    from tilth.operators import monitor as MON
+    rng = np.random.default_rng(3)
+    # series 'hot' has most runs; times unique per series, shuffled on input
+    rows = [("hot", t) for t in range(400)] + [(p, t) for p in ("a", "b") for t in range(0, 60, 3)]
+    pdf = pd.DataFrame(rows, columns=["project", "t"]).sample(frac=1, random_state=1)
+    pdf["rmse"] = rng.random(len(pdf))
+    got = MON.metric_trend(spark.createDataFrame(pdf), "t", ["rmse"], by=["project"]).toPandas()
+    exp = pdf.sort_values(["project", "t"])
+    exp = exp.assign(rmse_change=exp["rmse"] - exp.groupby("project")["rmse"].shift(1))
+    m = got.merge(exp, on=["project", "t"], suffixes=("", "_e"))
+    assert len(m) == len(pdf) == len(got)
+    assert np.allclose(m["rmse_change"].fillna(-9.0), m["rmse_change_e"].fillna(-9.0))

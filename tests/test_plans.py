@@ -20,7 +20,7 @@ load_all()
 KEYS = ["prepare_survey", "describe_numeric", "box_stats", "iqr_outliers", "dup_subset", "kruskal_wallis",
         "anova_oneway", "levene_median", "feature_screen", "cv_loss", "performance_report", "dataset_drift",
         "drift_ks", "report_metric_choice", "alert_rows", "deploy_decision", "promote_version", "split_exact",
-        "onehot_encode_unseen", "regression_metrics"]
+        "onehot_encode_unseen", "regression_metrics", "metric_trend"]
 
 
 def _plan(spark, key):

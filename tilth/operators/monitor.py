@@ -245,11 +245,16 @@ def idempotent_runs(requested: DataFrame, existing: DataFrame, keys: list[str],
 
 
 def metric_trend(runs: DataFrame, order: str, metrics: list[str], by: list[str] | None = None) -> DataFrame:
-    """Runs in time order with each metric's change since the previous run (per series)."""
-    from pyspark.sql import Window
-    by = by or []
-    w = Window.partitionBy(*by).orderBy(order) if by else Window.orderBy(order)
-    out = runs
-    for m in metrics:
-        out = out.withColumn(f"{m}_change", F.col(m) - F.lag(m).over(w))
-    return out
+    """Runs with each metric's change since the previous run of the same series (one run
+    per series and time).  The previous time comes from range-partitioned running counts,
+    then the previous run's metrics are joined on it: no task holds a whole series, as a
+    ``lag`` window partitioned by series would."""
+    from tilth.operators.ordered import running_sums
+    by = list(by or [])
+    times = (runs.where(F.col(order).isNotNull()).select(*by, order).distinct()
+             .withColumn("_one", F.lit(1).cast("long")))
+    prev = running_sums(times, by, order, ["_one"]).select(*by, order, F.col("prev_" + order).alias("_prev"))
+    prior = runs.select(*by, F.col(order).alias("_prev"), *[F.col(m).alias("_p_" + m) for m in metrics])
+    out = runs.join(prev, by + [order], "left").join(prior, by + ["_prev"], "left")
+    return out.select(*[F.col(c) for c in runs.columns],
+                      *[(F.col(m) - F.col("_p_" + m)).alias(f"{m}_change") for m in metrics])
