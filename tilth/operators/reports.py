@@ -164,6 +164,9 @@ def drift_transition(pairs: DataFrame, by: list[str]) -> DataFrame:
 # Alert subjects and headlines.
 DRIFT_SUBJECT = "ML Model Alert: Data Drift Detected"
 PERF_SUBJECT = "ML Model Alert: Performance Degradation"
+DRIFT_HEADLINE = "DATA DRIFT DETECTED"
+PERF_HEADLINE = "PERFORMANCE DEGRADATION DETECTED"
+METRIC_LINE = "%s: %.6f -> %.6f (%+.2f%%, threshold: +/-%.1f%%)"
 
 
 def alert_rows(pairs: DataFrame, alerts: DataFrame, transitions: DataFrame, by: list[str]) -> DataFrame:
@@ -171,16 +174,16 @@ def alert_rows(pairs: DataFrame, alerts: DataFrame, transitions: DataFrame, by:
     project listing every degraded metric."""
     drift = transitions.where(F.col("transition") == "new_drift").select(
         *by, F.lit("drift").alias("alert_type"), F.lit(DRIFT_SUBJECT).alias("subject"),
-        F.concat(F.lit("DATA DRIFT DETECTED\n\nBaseline report: "), F.col("baseline_report"),
+        F.concat(F.lit(DRIFT_HEADLINE + "\n\nBaseline report: "), F.col("baseline_report"),
                  F.lit(" (no drift)\nCurrent report: "), F.col("current_report"),
                  F.lit(" (drift detected)")).alias("message"))
-    line = F.format_string("%s: %.6f -> %.6f (%+.2f%%, threshold: +/-%.1f%%)", F.upper("metric"),
+    line = F.format_string(METRIC_LINE, F.upper("metric"),
                            F.col("baseline"), F.col("current"), F.col("percentage_change"),
                            F.col("threshold") * 100)
     perf = alerts.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("metric", line.alias("line")))).alias("ls"))
     perf = perf.join(pairs.select(*by, F.col("baseline.report_id").alias("b"), F.col("current.report_id").alias("c")), by)
     perf = perf.select(*by, F.lit("performance").alias("alert_type"), F.lit(PERF_SUBJECT).alias("subject"),
-                       F.concat(F.lit("PERFORMANCE DEGRADATION DETECTED\n\n"),
+                       F.concat(F.lit(PERF_HEADLINE + "\n\n"),
                                 F.concat_ws("\n", F.transform("ls", lambda x: x["line"])),
                                 F.lit("\n\nBaseline report: "), F.col("b"), F.lit("\nCurrent report: "),
                                 F.col("c")).alias("message"))
