@@ -62,3 +62,20 @@ def test_midranks_match_pandas(spark, skewed):
     m = got.merge(exp, on=["g", "v"])
     assert len(m) == len(exp)
     assert np.allclose(m["midrank"], m["r"])
+
+
+def test_hot_group_is_spread_over_partitions(spark, skewed):
+    """The premise of the primitive: after pre-aggregation, range partitioning on
+    (group, value) splits the group holding most rows over several partitions, and every
+    partition holds about the same number of distinct (group, value) rows."""
+    df = spark.createDataFrame(skewed).groupBy("g", "v").agg(F.count(F.lit(1)).alias("cnt"))
+    tagged = df.repartitionByRange(8, "g", "v").withColumn("pid", F.spark_partition_id())
+    spread = {r["g"]: r["n"] for r in tagged.groupBy("g").agg(F.countDistinct("pid").alias("n")).collect()}
+    sizes = [r["c"] for r in tagged.groupBy("pid").agg(F.count(F.lit(1)).alias("c")).collect()]
+    assert spread["hot"] >= 3, spread
+    assert max(sizes) <= 2 * sum(sizes) / 8, sizes
+    # and the result does not depend on how it was spread
+    vc = df.toPandas()
+    got = running_sums(df, ["g"], "v", ["cnt"]).where(F.col("g") == "hot").agg(
+        F.max("cnt_total").alias("t")).first()["t"]
+    assert got == int(vc[vc["g"] == "hot"]["cnt"].sum())
