@@ -13,18 +13,26 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
+# Input bytes per partition when an under-split scan is spread (see ``table``).
+SPREAD_BYTES = 256 * 1024
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table.  A scan that yields fewer splits than the cluster has cores
-    (a small file written as one row group) is spread round-robin so the work before
-    the first shuffle is not single-threaded; large inputs already have many splits
-    and are left as they are.  Filters and column pruning still reach the scan."""
+    """A driver table.  A scan with fewer splits than its size warrants (a file written
+    as one row group) is spread round-robin so the work before the first shuffle is not
+    single-threaded: one partition per ``SPREAD_BYTES`` of input, at most one per core,
+    so a tiny dimension table is never fanned out over a whole cluster.  Large inputs
+    already have many splits and are left as they are.  Filters and column pruning
+    still reach the scan."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     try:
         cores = spark.sparkContext.defaultParallelism
         splits = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (for example a Spark Connect session): read as is
+        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    except Exception:  # no RDD view or plan statistics (a Spark Connect session): read as is
         return df
-    return df.repartition(cores) if splits < cores else df
+    target = min(cores, max(1, -(-size // SPREAD_BYTES)))
+    return df.repartition(target) if splits < target else df
 
 
 # ---- raw survey stand-in: orders with injected missing values ----------------
