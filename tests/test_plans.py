@@ -42,3 +42,17 @@ def test_reference_period_bound_reaches_the_scan(spark):
     assert any("LessThan(ts," in ln for ln in scans), scans
     # only the columns the report reads
     assert all("props" not in ln.split("ReadSchema:")[1] for ln in scans)
+
+
+def test_scan_spreading_is_bounded_by_size(spark):
+    from conftest import SF01
+
+    from tilth.plans.bindings import SPREAD_BYTES, table
+    cores = spark.sparkContext.defaultParallelism
+    for name in ("nation", "region", "supplier"):
+        assert table(spark, SF01, name).rdd.getNumPartitions() == 1, name
+    for name in ("lineitem", "documents"):
+        df = table(spark, SF01, name)
+        size = int(spark.read.parquet(f"{SF01}/{name}.parquet")._jdf.queryExecution()
+                   .optimizedPlan().stats().sizeInBytes())
+        assert df.rdd.getNumPartitions() <= min(cores, -(-size // SPREAD_BYTES)), name
