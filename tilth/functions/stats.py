@@ -19,79 +19,62 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _EPS = 1e-15
-_TINY = 1e-300
-_MAX_IT = 400
-
-
-def _betacf(a: float, b: float, x: float) -> float:
-    qab, qap, qam = a + b, a + 1.0, a - 1.0
-    c, d = 1.0, 1.0 - qab * x / qap
-    d = 1.0 / (d if abs(d) > _TINY else _TINY)
-    h = d
-    for m in range(1, _MAX_IT + 1):
-        m2 = 2 * m
-        aa = m * (b - m) * x / ((qam + m2) * (a + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > _TINY else _TINY)
-        c = 1.0 + aa / c
-        c = c if abs(c) > _TINY else _TINY
-        h *= d * c
-        aa = -(a + m) * (qab + m) * x / ((a + m2) * (qap + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > _TINY else _TINY)
-        c = 1.0 + aa / c
-        c = c if abs(c) > _TINY else _TINY
-        delta = d * c
-        h *= delta
-        if abs(delta - 1.0) < _EPS:
+
+
+def _continued(level, start: int = 64, limit: int = 1 << 16) -> float:
+    """Value of a continued fraction, evaluated from its end: ``level(k, rest)`` gives level k
+    from the value of all deeper ones.  The depth doubles until the value stands still."""
+    value, depth = math.nan, start
+    while depth <= limit:
+        rest = 0.0
+        for k in range(depth, 0, -1):
+            rest = level(k, rest)
+        if abs(rest - value) <= _EPS * abs(rest):
             break
-    return h
+        value, depth = rest, depth * 2
+    return rest
 
 
 def betainc_reg(a: float, b: float, x: float) -> float:
-    """Regularised incomplete beta I_x(a, b)."""
+    """Regularised incomplete beta I_x(a, b), by the fraction 1/(1 + d1/(1 + d2/(1 + ...)))
+    with d_2m = m (b - m) x / ((a + 2m - 1)(a + 2m)) and
+    d_2m+1 = -(a + m)(a + b + m) x / ((a + 2m)(a + 2m + 1)); the mirror image
+    1 - I_1-x(b, a) where that converges faster."""
     if x <= 0.0:
         return 0.0
     if x >= 1.0:
         return 1.0
-    lbt = (math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b)
-           + a * math.log(x) + b * math.log1p(-x))
-    if x < (a + 1.0) / (a + b + 2.0):
-        return math.exp(lbt) * _betacf(a, b, x) / a
-    return 1.0 - math.exp(lbt) * _betacf(b, a, 1.0 - x) / b
+    if x > (a + 1.0) / (a + b + 2.0):
+        return 1.0 - betainc_reg(b, a, 1.0 - x)
+
+    def level(k: int, rest: float) -> float:
+        m = k // 2
+        if k % 2 == 0:
+            d = m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m))
+        else:
+            d = -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))
+        return d / (1.0 + rest)
+
+    log_front = math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)
+    return math.exp(log_front) / (a * (1.0 + _continued(level)))
 
 
 def gammaincc_reg(a: float, x: float) -> float:
-    """Regularised upper incomplete gamma Q(a, x)."""
+    """Regularised upper incomplete gamma Q(a, x): up to a + 1 one minus the power series
+    sum x^k / (a (a+1) ... (a+k)), beyond it the fraction
+    1/(x + (1-a)/(1 + 1/(x + (2-a)/(1 + 2/(x + ...)))))."""
     if x <= 0.0:
         return 1.0
-    gln = math.lgamma(a)
+    front = math.exp(a * math.log(x) - x - math.lgamma(a))
     if x < a + 1.0:
-        ap, s, d = a, 1.0 / a, 1.0 / a
-        for _ in range(_MAX_IT * 5):
-            ap += 1.0
-            d *= x / ap
-            s += d
-            if abs(d) < abs(s) * _EPS:
-                break
-        return max(0.0, 1.0 - s * math.exp(-x + a * math.log(x) - gln))
-    b = x + 1.0 - a
-    c = 1.0 / _TINY
-    d = 1.0 / b
-    h = d
-    for i in range(1, _MAX_IT * 5):
-        an = -i * (i - a)
-        b += 2.0
-        d = an * d + b
-        d = d if abs(d) > _TINY else _TINY
-        c = b + an / c
-        c = c if abs(c) > _TINY else _TINY
-        d = 1.0 / d
-        delta = d * c
-        h *= delta
-        if abs(delta - 1.0) < _EPS:
-            break
-    return math.exp(-x + a * math.log(x) - gln) * h
+        term = total = 1.0 / a
+        k = 1
+        while term > total * _EPS:
+            term *= x / (a + k)
+            total += term
+            k += 1
+        return max(0.0, 1.0 - front * total)
+    return front / (x + _continued(lambda k, rest: (k - a) / (1.0 + k / (x + rest))))
 
 
 def f_sf(f: float, d1: float, d2: float) -> float:
@@ -177,11 +160,16 @@ def f_sf_df1_2(f: Column, d2: Column) -> Column:
 
 
 def ks_pvalue(lam: Column, terms: int = 20) -> Column:
-    """Kolmogorov distribution tail Q(lam) = 2 * sum_{k>=1} (-1)^(k-1) exp(-2 k^2 lam^2)."""
-    series = F.aggregate(
-        F.sequence(F.lit(1), F.lit(terms)), F.lit(0.0),
-        lambda acc, k: acc + F.pow(F.lit(-1.0), k - 1) * F.exp(-2.0 * k * k * lam * lam))
-    return F.least(F.lit(1.0), F.greatest(F.lit(0.0), 2.0 * series))
+    """Tail of the Kolmogorov distribution, by whichever of its two series converges fast:
+    the alternating one, 2 * sum (-1)^(k-1) exp(-2 k^2 lam^2), from 1.18 on, and below it
+    1 - sqrt(2 pi) / lam * sum exp(-(2k-1)^2 pi^2 / (8 lam^2)); 1 at lam = 0."""
+    ks = F.sequence(F.lit(1), F.lit(terms))
+    far = 2.0 * F.aggregate(ks, F.lit(0.0), lambda acc, k: acc + F.when(k % 2 == 1, 1.0).otherwise(-1.0)
+                            * F.exp(-2.0 * k * k * lam * lam))
+    near = 1.0 - F.sqrt(F.lit(2.0 * math.pi)) / lam * F.aggregate(
+        ks, F.lit(0.0), lambda acc, k: acc + F.exp(-(2 * k - 1) * (2 * k - 1) * (math.pi ** 2 / 8.0) / (lam * lam)))
+    tail = F.when(lam <= 0, 1.0).when(lam < 1.18, near).otherwise(far)
+    return F.when(lam.isNotNull(), F.least(F.lit(1.0), F.greatest(F.lit(0.0), tail)))
 
 
 def adjusted_skew(n: Column, g1: Column) -> Column:

@@ -5,12 +5,13 @@ column, so every report is one grouped aggregation instead of two passes.
 Empirical CDFs for KS and Wasserstein come from range-partitioned running
 counts over the distinct values of each column (no per-column collect).
 
-Per-column test choice, thresholds and the dataset-drift share are arguments;
-the defaults follow the monitoring library the reference calls (not verified
-against it, SURVEY 7.4): numeric columns with more than 5 distinct values use
-KS up to 1,000 reference rows and normed Wasserstein above; categorical ones use
-chi-square up to 1,000 reference rows and Jensen-Shannon above; p < 0.05 or
-distance >= 0.1 is drift; the dataset drifts when at least half the columns do.
+Each column's method is an argument (``methods``), else the rule's method for its kind; the
+kind is the list the caller puts the column in.  Neither depends on the number of rows,
+so the same data get the same answer at every size.  Defaults are distances (normed
+Wasserstein, Jensen-Shannon, drift at 0.1), which stay comparable on large data where
+every test rejects; ``ks``, ``chi2`` and ``proportion`` (two-valued columns) are tests with
+p < 0.05.  The dataset drifts when at least half of its columns do.  A side without rows
+gives a null statistic and no drift.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tilth.functions.stats import chi2_pvalue, ks_pvalue, nan_to_null
+from tilth.functions.stats import chi2_pvalue, ks_pvalue, nan_to_null, norm_pvalue
 from tilth.operators.common import with_scalars
 from tilth.operators.ordered import running_sums
 
@@ -29,8 +30,8 @@ REF, CUR = "reference", "current"
 
 @dataclass(frozen=True)
 class DriftRules:
-    large_sample: int = 1000
-    numeric_min_unique: int = 5
+    numeric_method: str = "wasserstein"
+    categorical_method: str = "jensen_shannon"
     p_threshold: float = 0.05
     distance_threshold: float = 0.1
     dataset_share: float = 0.5
@@ -67,7 +68,7 @@ def performance(scored: DataFrame, target: str, prediction: str, by: list[str] |
     agg = ok.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(e * e).alias("_sse"),
-        (F.sum(y * y) - F.pow(F.sum(y), 2) / F.count(F.lit(1))).alias("_sst"),
+        (F.var_pop(y) * F.count(F.lit(1))).alias("_sst"),
         F.avg(F.abs(e)).alias("mae"), F.avg(e).alias("mean_error"), F.stddev_samp(e).alias("error_std"))
     return agg.select(*by, "n", F.sqrt(F.col("_sse") / F.col("n")).alias("rmse"),
                       (1 - F.try_divide(F.col("_sse"), F.col("_sst"))).alias("r2"),
@@ -100,7 +101,8 @@ def ks_test(df: DataFrame, cols: list[str], dataset: str = "dataset") -> DataFra
     fc = F.try_divide(F.col("n_cur_before") + F.col("n_cur"), F.col("n_cur_total"))
     d = rs.groupBy("column").agg(F.max(F.abs(fr - fc)).alias("statistic"),
                                  F.max("n_ref_total").alias("n_ref"), F.max("n_cur_total").alias("n_cur"))
-    en = F.try_divide(F.col("n_ref") * F.col("n_cur"), F.col("n_ref") + F.col("n_cur"))
+    n, m = F.col("n_ref").cast("double"), F.col("n_cur").cast("double")
+    en = F.try_divide(n * m, n + m)
     return d.withColumn("p_value", ks_pvalue(F.sqrt(en) * F.col("statistic")))
 
 
@@ -111,9 +113,10 @@ def wasserstein(df: DataFrame, cols: list[str], dataset: str = "dataset") -> Dat
     rs = running_sums(_side_counts(long), ["column"], "value", ["n_ref", "n_cur"])
     step = F.abs(F.try_divide(F.col("n_ref_before"), F.col("n_ref_total"))
                  - F.try_divide(F.col("n_cur_before"), F.col("n_cur_total")))
+    two_sided = (F.col("n_ref_total") > 0) & (F.col("n_cur_total") > 0)
     w = rs.groupBy("column").agg(
-        F.sum(F.when(F.col("prev_value").isNotNull(), step * (F.col("value") - F.col("prev_value")))
-              .otherwise(0.0)).alias("_w"),
+        F.sum(F.when(two_sided, F.when(F.col("prev_value").isNotNull(), step * (F.col("value") - F.col("prev_value")))
+                     .otherwise(0.0))).alias("_w"),
         F.max("n_ref_total").alias("n_ref"), F.max("n_cur_total").alias("n_cur"))
     sd = long.where(F.col("dataset") == REF).groupBy("column").agg(F.stddev_pop("value").alias("_sd"))
     return w.join(sd, "column", "left").select(
@@ -131,9 +134,10 @@ def chi2_test(df: DataFrame, cols: list[str], dataset: str = "dataset") -> DataF
     """Goodness of fit of the current counts to the reference shares over the union of
     categories: sum (obs - exp)^2 / exp, exp = ref_count * n_cur / n_ref; df = k - 1."""
     s = _shares(df, cols, dataset)
-    exp = F.col("n_ref") * F.col("t_cur") / F.col("t_ref")
+    exp = F.try_divide(F.col("n_ref").cast("double") * F.col("t_cur").cast("double"), F.col("t_ref").cast("double"))
     term = F.when(exp > 0, F.pow(F.col("n_cur") - exp, 2) / exp).otherwise(
         F.when(F.col("n_cur") > 0, F.lit(float("inf"))).otherwise(0.0))
+    term = F.when((F.col("t_ref") > 0) & (F.col("t_cur") > 0), term)
     out = s.groupBy("column").agg(F.sum(term).alias("statistic"), F.count(F.lit(1)).alias("k"),
                                   F.max("t_ref").alias("n_ref"), F.max("t_cur").alias("n_cur"))
     return out.withColumn("df", F.col("k") - 1).withColumn(
@@ -143,65 +147,69 @@ def chi2_test(df: DataFrame, cols: list[str], dataset: str = "dataset") -> DataF
 def jensen_shannon(df: DataFrame, cols: list[str], dataset: str = "dataset") -> DataFrame:
     """Jensen-Shannon distance (natural log) between the category shares of both sides."""
     s = _shares(df, cols, dataset)
-    p = F.col("n_ref") / F.col("t_ref")
-    q = F.col("n_cur") / F.col("t_cur")
+    p = F.try_divide(F.col("n_ref").cast("double"), F.col("t_ref").cast("double"))
+    q = F.try_divide(F.col("n_cur").cast("double"), F.col("t_cur").cast("double"))
     m = (p + q) / 2
+    two_sided = F.col("t_ref").cast("double") * F.col("t_cur").cast("double") > 0
 
     def kl(a: Column) -> Column:
         return F.when(a > 0, a * F.ln(a / m)).otherwise(0.0)
 
-    out = s.groupBy("column").agg(F.sum(0.5 * kl(p) + 0.5 * kl(q)).alias("_js"),
+    out = s.groupBy("column").agg(F.sum(F.when(two_sided, 0.5 * kl(p) + 0.5 * kl(q))).alias("_js"),
                                   F.max("t_ref").alias("n_ref"), F.max("t_cur").alias("n_cur"))
-    return out.select("column", "n_ref", "n_cur", F.sqrt(F.greatest(F.col("_js"), F.lit(0.0))).alias("statistic"))
+    # greatest() skips nulls, so a missing side must stay null by itself
+    js = F.when(F.col("_js").isNotNull(), F.sqrt(F.greatest(F.col("_js"), F.lit(0.0))))
+    return out.select("column", "n_ref", "n_cur", js.alias("statistic"))
+
+
+def proportion_test(df: DataFrame, cols: list[str], dataset: str = "dataset") -> DataFrame:
+    """Two-proportion z test of columns with two values: the share of the larger value on
+    both sides, pooled variance, two-sided p.  One value on both sides: z = 0, p = 1.  More
+    than two values: null (use chi2)."""
+    s = _shares(df, cols, dataset)
+    g = s.groupBy("column").agg(
+        F.count(F.lit(1)).alias("k"), F.max(F.struct("value", "n_ref", "n_cur")).alias("top"),
+        F.max("t_ref").cast("double").alias("a"), F.max("t_cur").cast("double").alias("b"))
+    x, y = F.col("top.n_ref").cast("double"), F.col("top.n_cur").cast("double")
+    pooled = F.try_divide(x + y, F.col("a") + F.col("b"))
+    spread = F.sqrt(pooled * (1 - pooled) * (F.try_divide(F.lit(1.0), F.col("a")) + F.try_divide(F.lit(1.0), F.col("b"))))
+    gap = F.try_divide(y, F.col("b")) - F.try_divide(x, F.col("a"))
+    z = F.when(F.col("k") <= 2, F.when(spread == 0, F.lit(0.0)).otherwise(F.try_divide(gap, spread)))
+    out = g.select("column", F.col("a").cast("long").alias("n_ref"), F.col("b").cast("long").alias("n_cur"), z.alias("statistic"))
+    return out.withColumn("p_value", nan_to_null(norm_pvalue("statistic")))
+
+
+_METHODS = {"ks": ks_test, "wasserstein": wasserstein, "chi2": chi2_test,
+            "jensen_shannon": jensen_shannon, "proportion": proportion_test}
+_TESTS = {"ks", "chi2", "proportion"}
 
 
 def column_drift(df: DataFrame, numeric: list[str], categorical: list[str], dataset: str = "dataset",
-                 rules: DriftRules = DriftRules()) -> DataFrame:
-    """Per column: the chosen test, statistic, p-value (tests) and drift flag.
-
-    Numeric columns with few distinct values are treated as categorical."""
-    spark = df.sparkSession
-    profile = df.agg(F.count_if(F.col(dataset) == REF).alias("n_ref"),
-                     *[F.approx_count_distinct(c).alias(c) for c in numeric]).first()
-    n_ref = profile["n_ref"]
-    few = [c for c in numeric if profile[c] <= rules.numeric_min_unique]
-    num = [c for c in numeric if c not in few]
-    cat = categorical + few
-    large = n_ref > rules.large_sample
-    parts = []
-    if num:
-        if large:
-            w = wasserstein(df, num, dataset)
-            parts.append(w.select("column", F.lit("wasserstein").alias("test"), "statistic",
-                                  F.lit(None).cast("double").alias("p_value"),
-                                  (F.col("statistic") >= rules.distance_threshold).alias("drifted")))
-        else:
-            k = ks_test(df, num, dataset)
-            parts.append(k.select("column", F.lit("ks").alias("test"), "statistic", "p_value",
-                                  (F.col("p_value") < rules.p_threshold).alias("drifted")))
-    if cat:
-        if large:
-            j = jensen_shannon(df, cat, dataset)
-            parts.append(j.select("column", F.lit("jensen_shannon").alias("test"), "statistic",
-                                  F.lit(None).cast("double").alias("p_value"),
-                                  (F.col("statistic") >= rules.distance_threshold).alias("drifted")))
+                 rules: DriftRules = DriftRules(), methods: dict[str, str] | None = None) -> DataFrame:
+    """Per column: the method used, statistic, p-value (tests) and drift flag."""
+    chosen = {c: rules.numeric_method for c in numeric} | {c: rules.categorical_method for c in categorical}
+    chosen |= methods or {}
+    out = df.sparkSession.createDataFrame(
+        [], "column string, test string, statistic double, p_value double, drifted boolean")
+    for method in sorted(set(chosen.values())):
+        found = _METHODS[method](df, [c for c, m in chosen.items() if m == method], dataset)
+        if method in _TESTS:
+            p, drifted = F.col("p_value"), F.col("p_value") < rules.p_threshold
         else:
-            c = chi2_test(df, cat, dataset)
-            parts.append(c.select("column", F.lit("chi2").alias("test"), "statistic", "p_value",
-                                  (F.col("p_value") < rules.p_threshold).alias("drifted")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out if parts else spark.createDataFrame([], "column string, test string, statistic double, "
-                                                       "p_value double, drifted boolean")
+            p, drifted = F.lit(None).cast("double"), F.col("statistic") >= rules.distance_threshold
+        out = out.unionByName(found.select("column", F.lit(method).alias("test"), "statistic", p.alias("p_value"),
+                                           F.coalesce(drifted, F.lit(False)).alias("drifted")))
+    return out
 
 
 def dataset_drift(columns: DataFrame, rules: DriftRules = DriftRules()) -> DataFrame:
-    """Share of drifted columns and the dataset flag (share >= threshold)."""
+    """Share of drifted columns and the dataset flag (share >= threshold); no columns: null
+    share, no drift."""
+    share = F.try_divide(F.col("n_drifted"), F.col("n_columns"))
     return columns.agg(F.count(F.lit(1)).alias("n_columns"),
                        F.count_if("drifted").alias("n_drifted")).select(
-        "n_columns", "n_drifted", (F.col("n_drifted") / F.col("n_columns")).alias("share"),
-        (F.col("n_drifted") / F.col("n_columns") >= rules.dataset_share).alias("dataset_drift"))
+        "n_columns", "n_drifted", share.alias("share"),
+        F.coalesce(share >= rules.dataset_share, F.lit(False)).alias("dataset_drift"))
 
 
 def data_summary(df: DataFrame, numeric: list[str], categorical: list[str],

@@ -19,16 +19,16 @@ from pyspark.sql import types as T
 
 def error_state(stream: DataFrame, model: tuple[DataFrame, DataFrame], key: str, target: str,
                 period: str) -> DataFrame:
-    """Streaming per-period sums: n, sum(e^2), sum(|e|), sum(e), sum(y), sum(y^2)."""
+    """Streaming per-period statistics of the rows that have a target: n, sum(e^2), sum(|e|),
+    sum(e) and the target's population variance (kept by Spark as count, mean and M2)."""
     per_key, overall = model
     fallback = overall.first()["_fallback"]          # one number fitted on the reference period
+    y = F.col(target)
     scored = stream.join(per_key, key, "left").withColumn(
         "_e", F.coalesce(F.col("_pred"), F.lit(fallback)) - F.col(target))
-    y = F.col(target)
-    return scored.groupBy(period).agg(
+    return scored.where(y.isNotNull()).groupBy(period).agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col("_e") * F.col("_e")).alias("sse"),
-        F.sum(F.abs("_e")).alias("sae"), F.sum("_e").alias("se"), F.sum(y).alias("sy"),
-        F.sum(y * y).alias("syy"))
+        F.sum(F.abs("_e")).alias("sae"), F.sum("_e").alias("se"), F.var_pop(y).alias("vy"))
 
 
 def run_period_monitor(spark: SparkSession, files_dir: str, schema: T.StructType,
@@ -51,10 +51,10 @@ def run_period_monitor(spark: SparkSession, files_dir: str, schema: T.StructType
 def period_reports(spark: SparkSession, reports_path: str, period: str) -> DataFrame:
     """Latest snapshot per period turned into RMSE, R2, MAE and mean error."""
     snaps = spark.read.parquet(reports_path)
-    cols = ["n", "sse", "sae", "se", "sy", "syy"]
+    cols = ["n", "sse", "sae", "se", "vy"]
     last = snaps.groupBy(period).agg(F.max_by(F.struct(*cols), F.col("batch_id")).alias("s")).select(
         period, *[F.col(f"s.{c}").alias(c) for c in cols])
-    sst = F.col("syy") - F.col("sy") * F.col("sy") / F.col("n")
+    sst = F.col("vy") * F.col("n")
     return last.select(period, "n", F.sqrt(F.col("sse") / F.col("n")).alias("rmse"),
                        (1 - F.try_divide(F.col("sse"), sst)).alias("r2"),
                        (F.col("sae") / F.col("n")).alias("mae"), (F.col("se") / F.col("n")).alias("mean_error"))
