@@ -64,18 +64,37 @@ def test_midranks_match_pandas(spark, skewed):
     assert np.allclose(m["midrank"], m["r"])
 
 
-def test_hot_group_is_spread_over_partitions(spark, skewed):
-    """The premise of the primitive: after pre-aggregation, range partitioning on
-    (group, value) splits the group holding most rows over several partitions, and every
-    partition holds about the same number of distinct (group, value) rows."""
+@pytest.fixture()
+def many_ranges(monkeypatch):
+    from tilth.operators import ordered
+    monkeypatch.setattr(ordered, "ROWS_PER_RANGE", 40)
+
+
+def test_hot_group_is_spread_over_ranges(spark, skewed, many_ranges):
+    """The premise of the primitive: the group holding most rows is split over many ranges,
+    and every range holds about the same number of distinct (group, value) rows."""
+    from tilth.operators.ordered import with_ranges
     df = spark.createDataFrame(skewed).groupBy("g", "v").agg(F.count(F.lit(1)).alias("cnt"))
-    tagged = df.repartitionByRange(8, "g", "v").withColumn("pid", F.spark_partition_id())
-    spread = {r["g"]: r["n"] for r in tagged.groupBy("g").agg(F.countDistinct("pid").alias("n")).collect()}
-    sizes = [r["c"] for r in tagged.groupBy("pid").agg(F.count(F.lit(1)).alias("c")).collect()]
-    assert spread["hot"] >= 3, spread
-    assert max(sizes) <= 2 * sum(sizes) / 8, sizes
-    # and the result does not depend on how it was spread
-    vc = df.toPandas()
-    got = running_sums(df, ["g"], "v", ["cnt"]).where(F.col("g") == "hot").agg(
-        F.max("cnt_total").alias("t")).first()["t"]
-    assert got == int(vc[vc["g"] == "hot"]["cnt"].sum())
+    cut, n = with_ranges(df, "v")
+    sizes = [r["c"] for r in cut.groupBy("_rs_range").agg(F.count(F.lit(1)).alias("c")).collect()]
+    hot = cut.where("g = 'hot'").select("_rs_range").distinct().count()
+    assert n >= 8 and hot >= n // 2
+    assert max(sizes) <= 3 * sum(sizes) / len(sizes), sizes
+
+
+def test_many_ranges_give_the_same_sums(spark, skewed, many_ranges):
+    test_running_sums_match_bruteforce(spark, skewed)
+    test_quantiles_match_numpy_linear(spark, skewed)
+
+
+@pytest.mark.parametrize("kind", ["string", "date", "timestamp_ntz", "bigint"])
+def test_ranges_of_other_types(spark, kind, many_ranges):
+    df = spark.range(300).select(
+        F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise("g").alias("g"),
+        {"string": F.md5(F.col("id").cast("string")), "date": F.date_add(F.lit("2020-01-01").cast("date"), F.col("id").cast("int")),
+         "timestamp_ntz": F.timestamp_micros(F.col("id") * 10**9).cast("timestamp_ntz"), "bigint": F.col("id") * 10**15}[kind].alias("v"),
+        (F.col("id") + 1).alias("x"))
+    got = running_sums(df, ["g"], "v", ["x"]).toPandas().sort_values(["v"]).reset_index(drop=True)
+    for _, sub in got.groupby("g", dropna=False):
+        assert (sub["x_before"] == sub["x"].cumsum() - sub["x"]).all() and (sub["x_total"] == sub["x"].sum()).all()
+        assert sub["prev_v"].isna().sum() == 1 and (sub["prev_v"].iloc[1:].values == sub["v"].iloc[:-1].values).all()

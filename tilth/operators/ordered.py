@@ -6,77 +6,58 @@ listings all need "how many rows of this group come before value v".  A window
 a group holding a third of the data would sit in a single task.  Instead:
 
 1. callers pre-aggregate to one row per (group, value) with counts (map-side
-   combine, so duplicated values never travel twice);
-2. the distinct table is range-partitioned on (group, value): a hot group is
-   spread over many contiguous partitions;
-3. each partition computes its local exclusive prefix sums (Arrow batches);
-4. the tiny (partition, group) totals table gives each partition its offset;
-5. offsets are joined back (the totals table has at most
-   ``#partitions + #groups`` rows; AQE broadcasts it when small).
-
-The partition-tagged table is checkpointed so both consumers of step 3 see the
-same partitioning, including after executor loss.
+   combine, so duplicated values never travel twice); that table is stored once;
+2. its values are cut into ranges of about ``ROWS_PER_RANGE`` rows at approximate
+   quantiles (at most ``MAX_RANGES`` numbers reach the driver), the same for all
+   groups, so a hot group is spread over many ranges;
+3. a window over (group, range) gives the sums inside a range, and a table with a
+   row for each (group, range) gives every range its offset.
+
+Everything runs in the JVM.  The cuts only spread the work: any cuts give the same result.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-import pandas as pd
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.ml.feature import Bucketizer
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tilth.session import materialize
 
-_PID = "_rs_pid"
-_GKEY = "_rs_all"
-
-
-def _local_prefix(group_cols, order_col, sum_cols):
-    """Per-partition exclusive prefix sums and previous value, carried across batches."""
-
-    def run(batches):
-        pid = TaskContext.get().partitionId()
-        carry_key = None
-        carry_sums = None
-        carry_prev = None
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            pdf = pdf.reset_index(drop=True)
-            for c in sum_cols:
-                pdf[c] = pdf[c].fillna(0)
-            keys = [pdf[g] for g in group_cols]
-            # group boundary: any key differs from the previous row
-            change = pd.Series(False, index=pdf.index)
-            for k in keys:
-                prev = k.shift(1)
-                both_null = k.isna() & prev.isna()
-                change |= ~((k == prev) | both_null)
-            change.iloc[0] = True
-            seg = change.cumsum()
-            first_key = tuple(None if pd.isna(v) else v for v in (k.iloc[0] for k in keys))
-            continues = carry_key is not None and first_key == carry_key
-            for i, c in enumerate(sum_cols):
-                before = pdf.groupby(seg)[c].cumsum() - pdf[c]
-                if continues:
-                    before = before.where(seg != 1, before + carry_sums[i])
-                pdf[c + "_before"] = before
-            prev_val = pdf.groupby(seg)[order_col].shift(1)
-            if continues:
-                prev_val = prev_val.astype(object)
-                prev_val.iloc[0] = carry_prev
-            pdf["prev_" + order_col] = prev_val
-            last = pdf.iloc[-1]
-            carry_key = tuple(None if pd.isna(last[g]) else last[g] for g in group_cols)
-            carry_sums = [last[c + "_before"] + last[c] for c in sum_cols]
-            carry_prev = last[order_col]
-            pdf[_PID] = pid
-            yield pdf
-
-    return run
+ROWS_PER_RANGE = 100_000
+MAX_RANGES = 1000
+
+_RANGE = "_rs_range"
+
+
+def _code(df: DataFrame, c: str) -> Column:
+    """A number that never falls where the column rises (text: its first six bytes)."""
+    kind, col = df.schema[c].dataType, F.col(c)
+    if isinstance(kind, T.StringType):
+        head = F.rpad(F.hex(F.substring(col.cast("binary"), 1, 6)), 12, "0")
+        return F.conv(head, 16, 10).cast("double")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(col).cast("double")
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(col.cast("timestamp")).cast("double")
+    return col.cast("double")
+
+
+def with_ranges(df: DataFrame, order_col: str) -> tuple[DataFrame, int]:
+    """Add the number of the row's range; also the number of ranges."""
+    wanted = min(MAX_RANGES, df.count() // ROWS_PER_RANGE)
+    if wanted < 2:
+        return df.withColumn(_RANGE, F.lit(0.0)), 1
+    coded = df.withColumn("_rs_code", _code(df, order_col))
+    cuts = coded.agg(F.percentile_approx("_rs_code", [i / wanted for i in range(1, wanted)], 20 * wanted)).first()[0]
+    inner = sorted({x for x in cuts if abs(x) != float("inf")})
+    if not inner:
+        return df.withColumn(_RANGE, F.lit(0.0)), 1
+    cutter = Bucketizer(splits=[float("-inf"), *inner, float("inf")], inputCol="_rs_code", outputCol=_RANGE)
+    return cutter.transform(coded).drop("_rs_code"), len(inner) + 1
 
 
 def running_sums(df: DataFrame, group_cols: list[str], order_col: str,
@@ -84,48 +65,35 @@ def running_sums(df: DataFrame, group_cols: list[str], order_col: str,
     """For a table distinct on (group_cols, order_col) with non-null order values, add
     ``<c>_before`` (sum of c over smaller values in the group), ``<c>_total`` (group
     total) and ``prev_<order_col>`` (previous distinct value in the group, null first)."""
-    spark = df.sparkSession
-    group_cols = list(group_cols)
-    if not group_cols:
-        df = df.withColumn(_GKEY, F.lit(0))
-        gcols = [_GKEY]
-    else:
-        gcols = group_cols
-    keys = gcols + [order_col]
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    fields = [df.schema[c] for c in gcols + [order_col] + list(sum_cols)]
-    out_schema = T.StructType(
-        [T.StructField(f.name, f.dataType, True) for f in fields]
-        + [T.StructField(c + "_before", df.schema[c].dataType, True) for c in sum_cols]
-        + [T.StructField("prev_" + order_col, df.schema[order_col].dataType, True),
-           T.StructField(_PID, T.IntegerType(), False)])
-    parted = (df.select(*keys, *sum_cols)
-              .repartitionByRange(n, *keys)
-              .sortWithinPartitions(*keys))
-    local = materialize(parted.mapInPandas(_local_prefix(gcols, order_col, list(sum_cols)),
-                                           out_schema))
-    totals = local.groupBy(_PID, *gcols).agg(
-        *[F.sum(c).alias("_pt_" + c) for c in sum_cols],
-        F.max(order_col).alias("_plast"))
-    w_before = Window.partitionBy(*gcols).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    w_all = Window.partitionBy(*gcols)
-    w_lag = Window.partitionBy(*gcols).orderBy(_PID)
-    offsets = totals.select(
-        _PID, *[F.col(g).alias("_o_" + g) for g in gcols],
-        *[F.coalesce(F.sum("_pt_" + c).over(w_before), F.lit(0)).alias("_off_" + c) for c in sum_cols],
-        *[F.sum("_pt_" + c).over(w_all).alias(c + "_total") for c in sum_cols],
-        F.lag("_plast").over(w_lag).alias("_pprev"))
-    cond = reduce(lambda a, b: a & b,
-                  [local[_PID] == offsets[_PID]]
-                  + [local[g].eqNullSafe(offsets["_o_" + g]) for g in gcols])
-    joined = local.join(offsets, cond, "inner")
-    out = joined.select(
-        *[local[g] for g in group_cols], local[order_col],
-        *[local[c] for c in sum_cols],
-        *[(local[c + "_before"] + offsets["_off_" + c]).alias(c + "_before") for c in sum_cols],
-        *[offsets[c + "_total"] for c in sum_cols],
-        F.coalesce(local["prev_" + order_col], offsets["_pprev"]).alias("prev_" + order_col))
-    return out
+    groups, sums = list(group_cols), list(sum_cols)
+    stored = materialize(df.select(*groups, order_col, *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in sums]))
+    base, n_ranges = with_ranges(stored, order_col)
+    inside = Window.partitionBy(*groups, _RANGE).orderBy(order_col)
+    earlier = inside.rowsBetween(Window.unboundedPreceding, -1)
+    local = base.select(
+        "*", *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(c + "_before") for c in sums],
+        F.lag(order_col).over(inside).alias("prev_" + order_col))
+    keep = [*groups, order_col, *sums]
+    prev = F.col("prev_" + order_col)
+    if n_ranges == 1:
+        whole = Window.partitionBy(*groups, _RANGE)
+        return local.select(*keep, *[c + "_before" for c in sums],
+                            *[F.sum(c).over(whole).alias(c + "_total") for c in sums], prev)
+    per_range = base.groupBy(*groups, _RANGE).agg(
+        *[F.sum(c).alias("_s_" + c) for c in sums], F.max(order_col).alias("_last"))
+    ahead = Window.partitionBy(*groups).orderBy(_RANGE)
+    w_all = Window.partitionBy(*groups)
+    offsets = per_range.select(
+        F.col(_RANGE).alias("_o_range"), *[F.col(g).alias("_o_" + g) for g in groups],
+        *[F.coalesce(F.sum("_s_" + c).over(ahead.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off_" + c)
+          for c in sums],
+        *[F.sum("_s_" + c).over(w_all).alias(c + "_total") for c in sums],
+        F.lag("_last").over(ahead).alias("_last_before"))
+    same = reduce(lambda a, b: a & b, [F.col(_RANGE) == F.col("_o_range")]
+                  + [F.col(g).eqNullSafe(F.col("_o_" + g)) for g in groups])
+    return local.join(offsets, same).select(
+        *keep, *[(F.col(c + "_before") + F.col("_off_" + c)).alias(c + "_before") for c in sums],
+        *[c + "_total" for c in sums], F.coalesce(prev, F.col("_last_before")).alias("prev_" + order_col))
 
 
 def value_counts_by(df: DataFrame, group_cols: list[str], value_col: str,
@@ -177,8 +145,12 @@ def midranks(df: DataFrame, group_cols: list[str], value_col: str) -> DataFrame:
     """Mid-rank of every distinct value inside each group (ties share the average rank).
 
     Returns group_cols, value, cnt, midrank, n (group size)."""
-    vc = value_counts_by(df, group_cols, value_col)
-    rs = running_sums(vc, group_cols, value_col, ["cnt"])
+    return midranks_of_counts(value_counts_by(df, group_cols, value_col), group_cols, value_col)
+
+
+def midranks_of_counts(counts: DataFrame, group_cols: list[str], value_col: str) -> DataFrame:
+    """The same from a table of counts (``cnt``) of each (group, value)."""
+    rs = running_sums(counts, group_cols, value_col, ["cnt"])
     return rs.select(*group_cols, value_col, "cnt",
                      (F.col("cnt_before") + (F.col("cnt") + 1) / 2.0).alias("midrank"),
                      F.col("cnt_total").alias("n"))
