@@ -11,12 +11,15 @@ candidate feature of a stacked long table), from per-group aggregates:
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tilth.functions.stats import chi2_pvalue, f_pvalue, nan_to_null, norm_pvalue, t_pvalue
 from tilth.operators.common import with_scalars
-from tilth.operators.ordered import exact_quantiles, midranks
+from tilth.operators.ordered import exact_quantiles, midranks_of_counts
+from tilth.session import materialize
 
 
 def _keyed(df: DataFrame, by: list[str]) -> tuple[DataFrame, list[str]]:
@@ -98,8 +101,10 @@ def ttest_pooled(df: DataFrame, by: list[str], group: str, value: str, a, b) ->
 def rank_sums(df: DataFrame, by: list[str], group: str, value: str) -> tuple[DataFrame, DataFrame]:
     """Per (by, group): n and sum of pooled mid-ranks; per by: N and tie term sum(t^3 - t)."""
     clean = df.where(_finite(value) & F.col(group).isNotNull())
-    ranks = midranks(clean, by, value)
-    per_value = clean.groupBy(*by, group, value).agg(F.count(F.lit(1)).alias("_c"))
+    # one read of the rows: counts by group and value; the pooled counts come from them
+    per_value = materialize(clean.groupBy(*by, group, value).agg(F.count(F.lit(1)).alias("_c")))
+    pooled = per_value.groupBy(*by, value).agg(F.sum("_c").alias("cnt"))
+    ranks = midranks_of_counts(pooled, by, value)
     sums = per_value.join(ranks.select(*by, value, "midrank"), by + [value]).groupBy(*by, group).agg(
         F.sum("_c").alias("n_g"), F.sum(F.col("_c") * F.col("midrank")).alias("rank_sum"))
     ties = ranks.groupBy(*by).agg(
@@ -118,13 +123,14 @@ def mann_whitney(df: DataFrame, by: list[str], group: str, value: str, a, b) ->
         F.max(F.when(F.col(group) == b, F.col("n_g"))).alias("n2"),
         F.max(F.when(F.col(group) == a, F.col("rank_sum"))).alias("_r1"))
     s = _join_summaries(s, ties, keys)
-    n1, n2, n = F.col("n1"), F.col("n2"), F.col("n_total")
+    n1, n2, n = [F.col(c).cast("double") for c in ("n1", "n2", "n_total")]   # products of counts pass 2^63
     u1 = F.col("_r1") - n1 * (n1 + 1) / 2.0
     s = s.withColumn("u", u1)
     mu = n1 * n2 / 2.0
     sigma = F.sqrt(n1 * n2 / 12.0 * ((n + 1) - F.try_divide(F.col("tie_term"), n * (n - 1))))
     big = F.greatest(F.col("u"), n1 * n2 - F.col("u"))
-    s = s.withColumn("z", F.try_divide(big - mu - 0.5, sigma))
+    # at its mean U is no evidence: the continuity correction must not turn it negative
+    s = s.withColumn("z", F.try_divide(F.greatest(big - mu - 0.5, F.lit(0.0)), sigma))
     s = s.withColumn("p_value", F.least(F.lit(1.0), nan_to_null(norm_pvalue("z"))))
     return _drop_all(s.select(*keys, "n1", "n2", "u", "z", "p_value"), by)
 
@@ -133,15 +139,20 @@ def kruskal(df: DataFrame, by: list[str], group: str, value: str) -> DataFrame:
     """Kruskal-Wallis H with tie correction; p from chi-square with k-1 degrees of freedom."""
     df, keys = _keyed(df, by)
     sums, ties = rank_sums(df, keys, group, value)
-    s = sums.groupBy(*keys).agg(F.count(F.lit(1)).alias("k"),
-                                F.sum(F.pow(F.col("rank_sum"), 2) / F.col("n_g")).alias("_q"))
-    s = _join_summaries(s, ties, keys)
+    return _drop_all(_kruskal_h(_join_summaries(sums, ties, keys), keys), by)
+
+
+def _kruskal_h(sums: DataFrame, keys: list[str]) -> DataFrame:
+    """H from one row per (test, group): n_g, rank_sum, and the test's n_total and tie_term."""
     n = F.col("n_total").cast("double")
-    h = F.try_divide(12.0 / (n * (n + 1)) * F.col("_q") - 3 * (n + 1),
-                     1 - F.try_divide(F.col("tie_term"), n * n * n - n))
+    gap = F.col("rank_sum") / F.col("n_g") - (n + 1) / 2.0      # no difference of two huge sums
+    s = sums.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("k"), F.sum(F.col("n_g") * gap * gap).alias("_q"),
+        F.max("n_total").alias("n_total"), F.max("tie_term").alias("tie_term"))
+    h = F.try_divide(12.0 / (n * (n + 1)) * F.col("_q"), 1 - F.try_divide(F.col("tie_term"), n * n * n - n))
     s = s.withColumn("h", h).withColumn("df", F.col("k") - 1)
     s = s.withColumn("p_value", nan_to_null(chi2_pvalue("h", "df")))
-    return _drop_all(s.select(*keys, "k", F.col("n_total").alias("n"), "h", "df", "p_value"), by)
+    return s.select(*keys, "k", F.col("n_total").alias("n"), "h", "df", "p_value")
 
 
 def pearson(df: DataFrame, by: list[str], x: str, y: str) -> DataFrame:
@@ -149,7 +160,9 @@ def pearson(df: DataFrame, by: list[str], x: str, y: str) -> DataFrame:
     df, keys = _keyed(df, by)
     s = df.where(_finite(x) & _finite(y)).groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"), F.corr(x, y).alias("r"))
-    s = s.withColumn("t", F.col("r") * F.sqrt(F.try_divide(F.col("n") - 2, 1 - F.col("r") * F.col("r"))))
+    r, left = F.col("r"), 1 - F.col("r") * F.col("r")
+    exact = F.when(F.col("n") > 2, F.signum(r) * F.lit(float("inf")))       # |r| = 1: p = 0
+    s = s.withColumn("t", F.when(left <= 0, exact).otherwise(r * F.sqrt(F.try_divide(F.col("n") - 2, left))))
     s = s.withColumn("p_value", nan_to_null(t_pvalue("t", F.col("n") - 2)))
     return _drop_all(s.select(*keys, "n", "r", "t", "p_value"), by)
 
@@ -175,12 +188,54 @@ def stack_features(df: DataFrame, features: list[str], target: str) -> DataFrame
     return df.select(pairs, F.col(target).alias("target")).select("kv.feature", "kv.level", "target")
 
 
+def kruskal_screen(df: DataFrame, features: list[str], target: str) -> DataFrame:
+    """Kruskal-Wallis of the target across the levels of every feature.
+
+    The target is ranked once for all features without nulls: its mid-ranks are joined
+    on the value and summed by (feature, level).  A feature with nulls has fewer rows and
+    so ranks of its own; those go through the stacked table."""
+    clean = df.where(_finite(target)).select(F.col(target).alias("target"), *[F.col(f).cast("string").alias(f) for f in features])
+    nulls = clean.agg(*[F.count_if(F.col(f).isNull()).alias(f) for f in features]).first()
+    whole = [f for f in features if not nulls[f]]
+    rest = [f for f in features if nulls[f]]
+    out = []
+    if whole:
+        ranks = midranks_of_counts(clean.groupBy("target").agg(F.count(F.lit(1)).alias("cnt")), [], "target")
+        level = F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).alias("level")) for f in whole])).alias("kv")
+        sums = clean.join(ranks.select("target", "midrank"), "target").select(level, "midrank").groupBy(
+            "kv.feature", "kv.level").agg(F.count(F.lit(1)).alias("n_g"), F.sum("midrank").alias("rank_sum"))
+        ties = ranks.agg(F.max("n").alias("n_total"),
+                         F.sum(F.pow(F.col("cnt").cast("double"), 3) - F.col("cnt")).alias("tie_term"))
+        out.append(_kruskal_h(with_scalars(sums, ties), ["feature"]))
+    if rest:
+        out.append(kruskal(stack_features(clean, rest, "target"), ["feature"], "level", "target"))
+    return reduce(lambda a, b: a.unionByName(b), out)
+
+
 def feature_screen(df: DataFrame, categorical: list[str], target: str, alpha: float = 0.05) -> DataFrame:
-    """Kruskal-Wallis of the target across the levels of every categorical feature, in
-    one job over the stacked table; keep features with p < alpha."""
-    long = stack_features(df, categorical, target)
-    k = kruskal(long, ["feature"], "level", "target")
-    return k.withColumn("keep", F.col("p_value") < alpha)
+    """Kruskal-Wallis of the target across the levels of every categorical feature; keep
+    features with p < alpha."""
+    return kruskal_screen(df, categorical, target).withColumn("keep", F.col("p_value") < alpha)
+
+
+def screen(df: DataFrame, categorical: list[str], numeric: list[str], target: str, alpha: float = 0.05,
+           parametric: bool = False) -> DataFrame:
+    """(feature, test, statistic, p_value, keep) of all candidate features: Pearson for numeric
+    ones (one aggregate for all), ANOVA (``parametric``) or Kruskal-Wallis for categorical ones."""
+    out = []
+    if categorical and parametric:
+        a = anova(stack_features(df, categorical, target), ["feature"], "level", "target")
+        out.append(a.select("feature", F.lit("anova").alias("test"), F.col("f").alias("statistic"), "p_value"))
+    elif categorical:
+        k = kruskal_screen(df, categorical, target)
+        out.append(k.select("feature", F.lit("kruskal").alias("test"), F.col("h").alias("statistic"), "p_value"))
+    if numeric:
+        pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("x"))
+                                    for c in numeric])).alias("kv")
+        long = df.select(F.col(target).cast("double").alias("y"), pairs).select("y", "kv.feature", "kv.x")
+        out.append(pearson(long, ["feature"], "x", "y").select(
+            "feature", F.lit("pearson").alias("test"), F.col("r").alias("statistic"), "p_value"))
+    return reduce(lambda a, b: a.unionByName(b), out).withColumn("keep", F.col("p_value") < alpha)
 
 
 def test_router(df: DataFrame, by: list[str], group: str, value: str, alpha: float = 0.05) -> DataFrame:

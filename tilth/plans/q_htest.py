@@ -146,6 +146,23 @@ def feature_screen(spark, d):
     return rounded(out, {"h": 6, "p_value": 6}).withColumn("keep", F.col("p_value") < 0.05)
 
 
+@query("feature_screen_mixed", with_ctes(V_MODEL) + """,
+g AS (SELECT l_returnflag, count(*) AS n, avg(target) AS m, var_samp(target) AS v FROM v_model GROUP BY 1),
+t AS (SELECT count(*) AS k, sum(n) AS nn, sum(n * m) / sum(n) AS gm, sum((n - 1) * v) AS ssw FROM g),
+f AS (SELECT (sum(g.n * (g.m - t.gm) ^ 2) / (max(t.k) - 1)) / (max(t.ssw) / (max(t.nn) - max(t.k))) AS f,
+             max(t.nn) - max(t.k) AS d2 FROM g, t)
+SELECT 'l_returnflag' AS feature, 'anova' AS test, round(f, 6) AS statistic, round(pow(d2 / (d2 + 2 * f), d2 / 2.0), 6) AS p_value,
+       pow(d2 / (d2 + 2 * f), d2 / 2.0) < 0.05 AS keep FROM f
+UNION ALL
+SELECT unnest(['l_quantity', 'l_discount']), 'pearson',
+       unnest([round(corr(l_quantity, target), 6), round(corr(l_discount, target), 6)]), 0.0, true FROM v_model""")
+def feature_screen_mixed(spark, d):
+    """The parametric branch: ANOVA for the three-level flag, Pearson for the numeric
+    features that make up the target (so far from chance that p is 0 to six places)."""
+    out = H.screen(v_model(spark, d), ["l_returnflag"], ["l_quantity", "l_discount"], "target", parametric=True)
+    return rounded(out, {"statistic": 6, "p_value": 6})
+
+
 @query("test_router", """
 WITH src AS (SELECT 'l_extendedprice' AS target_name, l_returnflag AS grp, l_extendedprice AS x FROM lineitem
              UNION ALL SELECT 'l_quantity', l_returnflag, l_quantity FROM lineitem),
