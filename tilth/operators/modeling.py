@@ -9,18 +9,23 @@ plain aggregates: sufficient statistics per fold, one pass, no model objects.
 
 from __future__ import annotations
 
+import itertools
 import math
 import random
+from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.ml.stat import Summarizer
+from pyspark.ml.tuning import CrossValidator
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tilth.operators.common import with_scalars
 from tilth.operators.encode import hash_unit, ml_encoder
 
 
@@ -38,30 +43,38 @@ def simple_ols(df: DataFrame, x: str, y: str, by: list[str] | None = None) -> Da
         F.regr_r2(y, x).alias("r2"), F.count(F.lit(1)).alias("n"))
 
 
-def kfold_simple_ols(df: DataFrame, x: str, y: str, key: str, k: int = 5, seed: int = 7) -> DataFrame:
-    """Held-out MSE per fold of one-feature least squares fitted on the other folds.
-
-    Per-fold sums (n, Sx, Sy, Sxx, Sxy) are one aggregate; training statistics of a
-    fold are totals minus that fold; the k coefficient rows are broadcast back."""
-    d = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(
-        fold_column(key, k, seed), F.col(x).alias("_x"), F.col(y).alias("_y"))
-    s = d.groupBy("fold").agg(F.count(F.lit(1)).alias("n"), F.sum("_x").alias("sx"), F.sum("_y").alias("sy"),
-                              F.sum(F.col("_x") * F.col("_x")).alias("sxx"),
-                              F.sum(F.col("_x") * F.col("_y")).alias("sxy"))
-    stats = ["n", "sx", "sy", "sxx", "sxy"]
-    totals = s.agg(*[F.sum(c).alias("_t_" + c) for c in stats])   # one row: a scalar subquery
-    t = with_scalars(s, totals).select("fold", *[(F.col("_t_" + c) - F.col(c)).alias(c) for c in stats])
-    slope = F.try_divide(F.col("n") * F.col("sxy") - F.col("sx") * F.col("sy"),
-                         F.col("n") * F.col("sxx") - F.col("sx") * F.col("sx"))
-    coef = t.select("fold", slope.alias("b"), "sx", "sy", "n").select(
-        "fold", "b", ((F.col("sy") - F.col("b") * F.col("sx")) / F.col("n")).alias("a"))
-    err = d.join(F.broadcast(coef), "fold").select(
-        "fold", F.pow(F.col("_y") - F.col("a") - F.col("b") * F.col("_x"), 2).alias("e2"))
-    return err.groupBy("fold").agg(F.avg("e2").alias("mse"), F.count(F.lit(1)).alias("n"))
-
-
-def cv_loss(fold_losses: DataFrame) -> DataFrame:
-    return fold_losses.agg(F.avg("mse").alias("cv_mse"), F.count(F.lit(1)).alias("folds"))
+def kfold_simple_ols(df: DataFrame, x: str, y: str, key: str, k: int = 5, seed: int = 7,
+                     by: list[str] | None = None) -> DataFrame:
+    """Held-out MSE per fold (and ``by`` group) of one-feature least squares fitted on the
+    other folds, from one pass over the rows.
+
+    Per-fold count, means and centred moments are one aggregate.  The moments of the
+    other folds are the total's less the fold's, and the error on the fold is a function
+    of its own moments, so neither needs the rows again."""
+    by = list(by or [])
+    ok = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(*by, fold_column(key, k, seed), x, y)
+    s = ok.groupBy(*by, "fold").agg(
+        F.count(F.lit(1)).alias("n"), F.avg(x).alias("mx"), F.avg(y).alias("my"), F.var_pop(x).alias("vx"),
+        F.var_pop(y).alias("vy"), F.covar_pop(x, y).alias("cxy")).withColumn("_all", F.lit(0))
+    w = Window.partitionBy(*by, "_all")                     # k rows
+    n = F.col("n")
+    s = s.select("*", F.sum("n").over(w).alias("_n_all"), (F.sum(n * F.col("mx")).over(w) / F.sum("n").over(w)).alias("_x_all"),
+                 (F.sum(n * F.col("my")).over(w) / F.sum("n").over(w)).alias("_y_all"))
+    dx, dy = F.col("mx") - F.col("_x_all"), F.col("my") - F.col("_y_all")
+    s = s.select("*", (F.col("_n_all") - n).alias("rest"), F.sum(n * (F.col("vx") + dx * dx)).over(w).alias("_sxx"),
+                 F.sum(n * (F.col("cxy") + dx * dy)).over(w).alias("_sxy"))
+    tx, ty = [(F.col("_n_all") * F.col(t) - n * F.col(m)) / F.col("rest") for t, m in (("_x_all", "mx"), ("_y_all", "my"))]
+    gx, gy = F.col("mx") - tx, F.col("my") - ty
+    share = n * F.col("rest") / F.col("_n_all")
+    slope = F.try_divide(F.col("_sxy") - n * F.col("cxy") - share * gx * gy, F.col("_sxx") - n * F.col("vx") - share * gx * gx)
+    coef = s.withColumn("b", slope).withColumn("off", gy - F.col("b") * gx)
+    b = F.col("b")
+    mse = F.col("vy") - 2 * b * F.col("cxy") + b * b * F.col("vx") + F.col("off") * F.col("off")
+    return coef.select(*by, "fold", mse.alias("mse"), "n")
+
+
+def cv_loss(fold_losses: DataFrame, by: list[str] | None = None) -> DataFrame:
+    return fold_losses.groupBy(*(by or [])).agg(F.avg("mse").alias("cv_mse"), F.count(F.lit(1)).alias("folds"))
 
 
 def trial_summary(trials: DataFrame, loss: str = "cv_mse") -> DataFrame:
@@ -72,12 +85,14 @@ def trial_summary(trials: DataFrame, loss: str = "cv_mse") -> DataFrame:
 
 
 def regression_metrics(scored: DataFrame, target: str, prediction: str, by: list[str]) -> DataFrame:
-    """RMSE, R2 = 1 - SSE/SST, MAE and mean error per group."""
+    """RMSE, R2 = 1 - SSE/SST, MAE and mean error per group, over the rows that have both a
+    target and a prediction."""
     e = F.col(prediction) - F.col(target)
     y = F.col(target)
-    agg = scored.groupBy(*by).agg(
+    ok = scored.where(y.isNotNull() & F.col(prediction).isNotNull())
+    agg = ok.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n"), F.sum(e * e).alias("_sse"),
-        (F.sum(y * y) - F.pow(F.sum(y), 2) / F.count(F.lit(1))).alias("_sst"),
+        (F.var_pop(y) * F.count(F.lit(1))).alias("_sst"),
         F.avg(F.abs(e)).alias("mae"), F.avg(e).alias("mean_error"))
     return agg.select(*by, "n", F.sqrt(F.col("_sse") / F.col("n")).alias("rmse"),
                       (1 - F.try_divide(F.col("_sse"), F.col("_sst"))).alias("r2"), "mae", "mean_error")
@@ -90,6 +105,163 @@ def leaderboard(predictions_long: DataFrame, target: str = "target", prediction:
     return m.orderBy("rmse", model)
 
 
+# ---- linear models from one pass ----------------------------------------------------
+
+MAX_FEATURES = 2000     # the moment matrix of this many features is 32 MB a fold
+
+
+@dataclass(frozen=True)
+class Moments:
+    """n, means and centred cross products of (features, target) of some rows."""
+    n: float
+    mean: np.ndarray
+    cross: np.ndarray
+
+    def __sub__(self, other: Moments) -> Moments:
+        n = self.n - other.n
+        mean = (self.n * self.mean - other.n * other.mean) / n
+        gap = other.mean - mean
+        return Moments(n, mean, self.cross - other.cross - np.outer(gap, gap) * other.n * n / self.n)
+
+
+def _fold_sums(schema: pa.Schema):
+    def run(batches):
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            rows = np.stack(batch.column("row").to_numpy(zero_copy_only=False)) if batch.num_rows else np.empty((0, 1))
+            rows = np.hstack([np.ones((len(rows), 1)), rows])
+            folds = batch.column("fold").to_numpy(zero_copy_only=False)
+            for f in np.unique(folds):
+                x = rows[folds == f]
+                sums[int(f)] = sums.get(int(f), 0) + x.T @ x
+        for f, m in sums.items():
+            yield pa.RecordBatch.from_arrays([pa.array([f], pa.int32()), pa.array([m.ravel()], pa.list_(pa.float64()))],
+                                             schema=schema)
+    return run
+
+
+def fold_moments(encoded: DataFrame, features: str = "features", label: str = "target",
+                 fold: str = "fold") -> dict[int, Moments]:
+    """Moments of every fold from one pass over rows shifted by their overall means (so
+    large values do not cancel).  What reaches the driver is a p x p matrix a fold."""
+    row = F.concat(vector_to_array(F.col(features)), F.array(F.col(label).cast("double")))
+    rows = encoded.where(F.col(label).isNotNull()).select(F.col(fold).cast("int").alias("fold"), row.alias("row"))
+    stats = encoded.where(F.col(label).isNotNull()).agg(
+        Summarizer.mean(F.col(features)).alias("m"), F.avg(label).alias("t")).first()
+    shift = [*stats["m"].toArray().tolist(), float(stats["t"])]
+    if len(shift) > MAX_FEATURES:
+        raise ValueError(f"{len(shift) - 1} features; the one-pass solution takes at most {MAX_FEATURES - 1}")
+    moved = rows.select("fold", F.zip_with("row", F.array(*[F.lit(x) for x in shift]), lambda a, b: a - b).alias("row"))
+    schema = pa.schema([("fold", pa.int32()), ("m", pa.list_(pa.float64()))])
+    summed = moved.mapInArrow(_fold_sums(schema), "fold int, m array<double>").select(
+        "fold", F.posexplode("m").alias("at", "x")).groupBy("fold", "at").agg(F.sum("x").alias("x")).collect()
+    p = len(shift) + 1
+    out: dict[int, Moments] = {}
+    for f in {r["fold"] for r in summed}:
+        m = np.zeros(p * p)
+        for r in summed:
+            if r["fold"] == f:
+                m[r["at"]] = r["x"]
+        m = m.reshape(p, p)
+        n, mean = m[0, 0], m[0, 1:] / m[0, 0]
+        out[f] = Moments(n, mean + np.array(shift), m[1:, 1:] - n * np.outer(mean, mean))
+    return out
+
+
+def merge(parts: list[Moments]) -> Moments:
+    n = sum(m.n for m in parts)
+    mean = sum(m.n * m.mean for m in parts) / n
+    return Moments(n, mean, sum(m.cross + m.n * np.outer(m.mean - mean, m.mean - mean) for m in parts))
+
+
+def solve_linear(m: Moments, alpha: float, kind: str = "ridge", sweeps: int = 5000) -> tuple[np.ndarray, float]:
+    """Weights and intercept on the raw features of ridge (|y - Xw|^2 + alpha |w|^2) or lasso
+    (|y - Xw|^2 / 2n + alpha |w|_1) fitted on standardised features; a feature without
+    spread gets no weight."""
+    sd = np.sqrt(np.diag(m.cross)[:-1] / m.n)
+    live = sd > 1e-12
+    scale = np.where(live, sd, 1.0)
+    g = m.cross[:-1, :-1] / np.outer(scale, scale)
+    c = np.where(live, m.cross[:-1, -1] / scale, 0.0)
+    w = np.zeros(len(c))
+    if kind == "ridge":
+        at = np.flatnonzero(live)
+        # minimum-norm solution where alpha is 0 and features depend on each other
+        w[at] = np.linalg.lstsq(g[np.ix_(at, at)] + alpha * np.eye(len(at)), c[at], rcond=1e-12)[0]
+    else:
+        for _ in range(sweeps):
+            before = w.copy()
+            for j in np.flatnonzero(live):
+                r = (c[j] - g[j] @ w + g[j, j] * w[j]) / m.n
+                w[j] = np.sign(r) * max(0.0, abs(r) - alpha) / (g[j, j] / m.n)
+            if np.abs(w - before).max() <= 1e-10 * max(1.0, np.abs(w).max()):
+                break
+    w = w / scale
+    return w, float(m.mean[-1] - w @ m.mean[:-1])
+
+
+def mse_of(m: Moments, w: np.ndarray, intercept: float) -> float:
+    """Mean squared error of a linear model on the rows behind the moments."""
+    d = np.append(-w, 1.0)
+    return float(d @ m.cross @ d / m.n + (m.mean[-1] - w @ m.mean[:-1] - intercept) ** 2)
+
+
+def search_linear(train: DataFrame, categorical: list[str], numeric: list[str], alphas: list[float], key: str,
+                  kind: str = "ridge", k: int = 5, seed: int = 7) -> tuple[DataFrame, dict[int, Moments]]:
+    """(trial, alpha, cv_mse) of every alpha by k hash folds, all from one pass over the rows."""
+    enc = ml_encoder(categorical, numeric).fit(train)
+    folds = fold_moments(enc.transform(train.withColumn("fold", fold_column(key, k, seed))))
+    whole = merge(list(folds.values()))
+    rows = [(i, float(a), float(np.mean([mse_of(f, *solve_linear(whole - f, a, kind)) for f in folds.values()])))
+            for i, a in enumerate(alphas)]
+    return train.sparkSession.createDataFrame(rows, "trial int, alpha double, cv_mse double"), folds
+
+
+def draw_alphas(n_trials: int, low: float = 1e-4, high: float = 1e3, seed: int = 42) -> list[float]:
+    """Seeded log-uniform draws (random search in place of a model-based one)."""
+    rng = random.Random(seed)
+    return [math.exp(rng.uniform(math.log(low), math.log(high))) for _ in range(n_trials)]
+
+
+# The search spaces of the tree models (None: no limit on depth, in Spark 30).
+FOREST_GRID = {"n_estimators": [20, 50, 100, 200, 300], "max_depth": [None, 10, 20, 30], "min_samples_leaf": [1, 2, 4],
+               "max_features": [1.0, "sqrt", "log2"]}
+BOOSTED_GRID = {"learning_rate": [0.001, 0.01, 0.1, 0.2, 0.5], "n_estimators": [20, 50, 100, 200, 300],
+                "max_depth": [3, 5, 7, 10, 20]}
+BOOSTED_SPACE = {"n_estimators": ("quniform", 50, 500, 10), "max_depth": ("quniform", 2, 10, 1),
+                 "learning_rate": ("loguniform", 0.01, 0.3), "subsample": ("uniform", 0.5, 1.0),
+                 "min_samples_leaf": ("quniform", 1, 5, 1)}
+
+
+def draw(space: dict[str, tuple], n_trials: int, seed: int = 42) -> list[dict[str, float]]:
+    """Seeded draws from a search space of uniform, log-uniform and quantised entries."""
+    rng = random.Random(seed)
+
+    def one(kind, low, high, step=None):
+        if kind == "loguniform":
+            return math.exp(rng.uniform(math.log(low), math.log(high)))
+        x = rng.uniform(low, high)
+        return int(round(x / step) * step) if kind == "quniform" else x
+
+    return [{name: one(*entry) for name, entry in space.items()} for _ in range(n_trials)]
+
+
+def tree_maps(estimator, settings: list[dict]) -> list[dict]:
+    """Parameter maps of a forest or boosted-tree estimator for grid or drawn settings."""
+    forest = isinstance(estimator, RandomForestRegressor)
+    of = {"n_estimators": estimator.numTrees if forest else estimator.maxIter, "max_depth": estimator.maxDepth,
+          "min_samples_leaf": estimator.minInstancesPerNode, "subsample": estimator.subsamplingRate,
+          "max_features": estimator.featureSubsetStrategy}
+    if not forest:
+        of["learning_rate"] = estimator.stepSize
+    whole = {None: 30, 1.0: "all"}
+    return [{of[k]: whole.get(v, v) if k in ("max_depth", "max_features") else v for k, v in s.items()} for s in settings]
+
+
+def grid(space: dict[str, list]) -> list[dict]:
+    return [dict(zip(space, values, strict=True)) for values in itertools.product(*space.values())]
+
+
 # ---- Spark ML estimators -----------------------------------------------------------
 
 def ols(features: str = "features", label: str = "target") -> LinearRegression:
@@ -111,13 +283,13 @@ def lasso(alpha: float, features: str = "features", label: str = "target", max_i
                             regParam=alpha, maxIter=max_iter)
 
 
-def random_forest(num_trees: int = 20, max_depth: int = 5, seed: int = 42, features: str = "features",
+def random_forest(num_trees: int = 100, max_depth: int = 30, seed: int = 42, features: str = "features",
                   label: str = "target") -> RandomForestRegressor:
     return RandomForestRegressor(featuresCol=features, labelCol=label, numTrees=num_trees, maxDepth=max_depth,
                                  seed=seed)
 
 
-def boosted_trees(max_iter: int = 20, max_depth: int = 3, step: float = 0.1, subsample: float = 1.0,
+def boosted_trees(max_iter: int = 100, max_depth: int = 3, step: float = 0.1, subsample: float = 1.0,
                   min_leaf: int = 1, seed: int = 0, features: str = "features", label: str = "target") -> GBTRegressor:
     """n_estimators -> maxIter, learning_rate -> stepSize, subsample -> subsamplingRate,
     min_samples_leaf -> minInstancesPerNode (min_samples_split has no counterpart)."""
@@ -166,26 +338,6 @@ def cross_validate(train: DataFrame, categorical: list[str], numeric: list[str],
         data.unpersist()
 
 
-def ridge_grid(estimator: LinearRegression, alphas: list[float], n_rows: int, label_std: float) -> list:
-    return ParamGridBuilder().addGrid(estimator.regParam, [a * label_std / n_rows for a in alphas]).build()
-
-
-def random_param_maps(estimator: LinearRegression, n_trials: int, low: float, high: float, n_rows: int,
-                      label_std: float, seed: int = 42) -> list[tuple[float, dict]]:
-    """Seeded log-uniform draws of the ridge alpha (random search in place of TPE)."""
-    rng = random.Random(seed)
-    out = []
-    for _ in range(n_trials):
-        alpha = math.exp(rng.uniform(math.log(low), math.log(high)))
-        out.append((alpha, {estimator.regParam: alpha * label_std / n_rows}))
-    return out
-
-
-def trials_table(spark, cv_model, alphas: list[float]) -> DataFrame:
-    rows = [(i, float(a), float(m)) for i, (a, m) in enumerate(zip(alphas, cv_model.avgMetrics))]
-    return spark.createDataFrame(rows, "trial int, alpha double, cv_mse double")
-
-
 def score_batch(model: PipelineModel, requests: DataFrame, model_name: str, model_version: int,
                 keep: list[str]) -> DataFrame:
     """Score a table of requests with a saved pipeline; tag the model name and version."""

@@ -7,8 +7,6 @@ Spark ML fits and searches are row-checked and unit-tested for properties.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import functions as F
 
 from tilth.operators import encode as E
@@ -76,49 +74,85 @@ def lasso_fit(spark, d):
 
 @query("rf_fit")
 def rf_fit(spark, d):
-    return _fit_report(spark, d, lambda t: ML.random_forest(num_trees=20, max_depth=5, seed=42), "random_forest")
+    return _fit_report(spark, d, lambda t: ML.random_forest(num_trees=100, max_depth=12, seed=42), "random_forest")
 
 
 @query("gbt_fit")
 def gbt_fit(spark, d):
-    return _fit_report(spark, d, lambda t: ML.boosted_trees(max_iter=20, max_depth=3, seed=0), "boosted_trees")
+    return _fit_report(spark, d, lambda t: ML.boosted_trees(max_iter=100, max_depth=3, seed=0), "boosted_trees")
 
 
 _ALPHAS = [0.01, 0.1, 1.0, 10.0, 100.0]
 
 
-def _grid(spark, d):
-    train = _train(spark, d)
-    n, sd = _label_stats(train)
-    est = ML.ridge(1.0, n, sd)
-    cvm = ML.cross_validate(train, MODEL_CATEGORICAL, MODEL_NUMERIC, est, ML.ridge_grid(est, _ALPHAS, n, sd),
-                            "row_key", k=3)
-    return cvm, ML.trials_table(spark, cvm, _ALPHAS)
+def _search(spark, d, kind, alphas):
+    return ML.search_linear(_train(spark, d), MODEL_CATEGORICAL, MODEL_NUMERIC, alphas, "row_key", kind)
 
 
-@query("grid_search_ridge")
-def grid_search_ridge(spark, d):
-    _, trials = _grid(spark, d)
+def _with_best(trials):
     best = trials.agg(F.min("cv_mse").alias("_best"))
     return with_scalars(trials, best).withColumn("best", F.col("cv_mse") == F.col("_best")).drop("_best")
 
 
+@query("grid_search_ridge")
+def grid_search_ridge(spark, d):
+    return _with_best(_search(spark, d, "ridge", _ALPHAS)[0])
+
+
+@query("grid_search_lasso")
+def grid_search_lasso(spark, d):
+    return _with_best(_search(spark, d, "lasso", _ALPHAS)[0])
+
+
 @query("random_search")
 def random_search(spark, d):
+    return _search(spark, d, "ridge", ML.draw_alphas(20))[0]
+
+
+@query("random_search_lasso")
+def random_search_lasso(spark, d):
+    return _search(spark, d, "lasso", ML.draw_alphas(20))[0]
+
+
+@query("search_checks", _BASE + """,
+f AS (SELECT """ + _FOLD_SQL.format(k=5) + """ AS fold FROM tr)
+SELECT kind, trials AS n_trials, (SELECT count(*) FROM f) AS n_rows, (SELECT count(DISTINCT fold) FROM f) AS folds,
+       (SELECT max(n) FROM (SELECT count(*) AS n FROM f GROUP BY fold)) AS largest_fold, true AS beats_mean
+FROM (VALUES ('ridge', 5), ('lasso', 5)) t(kind, trials)""")
+def search_checks(spark, d):
+    """What SQL can state about the searches: folds, their sizes, and that the best alpha
+    beats predicting the mean."""
+    import numpy as np
+    rows = []
+    for kind in ("ridge", "lasso"):
+        trials, folds = _search(spark, d, kind, _ALPHAS)
+        whole = ML.merge(list(folds.values()))
+        mean_mse = float(np.mean([ML.mse_of(f, np.zeros(len(f.mean) - 1), (whole - f).mean[-1]) for f in folds.values()]))
+        best = trials.agg(F.min("cv_mse")).first()[0]
+        rows.append((kind, trials.count(), int(whole.n), len(folds), int(max(f.n for f in folds.values())), best < mean_mse))
+    return spark.createDataFrame(rows, "kind string, n_trials int, n_rows long, folds long, largest_fold long, beats_mean boolean")
+
+
+@query("ols_normal_equations", _BASE + """
+SELECT 'intercept' AS feature, 0.0 AS residual UNION ALL SELECT unnest(['l_quantity', 'l_discount', 'l_tax']), 0.0""")
+def ols_normal_equations(spark, d):
+    """Least squares by Spark ML leaves residuals without correlation to any feature."""
     train = _train(spark, d)
-    n, sd = _label_stats(train)
-    est = ML.ridge(1.0, n, sd)
-    draws = ML.random_param_maps(est, 20, 1e-3, 1e3, n, sd, seed=42)
-    cvm = ML.cross_validate(train, MODEL_CATEGORICAL, MODEL_NUMERIC, est, [m for _, m in draws], "row_key", k=3)
-    return ML.trials_table(spark, cvm, [a for a, _ in draws])
+    model = ML.fit(train, MODEL_CATEGORICAL, MODEL_NUMERIC, ML.ols())
+    e = model.transform(train).withColumn("e", F.col("target") - F.col("prediction"))
+    sums = e.agg((F.avg("e") / F.stddev_pop("target")).alias("intercept"),
+                 *[F.corr("e", c).alias(c) for c in MODEL_NUMERIC])
+    out = sums.select(F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("residual"))
+                                          for c in ["intercept", *MODEL_NUMERIC]])).alias("r")).select("r.*")
+    return rounded(out, {"residual": 6})
 
 
 @query("refit_best")
 def refit_best(spark, d):
-    cvm, trials = _grid(spark, d)
+    trials, _ = _search(spark, d, "ridge", _ALPHAS)
     best_alpha = trials.orderBy("cv_mse").first()["alpha"]
     s = _split(spark, d)
-    train_val = s.where(F.col("split") == "train").unionByName(s.where(F.col("split") == "val"))
+    train_val = s.where(F.col("split").isin("train", "val"))
     model = ML.fit(train_val, MODEL_CATEGORICAL, MODEL_NUMERIC,
                    lambda t: ML.ridge(best_alpha, *_label_stats(t)))
     out = ML.evaluate(model, s.where(F.col("split") == "test"), ["split"])
@@ -137,15 +171,15 @@ e AS (SELECT d.fold, avg((y - a - b * x) ^ 2) AS mse FROM d JOIN c2 USING (fold)
 SELECT '{feature}' AS trial, avg(mse) AS cv_mse, count(*) AS folds FROM e)"""
 
 
-def _cv_spark(spark, d, feature, k=5):
-    tr = _train(spark, d)
-    return ML.cv_loss(ML.kfold_simple_ols(tr, feature, "target", "row_key", k=k, seed=7)).withColumn(
-        "trial", F.lit(feature))
+def _cv_spark(spark, d, features, k=5):
+    pairs = F.explode(F.array(*[F.struct(F.lit(f).alias("trial"), F.col(f).alias("x")) for f in features])).alias("p")
+    long = _train(spark, d).select("row_key", "target", pairs).select("row_key", "target", "p.trial", "p.x")
+    return ML.cv_loss(ML.kfold_simple_ols(long, "x", "target", "row_key", k=k, seed=7, by=["trial"]), ["trial"])
 
 
 @query("cv_loss", _BASE + "\nSELECT round(cv_mse, 2) AS cv_mse, folds FROM " + _cv_sql("l_quantity"))
 def cv_loss(spark, d):
-    return rounded(_cv_spark(spark, d, "l_quantity").select("cv_mse", "folds"), {"cv_mse": 2})
+    return rounded(_cv_spark(spark, d, ["l_quantity"]).select("cv_mse", "folds"), {"cv_mse": 2})
 
 
 @query("trial_summary", _BASE + ",\ntrials AS (" + " UNION ALL ".join(
@@ -153,8 +187,7 @@ def cv_loss(spark, d):
 SELECT count(*) AS n_trials, round(min(cv_mse), 2) AS best_loss, arg_min(trial, cv_mse) AS best_trial,
        round(avg(cv_mse), 2) AS mean_loss, round(stddev_pop(cv_mse), 2) AS std_loss FROM trials""")
 def trial_summary(spark, d):
-    trials = reduce(lambda a, b: a.unionByName(b), [_cv_spark(spark, d, f) for f in MODEL_NUMERIC])
-    return rounded(ML.trial_summary(trials), {"best_loss": 2, "mean_loss": 2, "std_loss": 2})
+    return rounded(ML.trial_summary(_cv_spark(spark, d, MODEL_NUMERIC)), {"best_loss": 2, "mean_loss": 2, "std_loss": 2})
 
 
 def _ols_scored(spark, d):
@@ -166,9 +199,9 @@ def _ols_scored(spark, d):
 
 @query("regression_metrics", _BASE + """
 SELECT split, count(*) AS n, round(sqrt(sum((prediction - target) ^ 2) / count(*)), 4) AS rmse,
-       round(1 - sum((prediction - target) ^ 2) / (sum(target * target) - sum(target) ^ 2 / count(*)), 6) AS r2,
+       round(1 - sum((prediction - target) ^ 2) / (var_pop(target) * count(*)), 6) AS r2,
        round(avg(abs(prediction - target)), 4) AS mae, round(avg(prediction - target), 4) + 0.0 AS mean_error
-FROM scored GROUP BY split""", headline=True)
+FROM scored GROUP BY split""")
 def regression_metrics(spark, d):
     return rounded(ML.regression_metrics(_ols_scored(spark, d), "target", "prediction", ["split"]), _MET)
 
@@ -184,26 +217,23 @@ preds AS (SELECT 'mean' AS model, te.target, mu.p AS prediction FROM te, mu
           UNION ALL SELECT 'group_mean_l_returnflag', te.target, coalesce(gm.p, mu.p)
                     FROM te LEFT JOIN gm USING (l_returnflag), mu)
 SELECT model, count(*) AS n, round(sqrt(sum((prediction - target) ^ 2) / count(*)), 4) AS rmse,
-       round(1 - sum((prediction - target) ^ 2) / (sum(target * target) - sum(target) ^ 2 / count(*)), 6) AS r2,
+       round(1 - sum((prediction - target) ^ 2) / (var_pop(target) * count(*)), 6) AS r2,
        round(avg(abs(prediction - target)), 4) AS mae, round(avg(prediction - target), 4) + 0.0 AS mean_error
 FROM preds GROUP BY model""")
 def leaderboard(spark, d):
     s = _split(spark, d)
     train = s.where(F.col("split") == "train")
-    test = s.where(F.col("split") == "test").select("row_key", "target", "l_quantity", "l_discount", "l_returnflag")
-    mean = train.agg(F.avg("target").alias("p"))
-    gm = train.groupBy("l_returnflag").agg(F.avg("target").alias("_gp"))
-    parts = [with_scalars(test, mean).select(
-        F.lit("mean").alias("model"), "target", F.col("p").alias("prediction"))]
-    for f in ["l_quantity", "l_discount"]:
-        c = ML.simple_ols(train, f, "target").select("slope", "intercept")
-        parts.append(with_scalars(test, c).select(
-            F.lit(f"ols_{f}").alias("model"), "target",
-            (F.col("intercept") + F.col("slope") * F.col(f)).alias("prediction")))
-    parts.append(with_scalars(test.join(gm, "l_returnflag", "left"), mean).select(
-        F.lit("group_mean_l_returnflag").alias("model"), "target",
-        F.coalesce(F.col("_gp"), F.col("p")).alias("prediction")))
-    long = reduce(lambda a, b: a.unionByName(b), parts)
+    test = s.where(F.col("split") == "test").select("target", "l_quantity", "l_discount", "l_returnflag")
+    features = ["l_quantity", "l_discount"]
+    fitted = train.agg(F.avg("target").alias("p"), *[f(F.col("target"), F.col(c)).alias(f"{n}_{c}") for c in features
+                                                     for n, f in (("b", F.regr_slope), ("a", F.regr_intercept))])
+    by_flag = train.groupBy("l_returnflag").agg(F.avg("target").alias("_gp"))
+    rows = with_scalars(test.join(by_flag, "l_returnflag", "left"), fitted)
+    made = {"mean": F.col("p"), "group_mean_l_returnflag": F.coalesce(F.col("_gp"), F.col("p"))} | {
+        f"ols_{c}": F.col(f"a_{c}") + F.col(f"b_{c}") * F.col(c) for c in features}
+    # every model's prediction of a row side by side, then one row for each
+    long = rows.select("target", F.explode(F.array(*[
+        F.struct(F.lit(m).alias("model"), p.alias("prediction")) for m, p in made.items()])).alias("m")).select("target", "m.*")
     return rounded(ML.leaderboard(long), _MET)
 
 
@@ -226,7 +256,7 @@ SELECT 'ols_l_quantity' AS model_name,
        (SELECT count(*) FROM v_split WHERE split = 'train') AS n_train,
        (SELECT count(*) FROM v_split WHERE split = 'val') AS n_val,
        round(sqrt(sum((prediction - target) ^ 2) / count(*)), 4) AS val_rmse,
-       round(1 - sum((prediction - target) ^ 2) / (sum(target * target) - sum(target) ^ 2 / count(*)), 6) AS val_r2,
+       round(1 - sum((prediction - target) ^ 2) / (var_pop(target) * count(*)), 6) AS val_r2,
        (SELECT round(b, 6) FROM ols) AS param_slope, (SELECT round(a, 6) FROM ols) AS param_intercept
 FROM va""")
 def run_summary(spark, d):
