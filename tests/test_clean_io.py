@@ -140,3 +140,39 @@ def test_wide_vocabulary_is_bounded_before_the_driver(spark):
     assert vocab.count() == orders.count()
     long = E.encode_long(orders, vocab, "o_orderkey", ["o_orderkey"], [])
     assert long.count() == orders.count()
+
+
+def test_csv_by_header_name_quotes_and_blanks(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "a.csv")
+    with open(path, "w") as f:
+        f.write('b,a,note\n1.5,7,"he said ""hi"", ok"\nx,8, y \nNA,9,"two\nlines"\n')
+    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.DoubleType()),
+                           T.StructField("note", T.StringType())])
+    df = S.read_csv(spark, path, schema, multi_line=True, corrupt_col="bad")
+    assert [tuple(r) for r in df.orderBy("a").collect()] == [
+        (7, 1.5, 'he said "hi", ok', []), (8, None, " y ", ["b"]), (9, None, "two\nlines", [])]
+    assert tuple(S.count_corrupt(df, "bad").first()) == (3, 1)
+    with pytest.raises(ValueError, match="no column"):
+        S.read_csv(spark, path, T.StructType([T.StructField("c", T.LongType())]))
+
+
+def test_truncated_run_record_is_an_invalid_row(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "runs.json")
+    with open(path, "w") as f:
+        f.write('{"run_id": "r1", "model_name": "m", "metrics": {"rmse": 1.0}}\n{"run_id": "r2", "mod\n')
+    got = S.read_run_info(spark, path, multi_line=False).collect()
+    assert sorted(r["valid"] for r in got) == [False, True]
+
+
+def test_number_text_keeps_every_digit(spark):
+    values = [2.0, 0.0001, 1e-7, 12345.12345678, 1e20, -3.5e-9, 123456789.125, 1.5e300, 0.1]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    got = [r[0] for r in df.select(C.double_text(F.col("x"))).collect()]
+    assert got[:7] == ["2.0", "0.0001", "0.0000001", "12345.12345678", "100000000000000000000.0", "-0.0000000035", "123456789.125"]
+    assert [float(g) for g in got] == values and not any("E" in g for g in got)
+
+
+def test_padding_keeps_true_nulls(spark):
+    a = spark.createDataFrame([(1, None), (2, 5)], "k long, only_a long")
+    b = spark.createDataFrame([(3,)], "k long")
+    assert sorted(map(tuple, E.align_pad(a, b).collect()), key=str) == [(1, None), (2, 5), (3, 0)]

@@ -15,30 +15,55 @@ from pyspark.sql import types as T
 from tilth.operators.cleaning import NA_TOKENS
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",",
-             glob: str | None = None) -> DataFrame:
-    """Header CSV with missing-value tokens -> typed columns.  ``path`` may be a file or
-    a directory (all files, optionally filtered by ``glob``).  A missing path raises
-    AnalysisException [PATH_NOT_FOUND]."""
-    text = T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])
-    r = spark.read.schema(text).option("header", True).option("sep", sep).option("mode", "PERMISSIVE")
+# Standard CSV: a quote inside quotes is doubled, blanks belong to the value.
+_CSV = {"header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",", glob: str | None = None,
+             multi_line: bool = False, corrupt_col: str | None = None) -> DataFrame:
+    """Header CSV with missing-value tokens -> typed columns, found by their header name.
+
+    ``path`` may be a file or a directory (all files, optionally filtered by ``glob``), all
+    with the same header; a file with another header raises, as does a missing column
+    (ValueError) or path (AnalysisException [PATH_NOT_FOUND]).  ``multi_line`` allows line
+    breaks inside quotes; such files cannot be split, so it is off by default.  Blanks stay
+    part of a text; only the test for missing tokens ignores them.  ``corrupt_col`` adds an
+    array with the names of the columns whose value does not fit its type (``*``: the whole
+    line is malformed), empty for sound rows; ``count_corrupt`` counts them."""
+    r = spark.read.options(**_CSV, sep=sep, multiLine=multi_line)
     if glob:
         r = r.option("pathGlobFilter", glob)
-    raw = r.csv(path)
+    names = r.csv(path).columns
+    absent = [f.name for f in schema.fields if f.name not in names]
+    if absent:
+        raise ValueError(f"{path} has no column {', '.join(absent)}; it has {', '.join(names)}")
+    line = "_malformed_line"
+    text = T.StructType([T.StructField(n, T.StringType(), True) for n in [*names, line]])
+    raw = r.schema(text).option("enforceSchema", False).option("mode", "PERMISSIVE").option(
+        "columnNameOfCorruptRecord", line).csv(path)
     tokens = F.array(*[F.lit(t) for t in NA_TOKENS])
-    cols = []
+    cols, broken = [], [F.when(F.col(line).isNotNull(), F.lit("*"))]
     for f in schema.fields:
-        c = F.trim(F.col(f"`{f.name}`"))
-        clean = F.when(F.array_contains(tokens, c) | c.isNull(), F.lit(None)).otherwise(c)
-        val = clean.try_cast(f.dataType)
+        c = F.col(f"`{f.name}`")
+        bare = F.trim(c)
+        present = c.isNotNull() & ~F.array_contains(tokens, bare)
+        val = F.when(present, c if isinstance(f.dataType, T.StringType) else bare.try_cast(f.dataType))
+        broken.append(F.when(present & val.isNull(), F.lit(f.name)))
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
             val = F.when(F.isnan(val), F.lit(None)).otherwise(val)
         cols.append(val.alias(f.name))
+    if corrupt_col:
+        cols.append(F.array_compact(F.array(*broken)).alias(corrupt_col))
     return raw.select(*cols)
 
 
+def count_corrupt(df: DataFrame, corrupt_col: str) -> DataFrame:
+    """Rows, and rows with at least one value that could not be read."""
+    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.size(corrupt_col) > 0).alias("n_corrupt"))
+
+
 def write_csv(df: DataFrame, path: str, sep: str = ",", mode: str = "overwrite") -> None:
-    df.write.mode(mode).option("header", True).option("sep", sep).csv(path)
+    df.write.mode(mode).options(**_CSV, sep=sep).csv(path)
 
 
 def write_splits(df: DataFrame, path: str, split_col: str = "split", fmt: str = "parquet") -> None:
