@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from tilth.operators import registry as G
 from tilth.operators import reports as R
-from tilth.plans.catalog import nudge_rounding
 from tilth.sources import files as S
 
 DOC = {
@@ -86,16 +85,60 @@ def test_deploy_decision_cases(spark):
     assert G.deploy_decision(cands2, versions).first()["should_deploy"] is False
 
 
-def test_nudge_rounding_rewrites_every_round():
-    sql = "SELECT round(avg(x), 6) AS a, round(sum(y) / count(*), 2) AS b, ground(z) FROM t"
-    out = nudge_rounding(sql)
-    assert "round((avg(x)) + sign(avg(x)) * " in out
-    assert "round((sum(y) / count(*)) + sign(sum(y) / count(*)) * " in out
-    assert "ground(z)" in out
-
-
 def test_json_sink_round_trip(spark, tmp_dir):
     df = spark.createDataFrame([("m", 1.5)], "model string, rmse double")
     path = os.path.join(tmp_dir, "summary")
     S.write_json(df, path)
     assert spark.read.json(path).first()["rmse"] == 1.5
+
+
+def test_nested_report_and_drift_score(spark):
+    import json
+
+    from tilth.operators import reports as R
+    rmse = {"m": {"display_name": "RMSE", "value": "1.5"}}
+    docs = [("a", {"id": "a", "report": {"metric_results": rmse}}),
+            ("b", {"id": "b", "metric_results": {"d": {"display_name": "Data Drift", "drift_score": 0.4}}}),
+            ("c", {"id": "c", "metric_results": {"d": {"display_name": "Data Drift", "drift_score": 0.0}}})]
+    df = R.parse_reports(spark.createDataFrame([(k, json.dumps(v)) for k, v in docs], "key string, json string"))
+    flags = {r["report_id"]: r["drift_detected"] for r in R.drift_flag(df).collect()}
+    assert flags == {"a": False, "b": True, "c": False}
+    assert [tuple(r) for r in R.report_metrics(df).select("report_id", "metric", "value").collect()] == [("a", "rmse", 1.5)]
+
+
+def test_offsets_are_converted_to_utc(spark):
+    from pyspark.sql import functions as F
+
+    from tilth.functions.text import parse_timestamp
+    rows = [("2024-01-02T03:04:05Z",), ("2024-01-02T03:04:05+05:00",), ("2024-01-02 03:04:05.5-0130",), ("2024-01-02",), ("x",)]
+    got = [str(r[0]) for r in spark.createDataFrame(rows, "s string").select(parse_timestamp(F.col("s"))).collect()]
+    assert got == ["2024-01-02 03:04:05", "2024-01-01 22:04:05", "2024-01-02 04:34:05.500000", "2024-01-02 00:00:00",
+                   "0001-01-01 00:00:00"]
+
+
+def test_nan_never_wins(spark):
+    from tilth.operators import registry as G
+    nan = float("nan")
+    runs = spark.createDataFrame(
+        [("a", 1, "raw", nan, 0.5, "r1"), ("a", 2, "optimized", 9.0, 0.4, "r2"),
+         ("b", 1, "raw", 9.0, 0.5, "r3"), ("b", 2, "optimized", nan, nan, "r4")],
+        "model_name string, version long, kind string, rmse double, r2 double, run_id string")
+    assert {r["winner"] for r in G.winner(G.pair_runs(runs)).collect()} == {"raw"}
+    versions = runs.selectExpr("*", "'Production' as stage").where("kind = 'raw' and model_name = 'b'")
+    cand = spark.createDataFrame([("b", nan), ("c", nan)], "model_name string, candidate_rmse double")
+    got = {r["model_name"]: r["should_deploy"] for r in G.deploy_decision(cand, versions).collect()}
+    assert got == {"b": False, "c": True}
+    gate = spark.createDataFrame([(nan, 0.9), (1.0, nan), (1.0, 0.9)], "rmse double, r2 double")
+    assert [r[0] for r in gate.select(G.quality_gate(gate)).collect()] == ["Archived", "Archived", "Staging"]
+
+
+def test_several_candidates_get_their_own_numbers(spark):
+    from tilth.operators import registry as G
+    versions = spark.createDataFrame([("m", 3, "Production", 50.0, 0.9, "r0")],
+                                     "model_name string, version long, stage string, rmse double, r2 double, run_id string")
+    cand = spark.createDataFrame([("m", "r2", 20.0, 0.9), ("m", "r1", 10.0, 0.9), ("n", "r9", 500.0, 0.9)],
+                                 "model_name string, run_id string, candidate_rmse double, candidate_r2 double")
+    new = G.append_versions(versions, cand, "x", "t")
+    assert sorted((r["model_name"], r["version"], r["run_id"]) for r in new.collect()) == [("m", 4, "r1"), ("m", 5, "r2"), ("n", 1, "r9")]
+    got = {(r["model_name"], r["version"]): r["new_stage"] for r in G.promote(versions, new).collect()}
+    assert got == {("m", 3): "Archived", ("m", 4): "Production", ("m", 5): "Staging", ("n", 1): "Archived"}

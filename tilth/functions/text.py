@@ -48,10 +48,14 @@ MIN_TIMESTAMP = "0001-01-01 00:00:00"
 
 
 def parse_timestamp(s: Column) -> Column:
-    """ISO-like timestamp text ('T' or space separator, optional fraction, optional 'Z')
-    as timestamp_ntz; unparsable or empty -> the minimum timestamp."""
-    clean = F.regexp_replace(F.trim(s), "Z$", "")
-    ts = clean.try_cast("timestamp_ntz")
+    """ISO-like timestamp text ('T' or space separator, optional fraction, optional 'Z' or
+    UTC offset) as timestamp_ntz in UTC; unparsable or empty -> the minimum timestamp."""
+    offset = F.regexp_extract(F.trim(s), r":\d\d(?:[.]\d+)?\s*([+-]\d\d):?(\d\d)?$", 1)
+    rest = F.regexp_extract(F.trim(s), r":\d\d(?:[.]\d+)?\s*([+-]\d\d):?(\d\d)?$", 2)
+    minutes = F.coalesce(offset.try_cast("int"), F.lit(0)) * 60 + F.when(offset.startswith("-"), -1).otherwise(1) * F.coalesce(
+        rest.try_cast("int"), F.lit(0))
+    clean = F.regexp_replace(F.trim(s), r"Z$|(?<=:\d\d|[.]\d{1,9})\s*[+-]\d\d:?(?:\d\d)?$", "")
+    ts = clean.try_cast("timestamp_ntz") - F.make_dt_interval(mins=minutes)
     return F.coalesce(ts, F.lit(MIN_TIMESTAMP).cast("timestamp_ntz"))
 
 

@@ -8,10 +8,11 @@ models is decided in one job.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tilth.operators.cleaning import double_text
+from tilth.session import materialize
 
 # Thresholds of the reference's decision rules.
 RMSE_GAIN_MIN = 2.0          # percent, optimised vs raw
@@ -32,9 +33,15 @@ def pair_runs(runs: DataFrame, model: str = "model_name", kind: str = "kind") ->
     return side("raw").join(side("optimized"), model, "left")
 
 
+def real(c: Column) -> Column:
+    """NaN as null: Spark orders NaN above every number, so a comparison with it could hold;
+    with null it never does."""
+    return F.when(~F.isnan(c), c)
+
+
 def improvement(pairs: DataFrame) -> DataFrame:
-    raw_rmse, raw_r2 = F.col("raw.rmse"), F.col("raw.r2")
-    opt_rmse, opt_r2 = F.col("optimized.rmse"), F.col("optimized.r2")
+    raw_rmse, raw_r2 = real(F.col("raw.rmse")), real(F.col("raw.r2"))
+    opt_rmse, opt_r2 = real(F.col("optimized.rmse")), real(F.col("optimized.r2"))
     return pairs.select(
         "*", (F.try_divide(raw_rmse - opt_rmse, raw_rmse) * 100).alias("rmse_improvement_pct"),
         F.when(raw_r2 != 0, (opt_r2 - raw_r2) / F.abs(raw_r2) * 100).otherwise(0.0).alias("r2_improvement_pct"))
@@ -43,8 +50,8 @@ def improvement(pairs: DataFrame) -> DataFrame:
 def winner(pairs: DataFrame) -> DataFrame:
     """The raw-vs-optimised rule; 'raw' when there is no optimised run."""
     p = improvement(pairs)
-    raw_rmse, raw_r2 = F.col("raw.rmse"), F.col("raw.r2")
-    opt_rmse, opt_r2 = F.col("optimized.rmse"), F.col("optimized.r2")
+    raw_rmse, raw_r2 = real(F.col("raw.rmse")), real(F.col("raw.r2"))
+    opt_rmse, opt_r2 = real(F.col("optimized.rmse")), real(F.col("optimized.r2"))
     gi, gr = F.col("rmse_improvement_pct"), F.col("r2_improvement_pct")
     a = (opt_rmse < raw_rmse) & (gi >= RMSE_GAIN_MIN)
     b = (opt_r2 > raw_r2) & (gr >= R2_GAIN_MIN)
@@ -76,12 +83,13 @@ def latest_by_stage(versions: DataFrame, model: str = "model_name") -> DataFrame
 def deploy_decision(candidates: DataFrame, versions: DataFrame, force: bool = False,
                     threshold: float = DEPLOY_GAIN, model: str = "model_name") -> DataFrame:
     """Deploy when forced, when there is no production version, when its RMSE is
-    missing or NaN, or when the candidate improves it by more than ``threshold``."""
+    missing or NaN, or when the candidate improves it by more than ``threshold``; a
+    candidate whose own RMSE is missing or NaN improves nothing."""
     prod = latest_by_stage(versions, model).where(F.col("stage") == "Production").select(
         model, F.col("version").alias("production_version"), F.col("rmse").alias("production_rmse"))
     j = candidates.join(prod, model, "left")
-    pr, cr = F.col("production_rmse"), F.col("candidate_rmse")
-    missing = pr.isNull() | F.isnan(pr)
+    pr, cr = real(F.col("production_rmse")), real(F.col("candidate_rmse"))
+    missing = pr.isNull()
     gain = F.when(~missing & (pr != 0), (pr - cr) / pr)
     deploy = (F.lit(True) if force else
               F.when(F.col("production_version").isNull(), True).when(missing, True)
@@ -89,21 +97,24 @@ def deploy_decision(candidates: DataFrame, versions: DataFrame, force: bool = Fa
     reason = (F.lit("forced") if force else
               F.when(F.col("production_version").isNull(), "no production model")
               .when(missing, "production rmse missing")
+              .when(cr.isNull(), "candidate rmse missing")
               .when(gain > threshold, "improvement above threshold").otherwise("improvement below threshold"))
     return j.select(model, "candidate_rmse", "production_rmse", (gain * 100).alias("improvement_percentage"),
                     deploy.alias("should_deploy"), reason.alias("reason"))
 
 
 def quality_gate(df: DataFrame, rmse: str = "rmse", r2: str = "r2") -> Column:
-    return F.when((F.col(rmse) < GATE_RMSE_MAX) & (F.col(r2) > GATE_R2_MIN), "Staging").otherwise("Archived")
+    return F.when((real(F.col(rmse)) < GATE_RMSE_MAX) & (real(F.col(r2)) > GATE_R2_MIN), "Staging").otherwise("Archived")
 
 
 def append_versions(versions: DataFrame, candidates: DataFrame, registered_by: str, registered_at: str,
                     model: str = "model_name") -> DataFrame:
-    """New version numbers (max + 1 per model, 1 for a new model) with metric tags."""
+    """New version numbers with metric tags: from max + 1 (1 for a new model), several
+    candidates of a model numbered by run id."""
     top = versions.groupBy(model).agg(F.max("version").alias("_max"))
-    j = candidates.join(top, model, "left")
-    return j.select(model, (F.coalesce(F.col("_max"), F.lit(0)) + 1).alias("version"),
+    nth = F.row_number().over(Window.partitionBy(model).orderBy("run_id", "candidate_rmse"))
+    j = candidates.withColumn("_nth", nth).join(top, model, "left")
+    return j.select(model, (F.coalesce(F.col("_max"), F.lit(0)) + F.col("_nth")).alias("version"),
                     "run_id", F.col("candidate_rmse").alias("rmse"), F.col("candidate_r2").alias("r2"),
                     double_text(F.col("candidate_rmse")).alias("tag_validation_rmse"),
                     double_text(F.col("candidate_r2")).alias("tag_validation_r2"),
@@ -116,17 +127,20 @@ def promote(versions: DataFrame, new_versions: DataFrame, threshold: float = DEP
     """New stage of every version of the models that received a new version: the new
     version goes to Production if it passed the gate and there is no production
     version or it beats it by more than ``threshold`` (old production archived),
-    to Staging if it only passed the gate, else Archived."""
+    to Staging if it only passed the gate, else Archived.  Of several new versions the one
+    with the lowest RMSE (then the lowest number) can reach Production."""
     nv = new_versions.withColumn("gate", quality_gate(new_versions))
     prod = latest_by_stage(versions, model).where(F.col("stage") == "Production").select(
         model, F.col("rmse").alias("_prod_rmse"), F.col("version").alias("_prod_v"))
     d = nv.join(prod, model, "left")
-    gain = F.when(F.col("_prod_rmse") != 0, (F.col("_prod_rmse") - F.col("rmse")) / F.col("_prod_rmse"))
-    promote_flag = (F.col("gate") == "Staging") & (F.col("_prod_v").isNull() | F.coalesce(gain > threshold, F.lit(True)))
-    d = d.withColumn("promoted", promote_flag)
+    old_rmse = real(F.col("_prod_rmse"))
+    gain = F.when(old_rmse != 0, (old_rmse - F.col("rmse")) / old_rmse)
+    best = F.row_number().over(Window.partitionBy(model).orderBy(F.col("gate").desc(), "rmse", "version")) == 1
+    better = old_rmse.isNull() | F.coalesce(gain > threshold, F.lit(False))   # no version or no RMSE to beat
+    d = materialize(d.withColumn("promoted", (F.col("gate") == "Staging") & best & better))
     new_rows = d.select(model, "version", F.when(F.col("promoted"), "Production").otherwise(F.col("gate"))
                         .alias("new_stage"))
-    old = versions.join(d.select(model, "promoted"), model)
+    old = versions.join(d.groupBy(model).agg(F.max("promoted").alias("promoted")), model)
     old_rows = old.select(model, "version", F.when(F.col("promoted") & (F.col("stage") == "Production"), "Archived")
                           .otherwise(F.col("stage")).alias("new_stage"))
     return old_rows.unionByName(new_rows)

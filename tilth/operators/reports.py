@@ -27,7 +27,8 @@ METRIC = T.StructType([
 REPORT_SCHEMA = T.StructType([
     T.StructField("id", T.StringType()), T.StructField("timestamp", T.StringType()),
     T.StructField("name", T.StringType()),
-    T.StructField("metric_results", T.MapType(T.StringType(), METRIC))])
+    T.StructField("metric_results", T.MapType(T.StringType(), METRIC)),
+    T.StructField("report", T.StructType([T.StructField("metric_results", T.MapType(T.StringType(), METRIC))]))])
 
 METRICS = ("rmse", "r2", "mae")
 # Per-metric degradation thresholds (fractions) used by default.
@@ -35,12 +36,15 @@ DEFAULT_THRESHOLDS = {"rmse": 0.05, "r2": 0.05, "mae": 0.05}
 
 
 def parse_reports(df: DataFrame, json_col: str = "json") -> DataFrame:
-    """JSON text column -> typed report columns."""
+    """JSON text column -> typed report columns.  The metrics stand at the top or under
+    ``report``; ``metric_text`` keeps their original JSON, fields outside the schema included."""
+    text = F.coalesce(F.get_json_object(json_col, "$.metric_results"),
+                      F.get_json_object(json_col, "$.report.metric_results"))
     r = F.from_json(F.col(json_col), REPORT_SCHEMA)
-    return df.select(*[c for c in df.columns if c != json_col], r.alias("_r")).select(
+    return df.select(*[c for c in df.columns if c != json_col], r.alias("_r"), text.alias("metric_text")).select(
         *[c for c in df.columns if c != json_col],
         F.col("_r.id").alias("report_id"), F.col("_r.timestamp").alias("timestamp"),
-        F.col("_r.name").alias("name"), F.col("_r.metric_results").alias("metric_results"))
+        F.col("_r.name").alias("name"), F.coalesce("_r.metric_results", "_r.report.metric_results").alias("metric_results"), "metric_text")
 
 
 def classify_metric(display: F.Column) -> F.Column:
@@ -94,9 +98,12 @@ def metric_choice(readings: DataFrame, reports: DataFrame) -> DataFrame:
 
 
 def drift_flag(reports: DataFrame) -> DataFrame:
-    """Text rule over the serialised metric results: 'drift' and ('detected' or drift_score > 0)."""
-    dump = F.lower(F.coalesce(F.to_json("metric_results"), F.lit("")))
-    score = F.regexp_extract(dump, r'"drift_score"\s*:\s*([0-9.eE+-]+)', 1).try_cast("double")
+    """Text rule over the original metric results: 'drift' and ('detected' or a drift_score
+    above 0)."""
+    text = F.col("metric_text") if "metric_text" in reports.columns else F.to_json("metric_results")
+    dump = F.lower(F.coalesce(text, F.lit("")))
+    score = F.array_max(F.transform(F.regexp_extract_all(dump, F.lit(r'"drift_score"\s*:\s*"?([0-9.e+-]+)'), 1),
+                                    lambda x: x.try_cast("double")))
     flag = dump.contains("drift") & (dump.contains("detected") | F.coalesce(score > 0, F.lit(False)))
     return reports.select("report_id", flag.alias("drift_detected"))
 

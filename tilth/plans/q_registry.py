@@ -125,8 +125,8 @@ def latest_by_stage(spark, d):
 @query("promote_version", "WITH " + _PAIRS_SQL + """,
 d AS (SELECT n.*, CASE WHEN n.rmse < 100 AND n.r2 > 0.7 THEN 'Staging' ELSE 'Archived' END AS gate,
              p.pv, p.prmse FROM newv n LEFT JOIN prod p USING (model_name)),
-d2 AS (SELECT *, gate = 'Staging' AND (pv IS NULL OR coalesce(
-               CASE WHEN prmse <> 0 THEN (prmse - rmse) / prmse > 0.05 END, true)) AS promoted FROM d)
+d2 AS (SELECT *, gate = 'Staging' AND (prmse IS NULL OR coalesce(
+               CASE WHEN prmse <> 0 THEN (prmse - rmse) / prmse > 0.05 END, false)) AS promoted FROM d)
 SELECT v.model_name, v.version,
        CASE WHEN d2.promoted AND v.stage = 'Production' THEN 'Archived' ELSE v.stage END AS new_stage
 FROM v_versions v JOIN d2 USING (model_name)
