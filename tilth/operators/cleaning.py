@@ -65,12 +65,20 @@ def filter_label(df: DataFrame, col: str, label) -> DataFrame:
 
 
 def double_text(c: Column) -> Column:
-    """Decimal text of a double as Python prints short values: 2.0 -> '2.0', 0.0001 -> '0.0001'.
-
-    Goes through decimal(38,6) so exponent notation never appears."""
-    s = F.regexp_replace(c.cast(T.DecimalType(38, 6)).cast("string"), "0+$", "")
-    return F.when(c.isNull(), F.lit(None)).otherwise(
-        F.when(s.endswith("."), F.concat(s, F.lit("0"))).otherwise(s))
+    """Every digit of a double's shortest text, without exponent: 2.0 -> '2.0', 1e-7 ->
+    '0.0000001', 1e20 -> '100000000000000000000.0'.  NaN and infinities keep their names."""
+    text = c.cast("string")
+    sign = F.when(text.startswith("-"), "-").otherwise("")
+    whole = F.regexp_extract(text, r"^-?(\d+)\.(\d+)E(-?\d+)$", 1)
+    part = F.regexp_replace(F.regexp_extract(text, r"^-?(\d+)\.(\d+)E(-?\d+)$", 2), "0+$", "")
+    power = F.regexp_extract(text, r"^-?(\d+)\.(\d+)E(-?\d+)$", 3).try_cast("int")
+    digits = F.concat(whole, part)
+    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits)
+    point = F.char_length(whole) + power
+    large = F.concat(F.rpad(digits, F.greatest(point, F.char_length(digits)), F.lit("0")), F.lit("."))
+    large = F.when(F.char_length(digits) <= point, F.concat(large, F.lit("0"))).otherwise(
+        F.concat(F.substring(digits, F.lit(1), point), F.lit("."), F.substring(digits, point + 1, F.char_length(digits))))
+    return F.when(~text.contains("E"), text).when(power < 0, F.concat(sign, small)).otherwise(F.concat(sign, large))
 
 
 def recast_text(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -90,14 +98,26 @@ def iqr_outliers(df: DataFrame, target: str, variable: str, labels: list,
     """Rows of the given segments whose target lies strictly outside the Tukey fences
     of their own segment.  All segments are handled in one pass; the fence table has
     one row per requested label, so broadcasting it is bounded by the argument."""
+    j = df.where(_c(variable).isin(list(labels))).join(
+        F.broadcast(_fences(df, target, variable, labels, whisker)), _c(variable) == F.col("_seg"))
+    return j.where((_c(target) < F.col("_lo")) | (_c(target) > F.col("_hi"))).select(*[_c(c) for c in df.columns])
+
+
+def drop_iqr_outliers(df: DataFrame, target: str, variable: str, labels: list, whisker: float = 1.5) -> DataFrame:
+    """The rows ``iqr_outliers`` would not return: judged by the joined fence, map-only."""
+    fences = F.broadcast(_fences(df, target, variable, labels, whisker))
+    outside = (_c(target) < F.col("_lo")) | (_c(target) > F.col("_hi"))
+    return df.join(fences, _c(variable) == F.col("_seg"), "left").where(
+        ~F.coalesce(outside, F.lit(False))).select(*[_c(c) for c in df.columns])
+
+
+def _fences(df: DataFrame, target: str, variable: str, labels: list, whisker: float) -> DataFrame:
     seg = df.where(_c(variable).isin(list(labels)))
     q = exact_quantiles(seg, [variable], target, {"_q1": 0.25, "_q3": 0.75})
-    fences = q.select(
+    return q.select(
         _c(variable).alias("_seg"),
         (F.col("_q1") - whisker * (F.col("_q3") - F.col("_q1"))).alias("_lo"),
         (F.col("_q3") + whisker * (F.col("_q3") - F.col("_q1"))).alias("_hi"))
-    j = seg.join(F.broadcast(fences), _c(variable) == F.col("_seg"))
-    return j.where((_c(target) < F.col("_lo")) | (_c(target) > F.col("_hi"))).select(*[_c(c) for c in df.columns])
 
 
 def union_all(*dfs: DataFrame) -> DataFrame:

@@ -102,10 +102,22 @@ def encode_long(df: DataFrame, vocab: DataFrame, key: str, categorical: list[str
 
 def vocabulary_mismatch(train_vocab: DataFrame, new_vocab: DataFrame) -> DataFrame:
     """Features present on one side only, by name (both directions)."""
-    a = train_vocab.select("feature")
-    b = new_vocab.select("feature")
-    return (a.subtract(b).withColumn("side", F.lit("only_train"))
-            .unionByName(b.subtract(a).withColumn("side", F.lit("only_new"))))
+    return mismatch(train_vocab.select("feature"), new_vocab.select("feature"))
+
+
+def mismatch(train_features: DataFrame, new_features: DataFrame) -> DataFrame:
+    """The same from two tables of distinct feature names: one full outer join."""
+    a = train_features.select("feature", F.lit(1).alias("_train"))
+    b = new_features.select("feature", F.lit(1).alias("_new"))
+    j = a.join(b, "feature", "full").where(F.col("_train").isNull() | F.col("_new").isNull())
+    return j.select("feature", F.when(F.col("_new").isNull(), "only_train").otherwise("only_new").alias("side"))
+
+
+def feature_names(df: DataFrame, categorical: list[str], numeric: list[str]) -> DataFrame:
+    """The distinct feature names of a table, without numbering them: one pass."""
+    parts = [F.when(_c(c).isNotNull(), F.concat(F.lit(f"{c}="), _c(c).cast("string"))) for c in categorical]
+    names = F.explode(F.array_compact(F.array(*parts, *[F.lit(c) for c in numeric]))).alias("feature")
+    return df.select(names).distinct()
 
 
 def align_intersect(df: DataFrame, reference_cols: list[str]) -> DataFrame:
@@ -114,10 +126,11 @@ def align_intersect(df: DataFrame, reference_cols: list[str]) -> DataFrame:
 
 
 def align_pad(*dfs: DataFrame, fill=0) -> DataFrame:
-    """Union by name; columns missing on a side are filled with zeros."""
-    out = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), dfs)
-    extra = set().union(*[set(d.columns) for d in dfs]) - set.intersection(*[set(d.columns) for d in dfs])
-    return out.fillna(fill, subset=sorted(extra)) if extra else out
+    """Union by name; columns a side lacks are filled on that side, so true nulls of the
+    side that has them stay null."""
+    types = {f.name: f.dataType for d in reversed(dfs) for f in d.schema.fields}
+    padded = [d.withColumns({c: F.lit(fill).cast(t) for c, t in types.items() if c not in d.columns}) for d in dfs]
+    return reduce(lambda a, b: a.unionByName(b), padded)
 
 
 def hash_unit(key: Column, seed: int) -> Column:
@@ -154,8 +167,11 @@ def split_exact(df: DataFrame, key: str, test_size: float = 0.2, val_size: float
     n_test = F.ceil(n * test_size)
     n_val = F.ceil((n - n_test) * val_size)
     pos = F.col("_one_before")
-    lab = F.when(pos < n_test, "test").when(pos < n_test + n_val, "val").otherwise("train")
-    return with_ord.join(rs.select("_ord", lab.alias("split")), "_ord").drop("_ord")
+    # the last position of test and of val; rows are then labelled by comparison alone
+    cuts = rs.agg(F.max(F.when(pos < n_test, F.col("_ord"))).alias("_test_to"),
+                  F.max(F.when(pos < n_test + n_val, F.col("_ord"))).alias("_val_to"))
+    lab = F.when(F.col("_ord") <= F.col("_test_to"), "test").when(F.col("_ord") <= F.col("_val_to"), "val").otherwise("train")
+    return with_scalars(with_ord, cuts).withColumn("split", lab).drop("_ord", "_test_to", "_val_to")
 
 
 def split_report(df: DataFrame, split_col: str = "split") -> DataFrame:

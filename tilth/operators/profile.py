@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from tilth.functions.stats import adjusted_kurtosis, adjusted_skew
 from tilth.operators.common import with_scalars
-from tilth.operators.ordered import exact_quantiles, running_sums, value_counts_by
+from tilth.operators.ordered import exact_quantiles, pick_quantiles, running_sums, value_counts_by
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
             T.DecimalType)
@@ -111,7 +111,7 @@ def describe_categorical(df: DataFrame, cols: list[str]) -> DataFrame:
 def duplicate_rows(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """Number of rows equal (on cols, default all) to an earlier row: rows - distinct."""
     cols = cols or df.columns
-    g = df.groupBy(*[F.col(f"`{c}`") for c in cols]).agg(F.count(F.lit(1)).alias("_c"))
+    g = df.groupBy(*_short_keys(df, cols)).agg(F.count(F.lit(1)).alias("_c"))
     return g.agg(F.sum("_c").cast("long").alias("n_rows"),
                  F.count(F.lit(1)).alias("n_distinct"),
                  (F.sum("_c") - F.count(F.lit(1))).cast("long").alias("n_duplicates"))
@@ -122,9 +122,15 @@ def duplicated_on(df: DataFrame, subset: list[str], key: str) -> DataFrame:
 
     The first key per subset comes from a partial aggregate, so a heavily repeated
     subset value is never gathered; the join back is skew-handled by AQE."""
-    first = df.groupBy(*subset).agg(F.min(key).alias("_first"))
-    cond = reduce(lambda a, b: a & b, [df[c].eqNullSafe(first[c]) for c in subset])
-    return df.join(first, cond).where(df[key] != first["_first"]).select(df["*"])
+    keyed = df.withColumn("_key", F.sha2(F.to_json(F.struct(*_short_keys(df, subset)), {"ignoreNullFields": "false"}), 256))
+    first = keyed.groupBy("_key").agg(F.min(key).alias("_first"))
+    return keyed.join(first, "_key").where(F.col(f"`{key}`") != F.col("_first")).select(*[F.col(f"`{c}`") for c in df.columns])
+
+
+def _short_keys(df: DataFrame, cols: list[str]) -> list:
+    """Grouping columns with texts replaced by a digest, so no whole text is a shuffle key."""
+    return [F.sha2(F.col(f"`{c}`"), 256).alias(c) if isinstance(df.schema[c].dataType, T.StringType) else F.col(f"`{c}`")
+            for c in cols]
 
 
 def value_counts(df: DataFrame, col: str) -> DataFrame:
@@ -201,11 +207,14 @@ def histogram_by(df: DataFrame, x: str, hue: str, bins: int = 10) -> DataFrame:
 
 def box_stats(df: DataFrame, group: str, x: str, whisker: float = 1.5) -> DataFrame:
     """Per group: q1, median, q3, Tukey fences and the number of points outside them."""
-    q = exact_quantiles(df, [group], x, {"q1": 0.25, "median": 0.5, "q3": 0.75})
+    rs = running_sums(value_counts_by(df, [group], x), [group], x, ["cnt"])
+    q = pick_quantiles(rs, [group], x, {"q1": 0.25, "median": 0.5, "q3": 0.75})
     q = (q.withColumn("lower_fence", F.col("q1") - whisker * (F.col("q3") - F.col("q1")))
           .withColumn("upper_fence", F.col("q3") + whisker * (F.col("q3") - F.col("q1"))))
-    out = df.join(q.select(group, "lower_fence", "upper_fence"), group).groupBy(group).agg(
-        F.count_if((F.col(x) < F.col("lower_fence")) | (F.col(x) > F.col("upper_fence"))).alias("n_outliers"))
+    # the stored value counts already say how many rows lie outside: no second read
+    outside = (F.col(x) < F.col("lower_fence")) | (F.col(x) > F.col("upper_fence"))
+    out = rs.select(group, x, "cnt").join(q.select(group, "lower_fence", "upper_fence"), group).groupBy(group).agg(
+        F.coalesce(F.sum(F.when(outside, F.col("cnt"))), F.lit(0)).alias("n_outliers"))
     return q.join(out, group).select(group, "n", "q1", "median", "q3", "lower_fence", "upper_fence",
                                      "n_outliers")
 

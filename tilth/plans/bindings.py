@@ -13,26 +13,9 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
-# Input bytes per partition when an under-split scan is spread (see ``table``).
-SPREAD_BYTES = 256 * 1024
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table.  A scan with fewer splits than its size warrants (a file written
-    as one row group) is spread round-robin so the work before the first shuffle is not
-    single-threaded: one partition per ``SPREAD_BYTES`` of input, at most one per core,
-    so a tiny dimension table is never fanned out over a whole cluster.  Large inputs
-    already have many splits and are left as they are.  Filters and column pruning
-    still reach the scan."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    try:
-        cores = spark.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    except Exception:  # no RDD view or plan statistics (a Spark Connect session): read as is
-        return df
-    target = min(cores, max(1, -(-size // SPREAD_BYTES)))
-    return df.repartition(target) if splits < target else df
+    """A driver table, as Spark reads it: input splits set the number of tasks."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 # ---- raw survey stand-in: orders with injected missing values ----------------
@@ -144,8 +127,7 @@ def v_runs(spark, sf_dir) -> DataFrame:
     return scored.groupBy("day").agg(
         F.sqrt(F.avg(F.pow(F.col("y") - F.col("pred"), 2))).alias("rmse"),
         (1 - F.sum(F.pow(F.col("y") - F.col("pred"), 2))
-         / F.when(F.sum(F.pow(F.col("y"), 2)) - F.pow(F.sum("y"), 2) / F.count("y") != 0,
-                  F.sum(F.pow(F.col("y"), 2)) - F.pow(F.sum("y"), 2) / F.count("y"))).alias("r2"),
+         / F.when(F.var_pop("y") != 0, F.var_pop("y") * F.count("y"))).alias("r2"),
         F.avg(F.abs(F.col("y") - F.col("pred"))).alias("mae"),
         F.count(F.lit(1)).alias("n"))
 
@@ -155,7 +137,7 @@ v_runs AS (
   SELECT CAST(e.ts AS DATE) AS day,
          sqrt(avg((e.value - m.pred) ^ 2)) AS rmse,
          1 - sum((e.value - m.pred) ^ 2)
-           / nullif(sum(e.value ^ 2) - sum(e.value) ^ 2 / count(e.value), 0) AS r2,
+           / nullif(var_pop(e.value) * count(e.value), 0) AS r2,
          avg(abs(e.value - m.pred)) AS mae,
          count(*) AS n
   FROM events e JOIN v_user_mean m USING (user_id)

@@ -10,65 +10,25 @@ from pyspark.sql import functions as F
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
-HEADLINE: list[str] = []
 
 
-def query(key: str, sql: str | None = None, headline: bool = False):
+def query(key: str, sql: str | None = None):
     def deco(fn):
         if key in QUERIES:
             raise ValueError(f"duplicate key {key}")
         QUERIES[key] = fn
         if sql is not None:
-            ORACLE[key] = nudge_rounding(sql)
-        if headline:
-            HEADLINE.append(key)
+            ORACLE[key] = sql
         return fn
     return deco
 
 
-def nudge(d: int) -> float:
-    """Shift applied away from zero before rounding to d places: 1.23456% of the last
-    unit.  Averages of decimal data often land exactly on a rounding tie, where the last
-    bit (which depends on summation order) would decide; the shift moves the boundary
-    off those points.  Applied identically by Spark (``rnd``) and the oracle SQL."""
-    return 0.0123456 * 10.0 ** (-d)
-
-
 def rnd(c: str | Column, d: int = 6) -> Column:
-    """Round to d places the way the SQL oracle does (nudge, scale, round half away from
-    zero, unscale); adding 0.0 turns -0.0 into 0.0."""
+    """Round to d places, half away from zero, by scaling (as SQL's round does); adding 0.0
+    turns -0.0 into 0.0."""
     col = F.col(c) if isinstance(c, str) else c
-    x = col.cast("double")
     p = float(10 ** d)
-    return F.round((x + F.signum(x) * F.lit(nudge(d))) * p, 0) / p + F.lit(0.0)
-
-
-def nudge_rounding(sql: str) -> str:
-    """Give every ``round(X, d)`` of an oracle text the same nudge as ``rnd``."""
-    out, i = [], 0
-    while True:
-        j = sql.find("round(", i)
-        if j < 0:
-            out.append(sql[i:])
-            return "".join(out)
-        if j > 0 and (sql[j - 1].isalnum() or sql[j - 1] == "_"):
-            out.append(sql[i:j + 6])
-            i = j + 6
-            continue
-        depth, k, comma = 1, j + 6, -1
-        while depth:
-            ch = sql[k]
-            if ch == "(":
-                depth += 1
-            elif ch == ")":
-                depth -= 1
-            elif ch == "," and depth == 1:
-                comma = k
-            k += 1
-        inner, digits = sql[j + 6:comma], sql[comma + 1:k - 1].strip()
-        inner = nudge_rounding(inner)
-        out.append(sql[i:j] + f"round(({inner}) + sign({inner}) * {nudge(int(digits))!r}, {digits})")
-        i = k
+    return F.round(col.cast("double") * p, 0) / p + F.lit(0.0)
 
 
 def rounded(df: DataFrame, cols: dict[str, int]) -> DataFrame:

@@ -14,8 +14,7 @@ _SURVEY_SUBSET = ["Order key", "Education", "Acreage", "Order status"]
 
 
 def _dtext(x: str) -> str:
-    t = f"regexp_replace(CAST(CAST({x} AS DECIMAL(38,6)) AS VARCHAR), '0+$', '')"
-    return f"CASE WHEN {x} IS NULL THEN NULL WHEN {t} LIKE '%.' THEN {t} || '0' ELSE {t} END"
+    return f"CAST(CAST({x} AS DOUBLE) AS VARCHAR)"
 
 
 @query("project_subset", with_ctes(V_SURVEY) + """
@@ -121,7 +120,7 @@ def renumber_rows(spark, d):
 @query("prepare_survey", with_ctes(V_SURVEY) + """
 SELECT "Order key" AS order_key, coalesce("Education", 'No educated') AS education, "Acreage" AS acreage,
        "Order status" AS order_status
-FROM v_survey WHERE "Acreage" IS NOT NULL""", headline=True)
+FROM v_survey WHERE "Acreage" IS NOT NULL""")
 def prepare_survey(spark, d):
     return _prepare(v_survey(spark, d), _SURVEY_SUBSET)
 

@@ -97,9 +97,8 @@ SELECT feature, 'only_train' AS side FROM (SELECT feature FROM a EXCEPT SELECT f
 UNION ALL
 SELECT feature, 'only_new' FROM (SELECT feature FROM b EXCEPT SELECT feature FROM a)""")
 def feature_mismatch(spark, d):
-    a = E.vocabulary(_train_customers(spark, d), _CUST_CAT, _CUST_NUM)
-    b = E.vocabulary(_customers(spark, d), _CUST_CAT, _CUST_NUM)
-    return E.vocabulary_mismatch(a, b)
+    a, b = [E.feature_names(c, _CUST_CAT, _CUST_NUM) for c in (_train_customers(spark, d), _customers(spark, d))]
+    return E.mismatch(a, b)
 
 
 def _cust_features(nations):
@@ -134,7 +133,7 @@ def _split_model(spark, d):
     return E.split(v_model(spark, d), "row_key")
 
 
-@query("split_60_20_20", with_ctes(V_MODEL, V_SPLIT) + "SELECT row_key, split FROM v_split", headline=True)
+@query("split_60_20_20", with_ctes(V_MODEL, V_SPLIT) + "SELECT row_key, split FROM v_split")
 def split_60_20_20(spark, d):
     return _split_model(spark, d).select("row_key", "split")
 

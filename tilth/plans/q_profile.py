@@ -64,7 +64,7 @@ SELECT "column", count(*) AS count, round(avg(value), 6) AS mean, round(stddev_s
        round(min(value), 6) AS min, round(quantile_cont(value, 0.25), 6) AS q25,
        round(quantile_cont(value, 0.5), 6) AS q50, round(quantile_cont(value, 0.75), 6) AS q75,
        round(max(value), 6) AS max
-FROM long GROUP BY "column" """, headline=True)
+FROM long GROUP BY "column" """)
 def describe_numeric(spark, d):
     out = P.describe_numeric(table(spark, d, "lineitem"), _DESC_COLS)
     return rounded(out, {c: 6 for c in ["mean", "std", "min", "q25", "q50", "q75", "max"]})

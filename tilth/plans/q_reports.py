@@ -43,7 +43,7 @@ def report_inputs(spark, d):
     err2 = F.pow(F.col("y") - F.col("pred"), 2)
     per_day = s.groupBy("project", "day").agg(
         F.count(F.lit(1)).alias("n"), F.sqrt(F.avg(err2)).alias("rmse"),
-        (1 - F.try_divide(F.sum(err2), F.sum(F.col("y") * F.col("y")) - F.pow(F.sum("y"), 2) / F.count(F.lit(1))))
+        (1 - F.try_divide(F.sum(err2), F.var_pop("y") * F.count(F.lit(1))))
         .alias("r2"),
         F.avg(F.abs(F.col("y") - F.col("pred"))).alias("mae"), F.max("ts").alias("t_end"))
     ref = s.groupBy("project").agg(F.sqrt(F.avg(err2)).alias("rmse_ref"))
@@ -110,7 +110,7 @@ RI = f"""um AS (SELECT user_id, avg(value) AS pred FROM events GROUP BY 1),
 s AS (SELECT e.event_type AS project, CAST(e.ts AS DATE) AS day, e.ts, e.value AS y, um.pred
       FROM events e JOIN um USING (user_id)),
 pd AS (SELECT project, day, count(*) AS n, sqrt(avg((y - pred) ^ 2)) AS rmse,
-              1 - sum((y - pred) ^ 2) / nullif(sum(y * y) - sum(y) ^ 2 / count(*), 0) AS r2,
+              1 - sum((y - pred) ^ 2) / nullif(var_pop(y) * count(*), 0) AS r2,
               avg(abs(y - pred)) AS mae, max(ts) AS t_end FROM s GROUP BY 1, 2),
 rf AS (SELECT project, sqrt(avg((y - pred) ^ 2)) AS rmse_ref FROM s GROUP BY 1),
 ri0 AS (SELECT pd.*, rf.rmse_ref, dayofmonth(day) AS dom,

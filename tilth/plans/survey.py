@@ -42,9 +42,9 @@ def prepare_survey_strict(raw: DataFrame, subset: list[str], key: str, target: s
     df = C.fill_row_when_null(df, trigger, fill_value)
     var1, labels1 = first_segments
     # fences are per segment, so one pass over all labels equals the union of per-label sets
-    df = C.remove_rows(df, C.iqr_outliers(df, target, var1, labels1), key)
+    df = C.drop_iqr_outliers(df, target, var1, labels1)
     var2, labels2 = second_segments
-    df = C.remove_rows(df, C.iqr_outliers(df, target, var2, labels2), key)
+    df = C.drop_iqr_outliers(df, target, var2, labels2)
     return C.recast_text(df, to_text)
 
 

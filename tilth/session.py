@@ -45,7 +45,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        # Only reached in local tests: no cluster-wide folder was configured.
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        # one process: its own temporary folder is shared by definition
         configured = tempfile.mkdtemp(prefix="tilth-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
