@@ -25,65 +25,76 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from tilth.llm.common import bounded_ids, materialize
 
-SAMPLE = 6_000          # labelled documents, at most
+SAMPLE = 4_000          # labelled documents, at most
 WORDS = 20_000          # words kept, at most
 GRAMS = 20_000          # n-grams kept of each length, at most
 LONGEST = 5
-WORD_CHARS = 40         # longer strings are never words of the model; their n-grams score
+WORD_BYTES = 60         # longer strings are never words of the model; their n-grams score
 PENALTY = 7.0           # minus log10 frequency of what a language lacks
 _CACHE = 200_000
 
 
-def letter_words(text: str) -> list[str]:
-    """Lower-cased runs of characters that are not ASCII marks, digits or spaces."""
-    return text.lower().translate(_SEPARATORS).split()
+_LETTERS = bytes(b if b >= 0x80 or chr(b).isalpha() else 0x20 for b in range(256))
 
 
-_SEPARATORS = {i: " " for i in range(128) if not chr(i).isalpha()} | {ord(c): " " for c in "«»„“”‘’…–—¿¡·"}
+def letter_words(text: str) -> list[bytes]:
+    """Lower-cased runs of letters; only characters inside ASCII separate words."""
+    return text.lower().encode("utf-8", "surrogatepass").translate(_LETTERS).split()
 
 
 def has_letter(text: str | None) -> bool:
     return bool(text) and any(unicodedata.category(c)[0] == "L" for c in text)
 
 
-def grams(word: str, n: int) -> list[str]:
-    padded = f" {word} "
+def grams(word: bytes, n: int) -> list[str]:
+    bare = word.decode("utf-8", "surrogatepass")
+    padded = f" {bare} " if n > 1 else bare
     return [padded[i:i + n] for i in range(len(padded) - n + 1)]
 
 
 @dataclass(frozen=True)
 class LanguageModel:
     languages: list[str]
-    words: dict[str, int]           # to rows of ``table``
+    words: dict[bytes, int]         # to rows of ``table``
     grams: list[dict[str, int]]     # by length, 1 first
     table: np.ndarray               # float32[rows, languages]: minus log10 of relative frequency
 
-    def back_off(self, word: str) -> np.ndarray | None:
+    def back_off(self, word: bytes) -> list[int]:
+        """The rows of the longest n-grams of which some are known."""
         for n in range(len(self.grams), 0, -1):
-            rows = [r for g in grams(word, n) if (r := self.grams[n - 1].get(g)) is not None]
+            known = self.grams[n - 1]
+            rows = [known[g] for g in grams(word, n) if g in known]
             if rows:
-                return self.table[rows].mean(axis=0)
-        return None
+                return rows
+        return []
+
+    def score(self, text: str, cache: dict[bytes, list[int]]) -> np.ndarray | None:
+        """The mean score of each language (lower is likelier); None without known parts.
 
-    def score(self, text: str, cache: dict[str, np.ndarray | None]) -> np.ndarray | None:
-        """The mean score of each language (lower is likelier); None without known parts."""
-        known = self.words
+        Every word weighs the same: a known one by its own row, an unseen one by the mean
+        of its n-grams' rows."""
         ws = letter_words(text)
-        rows = [r for r in map(known.get, ws) if r is not None]
+        found = list(map(self.words.get, ws))
+        rows = [r for r in found if r is not None]
         total, n = self.table[rows].sum(axis=0, dtype=np.float64), len(rows)
-        if len(rows) < len(ws):
-            for w in ws:
-                if w not in known:
-                    if w in cache:
-                        v = cache[w]
-                    else:
+        if n < len(ws):
+            parts: list[int] = []
+            shares: list[float] = []
+            for w, r in zip(ws, found, strict=True):
+                if r is None:
+                    at = cache.get(w)
+                    if at is None:
+                        at = self.back_off(w)
                         if len(cache) >= _CACHE:
                             cache.clear()
-                        v = self.back_off(w)
-                        if len(w) <= WORD_CHARS:
-                            cache[w] = v
-                    if v is not None:
-                        total, n = total + v, n + 1
+                        if len(w) <= WORD_BYTES:
+                            cache[w] = at
+                    if at:
+                        parts += at
+                        shares += [1.0 / len(at)] * len(at)
+                        n += 1
+            if parts:
+                total = total + np.array(shares) @ self.table[parts]
         return total / n if n else None
 
 
@@ -97,8 +108,8 @@ def _counts(schema: pa.Schema):
             for lang, counted in seen.items():
                 parts: list[Counter] = [Counter() for _ in range(LONGEST + 1)]
                 for w, c in counted.items():
-                    if len(w) <= WORD_CHARS:
-                        parts[0][w] += c
+                    if len(w) <= WORD_BYTES:
+                        parts[0][w.decode("utf-8", "surrogatepass")] += c
                     for n in range(1, LONGEST + 1):
                         for g in grams(w, n):
                             parts[n][g] += c
@@ -139,13 +150,14 @@ def fit(docs: DataFrame, sample: int = SAMPLE, words: int = WORDS, grams_kept: i
     costs = np.full((sum(map(len, index)), len(languages)), PENALTY, np.float32)
     for n, lang, part, cnt in rows:
         costs[index[n][part], column[lang]] = min(PENALTY, -math.log10(cnt / totals[n, lang]))
-    return LanguageModel(languages, index[0], index[1:], costs)
+    named = {w.encode("utf-8", "surrogatepass"): r for w, r in index[0].items()}
+    return LanguageModel(languages, named, index[1:], costs)
 
 
 def _predict(model, schema: pa.Schema):
     def run(batches):
         m: LanguageModel = model.value
-        cache: dict[str, np.ndarray | None] = {}
+        cache: dict[bytes, list[int]] = {}
         for batch in batches:
             pred, score = [], []
             for cell in batch.column("text"):
