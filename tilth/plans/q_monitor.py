@@ -60,7 +60,7 @@ cum AS (SELECT "column", v, lag(v) OVER w AS pv,
 
 # The other series of the Kolmogorov tail, which converges for any argument given enough terms.
 _KS_P = """(SELECT CASE WHEN lam <= 0 THEN 1.0 ELSE least(1.0, greatest(0.0, 1 - sqrt(2 * pi()) / lam
-   * sum(exp(-((2 * k - 1) * pi()) ** 2 / (8 * lam * lam))))) END FROM range(1, 401) t(k))"""
+   * sum(exp(0 - pow((2 * k - 1) * pi(), 2) / (8 * lam * lam))))) END FROM range(1, 401) t(k))"""
 
 
 @query("drift_ks", "WITH " + V_EVENTS_TAGGED + ",\n" + _LONG_NUM + """,
