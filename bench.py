@@ -45,6 +45,8 @@ def main() -> None:
            "cpus": int(cpus), "shuffle_partitions": int(spark.conf.get("spark.sql.shuffle.partitions")),
            "spark": spark.version}
     print(json.dumps(out))
+    from tilth.session import clear_scratch
+    clear_scratch(spark)
     spark.stop()
 
 

@@ -55,3 +55,15 @@ def test_cluster_without_shared_folder_is_refused(monkeypatch):
     sc = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None, getConf=lambda: conf)
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         checkpoint_dir(SimpleNamespace(sparkContext=sc))
+
+
+def test_scratch_tables_can_be_cleared(spark):
+    import os
+
+    from tilth.session import clear_scratch, scratch_path
+    path = scratch_path(spark, "t")
+    spark.range(3).write.parquet(path)
+    local = path.removeprefix("file:")
+    assert os.path.isdir(local)
+    clear_scratch(spark)
+    assert not os.path.exists(local)

@@ -43,11 +43,6 @@ def vocabulary(df: DataFrame, categorical: list[str], numeric: list[str]) -> Dat
         F.col("_one_before").cast("int").alias("idx"), "feature", "column", "value")
 
 
-def vocabulary_list(vocab: DataFrame) -> list[tuple[int, str, str, str | None]]:
-    """Bring the (small) vocabulary to the driver, ordered by index."""
-    return [tuple(r) for r in vocab.orderBy("idx").select("idx", "feature", "column", "value").collect()]
-
-
 MAX_WIDE_FEATURES = 10_000
 
 

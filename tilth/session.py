@@ -16,17 +16,23 @@ from pyspark.sql import DataFrame, SparkSession
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app: str = "tilth", extra: dict | None = None) -> SparkSession:
+    """A session for tests and the benchmark.  Without a master it is local; there 8 shuffle
+    partitions suit the small tables.  On a cluster the number is left to the cluster's
+    setting (a high one, which adaptive execution coalesces) unless given."""
     master = master or f"local[{os.environ.get('BENCH_CPUS', '8')}]"
-    parts = shuffle_partitions or int(os.environ.get("TILTH_SHUFFLE_PARTITIONS", "8"))
-    b = (SparkSession.builder.master(master).appName(app)
-         .config("spark.sql.shuffle.partitions", str(parts))
+    parts = shuffle_partitions or os.environ.get("TILTH_SHUFFLE_PARTITIONS") or (8 if master.startswith("local") else None)
+    b = SparkSession.builder.master(master).appName(app)
+    if parts:
+        b = b.config("spark.sql.shuffle.partitions", str(parts))
+    if master.startswith("local"):
+        b = b.config("spark.driver.memory", "16g")
+    b = (b
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-         .config("spark.ui.enabled", "false")
-         .config("spark.driver.memory", "16g"))
+         .config("spark.ui.enabled", "false"))
     for k, v in (extra or {}).items():
         b = b.config(k, v)
     spark = b.getOrCreate()
@@ -67,3 +73,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for written intermediate tables."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/tilth-scratch/{name}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete every intermediate table that ``scratch_path`` named, once their readers are done."""
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/tilth-scratch"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
