@@ -6,8 +6,8 @@ import random
 import brute
 import numpy as np
 import pytest
-from conftest import ROWS
 from pyspark.sql import functions as F
+from text_fixtures import ROWS, empty, messy  # noqa: F401
 
 from tilth.llm import langid, queries, toxicity
 

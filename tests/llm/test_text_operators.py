@@ -5,8 +5,8 @@ import random
 
 import brute
 import pytest
-from conftest import ROWS
 from pyspark.sql import functions as F
+from text_fixtures import ROWS, empty, messy  # noqa: F401
 
 from tilth.llm import chat, decontam, lengths, lines, mixing, neardup, quality, secrets, tokens
 

@@ -4,6 +4,7 @@ import os
 import sys
 
 import pytest
+from text_fixtures import empty, messy  # noqa: F401
 
 import corpus_pipeline
 from tilth.llm import common, queries

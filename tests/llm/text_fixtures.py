@@ -1,10 +1,8 @@
-import os
-import sys
+"""Fixtures of the text operators' tests; test modules import them by name (a second
+``conftest.py`` would hide the one the other tests import from)."""
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
-
 LONG = " ".join(f"w{i % 977}" for i in range(60_000))
 COPY = "one two three four five six seven eight nine ten " * 3 + "tail words that differ"
 ROWS = [
