@@ -64,7 +64,7 @@ RULES = (
     Rule("symbols", "n_symbols", ">", 10, "n_words"),
     Rule("shouting", "n_shouts", ">", 50, "n_words"),
     Rule("few_stop_words", "n_stop_words", "<", 2, "n_words"),
-    Rule("duplicate_lines", "n_dup_lines", ">", 30, "n_lines"),
+    Rule("duplicate_lines", "n_dup_lines", ">", 50, "n_lines"),
     Rule("bullet_lines", "n_bullet_lines", ">", 90, "n_lines"),
     Rule("ellipsis_lines", "n_ellipsis_lines", ">", 30, "n_lines"),
 )
