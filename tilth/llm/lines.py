@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tilth.llm.common import ASCII_SPACE, ascii_lower, let
+from tilth.llm.common import ASCII_SPACE, ascii_lower, let, materialize
 
 
 def _key_hash(key: Column) -> list[Column]:
@@ -38,7 +38,7 @@ def repeated_lines(lines: DataFrame, min_docs: int) -> DataFrame:
     one_more = F.max(F.col("doc_id").isNull().cast("int"))
     least, most = F.min("doc_id"), F.max("doc_id")
     if min_docs <= 2:
-        n = F.count_if(F.lit(False)) + F.when(least.isNull(), 0).when(least == most, 1).otherwise(2) + one_more
+        n = F.when(least.isNull(), 0).when(least == most, 1).otherwise(2) + one_more
     else:
         n = F.count_distinct("doc_id") + one_more
     counted = lines.groupBy("__h", "__g").agg(least.alias("__keeper"), n.alias("__n_docs"))
@@ -57,7 +57,9 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10, min_docs: int = 2, text_co
     others; an empty table gives an empty table; input columns named like the three
     outputs are replaced."""
     lines = exploded_lines(docs, min_chars, text_col)
-    keys = repeated_lines(lines, min_docs)
+    # stored, so that both sides of the join are dealt anew and a very common line's rows
+    # (a skewed key with one row on the other side) can be split over tasks
+    keys = materialize(repeated_lines(lines, min_docs))
     mine = F.col("doc_id").eqNullSafe(F.col("__keeper"))
     drops = (lines.join(keys, ["__h", "__g"]).where(~mine)
              .groupBy(F.col("doc_id").alias("__id"), F.col("__row").alias("__of"))
