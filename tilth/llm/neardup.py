@@ -33,6 +33,7 @@ COORDINATES = 32
 MATCHES = 16          # a pair at similarity 0.8 falls below with a chance of 2 in 100,000
 BLOCK_DOCS = 512
 BLOCK_SHINGLES = 1 << 18
+_SALTS = 64
 _ROWS = 2048          # shingles hashed at a time, whatever the text's length
 _COLUMNS = 4096       # columns of the overlap product at a time
 
@@ -88,7 +89,8 @@ def _sets(width: int, schema: pa.Schema):
         for batch in batches:
             sets = [shingle_set(t.as_py(), width).view(np.int64) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), batch.column("family"), pa.array(sets, pa.list_(pa.int64()))], schema=schema)
+                [batch.column("node"), batch.column("family"), batch.column("m"), pa.array(sets, pa.list_(pa.int64()))],
+                schema=schema)
     return run
 
 
@@ -163,7 +165,8 @@ def near_duplicates(docs: DataFrame, width: int = 4, percent: int = 80, coordina
     # only classes with copies need their representative looked up
     placed = full.join(classes.where(F.col("copies") > 1).select("h1", "h2", "rep"), ["h1", "h2"], "left").withColumn(
         "rep", F.coalesce("rep", "doc_id"))
-    families = _families(placed.where(F.col("rep") == F.col("doc_id")), matches)
+    reps = placed.where(F.col("rep") == F.col("doc_id"))
+    families = _dealt(_families(reps, matches), reps)
     stars = _confirmed(own, families, width, percent, coordinates, matches)
     # a doc_id that repeats with different texts is one node in several classes
     several = full.groupBy("doc_id").agg(F.min("h1").alias("x"), F.max("h1").alias("y")).where("x != y").select("doc_id")
@@ -183,7 +186,8 @@ def _families(reps: DataFrame, matches: int) -> DataFrame:
     posting; families are components of the postings."""
     posted = reps.select(F.col("doc_id").alias("node"), F.posexplode("sig").alias("at", "value")).select(
         "node", F.xxhash64("at", "value").alias("token"))
-    common = posted.groupBy("token").agg(F.count(F.lit(1)).alias("cnt")).where(F.col("cnt") > 1)
+    # stored, so that the join deals both sides anew and a very common value can be split
+    common = materialize(posted.groupBy("token").agg(F.count(F.lit(1)).alias("cnt")).where(F.col("cnt") > 1))
     shared = posted.join(common, "token").groupBy("node").agg(
         F.sort_array(F.collect_set(F.struct("cnt", "token"))).alias("tokens")).where(F.size("tokens") >= matches)
     # values of its own count towards the prefix but meet nothing, so K - matches + 1
@@ -197,18 +201,28 @@ def _families(reps: DataFrame, matches: int) -> DataFrame:
     return components(met).select("node", F.col("component").alias("family"))
 
 
+def _dealt(families: DataFrame, reps: DataFrame) -> DataFrame:
+    """(node, family, m): with the number of blocks of the family, from its members' count
+    and set sizes.  Few families need more than one block; those rows are copied for
+    ``_SALTS`` salts, so that the members of one large family meet them in as many tasks."""
+    sized = families.join(reps.select(F.col("doc_id").alias("node"), "n"), "node")
+    large = sized.groupBy("family").agg(F.greatest(
+        F.ceil(F.count(F.lit(1)) / BLOCK_DOCS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("long").alias("m")).where("m > 1")
+    salted = large.select("family", "m", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("salt"))
+    salt = F.pmod(F.xxhash64("node"), F.lit(_SALTS)).cast("int")
+    return families.withColumn("salt", salt).join(salted, ["family", "salt"], "left").select(
+        "node", "family", F.coalesce("m", F.lit(1)).alias("m"))
+
+
 def _confirmed(own: DataFrame, families: DataFrame, width: int, percent: int, k: int, matches: int) -> DataFrame:
     """Stars (a, b) of the groups linked on full sets, from tasks of two blocks each."""
     texts = own.where(F.col("doc_id").isNotNull()).withColumn("h", F.xxhash64("text"))
-    per = families.join(texts, F.col("node") == F.col("doc_id")).select("node", "family", "h", "text")
-    per = per.dropDuplicates(["node", "h"]).select("node", "family", "text")
-    schema = pa.schema([("node", pa.int64()), ("family", pa.int64()), ("set", pa.list_(pa.int64()))])
-    sets = materialize(per.mapInArrow(_sets(width, schema), "node long, family long, set array<bigint>"))
-    blocks = sets.groupBy("family").agg(F.greatest(
-        F.ceil(F.count(F.lit(1)) / BLOCK_DOCS), F.ceil(F.sum(F.size("set")) / BLOCK_SHINGLES)).cast("long").alias("m"))
+    per = families.join(texts, F.col("node") == F.col("doc_id")).select("node", "family", "m", "h", "text")
+    per = per.dropDuplicates(["node", "h"]).select("node", "family", "m", "text")
+    schema = pa.schema([("node", pa.int64()), ("family", pa.int64()), ("m", pa.int64()), ("set", pa.list_(pa.int64()))])
+    sets = per.mapInArrow(_sets(width, schema), "node long, family long, m long, set array<bigint>")
     # a family of m blocks: block i meets every block j, so each member goes to m tasks
-    dealt = sets.join(blocks, "family").withColumn("i", F.pmod(F.xxhash64("node"), F.col("m")))
-    tasks = dealt.select("node", "family", "set", "i",
+    tasks = sets.withColumn("i", F.pmod(F.xxhash64("node"), F.col("m"))).select("node", "family", "set", "i",
                          F.explode(F.sequence(F.lit(0).cast("long"), F.col("m") - 1)).alias("j"))
     tasks = tasks.select("node", "family", "set", F.least("i", "j").alias("lo"), F.greatest("i", "j").alias("hi"))
     out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
