@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tilth.llm.common import materialize, words
 
-DOCS_PER_BUCKET = 4096
+DOCS_PER_BUCKET = 1024
 HASH_BITS = 40
 
 
