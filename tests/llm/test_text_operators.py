@@ -119,6 +119,29 @@ def test_random_strings(spark):
     assert got == {1: "random:4:28", 2: "", 3: "", 4: "hex:0:32", 5: "hex:0:23"}
 
 
+def test_random_strings_beside_words(spark):
+    """Keys in paths, URLs and name=value: the words of the run do not hide them."""
+    rnd = random.Random(4)
+    rows, places = [], {}
+    for before, after in (("webhook/services/notification/", ""), ("com/download/private/session/", "/internationalization"),
+                          ("session_identifier=", ""), ("", "_configuration_environment_production")):
+        for extra in ("", "-_", "+/"):
+            for n in (20, 24, 32):
+                for _ in range(10):
+                    key = "".join(rnd.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789" + extra) for _ in range(n))
+                    places[len(rows)] = (4 + len(before), 4 + len(before) + n)
+                    rows.append((len(rows), f"see {before}{key}{after} there"))
+    plain = ["users/profile/settings/550e8400-e29b-41d4-a716-446655440000/configuration/environment",
+             "repository/blob/d41d8cd98f00b204e9800998ecf8427e/documentation/introduction",
+             "webhook/services/notification/download/private/session/v2/index", "archive/backup/2024-01-16/production/database/12"]
+    rows += [(1000 + i, t) for i, t in enumerate(plain)]
+    got = {r["doc_id"]: [(x["first"], x["end"]) for x in r["spans"] if x["kind"] == "random"] for r in secrets.find_secrets(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    hidden = [i for i, (a, b) in places.items() if not any(x <= a and y >= b for x, y in got[i])]
+    assert len(hidden) <= 2, [rows[i] for i in hidden]
+    assert all(not got[1000 + i] for i in range(len(plain)))
+
+
 def test_lengths(messy, empty, spark):
     enc = tokens.encoding(tokens.ship_vocabulary(spark))
     n = sorted(len(enc.encode_ordinary(t or "")) for _, t in DOCS)

@@ -3,12 +3,15 @@
 A vocabulary learnt from text spends few tokens on words and many on random strings.  A
 run of key characters with fewer than ``MAX_RATIO`` characters a token is taken for a
 secret, unless it is a digest of a usual length, a UUID, a number or an identifier made
-of words.
+of words.  Where the words of a path or name lift a run over the ratio, the parts between
+its marks are tested, so that the words cannot hide a key beside them.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -30,18 +33,24 @@ _ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
 _HEX = re.compile(rb"[0-9a-f]{16,}")
 _ASSIGN_CHARS, _ACCESS_CHARS = 12, 18
 
-_RUN = re.compile(rb"[A-Za-z0-9+/_=-]{20,}")
+_CHARS = 20
+_RUN = re.compile(rb"[A-Za-z0-9+/_=-]{%d,}" % _CHARS)
 _UUID = re.compile(rb"[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}")
 _HEX_ONLY = re.compile(rb"[0-9a-f]+|[0-9A-F]+")
 _DIGEST_CHARS = {32, 40, 56, 64, 96, 128}
 _WORDS_ONLY = re.compile(rb"(?:[A-Z]?[a-z]+|[A-Z]+|[0-9]{1,4})(?:[_/+=-]+(?:[A-Z]?[a-z]+|[A-Z]+|[0-9]{1,4}))*[_/+=-]*")
 
+_PART = re.compile(rb"(?<![A-Za-z0-9])(?:%b)(?![A-Za-z0-9])|[A-Za-z0-9]+" % _UUID.pattern)
+_MARKS, _OWN_MARKS = b"+/_=-", 2      # marks at an end of a key that are taken as its own, at most
+
+
+def _is_fixed(run: bytes) -> bool:
+    return bool((len(run) in _DIGEST_CHARS and _HEX_ONLY.fullmatch(run)) or _UUID.fullmatch(run))
+
 
 def is_identifier(run: bytes) -> bool:
     """Digests of usual lengths, UUIDs, plain numbers, and words joined by marks."""
-    return bool(
-        (len(run) in _DIGEST_CHARS and _HEX_ONLY.fullmatch(run)) or _UUID.fullmatch(run)
-        or run.isdigit() or _WORDS_ONLY.fullmatch(run))
+    return bool(_is_fixed(run) or run.isdigit() or _WORDS_ONLY.fullmatch(run))
 
 
 def base_spans(raw: bytes) -> list[tuple[int, int, int]]:
@@ -57,11 +66,59 @@ def base_spans(raw: bytes) -> list[tuple[int, int, int]]:
     return found
 
 
+def _random_parts(run: bytes, enc, tokens: list[int], max_ratio: float) -> list[tuple[int, int]]:
+    """(start, end) of the random parts of a run that is not random as a whole.
+
+    Marks cut a run into parts; of several marks in a row one cuts and the others go with
+    the parts.  Each part is tested with as many of the next ones, and with as many of the
+    ones before, as make ``_CHARS``: every part of a key that has marks of its own is in a
+    window without the words beside the key.  No window reaches over a UUID or a digest.
+    Windows that overlap are one span.  The tokens of the run are counted, not made anew:
+    no token holds both marks and letters or digits."""
+    parts = [m.span() for m in _PART.finditer(run)]
+    starts = [0, *accumulate(len(enc.decode_single_token_bytes(t)) for t in tokens)]
+    gaps = [b - a for a, b in zip([0, *(b for _, b in parts)], [*(a for a, _ in parts), len(run)])]
+    # the marks before the first part and after the last cut nothing
+    own = [min(_OWN_MARKS, max(0, g - (0 < i < len(parts)))) for i, g in enumerate(gaps)]
+    lows = [a - own[i] for i, (a, _) in enumerate(parts)]
+    highs = [b + own[i + 1] for i, (_, b) in enumerate(parts)]
+    fixed = [_is_fixed(run[a:b]) for a, b in parts]
+
+    def is_random(a: int, b: int) -> bool:
+        return (b - a < max_ratio * (bisect_left(starts, b) - bisect_left(starts, a))
+                and not is_identifier(run[a:b].lstrip(_MARKS)))
+
+    windows = set()
+    for order in (range(len(parts)), range(len(parts) - 1, -1, -1)):
+        step = order.step
+        for i in order:
+            j = i
+            while 0 <= j < len(parts) and not fixed[j]:
+                a, b = lows[min(i, j)], highs[max(i, j)]
+                if b - a >= _CHARS:
+                    if is_random(a, b):
+                        windows.add((a, b))
+                    break
+                j += step
+    found: list[tuple[int, int]] = []
+    for a, b in sorted(windows):
+        if found and a < found[-1][1]:
+            found[-1] = (found[-1][0], max(b, found[-1][1]))
+        else:
+            found.append((a, b))
+    return found
+
+
 def random_spans(raw: bytes, enc, max_ratio: float = MAX_RATIO) -> list[tuple[int, int, int]]:
     found = []
     for m in _RUN.finditer(raw):
-        if not is_identifier(m[0]) and len(m[0]) < max_ratio * len(enc.encode_ordinary(m[0].decode())):
+        if is_identifier(m[0]):
+            continue
+        tokens = enc.encode_ordinary(m[0].decode())
+        if len(m[0]) < max_ratio * len(tokens):
             found.append((m.start(), m.end(), 3))
+        else:
+            found += [(m.start() + a, m.start() + b, 3) for a, b in _random_parts(m[0], enc, tokens, max_ratio)]
     return found
 
 
