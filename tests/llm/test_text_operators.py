@@ -142,6 +142,19 @@ def test_random_strings_beside_words(spark):
     assert all(not got[1000 + i] for i in range(len(plain)))
 
 
+def test_random_letters_are_no_words(spark):
+    """Letters of one case are words only if the vocabulary spends few tokens on them."""
+    texts = ["qzxvkjwqpmtrhgbnlfds", "XKQZJ-WRTPL-QZXVK-MNBVC", "login/session/qzxvkjwqpmtrhgbnlfds"]
+    words = ["internationalization_of_long_identifiers_here", "RECURSION_LIMIT_OF_THE_PARSER", "a-b-c-d-e-f-g-h-i-j-k-l",
+             "2024-01-16-23-59-59-1234", "the_cat_sat_on_the_mat_of_a_man"]
+    rows = list(enumerate(texts + words))
+    got = {r["doc_id"]: r["spans"] for r in secrets.digest(
+        secrets.find_secrets(spark.createDataFrame(rows, "doc_id long, text string"))).collect()}
+    assert [got[i] for i in range(2)] == ["random:0:20", "random:0:23"]
+    assert got[2].startswith("random:") and got[2].endswith(":34")
+    assert all(got[i] == "" for i in range(len(texts), len(rows)))
+
+
 def test_lengths(messy, empty, spark):
     enc = tokens.encoding(tokens.ship_vocabulary(spark))
     n = sorted(len(enc.encode_ordinary(t or "")) for _, t in DOCS)

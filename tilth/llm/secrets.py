@@ -3,14 +3,16 @@
 A vocabulary learnt from text spends few tokens on words and many on random strings.  A
 run of key characters with fewer than ``MAX_RATIO`` characters a token is taken for a
 secret, unless it is a digest of a usual length, a UUID, a number or an identifier made
-of words.  Where the words of a path or name lift a run over the ratio, the parts between
+of words, which its letters must bear out: they are as token-efficient without the marks
+and numbers, or the run is no identifier.  Where the words of a path or name lift a run over the ratio, the parts between
 its marks are tested, so that the words cannot hide a key beside them.
 """
 
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
+from functools import cached_property
 from itertools import accumulate
 
 import pyarrow as pa
@@ -41,16 +43,48 @@ _DIGEST_CHARS = {32, 40, 56, 64, 96, 128}
 _WORDS_ONLY = re.compile(rb"(?:[A-Z]?[a-z]+|[A-Z]+|[0-9]{1,4})(?:[_/+=-]+(?:[A-Z]?[a-z]+|[A-Z]+|[0-9]{1,4}))*[_/+=-]*")
 
 _PART = re.compile(rb"(?<![A-Za-z0-9])(?:%b)(?![A-Za-z0-9])|[A-Za-z0-9]+" % _UUID.pattern)
+_LETTERS = re.compile(rb"[A-Za-z]{2,}")
 _MARKS, _OWN_MARKS = b"+/_=-", 2      # marks at an end of a key that are taken as its own, at most
 
 
 def _is_fixed(run: bytes) -> bool:
+    """Digests of usual lengths and UUIDs."""
     return bool((len(run) in _DIGEST_CHARS and _HEX_ONLY.fullmatch(run)) or _UUID.fullmatch(run))
 
 
-def is_identifier(run: bytes) -> bool:
-    """Digests of usual lengths, UUIDs, plain numbers, and words joined by marks."""
-    return bool(_is_fixed(run) or run.isdigit() or _WORDS_ONLY.fullmatch(run))
+def _between(starts: list[int], a: int, b: int) -> int:
+    return bisect_left(starts, b) - bisect_left(starts, a)
+
+
+class _Run:
+    """A run and the places of its tokens.  No token holds both marks and letters or
+    digits, so the tokens of a part are counted, not made anew."""
+
+    def __init__(self, run: bytes, enc):
+        self.run, self.enc = run, enc
+        self.starts = self._starts(run)
+
+    def _starts(self, run: bytes) -> list[int]:
+        return [0, *accumulate(len(self.enc.decode_single_token_bytes(t)) for t in self.enc.encode_ordinary(run.decode()))]
+
+    @cached_property
+    def lower_starts(self) -> list[int]:
+        return self._starts(self.run.lower())
+
+    def is_random(self, a: int, b: int, max_ratio: float) -> bool:
+        """Few characters a token, and no digest, UUID, number or words joined by marks.
+        Words must be token-efficient too, as they stand or in small letters (vocabularies
+        hold few words in capitals); single letters and numbers beside them say nothing."""
+        if b - a >= max_ratio * _between(self.starts, a, b):
+            return False
+        part = self.run[a:b]
+        if _is_fixed(part) or part.isdigit():
+            return False
+        if not _WORDS_ONLY.fullmatch(part.lstrip(_MARKS)):
+            return True
+        found = [m.span() for m in _LETTERS.finditer(self.run, a, b)]
+        n = sum(y - x for x, y in found)
+        return all(n < max_ratio * sum(_between(at, x, y) for x, y in found) for at in (self.starts, self.lower_starts))
 
 
 def base_spans(raw: bytes) -> list[tuple[int, int, int]]:
@@ -66,40 +100,26 @@ def base_spans(raw: bytes) -> list[tuple[int, int, int]]:
     return found
 
 
-def _random_parts(run: bytes, enc, tokens: list[int], max_ratio: float) -> list[tuple[int, int]]:
+def _random_parts(held: _Run, max_ratio: float) -> list[tuple[int, int]]:
     """(start, end) of the random parts of a run that is not random as a whole.
 
     Marks cut a run into parts; of several marks in a row one cuts and the others go with
     the parts.  Each part is tested with as many of the next ones, and with as many of the
     ones before, as make ``_CHARS``: every part of a key that has marks of its own is in a
     window without the words beside the key.  No window reaches over a UUID or a digest.
-    Windows that overlap are one span.  The tokens of the run are counted, not made anew:
-    no token holds both marks and letters or digits."""
+    Windows that overlap are one span."""
+    run = held.run
     parts = [m.span() for m in _PART.finditer(run)]
-    starts = [0, *accumulate(len(enc.decode_single_token_bytes(t)) for t in tokens)]
     gaps = [b - a for a, b in zip([0, *(b for _, b in parts)], [*(a for a, _ in parts), len(run)])]
     # the marks before the first part and after the last cut nothing
     own = [min(_OWN_MARKS, max(0, g - (0 < i < len(parts)))) for i, g in enumerate(gaps)]
     lows = [a - own[i] for i, (a, _) in enumerate(parts)]
     highs = [b + own[i + 1] for i, (_, b) in enumerate(parts)]
-    fixed = [_is_fixed(run[a:b]) for a, b in parts]
-
-    def is_random(a: int, b: int) -> bool:
-        return (b - a < max_ratio * (bisect_left(starts, b) - bisect_left(starts, a))
-                and not is_identifier(run[a:b].lstrip(_MARKS)))
-
-    windows = set()
-    for order in (range(len(parts)), range(len(parts) - 1, -1, -1)):
-        step = order.step
-        for i in order:
-            j = i
-            while 0 <= j < len(parts) and not fixed[j]:
-                a, b = lows[min(i, j)], highs[max(i, j)]
-                if b - a >= _CHARS:
-                    if is_random(a, b):
-                        windows.add((a, b))
-                    break
-                j += step
+    fixed = [0, *accumulate(_is_fixed(run[a:b]) for a, b in parts)]
+    pairs = {(i, bisect_left(highs, a + _CHARS)) for i, a in enumerate(lows)}
+    pairs |= {(bisect_right(lows, b - _CHARS) - 1, j) for j, b in enumerate(highs)}
+    windows = [(lows[i], highs[j]) for i, j in pairs if 0 <= i and j < len(parts) and fixed[i] == fixed[j + 1]]
+    windows = [x for x in windows if held.is_random(*x, max_ratio)]
     found: list[tuple[int, int]] = []
     for a, b in sorted(windows):
         if found and a < found[-1][1]:
@@ -112,13 +132,11 @@ def _random_parts(run: bytes, enc, tokens: list[int], max_ratio: float) -> list[
 def random_spans(raw: bytes, enc, max_ratio: float = MAX_RATIO) -> list[tuple[int, int, int]]:
     found = []
     for m in _RUN.finditer(raw):
-        if is_identifier(m[0]):
+        if _is_fixed(m[0]) or m[0].isdigit():
             continue
-        tokens = enc.encode_ordinary(m[0].decode())
-        if len(m[0]) < max_ratio * len(tokens):
-            found.append((m.start(), m.end(), 3))
-        else:
-            found += [(m.start() + a, m.start() + b, 3) for a, b in _random_parts(m[0], enc, tokens, max_ratio)]
+        held = _Run(m[0], enc)
+        parts = [(0, len(m[0]))] if held.is_random(0, len(m[0]), max_ratio) else _random_parts(held, max_ratio)
+        found += [(m.start() + a, m.start() + b, 3) for a, b in parts]
     return found
 
 
