@@ -72,6 +72,35 @@ def test_near_duplicates_chain_and_blocks(spark, monkeypatch):
     assert len({r["component_id"] for r in got if r["doc_id"] <= 1000}) == 1
 
 
+def test_near_duplicates_exact_overlap_decides(spark):
+    """Two texts above the similarity but below the collisions, in one family through a third
+    text that is linked with neither."""
+    rnd, matches = random.Random(6), 26
+
+    def alike(a, b):
+        x, y = brute.shingles(" ".join(a)), brute.shingles(" ".join(b))
+        same_places = sum(neardup.signature(neardup.shingle_set(" ".join(a).lower(), 4), 32)
+                          == neardup.signature(neardup.shingle_set(" ".join(b).lower(), 4), 32))
+        return 100 * len(x & y) >= 80 * len(x | y), same_places >= matches
+
+    for _ in range(5000):
+        first = [f"v{rnd.randint(0, 10**6)}" for _ in range(200)]
+        second, third = list(first), list(first)
+        for at in (20, 40, 60, 80, 100):
+            second[at] = f"e{at}"
+        third[20], third[40] = second[20], second[40]
+        for at in (120, 140, 160, 180):
+            third[at] = f"e{at}"
+        if alike(first, second) == (True, False) and alike(first, third) == alike(second, third) == (False, True):
+            break
+    else:
+        raise AssertionError("no such texts")
+    rows = [(1, " ".join(first)), (2, " ".join(second)), (3, " ".join(third))]
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), matches=matches).collect()
+    same(got, brute.near(rows))
+    assert {r["doc_id"]: r["component_id"] for r in got} == {1: 1, 2: 1, 3: 3}
+
+
 def test_components(spark):
     from tilth.llm.components import components
     links = [(i, i + 1) for i in range(100, 160)] + [(7, 7), (5, 3), (None, 4), (3, 9), (200, 160)]

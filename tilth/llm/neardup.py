@@ -9,9 +9,9 @@
    whose values are mostly its own has an empty prefix and goes no further.
 3. Classes that meet form families (components of the postings, without any pairs).
    A family is cut into blocks by hash; each pair of blocks is one bounded task that
-   merges the postings of its members, counts collisions, keeps pairs at or above the
-   match threshold, confirms them on the full sets, and returns a star for each
-   connected group found, never all its pairs.
+   compares all its members on the full sets (a matrix product; collisions only led to
+   the family and decide nothing here) and returns a star for each connected group
+   found, never all its pairs.
 4. Components over the stars give every document its group.
 
 No step gathers a whole group: blocks are bounded in members and in shingles.
@@ -30,7 +30,7 @@ from tilth.llm.common import materialize, word_list
 from tilth.llm.components import components
 
 COORDINATES = 32
-MATCHES = 16          # a pair at similarity 0.8 falls below with a chance of 2 in 100,000
+MATCHES = 16          # a pair at similarity 0.8 falls below with a chance of 3.3 in 100,000 (binomial)
 BLOCK_DOCS = 512
 BLOCK_SHINGLES = 1 << 18
 _SALTS = 64
@@ -114,22 +114,17 @@ def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
     return total
 
 
-def _links(percent: int, k: int, matches: int, schema: pa.Schema):
+def _links(percent: int, schema: pa.Schema):
     """A star for each connected group among the sets of one pair of blocks."""
     def run(table: pa.Table) -> pa.Table:
         nodes = table.column("node").to_numpy()
         sets = [np.unique(np.asarray(s.values.to_numpy(zero_copy_only=False), np.int64)) if len(s) else np.empty(0, np.int64)
                 for s in table.column("set")]
         sizes = np.array([len(s) for s in sets], np.int64)
-        signs = np.stack([signature(s.view(np.uint64), k) for s in sets]) if sets else np.empty((0, k))
         n = len(sets)
         both = _overlaps(sets).astype(np.int64) if n > 1 else np.zeros((n, n), np.int64)
         linked = 100 * both >= percent * (sizes[:, None] + sizes[None, :] - both)
         linked |= nodes[:, None] == nodes[None, :]
-        collisions = np.zeros((n, n), np.int16)
-        for c in range(k):
-            collisions += signs[:, None, c] == signs[None, :, c]
-        linked &= (collisions >= matches) | (nodes[:, None] == nodes[None, :])
         label = nodes.copy()
         while True:
             low = np.where(linked, label[None, :], np.iinfo(np.int64).max).min(axis=1)
@@ -167,7 +162,7 @@ def near_duplicates(docs: DataFrame, width: int = 4, percent: int = 80, coordina
         "rep", F.coalesce("rep", "doc_id"))
     reps = placed.where(F.col("rep") == F.col("doc_id"))
     families = _dealt(_families(reps, matches), reps)
-    stars = _confirmed(own, families, width, percent, coordinates, matches)
+    stars = _confirmed(own, families, width, percent)
     # a doc_id that repeats with different texts is one node in several classes
     several = full.groupBy("doc_id").agg(F.min("h1").alias("x"), F.max("h1").alias("y")).where("x != y").select("doc_id")
     bridges = placed.join(several, "doc_id").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
@@ -214,7 +209,7 @@ def _dealt(families: DataFrame, reps: DataFrame) -> DataFrame:
         "node", "family", F.coalesce("m", F.lit(1)).alias("m"))
 
 
-def _confirmed(own: DataFrame, families: DataFrame, width: int, percent: int, k: int, matches: int) -> DataFrame:
+def _confirmed(own: DataFrame, families: DataFrame, width: int, percent: int) -> DataFrame:
     """Stars (a, b) of the groups linked on full sets, from tasks of two blocks each."""
     texts = own.where(F.col("doc_id").isNotNull()).withColumn("h", F.xxhash64("text"))
     per = families.join(texts, F.col("node") == F.col("doc_id")).select("node", "family", "m", "h", "text")
@@ -226,4 +221,4 @@ def _confirmed(own: DataFrame, families: DataFrame, width: int, percent: int, k:
                          F.explode(F.sequence(F.lit(0).cast("long"), F.col("m") - 1)).alias("j"))
     tasks = tasks.select("node", "family", "set", F.least("i", "j").alias("lo"), F.greatest("i", "j").alias("hi"))
     out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-    return tasks.groupBy("family", "lo", "hi").applyInArrow(_links(percent, k, matches, out), "a long, b long")
+    return tasks.groupBy("family", "lo", "hi").applyInArrow(_links(percent, out), "a long, b long")
