@@ -4,8 +4,9 @@ Each source's documents stand in a shuffled order.  A document's virtual finish
 the number of tokens its source has served up to its end, divided by the source's target;
 a source that needs more than it has is served again, up to ``max_epochs`` times.  All
 sources progress at their targets, so the total budget is used up at one moment of
-virtual time; documents are sorted by finish time over all sources (a global range sort)
-and the stream is cut at that moment, inside the documents being served.
+virtual time, when each source has served its target.  The cut at that moment, inside the
+documents being served, is therefore taken in closed form from each source's own totals;
+the global range sort by the finish time of the first copy only orders the output.
 
 Running totals stay spread: a source is cut by shuffle hash into buckets of some
 thousand documents, a window runs inside a bucket, and the bucket's start comes from a
