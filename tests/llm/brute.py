@@ -1,6 +1,7 @@
 """Plain Python versions of the operators, for small fixtures."""
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -126,3 +127,55 @@ def targets(sizes, weights=(1, 2, 3), cap=3):
         if not over:
             return done | share
         done |= {s: cap * sizes[s] for s in over}
+
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def search(docs, items, top=20):
+    bags = [(d, Counter(TERM.findall((t or "").translate(A_Z)))) for d, t in docs]
+    bags = [(d, b) for d, b in bags if b]
+    n_docs, n_words = len(bags), sum(sum(b.values()) for _, b in bags)
+    df = Counter(w for _, b in bags for w in b)
+    wanted = defaultdict(Counter)
+    for i, t in items:
+        wanted[i].update(TERM.findall((t or "").translate(A_Z)))
+    out = []
+    for i, q in wanted.items():
+        found = []
+        for d, b in bags:
+            m = 75 + (25 * sum(b.values()) * n_docs) // n_words
+            s = sum(times * math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[w] + 1))) * ((10**9 * b[w]) // (1000 * b[w] + 12 * m))
+                    for w, times in q.items() if w in b)
+            if s > 0:
+                found.append((-s, d is None, d or 0, d))
+        out += [(i, k + 1, f[3], -f[0]) for k, f in enumerate(sorted(found)[:top])]
+    return out
+
+
+def collocations(docs, low=30, top=2000):
+    f, n = defaultdict(Counter), Counter()
+    for _, t, lang in docs:
+        lang = "und" if lang is None else lang
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", (t or "").translate(A_Z)):
+            w = re.findall(r"[^\x20\x09]+", piece)
+            n[lang] += len(w)
+            for z in range(1, 5):
+                for i in range(len(w) - z + 1):
+                    f[lang][tuple(w[i:i + z])] += 1
+    out = []
+    for lang, g in f.items():
+        cands = {p: a for p, a in g.items() if len(p) > 1 and a >= low}
+        longer = Counter()
+        for p, a in cands.items():
+            for z in range(2, len(p)):
+                for i in range(len(p) - z + 1):
+                    longer[p[i:i + z]] = max(longer[p[i:i + z]], a)
+        kept = []
+        for p, a in cands.items():
+            if 100 * longer[p] >= 80 * a:
+                continue
+            score, k = min((2000000 * a // (g[p[:k]] + g[p[k:]]), k) for k in range(1, len(p)))
+            kept.append((-score, -a, " ".join(p).encode(), g[p[:k]], g[p[k:]]))
+        out += [(lang, i + 1, x[2].decode(), -x[1], x[3], x[4], n[lang], -x[0]) for i, x in enumerate(sorted(kept)[:top])]
+    return out

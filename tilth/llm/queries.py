@@ -11,8 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tilth.llm import (chat, decontam, langid, lengths, lines, mixing, neardup, quality,
-                       secrets, sql, toxicity)
+from tilth.llm import (chat, decontam, langid, lengths, lines, mixing, neardup, phrases, quality,
+                       ranked, secrets, sql, toxicity)
 from tilth.llm.common import read, sha256_hex
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -91,9 +91,17 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", sha256_hex(F.col("kept_text")).alias("kept_sha256"))
 
 
+def op12_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(read(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_toxicity, op2_mix_sources, op3_chat_format, op4_language_id, op5_decontamination, op6_token_counts,
-    op7_minhash_dedup, op8_quality_rules, op9_secret_scan, op10_line_dedup)}
+    op7_minhash_dedup, op8_quality_rules, op9_secret_scan, op10_line_dedup, op12_phrase_mining, op13_ranked_search)}
 
 ORACLE: dict[str, str] = {
     "op2_mix_sources": sql.statement(sql.mixing("documents"), "SELECT doc_id, size, source_size, target, taken FROM m_out"),
@@ -103,4 +111,6 @@ ORACLE: dict[str, str] = {
     "op8_quality_rules": sql.statement(sql.quality("documents"), "SELECT * FROM q_out"),
     "op10_line_dedup": sql.statement(
         sql.lines("documents"), "SELECT doc_id, n_lines, n_dropped, sha256(kept_text) AS kept_sha256 FROM l_out"),
+    "op12_phrase_mining": sql.collocations(),
+    "op13_ranked_search": sql.ranked(),
 }

@@ -143,3 +143,39 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
   sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
   sum(chars)::BIGINT AS formatted_chars
 FROM f GROUP BY conv_id"""
+
+
+def collocations(low: int = 30, top: int = 2000) -> str:
+    cut = """SELECT c.lang, c.phrase, c.f AS a, k, x.f AS l, y.f AS r, (2000000::HUGEINT * c.f // (x.f + y.f))::BIGINT AS score
+  FROM (SELECT *, unnest(range(1, z)) AS k FROM cand) c
+  JOIN g x ON x.lang = c.lang AND x.phrase = array_to_string(w[1:k], ' ')
+  JOIN g y ON y.lang = c.lang AND y.phrase = array_to_string(w[k + 1:z], ' ')"""
+    return f"""WITH p AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({fold("coalesce(text, '')")}, '[.,;:!?\x0A-\x0D]')) AS piece
+        FROM documents)),
+s AS (SELECT lang, w, z, unnest(range(1, len(w) - z + 2)) AS i FROM p, (VALUES (1), (2), (3), (4)) v(z) WHERE len(w) >= z),
+g AS (SELECT lang, array_to_string(w[i:i + z - 1], ' ') AS phrase, z, count(*) AS f FROM s GROUP BY ALL),
+n AS (SELECT lang, sum(len(w))::BIGINT AS n FROM p GROUP BY lang),
+cand AS (SELECT *, string_split(phrase, ' ') AS w FROM g WHERE z >= 2 AND f >= {low}),
+cut AS ({cut}),
+best AS (SELECT lang, phrase, a, arg_min({{'l': l, 'r': r, 'score': score}}, score * 10 + k) AS b FROM cut GROUP BY ALL),
+around AS (SELECT lang, array_to_string(w[i:i + y - 1], ' ') AS phrase, max(f) AS longer
+  FROM (SELECT lang, w, f, y, unnest(range(1, z - y + 2)) AS i FROM cand, (VALUES (2), (3)) v(y) WHERE z > y) GROUP BY ALL),
+kept AS (SELECT b.* FROM best b LEFT JOIN around USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 80 * a),
+ranked AS (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY b.score DESC, a DESC, phrase) AS rank, phrase, a,
+  b.l AS l, b.r AS r, b.score AS score FROM kept)
+SELECT lang, rank::BIGINT AS rank, phrase, a, l, r, n, score FROM ranked JOIN n USING (lang) WHERE rank <= {top}"""
+
+
+def ranked(top: int = 20) -> str:
+    found = r"regexp_extract_all({0}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')".format("coalesce(" + fold('text') + ", '')")
+    return f"""WITH d AS (SELECT doc_id, {found} AS w FROM documents),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(w) AS term FROM d) GROUP BY ALL),
+tot AS (SELECT count(*) AS n_docs, sum(len(w))::BIGINT AS n_words FROM d WHERE len(w) > 0),
+m AS (SELECT doc_id, 75 + (25 * len(w) * n_docs) // n_words AS m FROM d, tot WHERE len(w) > 0),
+wt AS (SELECT term, floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1)))::BIGINT AS weight FROM tf, tot GROUP BY term, n_docs),
+q AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest({found}) AS term FROM benchmark) GROUP BY ALL),
+sc AS (SELECT item_id, doc_id, sum(times * weight * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+  FROM q JOIN wt USING (term) JOIN tf USING (term) JOIN m USING (doc_id) GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM sc WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM r WHERE rank <= {top}"""
