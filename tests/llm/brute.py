@@ -179,3 +179,24 @@ def collocations(docs, low=30, top=2000):
             kept.append((-score, -a, " ".join(p).encode(), g[p[:k]], g[p[k:]]))
         out += [(lang, i + 1, x[2].decode(), -x[1], x[3], x[4], n[lang], -x[0]) for i, x in enumerate(sorted(kept)[:top])]
     return out
+
+
+def repeats(docs, length, keep_first=False):
+    """(doc_id, n_bytes, spans, rest) of each row.  Rows come in order of id; those equal in id
+    and text count as one place with ``keep_first``."""
+    starts = defaultdict(list)
+    order = sorted(range(len(docs)), key=lambda i: (docs[i][0] is None, docs[i][0] or 0))
+    raw = [(t or "").encode() for _, t in docs]
+    for i in order:
+        for p in range(len(raw[i]) - length + 1):
+            starts[raw[i][p:p + length]].append((docs[i], p))
+    out = []
+    for i, (d, _) in enumerate(docs):
+        cover = bytearray(len(raw[i]))
+        for p in range(len(raw[i]) - length + 1):
+            where = starts[raw[i][p:p + length]]
+            if (where[0] != (docs[i], p)) if keep_first else len(where) > 1:
+                cover[p:p + length] = b"\1" * length
+        spans = [(m.start(), m.end()) for m in re.finditer(b"\1+", bytes(cover))]
+        out.append((d, len(raw[i]), spans, bytes(b for b, c in zip(raw[i], cover) if not c)))
+    return out

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tilth.llm import (chat, decontam, langid, lengths, lines, mixing, neardup, phrases, quality,
-                       ranked, secrets, sql, toxicity)
+                       ranked, repeats, secrets, sql, toxicity)
 from tilth.llm.common import read, sha256_hex
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -91,6 +91,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", sha256_hex(F.col("kept_text")).alias("kept_sha256"))
 
 
+def op11_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.digest(read(spark, sf_dir, "documents"))
+
+
 def op12_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(read(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
 
@@ -101,7 +105,8 @@ def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_toxicity, op2_mix_sources, op3_chat_format, op4_language_id, op5_decontamination, op6_token_counts,
-    op7_minhash_dedup, op8_quality_rules, op9_secret_scan, op10_line_dedup, op12_phrase_mining, op13_ranked_search)}
+    op7_minhash_dedup, op8_quality_rules, op9_secret_scan, op10_line_dedup, op11_repeated_bytes, op12_phrase_mining,
+    op13_ranked_search)}
 
 ORACLE: dict[str, str] = {
     "op2_mix_sources": sql.statement(sql.mixing("documents"), "SELECT doc_id, size, source_size, target, taken FROM m_out"),

@@ -148,8 +148,8 @@ FROM f GROUP BY conv_id"""
 def collocations(low: int = 30, top: int = 2000) -> str:
     cut = """SELECT c.lang, c.phrase, c.f AS a, k, x.f AS l, y.f AS r, (2000000::HUGEINT * c.f // (x.f + y.f))::BIGINT AS score
   FROM (SELECT *, unnest(range(1, z)) AS k FROM cand) c
-  JOIN g x ON x.lang = c.lang AND x.phrase = array_to_string(w[1:k], ' ')
-  JOIN g y ON y.lang = c.lang AND y.phrase = array_to_string(w[k + 1:z], ' ')"""
+  JOIN g x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:k], ' ')
+  JOIN g y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[k + 1:c.z], ' ')"""
     return f"""WITH p AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w
   FROM (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({fold("coalesce(text, '')")}, '[.,;:!?\x0A-\x0D]')) AS piece
         FROM documents)),
