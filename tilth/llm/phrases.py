@@ -40,9 +40,9 @@ MIN_COUNT = 30
 TOP = 2000
 WORDS = 4
 BURST = 1 << 15
-SPILL = 1_200_000           # windows in a task's trie before a subtree is spilled
+SPILL = 500_000             # windows in a task's trie before a subtree is spilled
 CHUNK = 1 << 17             # words inserted at a time
-PART_BYTES = 20 << 20       # text behind one prefix partition
+PART_BYTES = 12 << 20       # text behind one prefix partition
 SAMPLE_DOCS = 2000          # bound on the documents read to find frequent pairs
 HOT_PAIRS = 4096            # bound on the pairs cut one word deeper
 _BITS = 20                  # of a word id inside a trie
