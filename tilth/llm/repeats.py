@@ -12,10 +12,10 @@ several.  Over the corpus this is decided in three steps.
    windows of a content that occurs twice repeat, and only one occurrence of each content,
    the first by (doc_id, place), goes on.
 3. *Longest previous factors.*  The contents of some classes meet in one bounded block.  There
-   the suffixes are sorted (prefix doubling), neighbours in suffix order get their common
-   prefix, and for each suffix the previous and next *smaller* positions in suffix order
-   give the longest match that starts earlier in the text; the same with *greater*
-   positions gives the longest match that starts later.
+   the suffixes are sorted by their first ``length`` bytes (more is not asked), and for each one
+   the previous and next *smaller* positions in suffix order give the longest match that
+   starts earlier in the text; the same with *greater* positions gives the longest match
+   that starts later.
 
 A class whose contents do not fit a block (a passage between very many different
 surroundings) is divided again by the same rule with longer substrings, at last with the
@@ -26,6 +26,7 @@ what is shuffled of a copied passage is hashes, not its text.
 from __future__ import annotations
 
 import hashlib
+from operator import ne
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +40,7 @@ from tilth.llm.common import materialize
 
 LENGTH = 400
 GRAMS = (0.32, 0.95, 1.0)      # substring lengths of the classes, as shares of the window
-BLOCK_BYTES = 1 << 20          # bytes of contents sorted together
+BLOCK_STARTS = 1 << 17         # suffixes sorted together
 _CHUNK = 1 << 20               # starts of one text treated at a time
 _LONGEST_RUN = 1 << 12
 
@@ -101,40 +102,13 @@ def runs(data: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarr
 
 # ---- inside a block: suffix order and longest previous factors ---------------------
 
-def _ranks(text: np.ndarray, depth: int) -> tuple[list[tuple[int, np.ndarray]], np.ndarray]:
-    """Ranks of all suffixes by their first 8, 16, .. bytes up to at least ``depth``, and the
-    8-byte prefixes themselves."""
-    n = len(text)
-    padded = np.concatenate([text, np.zeros(8, np.uint8)])
-    word = np.zeros(n, np.uint64)
-    for j in range(8):
-        word = word << np.uint64(8) | padded[j:j + n].astype(np.uint64)
-    rank = np.unique(word, return_inverse=True)[1].astype(np.int32)
-    levels, size = [(8, rank)], 8
-    while size < depth:
-        after = np.zeros(n, np.int64)
-        after[:max(0, n - size)] = rank[size:] + 1
-        rank = np.unique(rank.astype(np.int64) * (n + 2) + after, return_inverse=True)[1].astype(np.int32)
-        size *= 2
-        levels.append((size, rank))
-    return levels, word
-
-
-def _common(levels, word: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Length of the common prefix of suffixes a and b, up to twice the longest level."""
-    n = len(word)
-    total = np.zeros(len(a), np.int64)
-    for size, rank in reversed(levels):
-        x, y = a + total, b + total
-        ok = (x < n) & (y < n)
-        same = np.zeros(len(a), bool)
-        same[ok] = rank[x[ok]] == rank[y[ok]]
-        total += size * same
-    x, y = np.minimum(a + total, n - 1), np.minimum(b + total, n - 1)
-    rest = word[x] ^ word[y]
-    for j in range(1, 8):
-        total += rest >> np.uint64(64 - 8 * j) == 0
-    return total
+def suffix_order(text: bytes, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """The suffixes at ``starts`` sorted by their first ``length`` bytes (places in ``starts``; equal
+    ones by position), and the number of their class of equal prefixes, in that order."""
+    heads = [text[p:p + length] for p in starts.tolist()]
+    order = sorted(range(len(heads)), key=heads.__getitem__)
+    new = np.fromiter(map(ne, map(heads.__getitem__, order[1:]), map(heads.__getitem__, order[:-1])), bool, max(0, len(order) - 1))
+    return np.array(order, np.int64), np.concatenate([[0], np.cumsum(new)])[:len(order)]
 
 
 def _nearest_smaller(place: np.ndarray, group: np.ndarray) -> np.ndarray:
@@ -151,36 +125,24 @@ def _nearest_smaller(place: np.ndarray, group: np.ndarray) -> np.ndarray:
         at[bad] = at[at[bad]]
 
 
-def _longest(place: np.ndarray, group: np.ndarray, common) -> np.ndarray:
-    """Longest match with an element of smaller position: the better one of the previous and the
-    next smaller position in suffix order."""
+def _has_smaller(place: np.ndarray, group: np.ndarray) -> np.ndarray:
+    """Whether the previous or the next smaller position in suffix order shares the prefix."""
     before = _nearest_smaller(place, group)
-    turned = _nearest_smaller(place[::-1], group[::-1].max(initial=0) - group[::-1])
-    after = np.where(turned >= 0, len(place) - 1 - turned, -1)[::-1]
-    best = np.zeros(len(place), np.int64)
-    for other in (before, after):
-        there = np.flatnonzero(other >= 0)
-        best[there] = np.maximum(best[there], common(there, other[there]))
-    return best
-
-
-def factors(text: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """(longest previous factor, longest next factor) at the given starts, in the order of
-    ``starts`` (ascending): the longest match with an earlier, with a later one of them.
-    Matches shorter than ``length`` count as 0; lengths are exact up to the sorted depth."""
-    levels, word = _ranks(text, length)
-    order = starts[np.argsort(levels[-1][1][starts], kind="stable")]
-    close = np.zeros(len(order), np.int64)
-    close[1:] = _common(levels, word, order[1:], order[:-1])
-    group = np.cumsum(close < length)
-    size = np.bincount(group)
-    live = size[group] > 1                             # neighbours in suffix order match long enough
+    after = _nearest_smaller(place[::-1], group[::-1].max(initial=0) - group[::-1])[::-1]
+    return (before >= 0) | (after >= 0)
+
+
+def factors(text: bytes, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """(longest previous factor, longest next factor) at the given starts (ascending): the
+    longest match with an earlier, with a later one of them, counted up to ``length``;
+    shorter matches count as 0.  The longest match of a suffix with an earlier one is the one
+    with its previous or its next smaller position in suffix order."""
+    order, group = suffix_order(text, starts, length)
+    live = np.bincount(group, minlength=1)[group] > 1  # a neighbour in suffix order shares the prefix
     order, group = order[live], group[live]
     previous, following = np.zeros(len(starts), np.int64), np.zeros(len(starts), np.int64)
-    at = np.searchsorted(starts, order)
-    common = lambda i, j: _common(levels, word, order[i], order[j])
-    previous[at] = _longest(order, group, common)
-    following[at] = _longest(-order, group, common)
+    previous[order] = length * _has_smaller(order, group)
+    following[order] = length * _has_smaller(-order, group)
     return previous, following
 
 
@@ -198,7 +160,7 @@ def _block(length: int, schema: pa.Schema):
         rows = sorted(((r["place"], *k, r["data"]) for k, r in once.items()), key=lambda r: r[0])
         sizes = np.array([len(r[3]) for r in rows], np.int64)
         offset = np.concatenate([[0], np.cumsum(sizes)])
-        text = np.frombuffer(b"".join(r[3] for r in rows), np.uint8)
+        text = b"".join(r[3] for r in rows)
         starts = np.concatenate([np.arange(o, o + s - length + 1) for o, s in zip(offset.tolist(), sizes.tolist(), strict=False)])
         previous, following = factors(text, starts, length)
         bounds = np.concatenate([[0], np.cumsum(sizes - length + 1)])
@@ -243,7 +205,7 @@ def _slice(length: int, schema: pa.Schema):
             rows = []
             for value, asked in zip(batch.column("data"), batch.column("asked").to_pylist(), strict=True):
                 raw = value.as_py() or b""
-                rows += [(r["key"], r["content"], raw[r["lo"]:r["hi"] + length], r["bytes"], r["first"]) for r in asked]
+                rows += [(r["key"], r["content"], raw[r["lo"]:r["hi"] + length], r["starts"], r["first"]) for r in asked]
             columns = list(zip(*rows, strict=True)) or [[]] * 5
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
@@ -267,25 +229,25 @@ def _repeats(rows: DataFrame, scanned: DataFrame, length: int, grams: list[int])
     live = materialize(each.join(common, "key"))
     first = F.struct("ord", "rid", "lo")
     contents = live.groupBy("key", "content").agg(
-        F.count(F.lit(1)).alias("n"), F.min(first).alias("first"), F.max(F.col("hi") - F.col("lo") + length).alias("size"))
-    contents = materialize(contents.select("key", "content", "n", "first", "size", (F.col("first.lo") + F.col("size") - length).alias("hi")))
-    classes = materialize(contents.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.sum("size").alias("bytes")).where("m > 1"))
+        F.count(F.lit(1)).alias("n"), F.min(first).alias("first"), F.max(F.col("hi") - F.col("lo") + 1).alias("size"))
+    contents = materialize(contents.select("key", "content", "n", "first", "size", (F.col("first.lo") + F.col("size") - 1).alias("hi")))
+    classes = materialize(contents.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.sum("size").alias("starts")).where("m > 1"))
     last_level = len(grams) == 1
-    wanted = contents.join(classes.select("key", "bytes"), "key").select(
-        F.col("first.rid").alias("rid"), "key", "content", F.col("first.lo").alias("lo"), "hi", "first", "bytes")
-    asked = wanted.groupBy("rid").agg(F.collect_list(F.struct("key", "content", "lo", "hi", "bytes", "first")).alias("asked"))
+    wanted = contents.join(classes.select("key", "starts"), "key").select(
+        F.col("first.rid").alias("rid"), "key", "content", F.col("first.lo").alias("lo"), "hi", "first", "starts")
+    asked = wanted.groupBy("rid").agg(F.collect_list(F.struct("key", "content", "lo", "hi", "starts", "first")).alias("asked"))
     sliced = T.StructType([T.StructField("key", T.LongType()), T.StructField("content", T.LongType()), T.StructField("data", T.BinaryType()),
-                           T.StructField("bytes", T.LongType()), T.StructField("ord", contents.schema["first"].dataType)])
+                           T.StructField("starts", T.LongType()), T.StructField("ord", contents.schema["first"].dataType)])
     placed = rows.select("rid", "data").join(asked, "rid").mapInArrow(_slice(length, to_arrow_schema(sliced)), sliced)
-    small = placed if last_level else placed.where(F.col("bytes") <= BLOCK_BYTES)
-    total = classes.where(F.col("bytes") <= BLOCK_BYTES).agg(F.sum("bytes")).first()[0] or 0
-    block = F.pmod(F.xxhash64("key"), F.lit(max(1, 2 * total // BLOCK_BYTES)))
+    small = placed if last_level else placed.where(F.col("starts") <= BLOCK_STARTS)
+    total = classes.where(F.col("starts") <= BLOCK_STARTS).agg(F.sum("starts")).first()[0] or 0
+    block = F.pmod(F.xxhash64("key"), F.lit(max(1, 2 * total // BLOCK_STARTS)))
     placed_small = small.withColumn("block", block).withColumn(
         "place", F.row_number().over(Window.partitionBy("block").orderBy("ord")))
     found = placed_small.select("block", "place", "key", "content", "data").groupBy("block").applyInArrow(
         _block(length, to_arrow_schema(_FOUND)), _FOUND)
-    if not last_level and classes.where(F.col("bytes") > BLOCK_BYTES).limit(1).count():
-        found = found.union(_divided(placed.where(F.col("bytes") > BLOCK_BYTES), length, grams[1:]))
+    if not last_level and classes.where(F.col("starts") > BLOCK_STARTS).limit(1).count():
+        found = found.union(_divided(placed.where(F.col("starts") > BLOCK_STARTS), length, grams[1:]))
     whole = F.array(F.struct(F.lit(0).cast("long").alias("a"), (F.col("hi") - F.col("lo")).alias("b")))
     none = F.array().cast(_SPAN)
     known = materialize(contents.select("key", "content", "n", "first").join(found, ["key", "content"], "left").where(
