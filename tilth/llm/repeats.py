@@ -238,7 +238,8 @@ def _repeats(rows: DataFrame, scanned: DataFrame, length: int, grams: list[int])
     asked = wanted.groupBy("rid").agg(F.collect_list(F.struct("key", "content", "lo", "hi", "starts", "first")).alias("asked"))
     sliced = T.StructType([T.StructField("key", T.LongType()), T.StructField("content", T.LongType()), T.StructField("data", T.BinaryType()),
                            T.StructField("starts", T.LongType()), T.StructField("ord", contents.schema["first"].dataType)])
-    placed = rows.select("rid", "data").join(asked, "rid").mapInArrow(_slice(length, to_arrow_schema(sliced)), sliced)
+    # stored: both the blocks and the classes to divide read it, and the texts are shuffled once
+    placed = materialize(rows.select("rid", "data").join(asked, "rid").mapInArrow(_slice(length, to_arrow_schema(sliced)), sliced))
     small = placed if last_level else placed.where(F.col("starts") <= BLOCK_STARTS)
     total = classes.where(F.col("starts") <= BLOCK_STARTS).agg(F.sum("starts")).first()[0] or 0
     block = F.pmod(F.xxhash64("key"), F.lit(max(1, 2 * total // BLOCK_STARTS)))
