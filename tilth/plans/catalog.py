@@ -38,4 +38,5 @@ def rounded(df: DataFrame, cols: dict[str, int]) -> DataFrame:
 def load_all() -> None:
     # importing the modules registers their keys
     from tilth.plans import (q_clean, q_encode, q_htest, q_model, q_monitor,  # noqa: F401
-                             q_profile, q_registry, q_reports, q_sources, q_tuning)
+                             q_committed, q_profile, q_registry, q_reports, q_sources,
+                             q_tuning)
