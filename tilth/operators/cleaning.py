@@ -8,12 +8,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
+from tilth.operators.common import with_scalars
 from tilth.operators.ordered import exact_quantiles, running_sums
+from tilth.session import materialize
 
 # Tokens read as missing when a CSV is loaded (pandas' default NA set).
 NA_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND",
@@ -129,9 +131,55 @@ def remove_rows(df: DataFrame, rows: DataFrame, key: str) -> DataFrame:
     return df.join(rows.select(_c(key)).distinct(), key, "left_anti")
 
 
-def renumber(df: DataFrame, order_col: str, name: str = "row_idx") -> DataFrame:
-    """Dense 0-based row numbers in order of a unique column without a global window:
-    range-partitioned running counts (each partition gets its offset)."""
-    rs = running_sums(df.select(order_col).withColumn("_one", F.lit(1).cast("long")), [], order_col, ["_one"])
-    idx = rs.select(order_col, F.col("_one_before").alias(name))
-    return df.join(idx, order_col)
+def renumber(df: DataFrame, order_cols: str | list[str], name: str = "row_idx") -> DataFrame:
+    """Dense 0-based row numbers without a global window; every row stays once.
+
+    Rows stand by ``order_cols`` (NaN after the numbers, nulls last), rows equal in all of them
+    by a hash of the whole row; rows equal in everything are interchangeable.  Each column is
+    one level of running counts over distinct values inside the ties of the columns before
+    it, so neither the table nor a tie that holds a third of it lands in one task.  Levels end
+    where no ties are left."""
+    cols = [order_cols] if isinstance(order_cols, str) else list(order_cols)
+    hashed = df.withColumn("_row", F.xxhash64(*[_c(c) for c in df.columns])).withColumn("_task", F.spark_partition_id())
+    rows = materialize(hashed.withColumn(name, F.lit(0).cast("long")))
+    for depth, c in enumerate([*cols, "_row"]):
+        rows = _add_level(rows, [*cols, "_row"][:depth], c, name)
+        counts = rows.groupBy(*[_c(x) for x in [*cols, "_row"][:depth + 1]]).agg(F.count(F.lit(1)).alias("n"))
+        if not counts.where("n > 1").limit(1).count():
+            return rows.drop("_row", "_task")
+    same = [_c(x) for x in [*cols, "_row"]]
+    per_task = rows.groupBy(*[*same, "_task"]).agg(F.count(F.lit(1)).alias("_n"))
+    ahead = Window.partitionBy(*same).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    starts = per_task.select(*same, "_task", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_start"))
+    own = rows.withColumn("_nth", F.row_number().over(Window.partitionBy(*same, "_task").orderBy("_task")) - 1)
+    out = _null_safe_join(own, starts, [*cols, "_row", "_task"], "_start")
+    return out.withColumn(name, F.col(name) + F.col("_start") + F.col("_nth")).drop("_row", "_task", "_start", "_nth")
+
+
+def _null_safe_join(rows: DataFrame, table: DataFrame, on: list[str], value: str) -> DataFrame:
+    other = table.select(*[_c(c).alias(f"_on{i}") for i, c in enumerate(on)], value)
+    same = reduce(lambda a, b: a & b, [_c(c).eqNullSafe(F.col(f"_on{i}")) for i, c in enumerate(on)])
+    return rows.join(other, same).drop(*[f"_on{i}" for i in range(len(on))])
+
+
+def _add_level(rows: DataFrame, above: list[str], c: str, name: str) -> DataFrame:
+    """Add to ``name`` how many rows of the same ``above`` have a smaller ``c``."""
+    nan = F.isnan(_c(c)) if isinstance(rows.schema[c].dataType, (T.DoubleType, T.FloatType)) else F.lit(False)
+    kind = F.when(_c(c).isNull(), 2).when(nan, 1).otherwise(0)
+    groups = [f"_g{i}" for i in range(len(above))]
+    counts = materialize(rows.groupBy(*[_c(x).alias(g) for x, g in zip(above, groups, strict=True)], _c(c).alias("_v"), kind.alias("_kind"))
+                         .agg(F.count(F.lit(1)).alias("_n")))
+    plain = running_sums(counts.where("_kind = 0").select(*groups, "_v", "_n"), groups, "_v", ["_n"]).select(
+        *groups, "_v", F.col("_n_before").alias("_before"))
+    totals = counts.groupBy(*groups).agg(F.sum(F.when(F.col("_kind") == 0, F.col("_n")).otherwise(0)).alias("_t0"),
+                                         F.sum(F.when(F.col("_kind") < 2, F.col("_n")).otherwise(0)).alias("_t1"))
+    odd = counts.where("_kind > 0")
+    if groups:
+        odd = odd.join(totals.select(*[F.col(g).alias("t" + g) for g in groups], "_t0", "_t1"),
+                       reduce(lambda a, b: a & b, [F.col(g).eqNullSafe(F.col("t" + g)) for g in groups]))
+    else:
+        odd = with_scalars(odd, totals)
+    last = odd.select(*groups, "_v", F.when(F.col("_kind") == 1, F.col("_t0")).otherwise(F.col("_t1")).alias("_before"))
+    offsets = plain.unionByName(last).select(*[F.col(g).alias(x) for g, x in zip(groups, above, strict=True)], F.col("_v").alias(c), "_before")
+    out = _null_safe_join(rows, offsets, [*above, c], "_before")
+    return out.withColumn(name, F.col(name) + F.col("_before")).drop("_before")

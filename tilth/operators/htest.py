@@ -113,9 +113,34 @@ def rank_sums(df: DataFrame, by: list[str], group: str, value: str) -> tuple[Dat
     return sums, ties
 
 
-def mann_whitney(df: DataFrame, by: list[str], group: str, value: str, a, b) -> DataFrame:
+def u_counts(n1: Column, n2: Column) -> Column:
+    """How many of the samples of n1 out of n1 + n2 ranks have U = 0, 1, .. n1 n2, as an array.
+
+    The counts are the coefficients of the product over i = 1 .. n1 of (1 - q^(n2 + i)) / (1 - q^i):
+    a fold over i, each step a shifted difference and a shifted running sum."""
+    n1, n2 = n1.cast("int"), n2.cast("int")
+    start = F.transform(F.sequence(F.lit(0), n1 * n2), lambda k: F.when(k == 0, 1.0).otherwise(0.0))
+    at = lambda a, k: F.when(k >= 0, F.get(a, k)).otherwise(0.0)
+
+    def step(a: Column, i: Column) -> Column:
+        less = F.transform(a, lambda x, k: x - at(a, k - n2 - i))
+        return F.aggregate(less, F.array().cast("array<double>"),
+                           lambda acc, x: F.concat(acc, F.array(x + at(acc, F.size(acc) - i))))
+    return F.aggregate(F.sequence(F.lit(1), n1), start, step)
+
+
+def _exact_u(n1: Column, n2: Column, u: Column) -> Column:
+    """Two-sided p of U without ties: twice the share of samples at least as far out."""
+    big = F.greatest(u, n1 * n2 - u).cast("int")
+    counts = u_counts(n1, n2)
+    total = lambda a: F.aggregate(a, F.lit(0.0), lambda acc, x: acc + x)
+    return F.least(F.lit(1.0), 2 * total(F.slice(counts, big + 1, F.size(counts))) / total(counts))
+
+
+def mann_whitney(df: DataFrame, by: list[str], group: str, value: str, a, b, exact: int = 0) -> DataFrame:
     """Two-sided Mann-Whitney U with tie and continuity correction (normal approximation).
-    ``u`` is the statistic of sample a."""
+    ``u`` is the statistic of sample a.  Tests without ties whose n1 * n2 is at most
+    ``exact`` take the exact distribution of U instead (their z stays the approximation's)."""
     df, keys = _keyed(df, by)
     sums, ties = rank_sums(df.where(F.col(group).isin([a, b])), keys, group, value)
     s = sums.groupBy(*keys).agg(
@@ -131,7 +156,11 @@ def mann_whitney(df: DataFrame, by: list[str], group: str, value: str, a, b) ->
     big = F.greatest(F.col("u"), n1 * n2 - F.col("u"))
     # at its mean U is no evidence: the continuity correction must not turn it negative
     s = s.withColumn("z", F.try_divide(F.greatest(big - mu - 0.5, F.lit(0.0)), sigma))
-    s = s.withColumn("p_value", F.least(F.lit(1.0), nan_to_null(norm_pvalue("z"))))
+    p = F.least(F.lit(1.0), nan_to_null(norm_pvalue("z")))
+    if exact > 0:
+        small = (F.col("tie_term") == 0) & (n1 * n2 <= exact) & (n1 * n2 > 0)
+        p = F.when(small, _exact_u(n1, n2, F.col("u"))).otherwise(p)
+    s = s.withColumn("p_value", p)
     return _drop_all(s.select(*keys, "n1", "n2", "u", "z", "p_value"), by)
 
 

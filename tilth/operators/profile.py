@@ -45,9 +45,18 @@ def shape(df: DataFrame) -> DataFrame:
         "n_rows", F.lit(len(df.columns)).alias("n_cols"))
 
 
+def is_missing(df: DataFrame, c: str) -> Column:
+    """Null, or NaN in a floating column (as pandas counts): one rule for all counts here."""
+    col = F.col(f"`{c}`")
+    if isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType)):
+        return col.isNull() | F.isnan(col)
+    return col.isNull()
+
+
 def info(df: DataFrame) -> DataFrame:
-    """One row per column: position, Spark type, non-null count (one pass, then stacked)."""
-    counts = df.agg(*[F.count(F.col(f"`{c}`")).alias(f"c{i}") for i, c in enumerate(df.columns)])
+    """One row per column: position, Spark type, count of values that are not missing (one
+    pass, then stacked)."""
+    counts = df.agg(*[F.count_if(~is_missing(df, c)).alias(f"c{i}") for i, c in enumerate(df.columns)])
     pairs = [(c, F.struct(F.lit(i).alias("position"),
                           F.lit(df.schema[c].dataType.simpleString()).alias("dtype"),
                           F.col(f"c{i}").alias("non_null")))
@@ -58,12 +67,7 @@ def info(df: DataFrame) -> DataFrame:
 
 def null_counts(df: DataFrame) -> DataFrame:
     """Null count per column in one aggregate pass (NaN counts as missing, as pandas)."""
-    def is_missing(c):
-        col = F.col(f"`{c}`")
-        if isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType)):
-            return col.isNull() | F.isnan(col)
-        return col.isNull()
-    counts = df.agg(*[F.count_if(is_missing(c)).alias(f"c{i}") for i, c in enumerate(df.columns)])
+    counts = df.agg(*[F.count_if(is_missing(df, c)).alias(f"c{i}") for i, c in enumerate(df.columns)])
     pairs = [(c, F.col(f"c{i}")) for i, c in enumerate(df.columns)]
     return counts.select(_stack(pairs, "column", "null_count").alias("kv")).select(
         "kv.column", "kv.null_count")
@@ -74,10 +78,10 @@ def null_total(df: DataFrame) -> DataFrame:
 
 
 def missing_pct(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """Percent of all rows (raw denominator) missing each column."""
+    """Percent of all rows (raw denominator) missing each column (null or NaN)."""
     cols = cols or df.columns
     agg = df.agg(F.count(F.lit(1)).alias("_n"),
-                 *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"m{i}") for i, c in enumerate(cols)])
+                 *[F.count_if(is_missing(df, c)).alias(f"m{i}") for i, c in enumerate(cols)])
     pairs = [(c, F.struct(F.col(f"m{i}").alias("missing"),
                           F.try_divide(F.col(f"m{i}") * 100.0, F.col("_n")).alias("missing_pct")))
              for i, c in enumerate(cols)]

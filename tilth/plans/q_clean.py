@@ -150,3 +150,13 @@ def prepare_survey_strict(spark, d):
                    first_segments=("order_status", ["F", "P"]),
                    second_segments=("education", ["1-URGENT"]),
                    to_text=["customer_key", "acreage"])
+
+
+@query("renumber_ties", with_ctes(V_SURVEY) + """
+SELECT row_number() OVER (ORDER BY "Education" ASC NULLS LAST, "Acreage" ASC NULLS LAST, "Order key") - 1 AS row_idx,
+       "Education" AS education, "Acreage" AS acreage, "Order key" AS order_key FROM v_survey""")
+def renumber_ties(spark, d):
+    """Order columns with nulls and many ties: every row once, nulls last."""
+    out = C.renumber(v_survey(spark, d), ["Education", "Acreage", "Order key"])
+    return out.select("row_idx", F.col("Education").alias("education"), F.col("Acreage").alias("acreage"),
+                      F.col("Order key").alias("order_key"))

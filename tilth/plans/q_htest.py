@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tilth.operators import htest as H
+from tilth.operators import normality as N
 from tilth.plans.bindings import V_GROUP, V_MODEL, V_SKEW, table, v_group, v_model, v_skew, with_ctes
 from tilth.plans.catalog import query, rounded
 
@@ -194,3 +195,53 @@ def test_router(spark, d):
     out = H.test_router(long, ["target_name"], "l_returnflag", "x")
     return rounded(out.select("target_name", "k", "levene_p", "min_normal_p", "test"),
                    {"levene_p": 6, "min_normal_p": 6})
+
+
+def _poly_sql(c: list[float], x: str) -> str:
+    out = repr(c[-1]) + "::DOUBLE"
+    for v in reversed(c[:-1]):
+        out = f"({out} * ({x}) + {v!r}::DOUBLE)"
+    return out
+
+
+def _quantile_sql(p: str) -> str:
+    ratio = lambda c, x: f"({_poly_sql(c[0], x)} / {_poly_sql(c[1], x)})"
+    t = f"sqrt(-ln(least({p}, 1 - {p})))"
+    return (f"CASE WHEN abs({p} - 0.5) <= 0.425 THEN ({p} - 0.5) * {ratio(N.CENTRE, f'0.180625 - ({p} - 0.5) * ({p} - 0.5)')} "
+            f"WHEN {t} <= 5 THEN sign({p} - 0.5) * {ratio(N.TAIL, t + ' - 1.6')} ELSE sign({p} - 0.5) * {ratio(N.FAR, t + ' - 5')} END")
+
+
+@query("normality_w", with_ctes(V_SKEW) + f""",
+r AS (SELECT lang, n_chars::DOUBLE AS x, row_number() OVER (PARTITION BY lang ORDER BY n_chars) AS i,
+             count(*) OVER (PARTITION BY lang) AS n FROM v_skew WHERE n_chars IS NOT NULL),
+m AS (SELECT *, (i - 0.375) / (n + 0.25) AS p FROM r),
+q AS (SELECT lang, x, i, n::DOUBLE AS n, {_quantile_sql('p')} AS m FROM m),
+s AS (SELECT lang, n, sum(m * x) AS s, sum(m * m) AS mm, var_pop(x) * n AS ss, max(m) AS m1, max(CASE WHEN i = n - 1 THEN m END) AS m2,
+             max(x) - min(x) AS ends, max(CASE WHEN i = n - 1 THEN x END) - max(CASE WHEN i = 2 THEN x END) AS inside
+      FROM q GROUP BY lang, n),
+a AS (SELECT *, m1 / sqrt(mm) + {_poly_sql(N.LAST, '1 / sqrt(n)')} AS a1, m2 / sqrt(mm) + {_poly_sql(N.NEXT, '1 / sqrt(n)')} AS a2 FROM s),
+w AS (SELECT lang, n, pow((s - m1 * ends - m2 * inside) / sqrt((mm - 2 * m1 * m1 - 2 * m2 * m2) / (1 - 2 * a1 * a1 - 2 * a2 * a2))
+             + a1 * ends + a2 * inside, 2) / ss AS w FROM a)
+SELECT lang, n::BIGINT AS n, round(w, 6) AS w FROM w""")
+def normality_w(spark, d):
+    """W of text lengths by language (groups of 12 to 5,000 values here; p is unit-tested)."""
+    return rounded(N.shapiro(v_skew(spark, d), ["lang"], "n_chars").drop("p_value"), {"w": 6})
+
+
+@query("mannwhitney_exact", """
+WITH RECURSIVE g AS (SELECT s_nationkey AS nation, s_acctbal AS x, s_suppkey % 2 AS side,
+    row_number() OVER (PARTITION BY s_nationkey ORDER BY s_acctbal) AS rk FROM supplier),
+t AS (SELECT nation, count(*) AS n, count_if(side = 1) AS n1, count_if(side = 0) AS n2,
+             sum(CASE WHEN side = 1 THEN rk END) - count_if(side = 1) * (count_if(side = 1) + 1) / 2 AS u FROM g GROUP BY nation),
+sub AS (SELECT nation, n, n1, 0 AS i, 0 AS taken, 0 AS ranks FROM t WHERE n1 > 0 AND n2 > 0
+  UNION ALL SELECT nation, n, n1, i + 1, taken + b, ranks + b * (i + 1) FROM sub, (VALUES (0), (1)) v(b)
+  WHERE i < n AND taken + b <= n1),
+d AS (SELECT nation, ranks - n1 * (n1 + 1) / 2 AS u FROM sub WHERE i = n AND taken = n1)
+SELECT t.nation, t.n1, t.n2, t.u, round(least(1.0, 2.0 * count_if(d.u >= greatest(t.u, t.n1 * t.n2 - t.u)) / count(*)), 9) AS p_value
+FROM t JOIN d USING (nation) GROUP BY t.nation, t.n1, t.n2, t.u""")
+def mannwhitney_exact(spark, d):
+    """Balances of odd and even suppliers of each nation: samples small enough for the exact
+    distribution (the SQL lists every subset)."""
+    s = table(spark, d, "supplier").select(F.col("s_nationkey").alias("nation"), "s_acctbal", (F.col("s_suppkey") % 2).alias("side"))
+    out = H.mann_whitney(s, ["nation"], "side", "s_acctbal", 1, 0, exact=400).where("n1 > 0 and n2 > 0")
+    return rounded(out.select("nation", "n1", "n2", "u", "p_value"), {"p_value": 9})

@@ -205,3 +205,15 @@ def group_values_topn(spark, d):
     out = P.group_values_topn(table(spark, d, "orders"), "o_orderpriority", "o_totalprice", 5)
     return out.select("o_orderpriority", F.concat_ws(",", F.transform(
         "top_values", lambda x: F.format_string("%.2f", x))).alias("top_values"))
+
+
+@query("missing_rule", """
+WITH t AS (SELECT CASE WHEN o_orderkey % 5 = 0 THEN 'NaN'::DOUBLE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_totalprice END AS x FROM orders),
+c AS (SELECT count_if(x IS NULL OR isnan(x)) AS m, count(*) AS n FROM t)
+SELECT 'x' AS "column", m AS missing, round(100.0 * m / n, 6) AS missing_pct, m AS null_count, n - m AS non_null FROM c""")
+def missing_rule(spark, d):
+    """NaN and null are missing alike in all counts."""
+    key = F.col("o_orderkey")
+    t = table(spark, d, "orders").select(F.when(key % 5 == 0, float("nan")).when(key % 7 == 0, None).otherwise(F.col("o_totalprice")).alias("x"))
+    out = P.missing_pct(t).join(P.null_counts(t), "column").join(P.info(t).select("column", "non_null"), "column")
+    return rounded(out, {"missing_pct": 6})
