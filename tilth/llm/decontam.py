@@ -198,6 +198,6 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, **options) -> DataFrame
     """The documents that hold no benchmark window, with their own columns."""
     found = find_contamination(docs, items, **options).where("contaminated").select(
         F.col("doc_id").alias("__id"), F.col("__row").alias("__of")).distinct()
-    own = docs.withColumn("__row", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
+    own = docs.withColumn("__row", F.xxhash64(F.coalesce(F.col(options.get("text_col", "text")), F.lit(""))))
     same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__row") == F.col("__of"))
     return own.join(found, same, "left_anti").select(*docs.columns)

@@ -31,6 +31,12 @@ def shuffle_key(doc_id: Column, text: Column, seed: str) -> Column:
     return F.conv(F.substring(digest, 1, HASH_BITS // 4), 16, 10).cast("long")
 
 
+def bucket_of(key: Column, n_buckets: int) -> Column:
+    """Which of ``n_buckets`` equal parts of the key's range a key lies in.  The top 24 bits
+    decide, so the product stays below 2**63 up to 2**39 buckets (5 * 10**14 documents)."""
+    return F.shiftright(F.shiftright(key, HASH_BITS - 24) * F.lit(n_buckets).cast("long"), 24)
+
+
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epochs: int = 3) -> DataFrame:
     """(source, source_size, weight, target) from (source, source_size).
 
@@ -88,7 +94,7 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epoch
         F.size(words(F.col(text_col))).cast("long").alias("size"),
         shuffle_key(F.col("doc_id"), F.col(text_col), seed).alias("shuffle_key")))
     n_buckets = max(1, sized.count() // DOCS_PER_BUCKET)
-    bucketed = sized.withColumn("__bucket", F.shiftright(F.col("shuffle_key") * n_buckets, HASH_BITS))
+    bucketed = sized.withColumn("__bucket", bucket_of(F.col("shuffle_key"), n_buckets))
     sums = bucketed.groupBy("__src", "source", "__bucket").agg(F.sum("size").alias("__sum"))
     targets = source_targets(sums.groupBy("source").agg(F.sum("__sum").alias("source_size")), weights, max_epochs)
     targets = targets.select(
@@ -119,7 +125,7 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     added = ["size", "source_size", "target", "virtual_finish", "taken"]
     plan = mix_sources(docs, **options).groupBy(F.col("doc_id").alias("__id"), F.col("__row").alias("__of")).agg(
         *[F.min(c).alias(c) for c in added[:4]], F.sum("taken").alias("taken")).where(F.col("taken") > 0)
-    own = docs.drop(*added).withColumn("__row", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
+    own = docs.drop(*added).withColumn("__row", F.xxhash64(F.coalesce(F.col(options.get("text_col", "text")), F.lit(""))))
     joined = own.join(plan, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__row") == F.col("__of")))
     once = joined.dropDuplicates(["__id", "__of"])
     return once.select(*[c for c in own.columns if c != "__row"], *added)
