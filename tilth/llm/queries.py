@@ -46,13 +46,15 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").cast(turns.schema["turn"].dataType).alias("turn"),
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(CONTROL).alias("text"))
     made = chat.format_chats(turns.unionByName(probe))
-    back = made.select("conv_id", "segments", "formatted", chat.read_turns(F.col("formatted")).alias("turns"),
+    back = made.select("conv_id", "segments", "formatted", "valid_order", "order_errors",
+                       chat.read_turns(F.col("formatted")).alias("turns"),
                        chat.loss_text(F.col("segments")).alias("loss"))
     told = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return back.select(
         "conv_id", F.size("turns").cast("long").alias("n_turns"), sha256_hex(told).alias("turns_sha256"),
         F.char_length("loss").cast("long").alias("loss_chars"), sha256_hex(F.col("loss")).alias("loss_sha256"),
-        F.char_length("formatted").cast("long").alias("formatted_chars"))
+        F.char_length("formatted").cast("long").alias("formatted_chars"), "valid_order",
+        F.size("order_errors").cast("long").alias("n_order_errors"))
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

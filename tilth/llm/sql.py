@@ -6,6 +6,7 @@ expressions that lead to ``<prefix>_out``; the pipeline chains them.
 
 from __future__ import annotations
 
+from tilth.llm.chat import CHATML, START
 from tilth.llm.common import LOWER, UPPER
 from tilth.llm.quality import BASE_RULES, RULES, SIGNALS, STOP_WORDS
 
@@ -131,18 +132,26 @@ def mixing(src: str, p: str = "m", seed: str = "mix", epochs: int = 3) -> list[s
 
 def chats() -> str:
     esc = r"replace(replace({0}, '\', '\\'), '<|', '<\|')"
-    return f"""WITH t AS (
+    moves = ", ".join(f"('{a}', '{r}', '{b}')" for (a, r), b in CHATML.moves.items())
+    final = ", ".join(f"'{x}'" for x in CHATML.final)
+    return f"""WITH RECURSIVE t AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
   UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'),
 f AS (SELECT *, length('<|im_start|>' || replace({esc.format('role')}, chr(10), '<\\n>') || chr(10)
-    || {esc.format('text')} || '<|im_end|>' || chr(10)) AS chars FROM t)
-SELECT conv_id, count(*)::BIGINT AS n_turns,
+    || {esc.format('text')} || '<|im_end|>' || chr(10)) AS chars FROM t),
+o AS (SELECT conv_id, role, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM t),
+machine AS (SELECT DISTINCT conv_id, 0::BIGINT AS i, '{START}' AS state, 0::BIGINT AS errors FROM t
+  UNION ALL SELECT m.conv_id, o.i, coalesce(v.b, m.state), m.errors + (v.b IS NULL)::BIGINT
+  FROM machine m JOIN o ON o.conv_id IS NOT DISTINCT FROM m.conv_id AND o.i = m.i + 1
+  LEFT JOIN (VALUES {moves}) v(a, r, b) ON v.a = m.state AND v.r = o.role),
+last AS (SELECT conv_id, arg_max(state, i) AS state, max(errors) AS errors FROM machine GROUP BY conv_id)
+SELECT f.conv_id, count(*)::BIGINT AS n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
   coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
   sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
-  sum(chars)::BIGINT AS formatted_chars
-FROM f GROUP BY conv_id"""
+  sum(chars)::BIGINT AS formatted_chars, any_value(errors = 0 AND state IN ({final})) AS valid_order, any_value(errors) AS n_order_errors
+FROM f JOIN last ON last.conv_id IS NOT DISTINCT FROM f.conv_id GROUP BY f.conv_id"""
 
 
 def collocations(low: int = 30, top: int = 2000) -> str:
