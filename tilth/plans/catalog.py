@@ -39,4 +39,4 @@ def load_all() -> None:
     # importing the modules registers their keys
     from tilth.plans import (q_clean, q_encode, q_htest, q_model, q_monitor,  # noqa: F401
                              q_committed, q_profile, q_registry, q_reports, q_sources,
-                             q_tuning)
+                             q_history, q_tuning)

@@ -8,6 +8,9 @@ tables go under the shared checkpoint folder, never a machine-local temp dir.
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -75,6 +78,34 @@ def read_splits(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFra
     return spark.read.format(fmt).load(path)
 
 
+MONTH_IN_NAME = r"(\d{4})[_-](\d{2})(?:\.[A-Za-z]+)?$"
+
+
+def files_by_month(spark: SparkSession, folder: str, pattern: str = MONTH_IN_NAME) -> dict[str, list[str]]:
+    """The entries of a folder (files, or folders that Spark wrote) by the month (yyyy_MM) in
+    their name; names without one are left out.  Only the folder is listed; nothing is read."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out: dict[str, list[str]] = {}
+    for entry in fs.listStatus(path):
+        found = re.search(pattern, entry.getPath().getName())
+        if found:
+            out.setdefault(f"{found[1]}_{found[2]}", []).append(entry.getPath().toString())
+    return out
+
+
+def read_months(spark: SparkSession, folder: str, months: list[str], schema: T.StructType, sep: str = ",",
+                pattern: str = MONTH_IN_NAME, month_col: str = "month") -> DataFrame:
+    """The monthly CSV files of a folder as they lie, chosen by the month in their names; files
+    of other months are not opened.  A month without a file raises (FileNotFoundError)."""
+    there = files_by_month(spark, folder, pattern)
+    absent = [m for m in months if m not in there]
+    if absent:
+        raise FileNotFoundError(f"{folder} has no file for {', '.join(absent)}; it has {', '.join(sorted(there))}")
+    parts = [read_csv(spark, path, schema, sep).withColumn(month_col, F.lit(m)) for m in sorted(set(months)) for path in sorted(there[m])]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def write_month_partitioned(df: DataFrame, ts_col: str, path: str, month_col: str = "month") -> None:
     """Monthly files become one table partitioned by month (yyyy_MM), so selecting a
     month prunes every other partition at planning time."""
