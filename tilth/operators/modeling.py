@@ -23,7 +23,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.stat import Summarizer
 from pyspark.ml.tuning import CrossValidator
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tilth.operators.encode import hash_unit, ml_encoder
@@ -153,16 +153,15 @@ def fold_moments(encoded: DataFrame, features: str = "features", label: str = "t
         raise ValueError(f"{len(shift) - 1} features; the one-pass solution takes at most {MAX_FEATURES - 1}")
     moved = rows.select("fold", F.zip_with("row", F.array(*[F.lit(x) for x in shift]), lambda a, b: a - b).alias("row"))
     schema = pa.schema([("fold", pa.int32()), ("m", pa.list_(pa.float64()))])
-    summed = moved.mapInArrow(_fold_sums(schema), "fold int, m array<double>").select(
-        "fold", F.posexplode("m").alias("at", "x")).groupBy("fold", "at").agg(F.sum("x").alias("x")).collect()
+    entries = moved.mapInArrow(_fold_sums(schema), "fold int, m array<double>").select(
+        "fold", F.posexplode("m").alias("at", "x")).groupBy("fold", "at").agg(F.sum("x").alias("x"))
+    # one array a fold reaches the driver, as Arrow
+    summed = entries.groupBy("fold").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("at", "x"))), lambda e: e["x"]).alias("m")).toArrow()
     p = len(shift) + 1
     out: dict[int, Moments] = {}
-    for f in {r["fold"] for r in summed}:
-        m = np.zeros(p * p)
-        for r in summed:
-            if r["fold"] == f:
-                m[r["at"]] = r["x"]
-        m = m.reshape(p, p)
+    for f, m in zip(summed.column("fold").to_pylist(), summed.column("m"), strict=True):
+        m = m.values.to_numpy(zero_copy_only=False).reshape(p, p)
         n, mean = m[0, 0], m[0, 1:] / m[0, 0]
         out[f] = Moments(n, mean + np.array(shift), m[1:, 1:] - n * np.outer(mean, mean))
     return out
@@ -174,10 +173,10 @@ def merge(parts: list[Moments]) -> Moments:
     return Moments(n, mean, sum(m.cross + m.n * np.outer(m.mean - mean, m.mean - mean) for m in parts))
 
 
-def solve_linear(m: Moments, alpha: float, kind: str = "ridge", sweeps: int = 5000) -> tuple[np.ndarray, float]:
+def solve_linear(m: Moments, alpha: float, kind: str = "ridge", sweeps: int = 50_000) -> tuple[np.ndarray, float]:
     """Weights and intercept on the raw features of ridge (|y - Xw|^2 + alpha |w|^2) or lasso
     (|y - Xw|^2 / 2n + alpha |w|_1) fitted on standardised features; a feature without
-    spread gets no weight."""
+    spread gets no weight.  A lasso that has not settled after ``sweeps`` rounds raises."""
     sd = np.sqrt(np.diag(m.cross)[:-1] / m.n)
     live = sd > 1e-12
     scale = np.where(live, sd, 1.0)
@@ -189,17 +188,49 @@ def solve_linear(m: Moments, alpha: float, kind: str = "ridge", sweeps: int = 50
         # minimum-norm solution where alpha is 0 and features depend on each other
         w[at] = np.linalg.lstsq(g[np.ix_(at, at)] + alpha * np.eye(len(at)), c[at], rcond=1e-12)[0]
     else:
-        for _ in range(sweeps):
+        top = max(np.abs(c).max(initial=0.0) / m.n, 1e-300)
+        for i in range(sweeps):
             before = w.copy()
             for j in np.flatnonzero(live):
                 r = (c[j] - g[j] @ w + g[j, j] * w[j]) / m.n
                 w[j] = np.sign(r) * max(0.0, abs(r) - alpha) / (g[j, j] / m.n)
             if np.abs(w - before).max() <= 1e-10 * max(1.0, np.abs(w).max()):
                 break
+            # features that depend on each other let weights wander at the optimum: there the
+            # gradient conditions of the objective hold
+            if i % 50 == 49:
+                slope = (c - g @ w) / m.n
+                off = np.where(w != 0, np.abs(slope - alpha * np.sign(w)), np.maximum(0.0, np.abs(slope) - alpha))
+                if (off * live).max(initial=0.0) <= 1e-7 * top:
+                    break
+        else:
+            raise RuntimeError(f"lasso with alpha {alpha} has not settled in {sweeps} rounds")
     w = w / scale
     return w, float(m.mean[-1] - w @ m.mean[:-1])
 
 
+def stationarity(m: Moments, alpha: float, w: np.ndarray, kind: str = "ridge") -> float:
+    """How far weights are from the optimum of their objective, as the greatest violation of
+    its gradient conditions on standardised features, relative to the features' correlation
+    with the target: 0 at the solution."""
+    sd = np.sqrt(np.diag(m.cross)[:-1] / m.n)
+    live = sd > 1e-12
+    scale = np.where(live, sd, 1.0)
+    v = w * scale
+    slope = m.cross[:-1, -1] / scale - (m.cross[:-1, :-1] / np.outer(scale, scale)) @ v
+    if kind == "ridge":
+        off = np.abs(slope - alpha * v)
+    else:
+        off = np.where(v != 0, np.abs(slope / m.n - alpha * np.sign(v)), np.maximum(0.0, np.abs(slope / m.n) - alpha)) * m.n
+    return float((off * live).max() / np.abs(m.cross[:-1, -1] / scale).max())
+
+
+def linear_prediction(features: str, w: np.ndarray, intercept: float) -> Column:
+    """Intercept plus features times weights, as a column expression."""
+    weights = F.array(*[F.lit(float(x)) for x in w])
+    return F.aggregate(F.zip_with(vector_to_array(F.col(features)), weights, lambda x, y: x * y), F.lit(float(intercept)), lambda acc, x: acc + x)
+
+
 def mse_of(m: Moments, w: np.ndarray, intercept: float) -> float:
     """Mean squared error of a linear model on the rows behind the moments."""
     d = np.append(-w, 1.0)

@@ -92,11 +92,13 @@ def missing_pct(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 def describe_numeric(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """count, mean, sample std, min, exact q25/q50/q75 (linear), max per numeric column."""
     cols = cols or numeric_columns(df)
+    # moments side by side in one aggregate; only the quantiles need a row for each value
+    value = [F.when(~is_missing(df, c), F.col(f"`{c}`").cast("double")) for c in cols]
+    wide = df.agg(*[F.struct(F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"), F.min(v).alias("min"),
+                             F.max(v).alias("max")).alias(f"s{i}") for i, v in enumerate(value)])
+    moments = wide.select(_stack([(c, F.col(f"s{i}")) for i, c in enumerate(cols)], "column", "s").alias("kv")).select(
+        "kv.column", "kv.s.*").where("count > 0")
     long = to_long(df, cols).where(F.col("value").isNotNull() & ~F.isnan("value"))
-    moments = long.groupBy("column").agg(
-        F.count(F.lit(1)).alias("count"), F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
-        F.max("value").alias("max"))
     q = exact_quantiles(long, ["column"], "value", {"q25": 0.25, "q50": 0.5, "q75": 0.75})
     return moments.join(q.drop("n"), "column").select(
         "column", "count", "mean", "std", "min", "q25", "q50", "q75", "max")

@@ -59,17 +59,85 @@ def ols_multi_fit(spark, d):
     return _fit_report(spark, d, lambda t: ML.ols(), "ols")
 
 
+def _linear_fit(spark, d, kind, alpha):
+    """One-pass solution on the train rows: (encoded rows of all splits, moments, weights, intercept)."""
+    split = _split(spark, d)
+    train = split.where(F.col("split") == "train")
+    enc = ML.ml_encoder(MODEL_CATEGORICAL, MODEL_NUMERIC).fit(train)
+    rows = enc.transform(split)
+    m = ML.fold_moments(rows.where(F.col("split") == "train").withColumn("fold", F.lit(0)))[0]
+    return rows, m, *ML.solve_linear(m, alpha, kind)
+
+
+def _linear_report(spark, d, kind, alpha, name):
+    rows, _, w, b = _linear_fit(spark, d, kind, alpha)
+    scored = rows.withColumn("prediction", ML.linear_prediction("features", w, b))
+    return rounded(ML.regression_metrics(scored, "target", "prediction", ["split"]).withColumn("model", F.lit(name)), _MET)
+
+
 @query("ridge_fit")
 def ridge_fit(spark, d):
-    def make(train):
-        n, sd = _label_stats(train)
-        return ML.ridge(1.0, n, sd)
-    return _fit_report(spark, d, make, "ridge")
+    return _linear_report(spark, d, "ridge", 1.0, "ridge")
 
 
 @query("lasso_fit")
 def lasso_fit(spark, d):
-    return _fit_report(spark, d, lambda t: ML.lasso(1.0), "lasso")
+    return _linear_report(spark, d, "lasso", 1.0, "lasso")
+
+
+@query("linear_fit_checks", _BASE + """
+SELECT model, (SELECT count(*) FROM tr) AS n_rows, 0.0 AS violation, true AS beats_mean, true AS agrees
+FROM (VALUES ('ridge'), ('lasso')) t(model)""")
+def linear_fit_checks(spark, d):
+    """Both linear models meet the gradient conditions of their objectives, beat the mean on the
+    test rows, and Spark ML's fit of the same objective predicts the same there."""
+    out = []
+    for kind in ("ridge", "lasso"):
+        rows, m, w, b = _linear_fit(spark, d, kind, 1.0)
+        train = _train(spark, d)
+        model = ML.fit(train, MODEL_CATEGORICAL, MODEL_NUMERIC,
+                       (lambda t: ML.ridge(1.0, *_label_stats(t))) if kind == "ridge" else ML.lasso(1.0))
+        test = rows.where(F.col("split") == "test").withColumn("ours", ML.linear_prediction("features", w, b))
+        theirs = model.stages[-1].transform(test)
+        r = theirs.agg(F.max(F.abs(F.col("ours") - F.col("prediction"))).alias("gap"), F.stddev_pop("target").alias("sd"),
+                       F.avg(F.pow(F.col("ours") - F.col("target"), 2)).alias("mse"),
+                       F.avg(F.pow(F.lit(float(m.mean[-1])) - F.col("target"), 2)).alias("mean_mse")).first()
+        out.append((kind, int(m.n), round(ML.stationarity(m, 1.0, w, kind), 6) + 0.0, r["mse"] < r["mean_mse"], r["gap"] < 0.01 * r["sd"]))
+    return spark.createDataFrame(out, "model string, n_rows long, violation double, beats_mean boolean, agrees boolean")
+
+
+@query("batch_score_checks", _BASE + """
+SELECT (SELECT count(*) FROM v_split WHERE split = 'test') AS n_rows, 0.0 AS largest_gap, 'ridge' AS model_name, 1 AS model_version""")
+def batch_score_checks(spark, d):
+    """A saved and reloaded pipeline scores the test rows as intercept plus features times weights."""
+    s = _split(spark, d)
+    model = ML.fit(s.where(F.col("split") == "train"), MODEL_CATEGORICAL, MODEL_NUMERIC, lambda t: ML.ridge(1.0, *_label_stats(t)))
+    path = scratch_path(spark, "ridge-check")
+    from tilth.sources.files import load_pipeline_model, save_model
+    save_model(model, path)
+    loaded = load_pipeline_model(path)
+    by_hand = ML.linear_prediction("features", loaded.stages[-1].coefficients.toArray(), loaded.stages[-1].intercept)
+    scored = ML.score_batch(loaded, s.where(F.col("split") == "test"), "ridge", 1, ["features"]).withColumn("gap", F.abs(by_hand - F.col("prediction")))
+    return rounded(scored.groupBy("model_name", "model_version").agg(F.count(F.lit(1)).alias("n_rows"), F.max("gap").alias("largest_gap")),
+                   {"largest_gap": 6})
+
+
+@query("tree_fit_checks", _BASE + """
+SELECT model, (SELECT count(*) FROM v_split WHERE split = 'test') AS n_test, true AS beats_mean, 1.0 AS importance_sum, trees AS n_trees
+FROM (VALUES ('forest', 20), ('boosted', 20)) t(model, trees)""")
+def tree_fit_checks(spark, d):
+    """Spark ML's tree models beat the mean on the test rows and their importances sum to one."""
+    s = _split(spark, d)
+    train, out = s.where(F.col("split") == "train"), []
+    for name, estimator in (("forest", ML.random_forest(num_trees=20, max_depth=8)), ("boosted", ML.boosted_trees(max_iter=20))):
+        model = ML.fit(train, MODEL_CATEGORICAL, MODEL_NUMERIC, estimator)
+        scored = model.transform(s.where(F.col("split") == "test"))
+        mean = train.agg(F.avg("target")).first()[0]
+        r = scored.agg(F.count(F.lit(1)).alias("n"), F.avg(F.pow(F.col("prediction") - F.col("target"), 2)).alias("mse"),
+                       F.avg(F.pow(F.lit(mean) - F.col("target"), 2)).alias("mean_mse")).first()
+        fitted = model.stages[-1]
+        out.append((name, r["n"], r["mse"] < r["mean_mse"], round(float(fitted.featureImportances.toArray().sum()), 6), fitted.getNumTrees))
+    return spark.createDataFrame(out, "model string, n_test long, beats_mean boolean, importance_sum double, n_trees int")
 
 
 @query("rf_fit")
