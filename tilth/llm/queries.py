@@ -118,6 +118,7 @@ ORACLE: dict[str, str] = {
     "op8_quality_rules": sql.statement(sql.quality("documents"), "SELECT * FROM q_out"),
     "op10_line_dedup": sql.statement(
         sql.lines("documents"), "SELECT doc_id, n_lines, n_dropped, sha256(kept_text) AS kept_sha256 FROM l_out"),
+    "op11_repeated_bytes": sql.repeated_bytes(),
     "op12_phrase_mining": sql.collocations(),
     "op13_ranked_search": sql.ranked(),
 }

@@ -188,3 +188,19 @@ sc AS (SELECT item_id, doc_id, sum(times * weight * ((1000000000 * tf) // (1000
   FROM q JOIN wt USING (term) JOIN tf USING (term) JOIN m USING (doc_id) GROUP BY ALL),
 r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM sc WHERE score > 0)
 SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM r WHERE rank <= {top}"""
+
+
+def repeated_bytes(length: int = 400) -> str:
+    """Windows by the hash of their hex digits, spans as islands, what is left glued together."""
+    return f"""WITH d AS (SELECT row_number() OVER (ORDER BY doc_id) AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT r, i, hash(substr(h, 2 * i + 1, {2 * length})) AS k FROM (SELECT r, h, unnest(range(0, len(h) // 2 - {length - 1})) AS i FROM d WHERE len(h) >= {2 * length})),
+rep AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY k) AS c FROM w) WHERE c > 1),
+isl AS (SELECT r, i, sum(b) OVER (PARTITION BY r ORDER BY i) AS g FROM (SELECT r, i, CASE WHEN i - lag(i) OVER (PARTITION BY r ORDER BY i) <= {length} THEN 0 ELSE 1 END AS b FROM rep)),
+sp AS (SELECT r, min(i) AS a, max(i) + {length} AS z FROM isl GROUP BY r, g),
+gaps AS (SELECT r, coalesce(lag(z) OVER (PARTITION BY r ORDER BY a), 0) AS lo, a AS hi FROM sp
+  UNION ALL SELECT r, max(z), NULL FROM sp GROUP BY r),
+kept AS (SELECT r, string_agg(substr(h, 2 * lo + 1, 2 * (coalesce(hi, len(h) // 2) - lo)), '' ORDER BY lo) AS k FROM gaps JOIN d USING (r) GROUP BY r),
+n AS (SELECT r, sum(z - a) AS n_removed, count(*) AS n_spans FROM sp GROUP BY r)
+SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+  sha256(unhex(coalesce(k, h))) AS kept_sha256
+FROM d LEFT JOIN kept USING (r) LEFT JOIN n USING (r)"""
