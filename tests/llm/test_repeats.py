@@ -74,6 +74,15 @@ def test_long_texts_in_pieces(spark, monkeypatch):
     assert agree(spark.createDataFrame(docs, "doc_id long, text string"), docs, 50) >= 4
 
 
+def test_repeats_inside_one_text(spark):
+    """A stretch of one byte or of a short period repeats by itself, wherever it is unique."""
+    rnd = random.Random(9)
+    noise = lambda k: "".join(rnd.choice("klmnopqrst uvw") for _ in range(k))
+    docs = [(1, noise(90) + "ab" * 60 + noise(70)), (2, "c" * 41), (3, "d" * 40), (4, noise(200)), (5, "abcdefghij" * 9 + noise(50)),
+            (6, (noise(45) + "#") * 2)]
+    assert agree(spark.createDataFrame(docs, "doc_id long, text string"), docs, 40) >= 4
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_factors(seed):
     """Longest previous and next factors of all suffixes of a text against their definition."""

@@ -7,7 +7,8 @@ several.  Over the corpus this is decided in three steps.
    window's ``gram``-byte substrings.  Equal windows have equal keys, so only starts of one
    key need to be compared.  Neighbouring starts mostly share their key; a document becomes
    a few *runs* of starts (one for about (length - gram) / 2 bytes).  Keys found in one run
-   only drop out; that is nearly all of a text without repeats.
+   only drop out (unless the key stands twice inside the run, as in a stretch of one byte);
+   that is nearly all of a text without repeats.
 2. *Contents.*  Runs with the same bytes (start to last window's end) are one content: all
    windows of a content that occurs twice repeat, and only one occurrence of each content,
    the first by (doc_id, place), goes on.
@@ -80,24 +81,41 @@ def sliding_least(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(behind[:n - width + 1], ahead[width - 1:n])
 
 
-def runs(data: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(key, first start, last start) of the runs of window starts with one key."""
-    keys, first, last = [], [], []
+def _tied(h: np.ndarray, key: np.ndarray, lo: np.ndarray, hi: np.ndarray, width: int) -> np.ndarray:
+    """Whether the key of a run stands at more than one place of its windows."""
+    out, ahead = np.empty(len(key), bool), np.arange(width)
+    for i in range(0, len(key), 2048):
+        k, a, b = key[i:i + 2048, None], lo[i:i + 2048], hi[i:i + 2048] + width - 1
+        first = a + (h[a[:, None] + ahead] == k).argmax(axis=1)
+        out[i:i + 2048] = first != b - (h[b[:, None] - ahead] == k).argmax(axis=1)
+    return out
+
+
+def runs(data: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(key, first start, last start, tied) of the runs of window starts with one key.
+
+    Windows of a run whose key stands at one place only all differ: they hold that place at
+    different distances.  In a ``tied`` run (a stretch of one byte, a short period) equal
+    windows are possible."""
+    keys, first, last, tied = [], [], [], []
     n = len(data) - length + 1
     for at in range(0, max(n, 0), _CHUNK):
         here = min(_CHUNK, n - at)
-        key = sliding_least(gram_hashes(data[at:at + here + length - 1], gram), length - gram + 1)
+        h = gram_hashes(data[at:at + here + length - 1], gram)
+        key = sliding_least(h, length - gram + 1)
         cut = np.ones(here, bool)
         cut[1:] = key[1:] != key[:-1]
         lo = np.flatnonzero(cut)
         if here > _LONGEST_RUN and (np.diff(lo, append=here) > _LONGEST_RUN).any():
             lo = np.union1d(lo, np.arange(0, here, _LONGEST_RUN))
+        hi = np.append(lo[1:], here) - 1
+        tied.append(_tied(h, key[lo], lo, hi, length - gram + 1))
         keys.append(key[lo].view(np.int64))
         first.append(lo + at)
-        last.append(np.append(lo[1:], here) - 1 + at)
+        last.append(hi + at)
     if not keys:
-        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
-    return np.concatenate(keys), np.concatenate(first), np.concatenate(last)
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, bool)
+    return np.concatenate(keys), np.concatenate(first), np.concatenate(last), np.concatenate(tied)
 
 
 # ---- inside a block: suffix order and longest previous factors ---------------------
@@ -188,11 +206,11 @@ def _scan(length: int, gram: int, schema: pa.Schema):
             for value in batch.column("data"):
                 raw = value.as_py() or b""
                 data = np.frombuffer(raw, np.uint8)
-                key, lo, hi = runs(data, length, gram)
+                key, lo, hi, tied = runs(data, length, gram)
                 out["n_bytes"].append(len(raw))
                 out["sha"].append(hashlib.sha256(raw).hexdigest())
-                out["runs"].append([{"key": k, "content": xxhash.xxh3_64_intdigest(raw[a:b + length]) - (1 << 63), "lo": a, "hi": b}
-                                    for k, a, b in zip(key.tolist(), lo.tolist(), hi.tolist(), strict=True)])
+                out["runs"].append([{"key": k, "content": xxhash.xxh3_64_intdigest(raw[a:b + length]) - (1 << 63), "lo": a, "hi": b, "tied": t}
+                                    for k, a, b, t in zip(key.tolist(), lo.tolist(), hi.tolist(), tied.tolist(), strict=True)])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("rid"), batch.column("ord"), *[pa.array(out[c], schema.field(c).type) for c in out]], schema=schema)
     return run
@@ -216,7 +234,8 @@ def _scanned(rows: DataFrame, length: int, gram: int) -> DataFrame:
     schema = T.StructType([
         T.StructField("rid", T.BinaryType()), rows.schema["ord"], T.StructField("n_bytes", T.LongType()),
         T.StructField("sha", T.StringType()),
-        T.StructField("runs", T.ArrayType(T.StructType([T.StructField(c, T.LongType()) for c in ("key", "content", "lo", "hi")])))])
+        T.StructField("runs", T.ArrayType(T.StructType([
+            *[T.StructField(c, T.LongType()) for c in ("key", "content", "lo", "hi")], T.StructField("tied", T.BooleanType())])))])
     return materialize(rows.select("rid", "ord", "data").mapInArrow(_scan(length, gram, to_arrow_schema(schema)), schema))
 
 
@@ -225,13 +244,16 @@ def _repeats(rows: DataFrame, scanned: DataFrame, length: int, grams: list[int])
     repeats; ``grams`` are the substring lengths of this level and those below."""
     each = scanned.select("rid", "ord", F.explode("runs").alias("r")).select("rid", "ord", "r.*")
     # stored, so that the join deals both sides anew and a very common key can be split
-    common = materialize(each.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"))
+    common = materialize(each.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("tied").alias("tied")).where(
+        "n > 1 or tied").select("key"))
     live = materialize(each.join(common, "key"))
     first = F.struct("ord", "rid", "lo")
     contents = live.groupBy("key", "content").agg(
-        F.count(F.lit(1)).alias("n"), F.min(first).alias("first"), F.max(F.col("hi") - F.col("lo") + 1).alias("size"))
-    contents = materialize(contents.select("key", "content", "n", "first", "size", (F.col("first.lo") + F.col("size") - 1).alias("hi")))
-    classes = materialize(contents.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.sum("size").alias("starts")).where("m > 1"))
+        F.count(F.lit(1)).alias("n"), F.min(first).alias("first"), F.max(F.col("hi") - F.col("lo") + 1).alias("size"),
+        F.max("tied").alias("tied"))
+    contents = materialize(contents.select("key", "content", "n", "first", "size", "tied", (F.col("first.lo") + F.col("size") - 1).alias("hi")))
+    classes = materialize(contents.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.sum("size").alias("starts"), F.max("tied").alias("tied")).where(
+        "m > 1 or tied"))
     last_level = len(grams) == 1
     wanted = contents.join(classes.select("key", "starts"), "key").select(
         F.col("first.rid").alias("rid"), "key", "content", F.col("first.lo").alias("lo"), "hi", "first", "starts")
