@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from tilth.operators import ordered
 from tilth.operators.ordered import exact_quantiles, midranks, running_sums
 
 
@@ -98,3 +99,17 @@ def test_ranges_of_other_types(spark, kind, many_ranges):
     for _, sub in got.groupby("g", dropna=False):
         assert (sub["x_before"] == sub["x"].cumsum() - sub["x"]).all() and (sub["x_total"] == sub["x"].sum()).all()
         assert sub["prev_v"].isna().sum() == 1 and (sub["prev_v"].iloc[1:].values == sub["v"].iloc[:-1].values).all()
+
+
+def test_text_with_a_common_beginning_is_spread(spark, monkeypatch):
+    """Cuts look at the whole value, and ranges are not limited in number."""
+    monkeypatch.setattr(ordered, "ROWS_PER_RANGE", 50)
+    monkeypatch.setattr(ordered, "MAX_RANGES", 4)
+    rows = spark.range(2000).select(F.format_string("https://example.org/page/%05d", "id").alias("v"), F.lit(1).alias("n"))
+    spread, n = ordered.with_ranges(rows, "v")
+    assert n == 40 and spread.select(ordered._RANGE).distinct().count() > 30
+    got = ordered.running_sums(rows, [], "v", ["n"])
+    assert got.where(F.col("n_before") != F.right("v", F.lit(5)).cast("int")).count() == 0
+    assert got.where("n_total != 2000").count() == 0 and got.where("prev_v is null").count() == 1
+    numbers = ordered.running_sums(spark.range(2000).select("id", F.lit(1).alias("n")), [], "id", ["n"])
+    assert numbers.where("n_before != id").count() == 0

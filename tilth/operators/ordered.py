@@ -7,9 +7,10 @@ a group holding a third of the data would sit in a single task.  Instead:
 
 1. callers pre-aggregate to one row per (group, value) with counts (map-side
    combine, so duplicated values never travel twice); that table is stored once;
-2. its values are cut into ranges of about ``ROWS_PER_RANGE`` rows at approximate
-   quantiles (at most ``MAX_RANGES`` numbers reach the driver), the same for all
-   groups, so a hot group is spread over many ranges;
+2. its values are cut into ranges of about ``ROWS_PER_RANGE`` rows, the same for all
+   groups, so a hot group is spread over many ranges: numbers and times at approximate
+   quantiles (at most ``MAX_RANGES`` reach the driver); text, and tables that need more
+   ranges, by Spark's range partitioning on the whole value, whose result is stored;
 3. a window over (group, range) gives the sums inside a range, and a table with a
    row for each (group, range) gives every range its offset.
 
@@ -34,11 +35,8 @@ _RANGE = "_rs_range"
 
 
 def _code(df: DataFrame, c: str) -> Column:
-    """A number that never falls where the column rises (text: its first six bytes)."""
+    """A number that never falls where the column rises."""
     kind, col = df.schema[c].dataType, F.col(c)
-    if isinstance(kind, T.StringType):
-        head = F.rpad(F.hex(F.substring(col.cast("binary"), 1, 6)), 12, "0")
-        return F.conv(head, 16, 10).cast("double")
     if isinstance(kind, T.DateType):
         return F.unix_date(col).cast("double")
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
@@ -48,9 +46,14 @@ def _code(df: DataFrame, c: str) -> Column:
 
 def with_ranges(df: DataFrame, order_col: str) -> tuple[DataFrame, int]:
     """Add the number of the row's range; also the number of ranges."""
-    wanted = min(MAX_RANGES, df.count() // ROWS_PER_RANGE)
+    wanted = df.count() // ROWS_PER_RANGE
     if wanted < 2:
         return df.withColumn(_RANGE, F.lit(0.0)), 1
+    if wanted > MAX_RANGES or isinstance(df.schema[order_col].dataType, T.StringType):
+        # equal values share a partition, partitions rise with the value; stored, so that a
+        # task that runs again cannot deal other ranges
+        spread = df.repartitionByRange(wanted, order_col).withColumn(_RANGE, F.spark_partition_id().cast("double"))
+        return materialize(spread), wanted
     coded = df.withColumn("_rs_code", _code(df, order_col))
     cuts = coded.agg(F.percentile_approx("_rs_code", [i / wanted for i in range(1, wanted)], 20 * wanted)).first()[0]
     inner = sorted({x for x in cuts if abs(x) != float("inf")})
