@@ -1,8 +1,8 @@
 """Report parsing, comparison and alerts.
 
 Reports are nested JSON documents (metric id -> display name, widgets with
-counters, direct value, mean, count).  Parsing is ``from_json`` + ``posexplode``;
-choosing a value is an aggregate over (report, metric, side); comparing the
+counters, direct value, mean, count).  Parsing is a walk without a schema (``walk_reports``)
+or, for documents of the known form, ``from_json`` + ``posexplode``; choosing a value is an aggregate over (report, metric, side); comparing the
 oldest and newest report of each project is ``min_by`` / ``max_by``.  Nothing
 is looped over on the driver, so any number of projects and reports works.
 """
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tilth.functions.text import parse_number, parse_timestamp
+from tilth.operators.jsonwalk import is_json, walk_json
 
 COUNTER = T.StructType([T.StructField("value", T.StringType()), T.StructField("label", T.StringType())])
 WIDGET = T.StructType([
@@ -83,6 +84,70 @@ def report_metrics(reports: DataFrame) -> DataFrame:
     return out.where(F.col("value").isNotNull())
 
 
+RESULTS = "metric_results"
+_HANDED = ("display_name", "title", "label", "value")
+
+
+def walk_reports(df: DataFrame, json_col: str = "json") -> DataFrame:
+    """JSON text column -> report columns (report_id, timestamp, name, ``malformed``) and the
+    ``fields`` of its metric results, wherever in the document they lie (of several, the
+    least deep that are not empty).  No schema: layers around the results, the widgets or the
+    counters may be unknown.  A malformed or null document is a row without fields."""
+    own = [c for c in df.columns if c != json_col]
+    top = lambda name: F.get_json_object(json_col, f"$.{name}").alias(name)
+    walked = walk_json(df.select(*own, F.get_json_object(json_col, "$.id").alias("report_id"), top("timestamp"), top("name"),
+                                 (~F.coalesce(is_json(F.col(json_col)), F.lit(False))).alias("malformed"), json_col),
+                       json_col, _HANDED, levels=14)
+    depth = lambda f: F.array_position(f["path"], RESULTS)
+    held = F.filter("fields", lambda f: (depth(f) > 0) & (F.size(f["path"]) > depth(f)))
+    least = F.array_min(F.transform(held, depth))
+    return walked.withColumn("fields", held).withColumn("results_depth", least).withColumn(
+        "fields", F.filter("fields", lambda f: depth(f) == F.col("results_depth")))
+
+
+def walked_metrics(reports: DataFrame) -> DataFrame:
+    """The readings of ``report_metrics`` from walked reports.
+
+    A metric is an object with a ``display_name`` below the metric results.  Its readings are
+    the objects of any ``counters`` array below it (side by the title of the nearest object
+    around, inside the metric), its own ``value``, and the ``value`` of ``mean`` and ``count``
+    objects below it.  Positions order readings as the document lists them."""
+    f = reports.select("report_id", "results_depth", F.explode("fields").alias("f"))
+    display, title = F.col("f.inherited.display_name"), F.col("f.inherited.title")
+    label, value = F.col("f.inherited.label"), F.col("f.inherited.value")
+    f = f.withColumn("metric", classify_metric(display["text"])).where(
+        F.col("metric").isNotNull() & (display["depth"] >= F.col("results_depth")))
+    size = F.size("f.path")
+    step = lambda back: F.get(F.col("f.path"), size - back)
+    mine = lambda c: F.when(c["depth"] == size - 1, c["text"])
+    counter = (F.coalesce(step(3) == "counters", F.lit(False)) & (size - 3 >= display["depth"]))
+    empty = F.coalesce(mine(value), F.lit("")) == ""
+    read = (F.when(counter, (step(1) == "value") & ~empty | (step(1) == "label") & empty)
+            .otherwise((step(1) == "value") & ((size - 1 == display["depth"])
+                                               | (step(2).isin("mean", "count") & (size - 2 >= display["depth"])))))
+    own_title = F.lower(F.coalesce(F.when(title["depth"] > display["depth"], title["text"]), F.lit("")))
+    own_label = F.lower(F.coalesce(mine(label), F.lit("")))
+    counter_side = (F.when(own_title.contains("current"), "current").when(own_title.contains("reference"), "reference")
+                    .when(own_label.contains("mean") | (own_label == "") | own_label.contains("score"), "value")
+                    .otherwise(own_label))
+    direct = size - 1 == display["depth"]
+    kind = F.when(counter, 0).when(direct, 1).when(step(2) == "mean", 2).otherwise(3)
+    side = F.when(counter, counter_side).when(~direct & (step(2) == "count"), "count").otherwise("value")
+    return f.where(read).select(
+        "report_id", "metric", side.alias("side"), F.slice("f.place", F.lit(1), display["depth"]).alias("m_pos"),
+        kind.alias("kind"), F.col("f.place").alias("w_pos"), F.lit(0).alias("c_pos"),
+        parse_number(F.col("f.text")).alias("value")).where(F.col("value").isNotNull())
+
+
+def walked_drift(reports: DataFrame) -> DataFrame:
+    """``drift_flag`` over the fields of walked reports: their keys and texts are the text."""
+    says = lambda word: F.exists("fields", lambda f: (
+        F.lower(F.concat_ws("\n", F.slice(f["path"], F.col("results_depth").cast("int") + 1, F.size(f["path"])), f["text"])).contains(word)))
+    scored = F.exists("fields", lambda f: (F.lower(F.get(f["path"], F.size(f["path"]) - 1)) == "drift_score")
+                      & F.coalesce(f["text"].try_cast("double") > 0, F.lit(False)))
+    return reports.select("report_id", F.coalesce(says("drift") & (says("detected") | scored), F.lit(False)).alias("drift_detected"))
+
+
 def metric_choice(readings: DataFrame, reports: DataFrame) -> DataFrame:
     """Per report: <metric>_current, <metric>_reference and the chosen <metric>
     (current, else value, else reference); the last reading of a side wins."""
@@ -109,10 +174,13 @@ def drift_flag(reports: DataFrame) -> DataFrame:
 
 
 def summarize(reports: DataFrame, by: list[str]) -> DataFrame:
-    """One row per report: keys, parsed timestamp, chosen metrics, drift flag, usable."""
-    chosen = metric_choice(report_metrics(reports), reports)
+    """One row per report (parsed or walked): keys, parsed timestamp, chosen metrics, drift flag,
+    usable.  Reports without an id are left out."""
+    walked = "results_depth" in reports.columns
+    chosen = metric_choice((walked_metrics if walked else report_metrics)(reports), reports)
+    drift = (walked_drift if walked else drift_flag)(reports)
     s = (reports.select(*by, "report_id", "timestamp", parse_timestamp(F.col("timestamp")).alias("ts"))
-         .join(chosen, "report_id").join(drift_flag(reports), "report_id"))
+         .join(chosen, "report_id").join(drift, "report_id"))
     usable = F.col("rmse").isNotNull() | F.col("r2").isNotNull() | F.col("mae").isNotNull() | F.col("drift_detected")
     return s.withColumn("usable", usable)
 

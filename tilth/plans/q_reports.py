@@ -2,17 +2,19 @@
 
 ``v_reports``: one nested JSON report per (project = event_type, day) built by
 Spark from ``events``: current RMSE and the project's reference RMSE as widget
-counters, R2 as a direct value, MAE as a mean with a count, and a drift entry.
-Numbers and timestamps are written in several text formats (chosen by the day
-of month) so parsing is exercised on data-derived text.  The oracle derives the
-expected parsed values from ``events`` directly.
+counters, R2 as a direct value, MAE as a mean with a count, and a drift entry (a
+text or a ``drift_score``).  By the day of month the metric results stand at the top,
+under ``report`` or under layers no schema knows, counters lie deeper, and numbers
+and timestamps (with UTC offsets too) are written in several formats.  The oracle derives
+the expected values from ``events``, not from a parser's rule.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tilth.functions.text import parse_number, parse_number_sql, parse_timestamp, parse_timestamp_sql
+from tilth.functions.text import parse_number, parse_timestamp
 from tilth.operators import reports as R
 from tilth.plans.bindings import table
 from tilth.plans.catalog import query, rounded
@@ -32,6 +34,8 @@ def _ts_text(t, dom):
     return (F.when(dom % 4 == 0, F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
             .when(dom % 4 == 1, F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss"))
             .when(dom % 4 == 2, F.date_format(t, "yyyy-MM-dd HH:mm:ss"))
+            .when(dom % 8 == 3, F.concat(F.date_format(t + F.make_dt_interval(hours=F.lit(5), mins=F.lit(30)),
+                                                       "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+05:30")))
             .otherwise(F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss'Z'")))
 
 
@@ -57,36 +61,48 @@ def v_reports(spark, d):
     dom = F.col("dom")
     none = F.lit(None)
 
-    def metric(display, value=none, widget=none, mean=none, count=none):
+    shape = T.StructType(R.METRIC.fields + [
+        T.StructField("drift_score", T.DoubleType()),
+        T.StructField("body", T.StructType([T.StructField("panels", R.METRIC["widget"].dataType)]))])
+
+    def metric(display, value=none, widget=none, mean=none, count=none, score=none, panels=none):
         return F.struct(F.lit(display).alias("display_name"), value.cast("string").alias("value"),
-                        widget.alias("widget"), mean.alias("mean"), count.alias("count")).cast(R.METRIC)
+                        widget.alias("widget"), mean.alias("mean"), count.alias("count"), score.alias("drift_score"),
+                        F.when(panels.isNotNull(), F.struct(panels.alias("panels"))).alias("body")).cast(shape)
 
     def counter_widget(title, v):
         return F.struct(F.lit(title).alias("title"), F.struct(F.array(F.struct(
             _fmt(v, dom).alias("value"), F.lit("RMSE").alias("label"))).alias("counters")).alias("params"))
 
     drifted = F.col("rmse") > 1.1 * F.col("rmse_ref")
+    widgets = F.array(counter_widget("Current", F.col("rmse")), counter_widget("Reference", F.col("rmse_ref")))
+    deeper, scored = dom % 6 == 5, dom % 2 == 1
     results = F.create_map(
-        F.lit("m_rmse"), metric("RMSE", widget=F.array(counter_widget("Current", F.col("rmse")),
-                                                       counter_widget("Reference", F.col("rmse_ref")))),
+        F.lit("m_rmse"), metric("RMSE", widget=F.when(~deeper, widgets), panels=F.when(deeper, widgets)),
         F.lit("m_r2"), metric("R2 Score", value=_fmt(F.col("r2"), dom)),
         F.lit("m_mae"), metric("Mean Absolute Error", mean=F.struct(_fmt(F.col("mae"), dom).alias("value")),
                                count=F.struct(F.col("n").cast("string").alias("value"))),
-        F.lit("m_drift"), metric("Share of Drifted Columns",
-                                 value=F.when(drifted, F.lit("Drift detected")).otherwise(F.lit("0.0"))))
+        F.lit("m_drift"), metric(
+            "Share of Drifted Columns",
+            value=F.when(scored, F.lit("0.0")).when(drifted, F.lit("Drift detected")).otherwise(F.lit("0.0")),
+            score=F.when(scored, F.when(drifted, F.col("rmse") / F.col("rmse_ref") - 1).otherwise(F.lit(0.0)))))
     doc = F.struct(F.col("report_id").alias("id"), _ts_text(F.col("t_end"), dom).alias("timestamp"),
                    F.concat(F.lit("Performance "), F.col("project")).alias("name"),
-                   results.alias("metric_results"))
+                   F.when(dom % 3 == 0, results).alias("metric_results"),
+                   F.when(dom % 3 == 1, F.struct(results.alias("metric_results"))).alias("report"),
+                   F.when(dom % 3 == 2, F.struct(F.array(F.struct(F.struct(results.alias("metric_results")).alias("body"))).alias(
+                       "versions"))).alias("payload"))
     return r.select("report_id", "project", F.to_json(doc).alias("json"))
 
 
 def reports_table(spark, d):
-    """Parsed reports, stored once (they are documents at rest, read by every comparison)."""
-    return materialize(R.parse_reports(v_reports(spark, d).drop("report_id")))
+    """Walked reports, stored once (they are documents at rest, read by every comparison)."""
+    return materialize(R.walk_reports(v_reports(spark, d).drop("report_id")))
 
 
 def _summary(spark, d):
-    return R.summarize(reports_table(spark, d), BY)
+    """Stored too: changes, transitions and messages all start from it."""
+    return materialize(R.summarize(reports_table(spark, d), BY))
 
 
 def _pairs(spark, d):
@@ -104,8 +120,14 @@ def _fmt_sql(x):
 _TS_SQL = """(CASE WHEN dom % 4 = 0 THEN strftime(t_end, '%Y-%m-%dT%H:%M:%S.%fZ')
   WHEN dom % 4 = 1 THEN strftime(t_end, '%Y-%m-%dT%H:%M:%S')
   WHEN dom % 4 = 2 THEN strftime(t_end, '%Y-%m-%d %H:%M:%S')
+  WHEN dom % 8 = 3 THEN strftime(t_end + INTERVAL 330 MINUTE, '%Y-%m-%dT%H:%M:%S') || '+05:30'
   ELSE strftime(t_end, '%Y-%m-%dT%H:%M:%SZ') END)"""
 
+def _written(x):
+    """The number a text was written from, to the digits written (not a parser's rule)."""
+    return f"CAST(CASE WHEN dom % 3 = 2 THEN printf('%.4e', {x}) ELSE printf('%.4f', {x}) END AS DOUBLE)"
+
+
 RI = f"""um AS (SELECT user_id, avg(value) AS pred FROM events GROUP BY 1),
 s AS (SELECT e.event_type AS project, CAST(e.ts AS DATE) AS day, e.ts, e.value AS y, um.pred
       FROM events e JOIN um USING (user_id)),
@@ -117,9 +139,9 @@ ri0 AS (SELECT pd.*, rf.rmse_ref, dayofmonth(day) AS dom,
                project || '-' || strftime(day, '%Y-%m-%d') AS report_id FROM pd JOIN rf USING (project)),
 ri AS (SELECT *, {_fmt_sql('rmse')} AS rmse_txt, {_fmt_sql('rmse_ref')} AS ref_txt, {_fmt_sql('r2')} AS r2_txt,
               {_fmt_sql('mae')} AS mae_txt, {_TS_SQL} AS ts_txt, rmse > 1.1 * rmse_ref AS drift FROM ri0),
-rp AS (SELECT *, {parse_number_sql('rmse_txt')} AS rmse_cur_v, {parse_number_sql('ref_txt')} AS rmse_ref_v,
-              {parse_number_sql('r2_txt')} AS r2_v, {parse_number_sql('mae_txt')} AS mae_v,
-              {parse_timestamp_sql('ts_txt')} AS ts_v FROM ri),
+rp AS (SELECT *, {_written('rmse')} AS rmse_cur_v, {_written('rmse_ref')} AS rmse_ref_v,
+              {_written('r2')} AS r2_v, {_written('mae')} AS mae_v,
+              CASE WHEN dom % 4 = 0 THEN t_end ELSE date_trunc('second', t_end) END AS ts_v FROM ri),
 usable AS (SELECT * FROM rp WHERE rmse_cur_v IS NOT NULL OR rmse_ref_v IS NOT NULL OR r2_v IS NOT NULL
            OR mae_v IS NOT NULL OR drift),
 bc AS (SELECT project, arg_min(report_id, (ts_v, report_id)) AS b_id, arg_max(report_id, (ts_v, report_id)) AS c_id,
@@ -172,9 +194,27 @@ SELECT report_id, 'Performance ' || project AS name, ts_txt AS timestamp, 4 AS n
 def report_scan(spark, d):
     path = scratch_path(spark, "reports")
     S.write_one_file_per_key(v_reports(spark, d), "report_id", "json", path)
-    back = S.read_json_documents(spark, path, R.REPORT_SCHEMA)
-    return back.select(F.col("id").alias("report_id"), "name", "timestamp",
-                       F.size("metric_results").alias("n_metrics"))
+    back = R.walk_reports(spark.read.text(path, wholetext=True).select("value"), "value")
+    ids = F.transform("fields", lambda f: F.get(f["path"], F.col("results_depth").cast("int")))
+    return back.select("report_id", "name", "timestamp", F.size(F.array_distinct(ids)).alias("n_metrics"))
+
+
+@query("report_walk", _with("""
+SELECT CASE dom % 3 WHEN 0 THEN 'top' WHEN 1 THEN 'report' ELSE 'payload' END AS layer, dom % 7 = 4 AS malformed,
+       count(*) AS n_reports, sum(CASE WHEN dom % 7 = 4 THEN 0 ELSE 4 END)::BIGINT AS n_metrics,
+       sum(CASE WHEN dom % 7 = 4 THEN 0 WHEN r2 IS NULL THEN 4 ELSE 5 END)::BIGINT AS n_readings
+FROM ri GROUP BY ALL"""))
+def report_walk(spark, d):
+    """Metric results under known and unknown layers; every seventh day's documents are cut short."""
+    r = v_reports(spark, d).withColumn("dom", F.dayofmonth(F.to_date(F.right("report_id", F.lit(10)))))
+    cut = F.when(F.col("dom") % 7 == 4, F.expr("left(json, length(json) - 5)")).otherwise(F.col("json"))
+    layer = F.when(F.col("dom") % 3 == 0, "top").when(F.col("dom") % 3 == 1, "report").otherwise("payload")
+    walked = materialize(R.walk_reports(r.select(F.col("report_id").alias("key"), layer.alias("layer"), cut.alias("json"))))
+    ids = F.transform("fields", lambda f: F.get(f["path"], F.col("results_depth").cast("int")))
+    n = R.walked_metrics(walked).groupBy("report_id").agg(F.count(F.lit(1)).alias("n"))
+    return walked.join(n, "report_id", "left").groupBy("layer", "malformed").agg(
+        F.count(F.lit(1)).alias("n_reports"), F.sum(F.greatest(F.size(F.array_distinct(ids)), F.lit(0))).alias("n_metrics"),
+        F.sum(F.coalesce("n", F.lit(0))).alias("n_readings"))
 
 
 @query("report_metrics", _with("""
@@ -184,7 +224,7 @@ UNION ALL SELECT report_id, 'r2', 'value', r2_v FROM rp WHERE r2_v IS NOT NULL
 UNION ALL SELECT report_id, 'mae', 'value', mae_v FROM rp WHERE mae_v IS NOT NULL
 UNION ALL SELECT report_id, 'mae', 'count', CAST(n AS DOUBLE) FROM rp"""))
 def report_metrics(spark, d):
-    return R.report_metrics(reports_table(spark, d)).select("report_id", "metric", "side", "value")
+    return R.walked_metrics(reports_table(spark, d)).select("report_id", "metric", "side", "value")
 
 
 @query("report_metric_choice", _with("""
@@ -194,12 +234,12 @@ SELECT report_id, rmse_cur_v AS rmse_current, rmse_ref_v AS rmse_reference,
        CAST(NULL AS DOUBLE) AS mae_reference, mae_v AS mae FROM rp"""))
 def report_metric_choice(spark, d):
     rep = reports_table(spark, d)
-    return R.metric_choice(R.report_metrics(rep), rep)
+    return R.metric_choice(R.walked_metrics(rep), rep)
 
 
 @query("report_drift_flag", _with("SELECT report_id, drift AS drift_detected FROM rp"))
 def report_drift_flag(spark, d):
-    return R.drift_flag(reports_table(spark, d))
+    return R.walked_drift(reports_table(spark, d))
 
 
 @query("parse_number", _with("SELECT report_id, rmse_txt AS raw, rmse_cur_v AS parsed FROM rp"))
