@@ -172,5 +172,27 @@ V_VERSIONS = """v_versions AS (
   FROM supplier)"""
 
 
+# ---- the same registry with gaps: NaN, null and zero metrics -------------------
+
+def v_versions_gaps(spark, sf_dir) -> DataFrame:
+    v, n = v_versions(spark, sf_dir), F.col("version")
+    nan = F.lit(float("nan"))
+    return v.withColumn("rmse", F.when(n % 7 == 3, nan).when(n % 11 == 5, F.lit(None)).when(n % 13 == 6, 0.0)
+                        .otherwise(F.col("rmse"))).withColumn(
+        "r2", F.when(n % 9 == 4, nan).when(n % 8 == 5, F.lit(None)).when(n % 5 == 2, 0.0).otherwise(F.col("r2")))
+
+
+# NaN counts as missing in every rule, so the SQL side writes null for both
+V_VERSIONS_GAPS = V_VERSIONS + """,
+v_gaps AS (
+  SELECT model_name, version, kind, stage, run_id,
+         CASE WHEN version % 7 = 3 OR version % 11 = 5 THEN NULL WHEN version % 13 = 6 THEN 0 ELSE rmse END AS rmse,
+         CASE WHEN version % 9 = 4 OR version % 8 = 5 THEN NULL WHEN version % 5 = 2 THEN 0 ELSE r2 END AS r2
+  FROM v_versions),
+last AS (SELECT * FROM v_gaps QUALIFY row_number() OVER (PARTITION BY model_name, kind ORDER BY version DESC) = 1),
+prod AS (SELECT * FROM v_gaps WHERE stage = 'Production'
+         QUALIFY row_number() OVER (PARTITION BY model_name ORDER BY version DESC) = 1)"""
+
+
 def with_ctes(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tilth.operators import registry as G
-from tilth.plans.bindings import V_VERSIONS, v_versions, with_ctes
+from tilth.plans.bindings import V_VERSIONS, V_VERSIONS_GAPS, v_versions, v_versions_gaps, with_ctes
 from tilth.plans.catalog import query, rounded
 from tilth.plans.q_clean import _dtext
 
@@ -173,3 +173,63 @@ SELECT model_name, version, stage, printf('models:/%s/%d', model_name, version)
 FROM v_versions""")
 def version_uri(spark, d):
     return G.version_uris(v_versions(spark, d))
+
+
+# ---- the rules on metrics that are NaN, null or zero, with two candidates a model ----------
+
+@query("pair_winner_gaps", with_ctes(V_VERSIONS_GAPS) + """,
+p AS (SELECT r.model_name, r.version AS rv, r.rmse AS rr, r.r2 AS r2r, o.version AS ov, o.rmse AS orr, o.r2 AS or2,
+             (r.rmse - o.rmse) / nullif(r.rmse, 0) * 100 AS gi,
+             CASE WHEN r.r2 <> 0 THEN (o.r2 - r.r2) / abs(r.r2) * 100 ELSE 0.0 END AS gr
+      FROM (SELECT * FROM last WHERE kind = 'raw') r
+      LEFT JOIN (SELECT * FROM last WHERE kind = 'optimized') o USING (model_name)),
+w AS (SELECT *, coalesce(orr < rr AND gi >= 2, false) AS a, coalesce(or2 > r2r AND gr >= 1, false) AS b,
+             coalesce(or2 >= r2r OR gr >= 1, false) AS keeps, coalesce(orr <= rr OR abs(gi) <= 1, false) AS close FROM p)
+SELECT model_name, round(gi, 6) AS rmse_improvement_pct, round(gr, 6) AS r2_improvement_pct,
+       CASE WHEN ov IS NOT NULL AND (a AND (keeps OR gi > 5) OR NOT a AND b AND close) THEN 'optimized' ELSE 'raw' END AS winner,
+       CASE WHEN ov IS NOT NULL AND (a AND (keeps OR gi > 5) OR NOT a AND b AND close) THEN ov ELSE rv END AS chosen_version
+FROM w""")
+def pair_winner_gaps(spark, d):
+    w = G.winner(G.pair_runs(v_versions_gaps(spark, d)))
+    return rounded(w.select("model_name", "rmse_improvement_pct", "r2_improvement_pct", "winner",
+                            F.col("chosen.version").alias("chosen_version")),
+                   {"rmse_improvement_pct": 6, "r2_improvement_pct": 6})
+
+
+def _two_candidates(spark, d):
+    """The latest raw and the latest optimised run of each model."""
+    rec = F.struct("run_id", "rmse", "r2")
+    v = v_versions_gaps(spark, d).groupBy("model_name", "kind").agg(F.max_by(rec, "version").alias("r"))
+    return v.select("model_name", F.col("r.run_id").alias("run_id"), F.col("r.rmse").alias("candidate_rmse"),
+                    F.col("r.r2").alias("candidate_r2"))
+
+
+@query("deploy_decision_gaps", with_ctes(V_VERSIONS_GAPS) + """
+SELECT model_name, coalesce(p.version IS NULL OR p.rmse IS NULL OR (p.rmse - c.rmse) / nullif(p.rmse, 0) > 0.05, false)
+         AS should_deploy,
+       CASE WHEN p.version IS NULL THEN 'no production model' WHEN p.rmse IS NULL THEN 'production rmse missing'
+            WHEN c.rmse IS NULL THEN 'candidate rmse missing'
+            WHEN (p.rmse - c.rmse) / nullif(p.rmse, 0) > 0.05 THEN 'improvement above threshold'
+            ELSE 'improvement below threshold' END AS reason, count(*) AS n
+FROM last c LEFT JOIN prod p USING (model_name) GROUP BY ALL""")
+def deploy_decision_gaps(spark, d):
+    out = G.deploy_decision(_two_candidates(spark, d), v_versions_gaps(spark, d))
+    return out.groupBy("model_name", "should_deploy", "reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("promote_two_gaps", with_ctes(V_VERSIONS_GAPS) + """,
+n AS (SELECT c.model_name, c.run_id, c.rmse, c.r2,
+             (SELECT max(version) FROM v_gaps v WHERE v.model_name = c.model_name)
+               + row_number() OVER (PARTITION BY c.model_name ORDER BY c.run_id) AS version,
+             coalesce(c.rmse < 100 AND c.r2 > 0.7, false) AS good FROM last c),
+b AS (SELECT n.*, good AND row_number() OVER (PARTITION BY n.model_name ORDER BY good DESC, n.rmse, n.version) = 1
+               AND coalesce(p.rmse IS NULL OR (p.rmse - n.rmse) / nullif(p.rmse, 0) > 0.05, false) AS up
+      FROM n LEFT JOIN prod p USING (model_name)),
+m AS (SELECT model_name, bool_or(up) AS up FROM b GROUP BY 1)
+SELECT v.model_name, v.version, CASE WHEN m.up AND v.stage = 'Production' THEN 'Archived' ELSE v.stage END AS new_stage
+FROM v_gaps v JOIN m USING (model_name)
+UNION ALL
+SELECT model_name, version, CASE WHEN up THEN 'Production' WHEN good THEN 'Staging' ELSE 'Archived' END FROM b""")
+def promote_two_gaps(spark, d):
+    versions = v_versions_gaps(spark, d)
+    return G.promote(versions, G.append_versions(versions, _two_candidates(spark, d), REGISTERED_BY, REGISTERED_AT))
