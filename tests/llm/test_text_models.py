@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 from text_fixtures import ROWS, empty, messy  # noqa: F401
 
-from tilth.llm import langid, queries, toxicity
+from tilth.llm import common, langid, queries, toxicity
 
 SF01 = "/root/testdata/sf0.01"
 
@@ -140,3 +140,75 @@ def test_length_query_counts_every_document(spark):
     row = hist.agg(F.sum("n_docs").alias("n"), F.max("docs_reaching").alias("all"), F.max("truncated_total").alias("t"),
                    F.max("tokens_within").alias("w")).first()
     assert row["n"] == row["all"] == spark.read.parquet(f"{SF01}/documents.parquet").count() and row["t"] == row["w"]
+
+
+def test_rare_classes_have_their_share(spark):
+    assert common.shares({"a": 10_000, "b": 3, "c": 500}, 100) == {"b": 3, "c": 48, "a": 49}
+    rows = spark.range(10_001).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 5000 == 7, "b").otherwise("a").alias("lang"))
+    picked, counts, quota = common.class_sample(rows, 200, "lang")
+    got = [tuple(r) for r in picked.collect()]
+    assert counts == {"a": 9999, "b": 2} and quota == {"a": 198, "b": 2}
+    assert sorted(got) == sorted(tuple(r) for r in common.class_sample(rows.repartition(7), 200, "lang")[0].collect())
+    assert len(got) == len(set(got)) == 200 and sum(x[1] == "b" for x in got) == 2
+
+
+def test_a_language_of_one_row_in_ten_thousand(spark):
+    rnd = random.Random(9)
+    parts = {"aa": ["ka", "lo", "mi", "tu"], "bb": ["zo", "ré", "shu", "wy"]}
+
+    def text(lang, n):
+        return " ".join("".join(rnd.choice(parts[lang]) for _ in range(rnd.randint(1, 4))) for _ in range(n))
+    rows = [(i, text("aa", 9), "aa") for i in range(10_000)] + [(20_000, text("bb", 60), "bb")]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), sample=300)
+    assert model.languages == ["aa", "bb"]
+    new = [(i, text(lang, 30), lang) for i, lang in enumerate(["aa", "bb"] * 40)]
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.identify(spark.createDataFrame(new, "doc_id long, text string, x string"), model).collect()}
+    assert all(got[i] == lang for i, _, lang in new)
+
+
+def test_language_scores_match_plain_python(spark, messy):
+    """Counts, word-first backoff and scores again, by dictionaries alone."""
+    labelled = [r for r in messy.collect() if r["doc_id"] is not None and r["text"]]
+    fitted = [(i, r["text"], ["x", "y", "z"][i % 3]) for i, r in enumerate(labelled)]
+    model = langid.fit(spark.createDataFrame(fitted, "doc_id long, text string, lang string"), words=10**9, grams_kept=10**9)
+    counts: dict = {}
+    for _, text, lang in fitted:
+        for w in langid.letter_words(text):
+            if len(w) <= langid.WORD_BYTES:
+                counts.setdefault((0, lang), {}).setdefault(w.decode(), []).append(1)
+            for n in range(1, 6):
+                padded = w.decode() if n == 1 else f" {w.decode()} "
+                for i in range(len(padded) - n + 1):
+                    counts.setdefault((n, lang), {}).setdefault(padded[i:i + n], []).append(1)
+    langs = sorted({lang for _, lang in counts})
+
+    def cost(n, part):
+        out = []
+        for lang in langs:
+            table = counts.get((n, lang), {})
+            total = sum(map(len, table.values())) + langid.SMOOTHING
+            out.append(min(langid.PENALTY, -np.log10(len(table[part]) / total)) if part in table else langid.PENALTY)
+        return np.array(out)
+
+    def known(n, part):
+        return any(part in counts.get((n, lang), {}) for lang in langs)
+
+    def word(w):
+        if known(0, w):
+            return cost(0, w)
+        for n in range(5, 0, -1):
+            padded = w if n == 1 else f" {w} "
+            hits = [padded[i:i + n] for i in range(len(padded) - n + 1) if known(n, padded[i:i + n])]
+            if hits:
+                return np.mean([cost(n, h) for h in hits], axis=0)
+        return None
+    texts = [r["text"] for r in labelled] + ["wörd unseen thething", "zzz qqq", "12 34", "a b c the"]
+    for text in texts:
+        if len(text) > 5000:
+            continue
+        found = [v for v in (word(w.decode()) for w in langid.letter_words(text)) if v is not None]
+        got = model.score(text, {})
+        if found:
+            assert got == pytest.approx(np.mean(found, axis=0), abs=1e-4)
+        else:
+            assert got is None

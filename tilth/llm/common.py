@@ -13,13 +13,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tilth.session import materialize
 
 __all__ = ["ASCII_SPACE", "SPACE_RUN", "ascii_lower", "let", "materialize", "read", "words", "word_list",
-           "folded_words", "sha256_hex", "bounded_ids"]
+           "folded_words", "sha256_hex", "bounded_ids", "class_sample"]
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
@@ -76,3 +76,32 @@ def bounded_ids(rows: DataFrame, bound: int, *keep: str) -> DataFrame:
     Only ids and labels travel here, never texts, so the result may be broadcast."""
     order = F.xxhash64(F.col("doc_id").cast("string"))
     return rows.orderBy(order, "doc_id", *keep).limit(bound)
+
+
+def shares(counts: dict, bound: int) -> dict:
+    """How many rows of each class a sample of ``bound`` takes: small classes whole, the rest
+    alike."""
+    left, out = bound, {}
+    for i, (label, n) in enumerate(sorted(counts.items(), key=lambda kv: (kv[1], str(kv[0])))):
+        out[label] = min(n, left // (len(counts) - i))
+        left -= out[label]
+    return out
+
+
+def class_sample(rows: DataFrame, bound: int, label: str) -> tuple[DataFrame, dict, dict]:
+    """At most ``bound`` rows of (doc_id, label), divided among the classes so that a rare one
+    is there, chosen by a hash of ``doc_id``; with the classes' counts and shares.
+
+    Only ids and labels travel, so the result may be broadcast.  Of more than ``bound``
+    classes the largest are taken.  A cut on the hash leaves about twice a class's share
+    before its rows are ranked, so no task gets a whole class."""
+    top = rows.groupBy(label).agg(F.count(F.lit(1)).alias("__n")).orderBy(F.desc("__n"), label).limit(bound).collect()
+    counts = {r[label]: r["__n"] for r in top}
+    quota = shares(counts, bound)
+    table = rows.sparkSession.createDataFrame(
+        [(k, q, min(1.0, (2 * q + 100) / counts[k]) * 2.0**31) for k, q in quota.items()],
+        rows.select(label).schema.add("__quota", "long").add("__below", "double"))
+    order = F.xxhash64(F.col("doc_id").cast("string"))
+    near = rows.join(F.broadcast(table), label).where(F.pmod(order, F.lit(2**31)) < F.col("__below"))
+    place = F.row_number().over(Window.partitionBy(label).orderBy(F.pmod(order, F.lit(2**31)), "doc_id"))
+    return near.withColumn("__place", place).where("__place <= __quota").select("doc_id", label), counts, quota

@@ -5,8 +5,9 @@ fixed penalty where the language lacks it).  An unseen word falls back to its ch
 n-grams, longest first: the first length at which some n-gram is known scores the word
 by the mean over those n-grams.  A text scores by the mean over its words.
 
-The model is fitted on a bounded sample of labelled documents and keeps a bounded number
-of words and n-grams, so it may be broadcast.
+The model is fitted on a bounded sample of labelled documents, in which every language has
+its share, and keeps a bounded number of words and n-grams, the same for each language, so
+it may be broadcast.
 """
 
 from __future__ import annotations
@@ -18,16 +19,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tilth.llm.common import bounded_ids, materialize
+from tilth.llm.common import class_sample, materialize
 
-SAMPLE = 4_000          # labelled documents, at most
-WORDS = 20_000          # words kept, at most
-GRAMS = 20_000          # n-grams kept of each length, at most
+SAMPLE = 4_000          # labelled documents, at most, divided among the languages
+WORDS = 20_000          # words kept, at most: the most frequent of each language
+GRAMS = 20_000          # n-grams kept of each length, at most, in the same way
+SMOOTHING = 1_000       # added to a language's total, so that a handful of texts is not firm evidence
 LONGEST = 5
 WORD_BYTES = 60         # longer strings are never words of the model; their n-grams score
 PENALTY = 7.0           # minus log10 frequency of what a language lacks
@@ -121,25 +123,25 @@ def _counts(schema: pa.Schema):
 
 def fit(docs: DataFrame, sample: int = SAMPLE, words: int = WORDS, grams_kept: int = GRAMS,
         text_col: str = "text", lang_col: str = "lang") -> LanguageModel | None:
-    """Fit on at most ``sample`` of the given labelled rows (those with a lang), chosen by
-    id hash; ids alone are broadcast.  None if there is none.
+    """Fit on at most ``sample`` of the given labelled rows (those with a lang), divided among
+    the languages and chosen by id hash; ids alone are broadcast.  None if there is none.
 
-    Reaching the driver: at most ``words`` + 5 * ``grams_kept`` entries of each language."""
+    Reaching the driver: at most ``words`` + 5 * ``grams_kept`` strings with their counts."""
     own = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         "doc_id", F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    ids = own.where(F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    picked = F.broadcast(bounded_ids(ids, sample))
+    ids = own.where(F.col("doc_id").isNotNull()).select("doc_id", "lang").distinct()
+    picked = F.broadcast(class_sample(ids, sample, "lang")[0])
     schema = pa.schema([("n", pa.int32()), ("lang", pa.string()), ("part", pa.string()), ("cnt", pa.int64())])
-    counted = materialize(own.join(picked, "doc_id", "left_semi").select("lang", "text").mapInArrow(
+    counted = materialize(own.join(picked, ["doc_id", "lang"], "left_semi").select("lang", "text").mapInArrow(
         _counts(schema), "n int, lang string, part string, cnt long").groupBy("n", "lang", "part").agg(F.sum("cnt").alias("cnt")))
     totals = {(r["n"], r["lang"]): r["cnt"] for r in counted.groupBy("n", "lang").agg(F.sum("cnt").alias("cnt")).collect()}
     if not totals:
         return None
-    by_part = counted.groupBy("n", "part").agg(F.sum("cnt").alias("cnt"))
-    kept = by_part.where("n = 0").orderBy(F.desc("cnt"), "part").limit(words)
-    for n in range(1, LONGEST + 1):
-        kept = kept.union(by_part.where(F.col("n") == n).orderBy(F.desc("cnt"), "part").limit(grams_kept))
-    table = counted.join(F.broadcast(kept.select("n", "part")), ["n", "part"]).select("n", "lang", "part", "cnt").toArrow()
+    n_languages = len({lang for _, lang in totals})
+    place = F.row_number().over(Window.partitionBy("n", "lang").orderBy(F.desc("cnt"), "part"))
+    room = F.when(F.col("n") == 0, max(1, words // n_languages)).otherwise(max(1, grams_kept // n_languages))
+    kept = counted.withColumn("place", place).where(F.col("place") <= room).select("n", "part").distinct()
+    table = counted.join(F.broadcast(kept), ["n", "part"]).select("n", "lang", "part", "cnt").toArrow()
     rows = list(zip(*[table.column(c).to_pylist() for c in ("n", "lang", "part", "cnt")], strict=True))
 
     languages = sorted({lang for _, lang in totals})
@@ -149,7 +151,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE, words: int = WORDS, grams_kept: i
         index[n].setdefault(part, sum(map(len, index)))
     costs = np.full((sum(map(len, index)), len(languages)), PENALTY, np.float32)
     for n, lang, part, cnt in rows:
-        costs[index[n][part], column[lang]] = min(PENALTY, -math.log10(cnt / totals[n, lang]))
+        costs[index[n][part], column[lang]] = min(PENALTY, -math.log10(cnt / (totals[n, lang] + SMOOTHING)))
     named = {w.encode("utf-8", "surrogatepass"): r for w, r in index[0].items()}
     return LanguageModel(languages, named, index[1:], costs)
 
