@@ -212,3 +212,51 @@ def test_language_scores_match_plain_python(spark, messy):
             assert got == pytest.approx(np.mean(found, axis=0), abs=1e-4)
         else:
             assert got is None
+
+
+def test_rare_toxic_rows_are_learnt_and_clean_ones_left_alone(spark):
+    rnd = random.Random(5)
+    calm, bad = [f"word{i}" for i in range(300)], ["vile", "wretch", "scoundrel", "vermin"]
+
+    def text(toxic):
+        w = [rnd.choice(calm) for _ in range(rnd.randint(20, 60))]
+        for _ in range(4 if toxic else 0):
+            w[rnd.randrange(len(w))] = rnd.choice(bad)
+        return " ".join(w)
+    rows = [(i, text(i % 200 == 3), int(i % 200 == 3)) for i in range(12_000)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.fit(table.select("doc_id", "text"), table.select("doc_id", "toxic"), sample=1000)
+    new = [(i, text(i % 4 == 0)) for i in range(400)]
+    got = toxicity.score_toxicity(spark.createDataFrame(new, "doc_id long, text string"), model).collect()
+    hit = [r for r in got if r["doc_id"] % 4 == 0]
+    assert sum(r["predicted"] for r in hit) >= 0.9 * len(hit)
+    assert sum(r["predicted"] for r in got if r["doc_id"] % 4) <= 0.02 * 300
+
+
+def test_documents_without_passages_are_graded(spark):
+    scores = np.zeros(toxicity.BUCKETS, np.float32)
+    model = toxicity.ToxicityModel(scores, 0.7, -1.0, 2.0, -3.0)
+    graded = [model.probability(0.0, best, 40) for best in (0.0, 1.0, 2.0, 3.0)]
+    assert graded == sorted(graded) and len(set(graded)) == 4
+    assert graded[0] >= model.probability(0.0, -9e9, 40) and graded[-1] <= model.probability(1e-9, 3.0, 40)
+
+
+def test_toxicity_scores_match_plain_python(labelled):
+    """Evidence and score of whole texts from the definition of the segments."""
+    docs, labels = labelled
+    model = toxicity.fit(docs, labels)
+    texts = {i: t for i, t in map(tuple, docs.collect()) if len(t.split()) <= 60}
+    assert len(texts) > 100
+    for r in toxicity.score_toxicity(docs, model).collect():
+        if r["doc_id"] not in texts:
+            continue
+        values = []
+        for w in texts[r["doc_id"]].encode().split():
+            odds = [float(model.scores[b]) for b in toxicity.word_buckets(w)]
+            values.append(float(np.float32(max(odds, key=abs) - toxicity.DRIFT)))
+        parts = [model.decay * s - model.log_k - np.log(len(values)) for _, _, s in maximal_by_definition(values)]
+        strong = [e for e in parts if e > 0]
+        p = 1 / (1 + np.exp(-(model.slope * np.log1p(sum(strong)) + model.offset)))
+        if not strong and p < 0.5:
+            p *= (1 + np.exp(min(0.0, max(parts, default=-model.log_k - np.log(len(values)))))) / 2
+        assert r["score"] == pytest.approx(p, abs=1e-4) and len(r["passages"]) == len(strong)

@@ -12,7 +12,9 @@ follow an extreme-value law: the number of segments of score S or more that chan
 gives in n tokens is K n exp(-lambda S), with lambda from the clean scores and K from the
 clean documents' best segments.  A document's evidence is the sum over its significant
 segments of -ln of that number, and a logistic curve fitted on sample documents that
-the token scores have not seen turns it into a probability.
+the token scores have not seen turns it into a probability (classes weigh as they do among
+all labels, whatever their share of the sample).  Documents without a significant segment
+stand below the curve's start, in the order of their best segment's number.
 """
 
 from __future__ import annotations
@@ -28,10 +30,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tilth.llm.common import bounded_ids, folded_words, materialize
+from tilth.llm.common import class_sample, folded_words, materialize
 
 BUCKETS = 1 << 18
-SAMPLE = 20_000        # labelled documents the model is fitted on, at most
+SAMPLE = 20_000        # labelled documents the model is fitted on, at most, divided among the labels
 PRIOR_MASS = 500.0
 DRIFT = 0.25
 SIGNIFICANT = 1.0      # a segment counts if chance gives fewer than this many a document
@@ -56,8 +58,14 @@ class ToxicityModel:
         strong = [(a, b, self.decay * s - base) for a, b, s in found]
         return max((x[2] for x in found), default=0.0), [x for x in strong if x[2] > -math.log(self.significant)]
 
-    def probability(self, evidence: float) -> float:
-        return 1.0 / (1.0 + math.exp(-max(-60.0, min(60.0, self.slope * math.log1p(evidence) + self.offset))))
+    def probability(self, evidence: float, best: float, n_tokens: int) -> float:
+        """From the evidence of significant segments; without any, a clean verdict is lowered
+        by the number of segments like the best one that chance gives (to a half at most)."""
+        p = 1.0 / (1.0 + math.exp(-max(-60.0, min(60.0, self.slope * math.log1p(evidence) + self.offset))))
+        if evidence > 0 or p >= 0.5:
+            return p
+        number = self.log_k + math.log(max(1, n_tokens)) - self.decay * best
+        return p * (1.0 + math.exp(-max(0.0, number))) / 2
 
 
 def word_buckets(word: bytes) -> list[int]:
@@ -169,15 +177,15 @@ def _decay(scores: np.ndarray, weight: np.ndarray) -> float:
     return hi
 
 
-def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of a logistic curve by Newton steps; a small penalty keeps them
-    finite where the classes separate."""
+def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
+    """Slope and offset of a weighted logistic curve by Newton steps; a small penalty keeps
+    them finite where the classes separate."""
     beta, design = np.zeros(2), np.stack([x, np.ones_like(x)], 1)
     penalty = np.diag([1e-2, 1e-3])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(design @ beta, -30, 30)))
-        grad = design.T @ (y - p) - penalty @ beta
-        hess = (design * (p * (1 - p))[:, None]).T @ design + penalty
+        grad = design.T @ (weight * (y - p)) - penalty @ beta
+        hess = (design * (weight * p * (1 - p))[:, None]).T @ design + penalty
         step = np.linalg.solve(hess, grad)
         beta += np.clip(step, -2, 2)
         if np.abs(step).max() < 1e-8:
@@ -198,7 +206,7 @@ def _evidence(model, schema: pa.Schema, keep: list[str], full: bool):
                 evidence = sum(x[2] for x in strong)
                 out["n_tokens"].append(len(scores))
                 if full:
-                    p = m.probability(evidence)
+                    p = m.probability(evidence, best, len(scores))
                     out["score"].append(p)
                     out["predicted"].append(int(p >= 0.5))
                     out["passages"].append([{"first": a, "end": b, "evidence": e} for a, b, e in strong])
@@ -212,7 +220,8 @@ def _evidence(model, schema: pa.Schema, keep: list[str], full: bool):
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, text_col: str = "text") -> ToxicityModel | None:
-    """Fit on at most ``sample`` rows of ``labels`` (doc_id, toxic), chosen by id hash.
+    """Fit on at most ``sample`` rows of ``labels`` (doc_id, toxic), chosen by id hash; a rare
+    label's rows are taken up to half of the sample.
 
     Only ids and labels of the sample are broadcast (their number is bounded); texts stay
     where they are read.  The driver receives bucket counts (a fixed number) and two
@@ -220,7 +229,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, text_col: str
     spark = docs.sparkSession
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).groupBy("doc_id").agg(
         (F.max("toxic") > 0).cast("long").alias("toxic"))
-    picked = bounded_ids(known, sample, "toxic")
+    picked, labelled, taken = class_sample(known, sample, "toxic")
     texts = docs.select("doc_id", F.col(text_col).alias("text")).join(F.broadcast(picked), "doc_id")
     texts = materialize(texts.withColumn(
         "fits", F.pmod(F.xxhash64(F.lit("fit"), F.col("doc_id").cast("string")), F.lit(100)) < FIT_SHARE))
@@ -253,7 +262,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, text_col: str
     x, y = np.log1p([r["evidence"] for r in rows]), np.array([float(r["toxic"]) for r in rows])
     if not len(y) or y.min() == y.max():
         return ToxicityModel(scores, decay, log_k, 1.0, -1.0)
-    return ToxicityModel(scores, decay, log_k, *_logistic(x, y))
+    each = {c: labelled[c] / taken[c] for c in labelled if taken[c]}
+    weight = np.array([each[int(c)] for c in y])
+    return ToxicityModel(scores, decay, log_k, *_logistic(x, y, weight / weight.mean()))
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel | None, text_col: str = "text") -> DataFrame:
