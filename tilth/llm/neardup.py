@@ -7,12 +7,16 @@
    least ``matches`` of K coordinates must meet in one of the K - matches + 1 rarest
    of each (prefix); the frequent rest, the long posting lists, is skipped.  A class
    whose values are mostly its own has an empty prefix and goes no further.
-3. Classes that meet form families (components of the postings, without any pairs).
-   A family is cut into blocks by hash; each pair of blocks is one bounded task that
-   compares all its members on the full sets (a matrix product; collisions only led to
-   the family and decide nothing here) and returns a star for each connected group
-   found, never all its pairs.
-4. Components over the stars give every document its group.
+3. Peeling: every class is paired with the one representative of its posting lists that it
+   meets most often; pairs with at least ``matches`` collisions are confirmed on the full
+   sets.  Posting lists whose members are one group by now are done.  A round takes one
+   pair a class, so a large group of copies costs as much as it has members.
+4. What is left forms families (components of the posting lists with two groups or more,
+   without any pairs).  A family is cut into blocks by hash; each pair of blocks is one
+   bounded task that counts collisions between members of different groups, confirms the
+   pairs with enough of them on the full sets, and returns a star for each connected
+   group found, never all its pairs.
+5. Components over the links give every document its group.
 
 No step gathers a whole group: blocks are bounded in members and in shingles.
 """
@@ -31,6 +35,8 @@ from tilth.llm.components import components
 
 COORDINATES = 32
 MATCHES = 16          # a pair at similarity 0.8 falls below with a chance of 3.3 in 100,000 (binomial)
+SLACK = 6             # collisions fewer that still are confirmed inside a block: 3.5 in 10,000,000,000
+PEELS = 2             # rounds with representatives: the smallest of each posting list, then the greatest
 BLOCK_DOCS = 512
 BLOCK_SHINGLES = 1 << 18
 _SALTS = 64
@@ -84,13 +90,13 @@ def _sign(width: int, k: int, schema: pa.Schema):
     return run
 
 
-def _sets(width: int, schema: pa.Schema):
+def _sets(width: int, k: int, schema: pa.Schema):
     def run(batches):
         for batch in batches:
-            sets = [shingle_set(t.as_py(), width).view(np.int64) for t in batch.column("text")]
+            sets = [shingle_set(t.as_py(), width) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), batch.column("family"), batch.column("m"), pa.array(sets, pa.list_(pa.int64()))],
-                schema=schema)
+                [batch.column("node"), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
+                 pa.array([signature(s, k).view(np.int64) for s in sets], pa.list_(pa.int64()))], schema=schema)
     return run
 
 
@@ -114,16 +120,28 @@ def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
     return total
 
 
-def _links(percent: int, schema: pa.Schema):
-    """A star for each connected group among the sets of one pair of blocks."""
+def _links(percent: int, floor: int, schema: pa.Schema):
+    """A star for each connected group among the sets of one pair of blocks; pairs within one
+    group of the rounds before, or with fewer than ``floor`` collisions, are not compared."""
+    nothing = schema.empty_table()
+
     def run(table: pa.Table) -> pa.Table:
-        nodes = table.column("node").to_numpy()
-        sets = [np.unique(np.asarray(s.values.to_numpy(zero_copy_only=False), np.int64)) if len(s) else np.empty(0, np.int64)
-                for s in table.column("set")]
+        groups = table.column("label").to_numpy()
+        if (groups == groups[0]).all():
+            return nothing
+        signs = np.stack(table.column("sig").to_numpy())
+        collisions = np.zeros((len(groups), len(groups)), np.int16)
+        for at in range(signs.shape[1]):
+            collisions += signs[:, at, None] == signs[None, :, at]
+        asked = (collisions >= floor) & (groups[:, None] != groups[None, :])
+        some = np.flatnonzero(asked.any(axis=1))
+        if not len(some):
+            return nothing
+        nodes, asked = table.column("node").to_numpy()[some], asked[np.ix_(some, some)]
+        sets = [s.values.to_numpy(zero_copy_only=False) for s in table.column("set").take(pa.array(some))]
         sizes = np.array([len(s) for s in sets], np.int64)
-        n = len(sets)
-        both = _overlaps(sets).astype(np.int64) if n > 1 else np.zeros((n, n), np.int64)
-        linked = 100 * both >= percent * (sizes[:, None] + sizes[None, :] - both)
+        both = _overlaps(sets).astype(np.int64)
+        linked = asked & (100 * both >= percent * (sizes[:, None] + sizes[None, :] - both))
         linked |= nodes[:, None] == nodes[None, :]
         label = nodes.copy()
         while True:
@@ -161,13 +179,17 @@ def near_duplicates(docs: DataFrame, width: int = 4, percent: int = 80, coordina
     placed = full.join(classes.where(F.col("copies") > 1).select("h1", "h2", "rep"), ["h1", "h2"], "left").withColumn(
         "rep", F.coalesce("rep", "doc_id"))
     reps = placed.where(F.col("rep") == F.col("doc_id"))
-    families = _dealt(_families(reps, matches), reps)
-    stars = _confirmed(own, families, width, percent)
+    posted = _prefix(reps, matches)
+    sets = _candidate_sets(own, posted, width, coordinates)
+    links, groups = _peeled(posted, sets, matches, percent)
+    rest = posted.join(groups, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    families = _dealt(_families(rest), sets)
+    stars = _confirmed(families, sets, groups, percent, matches - SLACK)
     # a doc_id that repeats with different texts is one node in several classes
     several = full.groupBy("doc_id").agg(F.min("h1").alias("x"), F.max("h1").alias("y")).where("x != y").select("doc_id")
     bridges = placed.join(several, "doc_id").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    groups = components(stars.union(bridges))
-    linked = placed.select("doc_id", "n", "rep").join(groups, F.col("rep") == F.col("node"), "left").select(
+    found = components(links.union(stars).union(bridges))
+    linked = placed.select("doc_id", "n", "rep").join(found, F.col("rep") == F.col("node"), "left").select(
         "doc_id", "n", F.coalesce("component", "rep").alias("component"))
     alone = signed.where(F.col("doc_id").isNull() | (F.col("n") == 0)).select(
         "doc_id", "n", F.col("doc_id").alias("component"))
@@ -176,9 +198,8 @@ def near_duplicates(docs: DataFrame, width: int = 4, percent: int = 80, coordina
         F.col("doc_id").eqNullSafe(F.col("component")).alias("kept"))
 
 
-def _families(reps: DataFrame, matches: int) -> DataFrame:
-    """(node, family) of the class representatives that meet another one under a prefix
-    posting; families are components of the postings."""
+def _prefix(reps: DataFrame, matches: int) -> DataFrame:
+    """(node, token): the class representatives under their prefix postings."""
     posted = reps.select(F.col("doc_id").alias("node"), F.posexplode("sig").alias("at", "value")).select(
         "node", F.xxhash64("at", "value").alias("token"))
     # stored, so that the join deals both sides anew and a very common value can be split
@@ -187,20 +208,64 @@ def _families(reps: DataFrame, matches: int) -> DataFrame:
         F.sort_array(F.collect_set(F.struct("cnt", "token"))).alias("tokens")).where(F.size("tokens") >= matches)
     # values of its own count towards the prefix but meet nothing, so K - matches + 1
     # coordinates come down to the rarest (shared - matches + 1) shared ones
-    prefix = materialize(shared.select(
+    return materialize(shared.select(
         "node", F.explode(F.slice("tokens", F.lit(1), F.size("tokens") - (matches - 1))).alias("t")).select(
         "node", F.col("t.token").alias("token")))
-    first = prefix.groupBy("token").agg(F.min("node").alias("b"), F.max("node").alias("last"))
-    first = first.where(F.col("b") != F.col("last")).select("token", "b")
-    met = prefix.join(first, "token").select(F.col("node").alias("a"), "b")
+
+
+def _candidate_sets(own: DataFrame, posted: DataFrame, width: int, coordinates: int) -> DataFrame:
+    """(node, set, sig) of the posted classes, stored; several rows for a node with several texts."""
+    texts = own.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("node"), "text")
+    wanted = texts.join(posted.select("node").distinct(), "node").withColumn("h", F.xxhash64("text"))
+    schema = pa.schema([("node", pa.int64()), ("set", pa.list_(pa.int64())), ("sig", pa.list_(pa.int64()))])
+    return materialize(wanted.dropDuplicates(["node", "h"]).select("node", "text").mapInArrow(
+        _sets(width, coordinates, schema), "node long, set array<bigint>, sig array<bigint>"))
+
+
+def _live(posted: DataFrame, head=F.min) -> DataFrame:
+    """(token, b, of): the posting lists whose members are in several groups, each with a
+    representative and its group.  Stored, so that the join with the postings can split a
+    very common token."""
+    lists = posted.groupBy("token").agg(head(F.struct("node", "label")).alias("head"),
+                                        F.min("label").alias("lo"), F.max("label").alias("hi"))
+    return materialize(lists.where(F.col("lo") != F.col("hi")).select(
+        "token", F.col("head.node").alias("b"), F.col("head.label").alias("of")))
+
+
+def _peeled(posted: DataFrame, sets: DataFrame, matches: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Links (a, b) that rounds with representatives confirm, and the groups (node, label)
+    they make; nodes without a link are in none."""
+    now, links, groups = posted.withColumn("label", F.col("node")), None, None
+    own = F.arrays_zip(F.col("x_sig").alias("x"), F.col("y_sig").alias("y"))
+    collisions = F.size(F.filter(own, lambda z: z["x"] == z["y"]))
+    both = F.size(F.array_intersect("x_set", "y_set"))
+    xs, ys = [sets.select(F.col("node").alias(of), F.col("set").alias(f"{c}_set"), F.col("sig").alias(f"{c}_sig"))
+              for of, c in (("a", "x"), ("b", "y"))]
+    for turn in range(PEELS):
+        met = now.join(_live(now, (F.min, F.max)[turn % 2]), "token").where(F.col("label") != F.col("of"))
+        met = met.groupBy(F.col("node").alias("a"), "b").agg(F.count(F.lit(1)).alias("cnt"))
+        best = met.groupBy("a").agg(F.max_by("b", F.struct("cnt", "b")).alias("b"))
+        sure = best.join(xs, "a").join(ys, "b").where(collisions >= matches).withColumn("both", both).where(
+            100 * F.col("both") >= percent * (F.size("x_set") + F.size("y_set") - F.col("both")))
+        more = materialize(sure.select("a", "b"))
+        links = links.union(more) if turn else more
+        groups = components(links).withColumnRenamed("component", "label")
+        now = posted.join(groups, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    return links, groups
+
+
+def _families(rest: DataFrame) -> DataFrame:
+    """(node, family) of the members of posting lists in several groups; families are
+    components of those lists."""
+    met = rest.join(_live(rest), "token").select(F.col("node").alias("a"), "b")
     return components(met).select("node", F.col("component").alias("family"))
 
 
-def _dealt(families: DataFrame, reps: DataFrame) -> DataFrame:
+def _dealt(families: DataFrame, sets: DataFrame) -> DataFrame:
     """(node, family, m): with the number of blocks of the family, from its members' count
     and set sizes.  Few families need more than one block; those rows are copied for
     ``_SALTS`` salts, so that the members of one large family meet them in as many tasks."""
-    sized = families.join(reps.select(F.col("doc_id").alias("node"), "n"), "node")
+    sized = families.join(sets.select("node", F.size("set").alias("n")), "node")
     large = sized.groupBy("family").agg(F.greatest(
         F.ceil(F.count(F.lit(1)) / BLOCK_DOCS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("long").alias("m")).where("m > 1")
     salted = large.select("family", "m", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("salt"))
@@ -209,16 +274,14 @@ def _dealt(families: DataFrame, reps: DataFrame) -> DataFrame:
         "node", "family", F.coalesce("m", F.lit(1)).alias("m"))
 
 
-def _confirmed(own: DataFrame, families: DataFrame, width: int, percent: int) -> DataFrame:
+def _confirmed(families: DataFrame, sets: DataFrame, groups: DataFrame, percent: int, floor: int) -> DataFrame:
     """Stars (a, b) of the groups linked on full sets, from tasks of two blocks each."""
-    texts = own.where(F.col("doc_id").isNotNull()).withColumn("h", F.xxhash64("text"))
-    per = families.join(texts, F.col("node") == F.col("doc_id")).select("node", "family", "m", "h", "text")
-    per = per.dropDuplicates(["node", "h"]).select("node", "family", "m", "text")
-    schema = pa.schema([("node", pa.int64()), ("family", pa.int64()), ("m", pa.int64()), ("set", pa.list_(pa.int64()))])
-    sets = per.mapInArrow(_sets(width, schema), "node long, family long, m long, set array<bigint>")
+    known = families.join(groups, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    members = known.join(sets, "node").withColumn("i", F.pmod(F.xxhash64("node"), F.col("m")))
     # a family of m blocks: block i meets every block j, so each member goes to m tasks
-    tasks = sets.withColumn("i", F.pmod(F.xxhash64("node"), F.col("m"))).select("node", "family", "set", "i",
-                         F.explode(F.sequence(F.lit(0).cast("long"), F.col("m") - 1)).alias("j"))
-    tasks = tasks.select("node", "family", "set", F.least("i", "j").alias("lo"), F.greatest("i", "j").alias("hi"))
+    tasks = members.select("node", "family", "label", "set", "sig", "i",
+                           F.explode(F.sequence(F.lit(0).cast("long"), F.col("m") - 1)).alias("j"))
+    tasks = tasks.select("node", "family", "label", "set", "sig", F.least("i", "j").alias("lo"),
+                         F.greatest("i", "j").alias("hi"))
     out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-    return tasks.groupBy("family", "lo", "hi").applyInArrow(_links(percent, out), "a long, b long")
+    return tasks.groupBy("family", "lo", "hi").applyInArrow(_links(percent, floor, out), "a long, b long")
