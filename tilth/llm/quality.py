@@ -3,6 +3,9 @@
 ``Rule`` rows compare ``scale * numerator`` with ``bound * denominator`` in whole
 numbers, so every engine reaches the same verdict.  The signals are length, symbol,
 stop-word and line counts of the whole text.
+
+``few_stop_words`` knows the words of four languages (English, German, French, Spanish) and
+rejects running text in any other: pass ``rules`` without it for such documents.
 """
 
 from __future__ import annotations
