@@ -27,6 +27,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame, Window
@@ -270,6 +271,12 @@ def _spill(shipped, schema: pa.Schema):
     return run
 
 
+def _phrase_rows(lang: str, phrase: pa.Array, size: int, f: np.ndarray, schema: pa.Schema) -> pa.Table:
+    n = len(phrase)
+    columns = [pa.repeat(pa.scalar(lang, pa.string()), n), phrase, pa.repeat(pa.scalar(size, pa.int32()), n), pa.array(f, pa.int64())]
+    return pa.Table.from_arrays(columns, schema=schema)
+
+
 def _merge(min_count: int, hot_pairs, schema: pa.Schema):
     """All runs of a prefix partition to the counts of its phrases.
 
@@ -277,7 +284,7 @@ def _merge(min_count: int, hot_pairs, schema: pa.Schema):
     the number of word occurrences; other phrases come if they reach ``min_count``."""
     def run(table: pa.Table) -> pa.Table:
         hot = hot_pairs.value
-        out: list[tuple] = []
+        out: list[pa.Table] = []
         langs = table.column("lang").to_pylist()
         for lang in sorted(set(langs)):
             rows = table.take([i for i, x in enumerate(langs) if x == lang]).to_pylist()
@@ -298,7 +305,8 @@ def _merge(min_count: int, hot_pairs, schema: pa.Schema):
             by = np.argsort(key, kind="stable")       # merges runs that are sorted already
             del key
             head, tail, count = head[by], tail[by], count[by]
-            out.append((lang, "", 0, int(count.sum())))
+            out.append(_phrase_rows(lang, pa.array([""]), 0, count.sum(keepdims=True), schema))
+            spelled = pa.array(names, pa.binary())
             w = [head >> 32, head & 0xFFFFFFFF, tail >> 32, tail & 0xFFFFFFFF]
             new_prefix = np.zeros(len(head), bool)
             new_prefix[:1] = True
@@ -316,11 +324,11 @@ def _merge(min_count: int, hot_pairs, schema: pa.Schema):
                     if size == 2 and deep:
                         keep |= there & np.isin(head[at], list(deep))
                 at, total = at[keep], total[keep]
-                parts = [[names[i] for i in x[at].tolist()] for x in w[:size]]
-                out += [(lang, b" ".join(p).decode("utf-8", "surrogatepass"), size, n)
-                        for *p, n in zip(*parts, total.tolist(), strict=True)]
-        return pa.Table.from_arrays(
-            [pa.array(c, f.type) for c, f in zip(list(zip(*out, strict=True)) or [[]] * 4, schema, strict=True)], schema=schema)
+                # joined as Arrow arrays, not phrase by phrase
+                parts = [spelled.take(pa.array(x[at])) for x in w[:size]]
+                phrase = parts[0] if size == 1 else pc.binary_join_element_wise(*parts, pa.scalar(b" ", pa.binary()))
+                out.append(_phrase_rows(lang, phrase.cast(pa.string()), size, total, schema))
+        return pa.concat_tables(out) if out else schema.empty_table()
     return run
 
 
