@@ -41,6 +41,40 @@ def test_boosted_trees_work_on_cells(spark, monkeypatch):
     assert passed[0] == passed[1] <= 3 * 2 * 32 * 9
 
 
+def test_forest_works_on_cells(spark, monkeypatch):
+    """What the trees pass over does not grow with the rows, and they predict as well as trees
+    fitted on the rows."""
+    monkeypatch.setattr(ML, "FEW_ROWS", 100)
+    monkeypatch.setattr(ML, "PIECES", 1200)
+    df, passed, real = table(spark), [], ML._spread
+    monkeypatch.setattr(ML, "_spread", lambda rows: passed.append(rows.count()) or real(rows))
+    est = ML.random_forest(num_trees=30, max_depth=6)
+    model = ML.fit(df, CAT, NUM, est)
+    for shift in (0.5, 1.0):
+        df = df.union(df.withColumn("target", F.col("target") + shift))
+    ML.fit(df, CAT, NUM, est)
+    assert len(passed) == 2 and passed[1] <= 1.2 * passed[0] <= 1.2 * max(1200, 3 * 2 * 32 * 9)
+    by_rows = Pipeline(stages=ml_encoder(CAT, NUM).getStages() + [est]).fit(table(spark))
+    error = {n: ML.evaluate(m, table(spark), []).first()["rmse"] for n, m in (("cells", model), ("rows", by_rows))}
+    assert abs(error["cells"] - error["rows"]) < 0.1 * error["rows"]
+
+
+def test_forest_on_few_rows_is_the_one_on_rows(spark):
+    df, est = table(spark), ML.random_forest(num_trees=5, max_depth=4)
+    by_rows = Pipeline(stages=ml_encoder(CAT, NUM).getStages() + [est]).fit(df)
+    assert predictions(ML.fit(df, CAT, NUM, est), df).tolist() == predictions(by_rows, df).tolist()
+
+
+def test_forest_predicts_each_combination_once(spark):
+    """Rows with equal features share a prediction, gaps included; every row gets one."""
+    df = table(spark)
+    model = ML.fit(df, CAT, NUM, ML.random_forest(num_trees=5, max_depth=4))
+    odd = df.union(df).union(df.limit(60).withColumn("c", F.lit(None).cast("string")))
+    want = sorted(map(str, model.transform(odd).select(*CAT, *NUM, "target", "prediction").collect()))
+    assert sorted(map(str, ML.predict(model, odd).select(*CAT, *NUM, "target", "prediction").collect())) == want
+    assert "Aggregate" in ML.evaluate(model, df, ["c"])._jdf.queryExecution().optimizedPlan().toString().split("Join")[-1]
+
+
 def test_many_values(spark, monkeypatch):
     monkeypatch.setattr(ML, "MANY_VALUES", 40)
     df = table(spark)
