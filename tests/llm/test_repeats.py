@@ -83,6 +83,34 @@ def test_repeats_inside_one_text(spark):
     assert agree(spark.createDataFrame(docs, "doc_id long, text string"), docs, 40) >= 4
 
 
+def test_a_line_over_and_over_in_many_texts(spark, monkeypatch):
+    """Equal windows of a run are settled in the run: a class of texts that repeat one line counts a
+    window once a text, fits a block, and what goes with a copy is spans, not windows."""
+    monkeypatch.setattr(repeats, "BLOCK_STARTS", 1500)
+    rnd = random.Random(11)
+    noise = lambda k: "".join(rnd.choice("klmnopqrst uvw") for _ in range(k))
+    line = noise(9) + "\n"
+    docs = [(i, noise(rnd.randint(0, 20)) + line * rnd.randint(26, 34) + noise(rnd.randint(0, 20))) for i in range(12)]
+    docs += [(100 + i, docs[0][1]) for i in range(3)]
+    rows, real = [], repeats._divided
+    monkeypatch.setattr(repeats, "_divided", lambda contents, *a: rows.append(contents.count()) or real(contents, *a))
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    assert agree(df, docs, 40) > 20 and not rows
+    scanned = repeats._scanned(repeats._identified(df, "text"), 40, 13)
+    assert max(sum(x["hi"] - x["lo"] + 1 for x in r["runs"]) for r in scanned.collect()) < 110
+
+
+def test_spans_of_windows_are_joined(spark, monkeypatch):
+    """Classes divided down to the windows give back stretches, not one span a window."""
+    monkeypatch.setattr(repeats, "BLOCK_STARTS", 200)
+    docs = mixed(7, 15)
+    found, real = [], repeats._divided
+    monkeypatch.setattr(repeats, "_divided", lambda *a: found.append(real(*a)) or found[-1])
+    repeats.find_repeats(spark.createDataFrame(docs, "doc_id long, text string"), 40)
+    spans = [r["later"] for df in found for r in df.collect()]
+    assert spans and all(x["b"] + 1 < y["a"] for s in spans for x, y in zip(s, s[1:], strict=False))
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_factors(seed):
     """Longest previous and next factors of all suffixes of a text against their definition."""
