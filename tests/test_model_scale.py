@@ -44,7 +44,6 @@ def test_boosted_trees_work_on_cells(spark, monkeypatch):
 def test_forest_works_on_cells(spark, monkeypatch):
     """What the trees pass over does not grow with the rows, and they predict as well as trees
     fitted on the rows."""
-    monkeypatch.setattr(ML, "FEW_ROWS", 100)
     monkeypatch.setattr(ML, "PIECES", 1200)
     df, passed, real = table(spark), [], ML._spread
     monkeypatch.setattr(ML, "_spread", lambda rows: passed.append(rows.count()) or real(rows))
