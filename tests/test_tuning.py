@@ -45,6 +45,67 @@ def test_cells_bags_nulls_and_bounds(spark, rows, monkeypatch):
         TU.tree_cells(rows, ["c"], ["a", "b"], "key")
 
 
+def test_cells_of_all_values(spark):
+    """Without bins every value has a code, however rare or close to the next it is."""
+    values = [None, float("nan"), *[0.0] * 500, *[1 + i / 1000 for i in range(90)], *[50.0] * 400, -3.0]
+    own = spark.createDataFrame([(f"k{i}", a, i % 7, "xy"[i % 2], float(i)) for i, a in enumerate(values)],
+                                "key string, a double, b int, c string, target double").repartition(5)
+    got = TU.tree_cells(own, ["c"], ["a", "b"], "key", bins=None)
+    ranks = {v: i + 1 for i, v in enumerate(sorted({v for v in values if v is not None and v == v}))}
+    want = {}
+    for i, a in enumerate(values):
+        at = (ranks.get(a, 0), i % 7 + 1, i % 2 + 1)
+        n, s = want.get(at, (0, 0.0))
+        want[at] = (n + 1, s + i - got["mean"])
+    found = {}
+    for code, n, s in zip(map(tuple, got["codes"].tolist()), got["n"], got["s"], strict=True):
+        was = found.get(code, (0, 0.0))
+        found[code] = (was[0] + n, was[1] + s)
+    assert max(c[0] for c in found) == 93 and found.keys() == want.keys()
+    assert all(found[c][0] == want[c][0] and np.isclose(found[c][1], want[c][1]) for c in want)
+
+
+def test_more_cells_than_quantiles_would_make(spark):
+    own = spark.range(270_000).selectExpr("string(id) AS key", "id % 300 AS a", "id div 300 AS b", "double(id % 11) AS target")
+    got = TU.tree_cells(own, [], ["a", "b"], "key", bins=None)
+    assert len(got["n"]) == got["n"].sum() == 270_000 and got["codes"].max(axis=0).tolist() == [300, 900]
+    assert (np.diff(got["fold"]) >= 0).all() and set(got["fold"]) == {0, 1, 2}
+
+
+def test_model_search_splits_between_all_values(spark, tmp_dir, monkeypatch):
+    """The query's trees see every quantity, discount and tax, so they find a band that lies
+    between the quartiles."""
+    from tilth.plans import q_tuning as Q
+    rnd = random.Random(8)
+    items = [(i, i % 40, i % 10, i % 7 + 1, rnd.choice("ANR"), rnd.choice("FO"), float(rnd.randint(1, 50)), rnd.randint(0, 10) / 100,
+              rnd.randint(0, 8) / 100, 0.0) for i in range(1500)]
+    items = [(*x[:-1], 1e7 if 15 <= x[6] <= 17 else 0.0) for x in items]
+    spark.createDataFrame(items, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_returnflag string, l_linestatus string, "
+                          "l_quantity double, l_discount double, l_tax double, l_extendedprice double").write.parquet(f"{tmp_dir}/lineitem.parquet")
+    made, own = [], TU.tree_cells
+    monkeypatch.setattr(TU, "tree_cells", lambda *a, **k: made.append(own(*a, **k)) or made[-1])
+    monkeypatch.setattr(Q, "_TRIALS", 2)
+    got = {r["model"]: r for r in Q.model_search_checks(spark, tmp_dir).collect()}
+    assert got["boosted"]["n_trials"] == 2 and got["boosted"]["refit_beats_mean"] and got["boosted"]["beats_mean"]
+    for cells in made:
+        assert cells["codes"].max(axis=0)[:3].tolist() == [50, 11, 9]
+    assert [c["n"].sum() for c in made] == [got["boosted"]["n_rows"], 1500]
+    one = TU.boosted_losses(made[0], 0, [40], 3, 0.3)[40] / TU._fold_sizes(made[0])[0]
+    assert one < 0.02 * TU.held_out_baseline(made[0], 0)
+
+
+def test_sums_by_joint_or_listed_codes_are_the_same_tree(cells, monkeypatch):
+    n, s, rng = cells["n"], cells["s"], np.random.default_rng
+    for depth, leaf, m in ((3, 1, 3), (12, 2, 3), (30, 1, 2)):
+        want = TU.grow_tree(cells["codes"], cells["kinds"], n, s, [1, depth], leaf, m, rng(5))
+        for packed, dense in ((1, 16), (10_000, 16), (1, 0), (128, 0)):
+            monkeypatch.setattr(TU, "PACKED", packed)
+            monkeypatch.setattr(TU, "DENSE", dense)
+            for a, b in zip(want, TU.grow_tree(cells["codes"], cells["kinds"], n, s, [1, depth], leaf, m, rng(5)), strict=True):
+                assert np.allclose(a, b, rtol=1e-9)
+        monkeypatch.undo()
+
+
 def test_tree_equals_spark_tree(rows):
     """One tree without bootstrap has the training loss of Spark ML's on the same splits."""
     from pyspark.ml.regression import DecisionTreeRegressor
